@@ -9,7 +9,7 @@ r and ln c are read from tables of the distribution's quantiles, the latter fine
 a hash and a few products for a term and slot and no logarithm. Below the table c follows its limit sqrt(2 u). A slot's rank and its
 identity travel as one long, so that the least of them is a plain minimum.
 
-Nulls and empty texts have no terms: their fingerprint is all EMPTY, is equal to that of another such text and unlike any other. Texts of any length
+Nulls and empty texts count as the one empty term: their fingerprints are equal to one another's and unlike any other. Texts of any length
 are read whole. Rows that repeat an id are documents of their own, in order of their text; null ids come last. An empty table gives
 an empty result. Columns other than those named are ignored.
 """
@@ -23,9 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SLOTS = 32
+SLOTS = 16
 BLOCK = 512  # ids of one block; ids are distinct, so it holds as many documents at most, repeated rows aside
-EMPTY = "-" * 8
 
 
 def gamma_quantile(u: float) -> float:
@@ -53,27 +52,28 @@ def tables() -> tuple[list[float], list[float]]:
 
 
 def terms(text: Column) -> Column:
-    """Sorted hashes of all terms, repeated ones included."""
-    return F.sort_array(F.transform(F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w)))
+    """Sorted hashes of all terms, repeated ones included; a text without terms has the empty one."""
+    words = F.array_remove(F.split(F.lower(text), r"\s+"), "")
+    return F.sort_array(F.transform(F.when(F.size(words) > 0, words).otherwise(F.array(F.lit(""))), lambda w: F.xxhash64(w)))
 
 
 def run_starts(sorted_terms: str) -> Column:
     """Where the runs of equal terms begin."""
     h = F.col(sorted_terms)
-    begins = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
-    return F.when(F.size(h) > 0, begins).otherwise(F.array().cast("array<int>"))
+    return F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
 
 
-def slot(term: Column, log_weight: Column, k: int, r_table: Column, c_table: Column) -> Column:
+def slot(term: Column, log_weight: Column, k: int, r_table: Column, p_table: Column, c_table: Column) -> Column:
     """Rank (upper 31 bits) and identity (lower 32 bits) of a term in slot k."""
     h = F.xxhash64(term, F.lit(k))
     bits = lambda at, n: F.shiftrightunsigned(h, at).bitwiseAND(F.lit((1 << n) - 1))
-    r = F.get(r_table, bits(0, 8).cast("int"))
+    i = bits(0, 8).cast("int")
+    r, per_r = F.coalesce(F.get(r_table, i), F.lit(1.0)), F.coalesce(F.get(p_table, i), F.lit(1.0))
     v = bits(8, 22).cast("int")
     cell = F.when(v >= 1 << 17, F.shiftright(v, 16) + 128).when(v >= 1 << 12, F.shiftright(v, 11) + 64).otherwise(F.shiftright(v, 6))
-    c = F.when(v >= 1 << 7, F.get(c_table, cell)).otherwise(0.5 * F.log((v + 0.5) / float(1 << 21)))
-    b = bits(30, 30) / float(1 << 30)
-    t = F.floor(log_weight / r + b)
+    c = F.when(v >= 1 << 7, F.coalesce(F.get(c_table, cell), F.lit(0.0))).otherwise(F.coalesce(0.5 * F.log((v + 0.5) * 2.0**-21), F.lit(0.0)))
+    b = bits(30, 30) * 2.0**-30
+    t = F.floor(log_weight * per_r + b)
     rank = c - r * (t - b + 1.0)
     scaled = F.floor((F.least(F.greatest(rank, F.lit(-100.0)), F.lit(27.9)) + 100.0) * float(1 << 24))
     identity = F.shiftrightunsigned(h, 9).bitwiseXOR(t * 40503).bitwiseAND(F.lit(0xFFFFFFFF))
@@ -81,26 +81,22 @@ def slot(term: Column, log_weight: Column, k: int, r_table: Column, c_table: Col
 
 
 def sampled(rows: DataFrame, keys: list[str], text_col: str, slots: int = SLOTS) -> DataFrame:
-    """keys and slots (array of longs; of nulls without terms), for rows whose keys are unique. Shuffles only if rows aren't dealt by some of the keys."""
+    """keys and slots (array of longs), for rows whose keys are unique. Shuffles only if rows aren't dealt by some of the keys."""
     r_values, c_values = tables()
-    r_table, c_table = _literal(r_values), _literal(c_values)
+    r_table, p_table, c_table = _literal(r_values), _literal([1 / r for r in r_values]), _literal(c_values)
     h = rows.select(*keys, terms(F.col(text_col)).alias("_h"))
     begins = h.select(*keys, "_h", run_starts("_h").alias("_b"))
-    pairs = begins.select(
-        *keys,
-        F.explode_outer(
-            F.transform(
-                F.col("_b"), lambda at, i: F.struct(F.get("_h", at).alias("term"), (F.coalesce(F.get(F.col("_b"), i + 1), F.size("_h")) - at).alias("weight"))
-            )
-        ).alias("_t"),
-    ).select(*keys, F.col("_t.term").alias("_term"), F.log(F.col("_t.weight").cast("double")).alias("_log"))
-    least = [F.min(F.when(F.col("_term").isNotNull(), slot(F.col("_term"), F.col("_log"), k, r_table, c_table))).alias(f"_s{k}") for k in range(slots)]
+    # The outer form has no filter inferred from it, which would compute the arrays once more.
+    runs = begins.select(*keys, "_h", "_b", F.posexplode_outer("_b").alias("_i", "_at"))
+    weight = F.coalesce(F.get("_b", F.col("_i") + 1), F.size("_h")) - F.col("_at")
+    pairs = runs.select(*keys, F.coalesce(F.get("_h", F.col("_at")), F.lit(0)).alias("_term"), F.coalesce(F.log(weight.cast("double")), F.lit(0.0)).alias("_log"))
+    least = [F.min(slot(F.col("_term"), F.col("_log"), k, r_table, p_table, c_table)).alias(f"_s{k}") for k in range(slots)]
     return pairs.groupBy(*keys).agg(*least).select(*keys, F.array(*[F.col(f"_s{k}").bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(slots)]).alias("slots"))
 
 
 def as_text(slots: Column) -> Column:
     """Eight hexadecimal digits for each slot."""
-    return F.concat_ws("", F.transform(slots, lambda s: F.coalesce(F.lower(F.lpad(F.hex(s), 8, "0")), F.lit(EMPTY))))
+    return F.concat_ws("", F.transform(slots, lambda s: F.lower(F.lpad(F.hex(s), 8, "0"))))
 
 
 def likeness(a: Column, b: Column, slots: int = SLOTS) -> Column:
