@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SLOTS = 16
+SLOTS = 24
 BLOCK = 512  # ids of one block; ids are distinct, so it holds as many documents at most, repeated rows aside
 
 
