@@ -37,7 +37,8 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]")
-_TOKEN = re.compile(r"\S*[0-9@]\S*")
+_WORD = re.compile(r"\S+")
+_TELLING = re.compile("[0-9@]")
 
 
 def luhn(digits: str) -> bool:
@@ -136,7 +137,7 @@ def graph(text: str, spans: dict[str, list[tuple[int, int]]]) -> Graph:
     places, features, labels, near, skips = [], [], [], [], []
     last: dict[str, int] = {}
     at, before = 0, -10
-    for n, m in enumerate(_TOKEN.finditer(text)):
+    for n, m in enumerate(m for m in _WORD.finditer(text) if _TELLING.search(m.group())):
         s, e = m.span()
         while at < len(found) and found[at][1] <= s:
             at += 1

@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -180,8 +181,6 @@ def masked(text: str, ratio: Ratio, mark: str = "[SECRET]") -> str:
 
 def redacted(docs: DataFrame, ratio: Ratio, text_col: str = "text") -> DataFrame:
     """The same rows and columns with secrets masked in the text; a null stays null. A map without a shuffle."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def mask(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else masked(t, ratio))

@@ -13,12 +13,14 @@ every score is 0. An empty table gives an empty result. Columns other than those
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +45,7 @@ class Model:
     bias: float
 
     def score(self, text: str) -> float:
-        z = self.bias + sum(self.weights[w] for w in self.weights.keys() & words(text))
+        z = self.bias + math.fsum(self.weights[w] for w in self.weights.keys() & words(text))  # the same in any order
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
@@ -123,8 +125,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
     """For each row: id, held_out, score, predicted; with keep, the row's own columns and tox_score instead. A map without a shuffle."""
-    import pandas as pd
-
     if keep:
 
         @F.pandas_udf("double")
