@@ -66,22 +66,26 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, step
     chosen = [w for w in chosen if gain(w) > 4.0] or chosen[:20]
     at = {w: i for i, w in enumerate(chosen)}
 
-    def matrix(docs: list[set[str]]) -> np.ndarray:
-        x = np.zeros((len(docs), len(at) + 1), np.float32)
-        x[:, -1] = 1
-        for i, d in enumerate(docs):
-            for w in at.keys() & d:
-                x[i, at[w]] = 1
-        return x
-
-    xp, xu = matrix(positive), matrix(unlabelled)
+    def held(docs: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """The chosen words that texts hold, as pairs of a text's number and a word's."""
+        pairs = [(i, at[w]) for i, d in enumerate(docs) for w in at.keys() & d]
+        return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
+
+    def sums(x: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
+        return w[-1] + np.bincount(x[0], w[x[1]], n)
+
+    def gradient(x: tuple[np.ndarray, np.ndarray], errors: np.ndarray) -> np.ndarray:
+        return np.append(np.bincount(x[1], errors[x[0]], len(at)), errors.sum()) / len(errors)
+
+    xp, xu = held(positive), held(unlabelled)
     w = np.zeros(len(at) + 1)
     first, second = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, steps + 1):
-        fp, fu = 1 / (1 + np.exp(-xp @ w)), 1 / (1 + np.exp(-xu @ w))
-        as_positive = -xp.T @ (1 - fp) / p  # gradients of the logistic loss
-        pos_negative, all_negative = xp.T @ fp / p, xu.T @ fu / u
-        excess = np.mean(np.logaddexp(0, xu @ w)) - prior * np.mean(np.logaddexp(0, xp @ w))
+        zp, zu = sums(xp, p), sums(xu, u)
+        fp, fu = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
+        as_positive = gradient(xp, fp - 1)  # gradients of the logistic loss
+        pos_negative, all_negative = gradient(xp, fp), gradient(xu, fu)
+        excess = np.mean(np.logaddexp(0, zu)) - prior * np.mean(np.logaddexp(0, zp))
         g = prior * as_positive + all_negative - prior * pos_negative if excess >= 0 else prior * pos_negative - all_negative
         g[:-1] += decay * w[:-1]
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g

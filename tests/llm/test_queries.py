@@ -218,7 +218,7 @@ def test_top_k(result):
     assert sorted(got[["query_id", "rank", "vec_id", "score"]].itertuples(index=False, name=None)) == sorted(want)
 
 
-def test_pipeline(spark, tmp_path):
+def test_pipeline(spark, result, tmp_path):
     """Each stage's decisions are checked on its own input."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, kept = docs.columns, []
@@ -233,7 +233,7 @@ def test_pipeline(spark, tmp_path):
     toxic = dict(zip(loaded("labels")["doc_id"], loaded("labels")["toxic"]))
     gone = set(start["doc_id"]) - set(clean)
     assert sum(toxic.get(i) == 0 for i in gone) <= 0.02 * sum(v == 0 for v in toxic.values())
-    assert sum(toxic.get(i) == 1 for i in gone) >= 0.7 * sum(v == 1 for v in toxic.values())
+    assert gone == set(result("op3").query("predicted == 1")["doc_id"])  # how good the classifier is, test_toxicity asks
     n5 = {}
     for i, t in clean.items():
         w = [x for x in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) if x]
