@@ -7,7 +7,9 @@ fewer words has the one shingle of all of them; without words the set is empty a
 1. Texts with equal sets form a class with one representative.
 2. A representative's prefix, its rarest n - ceil(percent/100 * n) + 1 shingles, shares a shingle with the prefix of everything it links
    with. Any order of shingles that is the same for all texts is right; ours puts shingles that are frequent
-   anywhere in the corpus last, so the prefixes hardly meet on common passages.
+   anywhere in the corpus last, so the prefixes hardly meet on common passages. Linked sets differ in size by a factor of 100 / percent
+   at most, so sizes are cut into ranges of that width and a prefix shingle is keyed with its set's range and the next one: linked sets
+   share a key, while sets of quite different sizes don't meet.
 3. Representatives whose prefixes meet are put into groups of about GROUP_ROWS, each led by the smallest id among those that it met, so
    that a group's members are alike. A group is a column of the token-group matrix: its token union, and who holds each token.
 4. A query is opened against a group only if the union holds percent of the query's own tokens. First each group is searched by its own
@@ -24,6 +26,8 @@ ignored.
 
 from __future__ import annotations
 
+import functools
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +40,9 @@ from .common import written
 
 GROUP_ROWS = 64
 QUERY_ROWS = 256
-FREQUENT_KEPT = 100_000  # frequent shingles that the order knows of; more of them make it no more right, only faster
-FREQUENT_HERE = 3  # rows of one batch that hold a shingle, for it to be counted
-FREQUENT_FROM = 24
+FREQUENT_KEPT = 500_000  # frequent shingles that the order knows of; more of them make it no more right, only faster
+FREQUENT_HERE = 2  # rows of one batch that hold a shingle, for it to be counted
+FREQUENT_FROM = 2
 HOT_ROWS = 5000  # rows from which on a shingle's rows are dealt to SALTS tasks
 SALTS = 16
 
@@ -82,6 +86,19 @@ def needed(n, percent: int):
     return (percent * n + 99) // 100
 
 
+def size_range(n: int, percent: int) -> int:
+    """Number of the range of sizes that n >= 1 lies in; sizes that can link lie in the same range or in neighbouring ones."""
+    bounds = _range_starts(percent)
+    while bounds[-1] <= n:
+        bounds.append(100 * bounds[-1] // percent + 1)  # the least size that the range's first one can't link with
+    return bisect_right(bounds, n)
+
+
+@functools.cache
+def _range_starts(percent: int) -> list[int]:
+    return [1]
+
+
 class Group:
     """A column of the token-group matrix: the union of its members' tokens and the members that hold each."""
 
@@ -130,13 +147,13 @@ def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """For each row: doc_id, size of its set, two hashes of the whole set, its prefix, and how many at the end of that are hot."""
+    """For each row: doc_id, size of its set, two hashes of the whole set, its prefix, how many at the end of that are hot, and its range of sizes."""
     frequent, rows = _frequent(docs, n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
         for batch in batches:
-            size, one, two, prefix, hot = [], [], [], [], []
+            size, one, two, prefix, hot, ranges = [], [], [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, n, known)
                 size.append(len(s))
@@ -149,27 +166,13 @@ def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 order = np.argsort(held, kind="stable")[: len(s) - needed(len(s), percent) + 1]
                 prefix.append(s[order].view(np.int64))
                 hot.append(int((held[order] >= HOT_ROWS).sum()))
+                ranges.append(size_range(len(s), percent) if len(s) else 0)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.int64())],
-                ["doc_id", "n_shingles", "one", "two", "prefix", "hot"],
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.int64()), pa.array(ranges, pa.int32())],
+                ["doc_id", "n_shingles", "one", "two", "prefix", "hot", "range"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long, prefix array<long>, hot long")
-
-
-def _sets_of(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id and its set as bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([shingles(t, n, known).tobytes() for t in part.column(1).to_pylist()], pa.binary())], ["doc_id", "tokens"]
-                )
-
-    return docs.mapInArrow(run, "doc_id long, tokens binary")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long, prefix array<long>, hot long, range int")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -195,16 +198,18 @@ def components(links: DataFrame) -> DataFrame:
     return root.select(F.col("u").alias("node"), "component").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
+def _search(rows: DataFrame, keys: list[str], n: int, percent: int) -> DataFrame:
     """Links (u, v) of queries with members of the same key; a forest of them, for the members that aren't tied yet.
 
-    rows: keys, member and query booleans, doc_id, tokens. A key has few members and queries.
+    rows: keys, member and query booleans, doc_id, text. A key has few members and queries. Texts travel, as they pack better than their sets.
     """
 
     def run(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        known = _Hashes()
         group = group.sort_values("doc_id", kind="stable")
+        group["tokens"] = [shingles(t, n, known) for t in group.pop("text")]
         members, queries = group[group["member"]], group[group["query"]]
-        column = Group([np.frombuffer(b, np.uint64) for b in members["tokens"]])
+        column = Group(list(members["tokens"]))
         ids, up, out = members["doc_id"].to_numpy(), {}, []
 
         def top(x: int) -> int:
@@ -213,14 +218,14 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
             return x
 
         for doc_id, tokens in zip(queries["doc_id"], queries["tokens"], strict=True):
-            for other in ids[column.linked(np.frombuffer(tokens, np.uint64), percent)]:
+            for other in ids[column.linked(tokens, percent)]:
                 a, b = top(int(doc_id)), top(int(other))
                 if a != b:
                     up[max(a, b)] = min(a, b)
                     out.append((int(doc_id), int(other)))
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return rows.select(*keys, "member", "query", "doc_id", "tokens").groupBy(*keys).applyInPandas(run, "u long, v long")
+    return rows.select(*keys, "member", "query", "doc_id", "text").groupBy(*keys).applyInPandas(run, "u long, v long")
 
 
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -229,12 +234,13 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     known = written(features(docs, n, percent), "features")
     some = known.filter("doc_id is not null and n_shingles > 0")
     kinds = ["n_shingles", "one", "two"]
-    classes = some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"))
+    classes = some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"), F.first("range").alias("range"))
 
     # Prefix shingles that several representatives have. A frequent one is dealt to SALTS tasks: its rows are few enough there.
-    postings = classes.select("rep", "n_shingles", F.size("prefix").alias("size"), "hot", F.posexplode("prefix").alias("at", "token"))
+    postings = classes.select("rep", "n_shingles", F.size("prefix").alias("size"), "hot", "range", F.posexplode("prefix").alias("at", "token"))
     salt = F.when(F.col("at") >= F.col("size") - F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS))).otherwise(F.lit(-1))
-    postings = postings.select("rep", "n_shingles", "token", salt.alias("salt"))
+    postings = postings.select("rep", "n_shingles", "token", salt.alias("salt"), F.explode(F.array("range", F.col("range") + 1)).alias("range"))
+    postings = postings.select("rep", "n_shingles", F.xxhash64("token", "range").alias("token"), "salt")
     by_token = Window.partitionBy("token", "salt")
     shared = written(
         postings.select("token", "salt", "rep", "n_shingles", F.min("rep").over(by_token).alias("low"), F.max("rep").over(by_token).alias("high"))
@@ -250,12 +256,12 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     counts = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"))
     parts = F.ceil(F.col("rows") / GROUP_ROWS)
     nodes = written(lead.join(counts, "leader").select("rep", "n_shingles", "leader", F.pmod(F.xxhash64("rep"), parts).alias("part"), parts.alias("parts")), "nodes")
-    sets = written(_sets_of(docs.join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), n), "sets")
+    texts = written(docs.join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
     member = F.lit(True)
     own = nodes.select("leader", "part", F.col("rep").alias("doc_id"))
     leaders = nodes.filter("rep = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("rep").alias("doc_id"))
-    rows = own.unionByName(leaders).distinct().join(sets, "doc_id").withColumn("member", member).withColumn("query", member)
-    first = written(_search(rows, ["leader", "part"], percent), "links")
+    rows = own.unionByName(leaders).distinct().join(texts, "doc_id").withColumn("member", member).withColumn("query", member)
+    first = written(_search(rows, ["leader", "part"], n, percent), "links")
     tied = written(components(first), "components")
 
     # Other groups: a query goes where a prefix shingle of its own meets a smaller component, with sizes that can link.
@@ -280,14 +286,14 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
         queries.withColumn("member", F.lit(False))
         .withColumn("query", F.lit(True))
         .unionByName(opened.withColumn("member", F.lit(True)).withColumn("query", F.lit(False)))
-        .join(sets, "doc_id")
+        .join(texts, "doc_id")
     )
-    more = _search(rows, ["leader", "part", "page"], percent)
+    more = _search(rows, ["leader", "part", "page"], n, percent)
     final = components(first.unionByName(more))
 
     copies = some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
     return (
-        known.drop("prefix", "hot")
+        known.drop("prefix", "hot", "range")
         .join(copies, kinds, "left")
         .withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
         .join(final, F.col("rep") == F.col("node"), "left")
