@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.staging import staged
+
 BUCKETS = 64
 
 
@@ -75,6 +77,7 @@ def t_test(average: Column, deviation_: Column, n: int) -> Column:
 
 def counted(df: DataFrame, value: str) -> DataFrame:
     """df with below (rows of a smaller value), ties (rows of the same) and rows (of any value); rows without a value get nulls."""
+    df = staged(df)
     values = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     bounds = df.agg(F.percentile_approx(value, F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)]), 1000).alias("_bounds"))
     placed = values.crossJoin(F.broadcast(bounds)).withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("_v")))).drop("_bounds")  # one row of bounds

@@ -1,7 +1,7 @@
 """Hit calling: from a count matrix to scored, gated and annotated molecules.
 
 Everything that belongs to one row is one chain of projections. Numbers that depend on all rows (quantiles, medians) come as frames of one row
-that are joined back, so a query stays one lazy plan.
+that are joined back; tables that are read several times for this are staged.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats
 from ..plans.config import HitConfig
+from ..plans.staging import staged
 from .counts import size_factors
 
 LN2 = math.log(2.0)
@@ -98,21 +99,24 @@ def components(m: DataFrame, parameters: DataFrame, arms: tuple[str, str] = ("r1
 
 
 def synthons(m: DataFrame, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
-    """Adds syn: over positions, the robust z of the block's median of e_syn, clipped at 3. Blocks are few, so each table is broadcast if small enough."""
+    """Adds syn: over positions, the robust z of the block's median of e_syn, clipped at 3. All positions are counted in one pass."""
+    each = F.explode(F.array(*[F.struct(F.lit(b).alias("_at"), F.col(b).alias("_block")) for b in blocks])).alias("_x")
+    by = staged(m.select("e_syn", each).groupBy("_x._at", "_x._block").agg(F.median("e_syn").alias("_v")))
+    middle = by.groupBy("_at").agg(F.median("_v").alias("_m"), F.avg("_v").alias("_a"), F.stddev_pop("_v").alias("_s"))
+    by = by.join(F.broadcast(middle), "_at")  # a row for each position
+    spread = by.groupBy("_at").agg(F.median(F.abs(F.col("_v") - F.col("_m"))).alias("_d"))
+    by = by.join(F.broadcast(spread), "_at")  # a row for each position
+    z = F.when(F.col("_d") > 1e-12, 0.6745 * (F.col("_v") - F.col("_m")) / F.col("_d")).otherwise((F.col("_v") - F.col("_a")) / (F.col("_s") + 1e-12))
+    scores = staged(by.select("_at", "_block", clip(z, -3.0, 3.0).alias("_z")))
     for b in blocks:
-        by = m.groupBy(b).agg(F.median("e_syn").alias("_v"))
-        middle = by.agg(F.median("_v").alias("_m"), F.avg("_v").alias("_a"), F.stddev_pop("_v").alias("_s"))
-        by = by.crossJoin(F.broadcast(middle))
-        spread = by.agg(F.median(F.abs(F.col("_v") - F.col("_m"))).alias("_d"))
-        by = by.crossJoin(F.broadcast(spread))
-        z = F.when(F.col("_d") > 1e-12, 0.6745 * (F.col("_v") - F.col("_m")) / F.col("_d")).otherwise((F.col("_v") - F.col("_a")) / (F.col("_s") + 1e-12))
-        m = m.join(by.select(b, clip(z, -3.0, 3.0).alias(f"_z_{b}")), b, "left")
-    z = stats.total([F.coalesce(f"_z_{b}", F.lit(0.0)) for b in blocks])
-    return m.withColumn("syn", z).drop(*[f"_z_{b}" for b in blocks])
+        m = m.join(scores.filter(F.col("_at") == b).select(F.col("_block").alias(b), F.col("_z").alias(f"_z_{b}")), b, "left")
+    total = stats.total([F.coalesce(f"_z_{b}", F.lit(0.0)) for b in blocks])
+    return m.withColumn("syn", total).drop(*[f"_z_{b}" for b in blocks])
 
 
 def hit_score(m: DataFrame, config: HitConfig, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
     """Adds rho, penalty, hit_score and hit_pct."""
+    m = staged(m)
     ends = m.agg(F.percentile("syn", F.lit(0.95)).alias("_hi"), F.percentile("syn", F.lit(0.05)).alias("_lo"))
     m = m.crossJoin(F.broadcast(ends))  # one row
     m = m.withColumn("rho", clip(0.2 / F.greatest(F.abs("_hi"), F.abs("_lo"), F.lit(1e-6)), 0.05, 0.35)).drop("_hi", "_lo")

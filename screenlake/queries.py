@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .functions import dna, ids, stats
 from .operators import blocks, compare, counts, decode, hits, similarity
 from .plans.config import preset
+from .plans.staging import staged
 from .plans.testbed import CUBE_SQL, MATRIX_SQL, R1, R2, SAMPLES, cube
 
 GROUPS = {"r1": R1, "r2": R2, "neg1": ["neg_r1"], "neg2": ["neg_r2"]}
@@ -176,7 +177,7 @@ def _base_frame(spark, sf_dir):
 
 
 def _glm_frame(spark, sf_dir):
-    return hits.glm(_base_frame(spark, sf_dir), GROUPS, fixed=FIXED)
+    return staged(hits.glm(_base_frame(spark, sf_dir), GROUPS, fixed=FIXED))
 
 
 def _scored(spark, sf_dir):
@@ -387,9 +388,9 @@ def revcomp(spark, sf_dir):
     return _sequences(spark, sf_dir).select("event_id", dna.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@_query(f"WITH {_DNA}, t AS (SELECT event_id, substr(seq, 1, 8) AS q FROM s WHERE event_id % 10 = 0), d AS (SELECT event_id, count(DISTINCT substr(q, 1, i - 1) || substr(q, i + 1)) AS deletions FROM t, generate_series(1, 8) g(i) GROUP BY 1), n AS (SELECT event_id, count(DISTINCT substr(q, 1, i) || b || substr(q, i + 1)) AS insertions FROM t, generate_series(1, 7) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE NOT (i = 1 AND b = substr(q, 1, 1)) AND NOT (i = 7 AND b = substr(q, 8, 1)) GROUP BY 1) SELECT t.event_id, 24 AS substitutions, deletions::INTEGER AS deletions, insertions::INTEGER AS insertions FROM t JOIN d USING (event_id) JOIN n USING (event_id)")
+@_query(f"WITH {_DNA}, t AS (SELECT event_id, substr(seq, 1, 8) AS q FROM s), d AS (SELECT event_id, count(DISTINCT substr(q, 1, i - 1) || substr(q, i + 1)) AS deletions FROM t, generate_series(1, 8) g(i) GROUP BY 1), n AS (SELECT event_id, count(DISTINCT substr(q, 1, i) || b || substr(q, i + 1)) AS insertions FROM t, generate_series(1, 7) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE NOT (i = 1 AND b = substr(q, 1, 1)) AND NOT (i = 7 AND b = substr(q, 8, 1)) GROUP BY 1) SELECT t.event_id, 24 AS substitutions, deletions::INTEGER AS deletions, insertions::INTEGER AS insertions FROM t JOIN d USING (event_id) JOIN n USING (event_id)")
 def one_bp_variants(spark, sf_dir):
-    s = _sequences(spark, sf_dir).filter("event_id % 10 = 0").withColumn("q", F.substring("seq", 1, 8))
+    s = _sequences(spark, sf_dir).withColumn("q", F.substring("seq", 1, 8))
     return s.select("event_id", F.size(dna.substitutions(F.col("q"))).alias("substitutions"), F.size(dna.deletions(F.col("q"))).alias("deletions"), F.size(dna.insertions(F.col("q"))).alias("insertions"))
 
 
@@ -586,7 +587,7 @@ def _prints(spark, sf_dir):
     return p.select(F.col("p_partkey").alias("key"), similarity.fingerprint(F.concat(smiles, tail)).alias("bits"))
 
 
-@_query("WITH s AS (SELECT p_partkey AS key, translate(substr(md5((p_partkey % 211)::VARCHAR), 1, 20), '0123456789abcdef', 'CCNOccn1(=)2SFPB') || ['', 'CO', 'N1', 'C=O'][(p_partkey % 4 + 1)::INT] AS t FROM part), f AS (SELECT key, list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM s), p AS (SELECT a.key AS i, b.key AS j, len(list_intersect(a.g, b.g))::DOUBLE AS n, len(a.g) + len(b.g) AS m FROM f a JOIN f b ON a.key < b.key WHERE a.key % 211 = b.key % 211) SELECT i, j, round(n / (m - n), 6) AS sim FROM p WHERE n / (m - n) >= 0.8")
+@_query("WITH s AS (SELECT p_partkey AS key, translate(substr(md5((p_partkey % 211)::VARCHAR), 1, 20), '0123456789abcdef', 'CCNOccn1(=)2SFPB') || ['', 'CO', 'N1', 'C=O'][(p_partkey % 4 + 1)::INT] AS t FROM part), f AS (SELECT key, list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM s), p AS (SELECT a.key AS i, b.key AS j, len(list_intersect(a.g, b.g))::DOUBLE AS n, len(a.g) + len(b.g) AS m FROM f a JOIN f b ON a.key < b.key) SELECT i, j, round(n / (m - n), 6) AS sim FROM p WHERE n / (m - n) >= 0.8")
 def tanimoto_pairs(spark, sf_dir):
     return rounded(similarity.pairs(_prints(spark, sf_dir), "key", 0.8), "sim")
 
