@@ -565,7 +565,7 @@ def bb_frequency_top(spark, sf_dir):
     return compare.block_frequency(t, ["bb1", "bb2", "bb3"], 5).drop("place")
 
 
-@_query(f"{_TO_HIT}, {_RS0}, {_CALL}, b AS (SELECT greatest(0, quantile_cont(neg_r1, 0.9)) AS b1, greatest(0, quantile_cont(neg_r2, 0.9)) AS b2 FROM m), f AS (SELECT hc.*, concat_ws(';', CASE WHEN del2 < 10 THEN 'LOW_DEL2' END, CASE WHEN neg_r1 >= b1 AND b1 > 0 THEN 'NEG_R1_HIGH' END, CASE WHEN neg_r2 >= b2 AND b2 > 0 THEN 'NEG_R2_HIGH' END, CASE WHEN lfc_r2 < lfc_r1 - 1 THEN 'R2_DROP' END, CASE WHEN neg_hard_fail THEN 'NEG_HARD_FAIL' END) AS fl FROM hc, b) SELECT lib_id, id, CASE WHEN fl = '' THEN 'OK' ELSE fl END AS flags, CASE WHEN glm_hit AND rs_fail = '' AND fl = '' THEN 'A' WHEN glm_hit OR rs_fail = '' THEN 'B' ELSE 'Other' END AS tier FROM f")
+@_query(f"{_TO_HIT}, {_RS0}, {_CALL}, qb AS (SELECT greatest(0, quantile_cont(neg_r1, 0.9)) AS b1, greatest(0, quantile_cont(neg_r2, 0.9)) AS b2 FROM m), f AS (SELECT hc.*, concat_ws(';', CASE WHEN del2 < 10 THEN 'LOW_DEL2' END, CASE WHEN neg_r1 >= b1 AND b1 > 0 THEN 'NEG_R1_HIGH' END, CASE WHEN neg_r2 >= b2 AND b2 > 0 THEN 'NEG_R2_HIGH' END, CASE WHEN lfc_r2 < lfc_r1 - 1 THEN 'R2_DROP' END, CASE WHEN neg_hard_fail THEN 'NEG_HARD_FAIL' END) AS fl FROM hc, qb) SELECT lib_id, id, CASE WHEN fl = '' THEN 'OK' ELSE fl END AS flags, CASE WHEN glm_hit AND rs_fail = '' AND fl = '' THEN 'A' WHEN glm_hit OR rs_fail = '' THEN 'B' ELSE 'Other' END AS tier FROM f")
 def qc_flags_tiers(spark, sf_dir):
     return compare.quality_tiers(compare.quality_flags(_called(spark, sf_dir), "del2", ["neg_r1", "neg_r2"])).select("lib_id", "id", "flags", "tier")
 
