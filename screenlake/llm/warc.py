@@ -109,7 +109,7 @@ class WarcReader(DataSourceReader):
 
         system, path = _files(self.path)
         if system.get_file_info(path).type == fs.FileType.NotFound:
-            return []
+            return [Files([])]  # Spark reads no partitions as one that is None
         found = sorted((i.path, i.size) for i in system.get_file_info(fs.FileSelector(path, recursive=True)) if i.path.endswith(".warc.gz") and "/_" not in i.path)
         out, size = [], TASK_BYTES
         for name, n in found:
@@ -118,7 +118,7 @@ class WarcReader(DataSourceReader):
                 size = 0
             out[-1].paths.append(name)
             size += n
-        return out
+        return out or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
         system, _ = _files(self.path)
