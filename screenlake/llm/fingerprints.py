@@ -139,7 +139,7 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     after = written(_next_blocks(rows.select("doc_id", "block")), "blocks")
     follow = after.select(F.col("block").alias("for_block"), F.col("next_id"))
     heads = (
-        rows.join(follow, rows["doc_id"] == follow["next_id"])
+        rows.join(follow, rows["doc_id"].eqNullSafe(follow["next_id"]))
         .groupBy("for_block", "doc_id")
         .agg(F.min("text").alias("text"))
         .select("doc_id", "text", F.col("for_block").alias("block"), F.lit(1).alias("copy"))
