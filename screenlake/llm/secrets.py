@@ -129,9 +129,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ra
                 spans = rule_spans(text)
                 found = [(text[s:e].split("=")[-1].strip(" \"'"), True) for s, e in spans["assign"]] + [(text[s:e], True) for k in ("access", "hex") for s, e in spans[k]]
                 found += [(text[s:e], False) for s, e in _free_runs(text, spans)]
-                found += [(w, False) for w in re.findall(r"[A-Za-z0-9_-]{6,}", text)[:200] if w.isalpha()]  # words: what identifiers are made of
+                found += [(w, False) for w in set(re.findall(r"[A-Za-z0-9_-]{6,}", text)) if w.isalpha()]  # words: what identifiers are made of
                 found = [x for x in found if x[0] and x[0].isascii()]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0][:200] for x in found], pa.string()), pa.array([x[1] for x in found], pa.bool_())], ["run", "secret"])
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.bool_())], ["run", "secret"])
 
     got = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "run string, secret boolean").distinct().toArrow()
     pairs = sorted(zip(got["run"].to_pylist(), got["secret"].to_pylist(), strict=True))
