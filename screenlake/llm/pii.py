@@ -1,11 +1,12 @@
 """Personal data by rules and a skip-chain conditional random field (operator 6).
 
 Rules find e-mail addresses, IP addresses, payment cards and phone numbers. The field then looks for what the rules miss:
-its nodes are a text's tokens with a digit or an at sign; neighbours in the text share transition potentials,
-and distant tokens that are equal or similar (the same last seven digits, the same mailbox) share a potential
-that favours equal labels. Loopy belief propagation carries the labels of what the rules found along these
-links; a token that ends up with a label at CERTAIN or more adds a span of that kind. A text without a link from a found
-token to another one can't gain a span, so the field isn't run there.
+its nodes are the rules' matches, each one whole, and what else of a text's tokens has a digit or an at sign; neighbours in the text share
+transition potentials, and all mentions that are equal or similar (the same last seven digits, the same mailbox) share a variable of their
+own, whose potential with each mention favours equal labels, so evidence reaches each mention of a text in two steps and the links are in
+proportion to the text. Groups of digits apart by blanks, which are a number that a rule found elsewhere, are one node too. Where a rule found a
+mention, the shared variable is held at the kind that it found. Loopy belief propagation runs until its messages stand still; a mention of
+something mentioned twice or more that ends up with a label at CERTAIN or more adds a span of that kind.
 
 The field's weights are trained from the rules' labels on a bounded sample of texts (SAMPLE_DOCS).
 
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 1500
 CERTAIN = 0.9
-ROUNDS = 12
+MOST_ROUNDS = 2000  # a bound for messages that never settle; those of ordinary texts do within some tens of rounds
+SETTLED = 1e-4
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -39,6 +42,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[^0-9]")
 _WORD = re.compile(r"\S+")
 _TELLING = re.compile("[0-9@]")
+_SPACED = re.compile(r"[0-9]+(?:[\x20().-]{1,2}[0-9]+)+")
+_GROUP = re.compile(r"[0-9]+")
 
 
 def luhn(digits: str) -> bool:
@@ -103,13 +108,13 @@ def line(spans: dict[str, list[tuple[int, int]]]) -> str:
 
 @dataclass
 class Graph:
-    """Tokens of one text with their links: places, features, keys, the rules' labels (0: none), neighbours and skip links."""
+    """Nodes of one text with their links: places, features, the rules' labels (0: none), neighbours, and pairs of a mention and the number of what it mentions."""
 
     places: list[tuple[int, int]]
     features: np.ndarray
     labels: np.ndarray
     near: np.ndarray
-    skips: np.ndarray
+    mentions: np.ndarray
 
 
 N_FEATURES = 14
@@ -132,64 +137,134 @@ def _key(token: str) -> str:
     return digits[-7:] if len(digits) >= 7 else ""
 
 
+def _outside(s: int, e: int, taken: list[tuple[int, int]], at: int) -> tuple[list[tuple[int, int]], int]:
+    """The parts of a span outside the taken ones, which are in order and apart, and the place of the first taken one that reaches beyond it."""
+    while at < len(taken) and taken[at][1] <= s:
+        at += 1
+    out, k = [], at
+    while k < len(taken) and taken[k][0] < e:
+        if taken[k][0] > s:
+            out.append((s, taken[k][0]))
+        s = max(s, taken[k][1])
+        k += 1
+    return out + [(s, e)] * (s < e), at
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _spaced(text: str, taken: list[tuple[int, int]], known: dict[str, str]) -> list[tuple[int, int]]:
+    """Runs of two and more groups of digits, outside the taken spans, whose digits are the last of a known number (leading zeros aside)."""
+    out, at = [], 0
+    for m in _SPACED.finditer(text) if known else ():
+        parts, at = _outside(*m.span(), taken, at)
+        for s, e in parts:
+            groups = [g.span() for g in _GROUP.finditer(text, s, e)]
+            free = 0
+            for k in range(1, len(groups)):
+                tail, i = "", k + 1
+                while i > free and len(tail) < 7:
+                    i -= 1
+                    tail = text[groups[i][0] : groups[i][1]] + tail
+                number = known.get(tail[-7:]) if len(tail) >= 7 else None
+                if number is None or not number.endswith(tail.lstrip("0")):
+                    continue
+                while i > free and number.endswith((longer := text[groups[i - 1][0] : groups[i - 1][1]] + tail).lstrip("0")):
+                    tail, i = longer, i - 1
+                if i < k:
+                    out.append((groups[i][0], groups[k][1]))
+                    free = k + 1
+    return out
+
+
 def graph(text: str, spans: dict[str, list[tuple[int, int]]]) -> Graph:
-    found = sorted((s, e, 1 + i) for i, k in enumerate(KINDS) for s, e in spans[k])
-    places, features, labels, near, skips = [], [], [], [], []
-    last: dict[str, int] = {}
-    at, before = 0, -10
-    for n, m in enumerate(m for m in _WORD.finditer(text) if _TELLING.search(m.group())):
-        s, e = m.span()
-        while at < len(found) and found[at][1] <= s:
-            at += 1
-        labels.append(found[at][2] if at < len(found) and found[at][0] < e else 0)
-        places.append((s, e))
-        features.append(_features(m.group()))
-        if s - before <= 12 and n:
-            near.append((n - 1, n))
-        before = e
-        if key := _key(m.group()):
-            if key in last:  # each occurrence is tied to the one before it, which keeps the links in proportion to the text
-                skips.append((last[key], n))
-            last[key] = n
+    nodes, known = [], {}
+    for s, e, label in sorted((s, e, 1 + i) for i, k in enumerate(KINDS) for s, e in spans[k]):
+        key = _key(text[s:e])
+        if nodes and s < nodes[-1][1] and key == nodes[-1][3]:
+            continue  # two rules found the same number
+        nodes.append((s, e, label, key))
+        if "@" not in key:
+            known[key] = max(known.get(key, ""), _DIGITS.sub("", text[s:e]), key=len)
+    known.pop("", None)
+    taken = _united([n[:2] for n in nodes])
+    apart = _spaced(text, taken, known)
+    nodes += [(s, e, 0, _key(text[s:e])) for s, e in apart]
+    taken, at = _united(taken + apart), 0
+    for m in _WORD.finditer(text):
+        if _TELLING.search(m.group()):
+            parts, at = _outside(*m.span(), taken, at)
+            nodes += [(s, e, 0, _key(text[s:e])) for s, e in parts if _TELLING.search(text, s, e)]
+    nodes.sort()
+    times = Counter(n[3] for n in nodes if n[3])
+    number = {key: i for i, key in enumerate(k for k, n in times.items() if n > 1)}
     as_pairs = lambda x: np.array(x, np.int64).reshape(-1, 2)
-    return Graph(places, np.array(features, float).reshape(-1, N_FEATURES), np.array(labels, np.int64), as_pairs(near), as_pairs(skips))
+    return Graph(
+        [n[:2] for n in nodes],
+        np.array([_features(text[n[0] : n[1]]) for n in nodes], float).reshape(-1, N_FEATURES),
+        np.array([n[2] for n in nodes], np.int64),
+        as_pairs([(i, i + 1) for i in range(len(nodes) - 1) if nodes[i + 1][0] - nodes[i][1] <= 12]),
+        as_pairs([(i, number[n[3]]) for i, n in enumerate(nodes) if n[3] in number]),
+    )
 
 
 @dataclass(frozen=True)
 class Field:
-    """Log potentials: of a token's label by its features, of neighbours' labels, and of equal labels across a skip link."""
+    """Log potentials: of a node's label by its features, of neighbours' labels, and of equal labels of two mentions."""
 
     unary: np.ndarray
     step: np.ndarray
     same: float
 
     def marginals(self, g: Graph) -> np.ndarray:
-        """Beliefs about every node by loopy sum-product, all messages at once, damped; labels that the rules gave are held."""
-        k = len(KINDS) + 1
+        """Beliefs about every node by loopy sum-product, all messages at once, damped; what the rules found is held."""
+        k, size = len(KINDS) + 1, len(g.labels)
         node = g.features @ self.unary
         held = g.labels > 0
         node[held] = -20.0
         node[held, g.labels[held]] = 0.0
-        agree = self.same * np.eye(k)
-        source = np.concatenate([g.near[:, 0], g.near[:, 1], g.skips[:, 0], g.skips[:, 1]])
-        target = np.concatenate([g.near[:, 1], g.near[:, 0], g.skips[:, 1], g.skips[:, 0]])
-        n, s = len(g.near), len(g.skips)
-        pair = np.concatenate([np.repeat(self.step[None], n, 0), np.repeat(self.step.T[None], n, 0), np.repeat(agree[None], 2 * s, 0)])
+        # Shared variables come after the nodes; one with a found mention is held at what its mentions were found to be.
+        shared = g.mentions[:, 1].max(initial=-1) + 1
+        seen = np.zeros((shared, k))
+        of = held[g.mentions[:, 0]]
+        np.add.at(seen, (g.mentions[of, 1], g.labels[g.mentions[of, 0]]), 1.0)
+        known = seen.sum(1) > 0
+        top = np.zeros((shared, k))
+        top[known] = np.where(seen[known] > 0, np.log(np.maximum(seen[known], 1.0)), -1e6)
+        node = np.concatenate([node, top])
+        # A mention bears on its shared variable so much that two mentions alone bear on one another as by the potential of equal labels.
+        x = np.exp(self.same)
+        link = np.log(x + np.sqrt(x * x + x * (k - 2) - (k - 1)))
+        n, s = len(g.near), len(g.mentions)
+        owner = size + g.mentions[:, 1]
+        source = np.concatenate([g.near[:, 0], g.near[:, 1], g.mentions[:, 0], owner])
+        target = np.concatenate([g.near[:, 1], g.near[:, 0], owner, g.mentions[:, 0]])
+        pair = np.concatenate([np.repeat(self.step[None], n, 0), np.repeat(self.step.T[None], n, 0), np.repeat((link * np.eye(k))[None], 2 * s, 0)])
         back = np.concatenate([np.arange(n, 2 * n), np.arange(n), 2 * n + np.arange(s, 2 * s), 2 * n + np.arange(s)])
         message = np.zeros((len(source), k))
-        for _ in range(ROUNDS):
+        share = 0.5
+        for t in range(MOST_ROUNDS if len(message) else 0):
             belief = node.copy()
             np.add.at(belief, target, message)
             out = (belief[source] - message[back])[:, :, None] + pair
-            top = out.max(1, keepdims=True)
-            new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
+            best = out.max(1, keepdims=True)
+            new = np.log(np.exp(out - best).sum(1)) + best[:, 0]
             new -= new.max(1, keepdims=True)
-            if len(message) and np.abs(new - message).max() < 1e-4:
+            if np.abs(new - message).max() < SETTLED:
                 break
-            message = 0.5 * message + 0.5 * new
+            if t % 200 == 199:  # messages that swing are damped more
+                share = max(0.05, share / 2)
+            message = (1 - share) * message + share * new
         belief = node.copy()
         np.add.at(belief, target, message)
-        belief = np.exp(belief - belief.max(1, keepdims=True))
+        belief = np.exp(belief[:size] - belief[:size].max(1, keepdims=True))
         return belief / belief.sum(1, keepdims=True)
 
 
@@ -207,8 +282,10 @@ def fit(graphs: list[Graph], steps: int = 300, rate: float = 0.5) -> Field:
         unary -= rate * (x.T @ p / len(x) + 1e-3 * unary)
     for g in graphs:
         np.add.at(pairs, (g.labels[g.near[:, 0]], g.labels[g.near[:, 1]]), 1)
-        equal = g.labels[g.skips[:, 0]] == g.labels[g.skips[:, 1]]
-        same += (equal.sum(), (~equal).sum())
+        m = g.mentions[np.argsort(g.mentions[:, 1], kind="stable")]
+        both = m[1:, 1] == m[:-1, 1]  # a mention and the one before it
+        equal = g.labels[m[1:, 0]] == g.labels[m[:-1, 0]]
+        same += ((both & equal).sum(), (both & ~equal).sum())
     free = pairs.sum(1, keepdims=True) * pairs.sum(0, keepdims=True) / pairs.sum()
     return Field(unary, 0.5 * np.log(pairs / free), float(np.clip(np.log(same[0] / same[1]) + 2.0, 2.0, 6.0)))
 
@@ -216,15 +293,14 @@ def fit(graphs: list[Graph], steps: int = 300, rate: float = 0.5) -> Field:
 def all_spans(text: str, field: Field) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
     """The rules' spans, and those together with the field's."""
     base = rule_spans(text)
-    if not any(base.values()):
+    if not _TELLING.search(text):
         return base, base
     g = graph(text, base)
-    ends = g.labels[g.skips] if len(g.skips) else np.zeros((0, 2), np.int64)
-    if not ((ends[:, 0] > 0) != (ends[:, 1] > 0)).any():
+    if not len(g.labels):
         return base, base
     beliefs = field.marginals(g)
     linked = np.zeros(len(g.labels), bool)
-    linked[g.skips.ravel()] = True
+    linked[g.mentions[:, 0]] = True
     every = {k: list(v) for k, v in base.items()}
     for i in np.flatnonzero(linked & (g.labels == 0) & (beliefs[:, 1:].max(1) >= CERTAIN)):
         s, e = g.places[i]
@@ -248,7 +324,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
             for text in batch.column(1).to_pylist():
                 g = graph(text or "", rule_spans(text or ""))
                 if len(g.labels):
-                    out.append(pickle.dumps((g.features, g.labels, g.near, g.skips)))
+                    out.append(pickle.dumps((g.features, g.labels, g.near, g.mentions)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["graph"])
 
     got = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "graph binary").toArrow()
