@@ -1,10 +1,11 @@
 """Secret scans by rules and by character Markov models (operator 9).
 
-Rules find assignments, access keys and long hexadecimal strings. Beyond them, a text's long runs of key characters are
-scored by the log-likelihood ratio of two second-order character models: one of random strings and one of ordinary
-identifiers. The models are trained from labelled samples: the rules' own finds and seeded random strings on one side, the
-remaining long runs of a bounded sample of texts (SAMPLE_DOCS) on the other. The threshold lies above
-every ordinary run of the part of the sample that training didn't see.
+Rules find assignments, access keys and long hexadecimal strings. Beyond them, a text's long runs of key characters, and the
+pieces of such runs that rule spans leave, of any length, are scored by the log-likelihood ratio of two second-order character models: one of
+random strings and one of ordinary identifiers. The models are trained from labelled samples: the rules' own finds and seeded random strings on
+one side, the words and remaining long runs of a bounded sample of texts (SAMPLE_DOCS) and runs joined from such words on the other; long runs that look
+random to a model without them are left out of the latter. A fifth of the words and runs is held out of training: the thresholds are such
+that FALSE_RATE of its runs of SHORTEST_RUN characters and more would count as random, and for a shorter piece, of parts of these runs of its length.
 
 Offsets are code points, ends exclusive; an assignment's span is the whole match. Nulls and empty texts have no spans. Texts of any length are
 read whole, in time linear in their length. Repeated rows and ids give a row each. An empty table gives an empty
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +28,9 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "random")
 SAMPLE_DOCS = 2000
-SHORTEST_RUN = 20  # characters of a run that the models judge
+SHORTEST_RUN = 20  # characters of a run that the models judge; shorter are only pieces of such runs
+FALSE_RATE = 0.001  # share of held-out ordinary runs above the threshold
+MOST_JOINED = 20000
 
 # Keywords in either case, letters of ASCII only: (?i) would also take a long s and a Kelvin sign.
 _EITHER = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
@@ -35,6 +39,7 @@ _ASSIGN = re.compile(rf"""(?:{_KEYWORD})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")  # a run's first AKIA gives its longest match, so a shorter one hides none
 _HEX = re.compile(r"[0-9a-f]{24,}")  # whole runs: a run that is too short holds no longer one
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_IDENTIFIER = re.compile(r"[A-Za-z0-9_-]{6,}")
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.full(128, len(ALPHABET), np.int64)
@@ -60,16 +65,20 @@ def line(spans: dict[str, list[tuple[int, int]]]) -> str:
 
 @dataclass(frozen=True)
 class Ratio:
-    """Log-likelihood ratios of characters after the two before them, and the mean from which on a run counts as random."""
+    """Log-likelihood ratios of characters after the two before them, and the means, by length, above which a run counts as random."""
 
     table: np.ndarray
-    threshold: float
+    thresholds: np.ndarray
 
     def score(self, run: str) -> float:
         """The run's mean log-likelihood ratio, random against ordinary."""
         a, b, c = _contexts(run)
         return float(self.table[a, b, c].mean())
 
+    def random(self, run: str) -> bool:
+        """Whether a run counts as a key; ruled lines and fillers, of one character, don't."""
+        return len(set(run)) > 1 and self.score(run) > self.thresholds[min(len(run), SHORTEST_RUN)]
+
 
 def _contexts(run: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.concatenate(([_N - 1, _N - 1], _CODE[np.frombuffer(run.encode("ascii"), np.uint8)]))
@@ -92,28 +101,68 @@ def _markov(runs: list[str]) -> np.ndarray:
 def random_strings(n: int, seed: int = 7) -> list[str]:
     """Seeded random strings over the alphabets that keys are written in."""
     rng = np.random.default_rng(seed)
-    sets = ("0123456789abcdef", ALPHABET[:62], ALPHABET[:64], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[26:62])
+    sets = ("0123456789abcdef", ALPHABET[:62], ALPHABET[:64], ALPHABET[:26] + ALPHABET[52:62], ALPHABET[26:62], ALPHABET[:52], ALPHABET[:26], ALPHABET[26:52], ALPHABET[52:62])
     return ["".join(rng.choice(list(sets[i % len(sets)]), rng.integers(20, 64))) for i in range(n)]
 
 
-def fit(secret: list[str], ordinary: list[str]) -> Ratio:
-    """Models of the samples; every fifth ordinary run only sets the threshold."""
-    kept = ordinary[::5]
-    table = _markov(secret + random_strings(2000)) - _markov([r for i, r in enumerate(ordinary) if i % 5])
-    ratio = Ratio(table, 0.0)
-    worst = max([ratio.score(r) for r in kept], default=0.0)
-    return Ratio(table, max(0.5, worst + 0.25))
+def joined(words: list[str], seed: int = 11) -> list[str]:
+    """Runs of SHORTEST_RUN characters and more, of words in the ways that identifiers and paths are made of them; each word is used once."""
+    rng = np.random.default_rng(seed)
+    out, parts = [], []
+    for i in rng.permutation(len(words)):
+        parts.append(words[i])
+        if sum(map(len, parts)) >= SHORTEST_RUN:
+            form, mark = rng.choice(4), str(rng.choice(["_", "-", "/", ""]))
+            run = mark.join(parts if form == 0 else [p.lower() for p in parts] if form == 1 else [p.upper() for p in parts] if form == 2 else [p.capitalize() for p in parts])
+            out.append(run)
+            parts = []
+            if len(out) == MOST_JOINED:
+                break
+    return out
+
+
+def fit(secret: list[str], words: list[str], runs: list[str]) -> Ratio:
+    """Models of the samples; a fifth of the words and of the other long runs, by a hash, only sets the thresholds."""
+    held = lambda x: zlib.crc32(x.encode()) % 5 == 0
+    keys = _markov(secret + random_strings(3600))
+    base = [w for w in words if not held(w)]
+    base += joined(base)
+    none = np.zeros(SHORTEST_RUN + 1)
+    ratio = Ratio(keys - _markov(base), none)
+    ordinary: list[str] = []
+    for _ in range(5):  # some of the runs are keys that no rule finds: those that look random don't teach what is ordinary
+        before, ordinary = ordinary, [r for r in runs if ratio.score(r) <= 0]
+        if ordinary == before:
+            break
+        ratio = Ratio(keys - _markov(base + [r for r in ordinary if not held(r)]), none)
+    kept = joined([w for w in words if held(w)], 13) + [r for r in ordinary if held(r)]
+    thresholds = none + 0.5
+    if kept:
+        limit = lambda x: float(np.quantile(x, 1 - FALSE_RATE, method="higher"))
+        thresholds[SHORTEST_RUN] = max(0.0, limit([ratio.score(r) for r in kept]))
+        # Parts begin at any character of a run.
+        sums = []
+        for r in kept:
+            r = r[zlib.crc32(r.encode()) % (len(r) - SHORTEST_RUN + 1) :]
+            sums.append(np.cumsum(ratio.table[_contexts(r)][: SHORTEST_RUN - 1]))
+        for n in range(1, SHORTEST_RUN):
+            thresholds[n] = max(thresholds[SHORTEST_RUN], limit([x[n - 1] / n for x in sums]))
+    return Ratio(ratio.table, thresholds)
 
 
 def _free_runs(text: str, spans: dict[str, list[tuple[int, int]]]) -> list[tuple[int, int]]:
-    """Long runs of key characters outside the rules' spans."""
+    """Long runs of key characters, and the pieces of them that the rules' spans leave."""
     taken = sorted(x for found in spans.values() for x in found)
-    out, at = [], 0
+    out, at, end = [], 0, 0
     for m in _RUN.finditer(text):
-        while at < len(taken) and taken[at][1] <= m.start():
+        s, e = m.span()
+        while at < len(taken) and taken[at][0] < e:
+            if taken[at][0] > max(s, end):
+                out.append((max(s, end), taken[at][0]))
+            end = max(end, taken[at][1])
             at += 1
-        if at == len(taken) or taken[at][0] >= m.end():
-            out.append(m.span())
+        if max(s, end) < e:
+            out.append((max(s, end), e))
     return out
 
 
@@ -127,26 +176,25 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ra
             for text in batch.column(1).to_pylist():
                 text = text or ""
                 spans = rule_spans(text)
-                found = [(text[s:e].split("=")[-1].strip(" \"'"), True) for s, e in spans["assign"]] + [(text[s:e], True) for k in ("access", "hex") for s, e in spans[k]]
-                found += [(text[s:e], False) for s, e in _free_runs(text, spans)]
-                found += [(w, False) for w in set(re.findall(r"[A-Za-z0-9_-]{6,}", text)) if w.isalpha()]  # words: what identifiers are made of
+                found = [(text[s:e].split("=")[-1].strip(" \"'"), "secret") for s, e in spans["assign"]] + [(text[s:e], "secret") for k in ("access", "hex") for s, e in spans[k]]
+                found += [(text[s:e], "run") for s, e in _free_runs(text, spans) if e - s >= SHORTEST_RUN]
+                free, at = [], 0
+                for s, e in sorted(x for k in spans for x in spans[k]):
+                    free.append(text[at:s])
+                    at = max(at, e)
+                found += [(w, "word") for part in (*free, text[at:]) for w in set(_IDENTIFIER.findall(part)) if len(w) < SHORTEST_RUN]  # what identifiers are made of
                 found = [x for x in found if x[0] and x[0].isascii()]
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.bool_())], ["run", "secret"])
-
-    got = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "run string, secret boolean").distinct().toArrow()
-    pairs = sorted(zip(got["run"].to_pylist(), got["secret"].to_pylist(), strict=True))
-    return fit([r for r, s in pairs if s], [r for r, s in pairs if not s and not _mixed(r)] + [r for r, s in pairs if not s and _mixed(r) and len(r) < SHORTEST_RUN])
-
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string())], ["run", "kind"])
 
-def _mixed(run: str) -> bool:
-    """Letters and digits, as random keys have both."""
-    return any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
+    got = rows.join(F.broadcast(ids), "doc_id", "left_semi").mapInArrow(run, "run string, kind string").distinct().toArrow()
+    pairs = sorted(zip(got["run"].to_pylist(), got["kind"].to_pylist(), strict=True))
+    return fit(*[[r for r, k in pairs if k == kind] for kind in ("secret", "word", "run")])
 
 
 def all_spans(text: str, ratio: Ratio) -> tuple[dict[str, list[tuple[int, int]]], dict[str, list[tuple[int, int]]]]:
     """The rules' spans, and those together with the random runs."""
     base = rule_spans(text)
-    more = [(s, e) for s, e in _free_runs(text, base) if _mixed(text[s:e]) and ratio.score(text[s:e]) > ratio.threshold]
+    more = [(s, e) for s, e in _free_runs(text, base) if ratio.random(text[s:e])]
     return base, {**base, "random": more} if more else base
 
 
