@@ -4,7 +4,8 @@ The classifier sees confirmed toxic texts and texts whose labels it doesn't look
   prior * risk of positives as positive + max(0, risk of unlabelled as negative - prior * risk of positives as negative),
 and where the bracket turns negative a step goes the other way, so that the unlabelled part isn't fitted below what it
 can be. The class prior is the share of toxic rows among the labelled rows that training may see. Features are a text's distinct
-words that stand out among the toxic texts of the sample; the model is a linear one, trained by numpy.
+words that two toxic texts of the sample or more hold and that are commoner there than in the rest of it, each one as large as the logarithm of
+how much commoner, so that a penalty on the weights, the weaker the more toxic texts there are, decides between them; the model is a linear one, trained by numpy.
 
 Training uses bounded samples (MOST_POSITIVE, MOST_UNLABELLED rows by a hash of their id); scoring reads every text, whole.
 Nulls and empty texts have no words and get the model's score of nothing. Repeated rows and ids give a row each. Without labelled toxic rows
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 MOST_POSITIVE = 3000
 MOST_UNLABELLED = 9000
-MOST_WORDS = 2000
+MOST_WORDS = 20000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -49,7 +50,7 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, steps: int = 600, rate: float = 0.05, decay: float = 1e-4) -> Model:
+def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, steps: int = 600, rate: float = 0.05, penalty: float = 0.05) -> Model:
     """Trains by Adam over the whole sample; prior is the share of positives among the unlabelled."""
     if not positive or not unlabelled:
         return Model({}, -30.0)
@@ -62,20 +63,25 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, step
         m = (in_pos[w] + in_all[w]) / (p + u)
         return (a - b) / np.sqrt(m * (1 - m) * (1 / p + 1 / u) + 1e-12)
 
-    chosen = sorted((w for w, n in in_pos.items() if n >= max(2, p // 500)), key=lambda w: (-gain(w), w))[:MOST_WORDS]
-    chosen = [w for w in chosen if gain(w) > 4.0] or chosen[:20]
+    def size(w: str) -> float:
+        """The logarithm of the word's smoothed share among positives over that among the unlabelled."""
+        return math.log((in_pos[w] + 0.5) / (p + 1) * (u + 1) / (in_all[w] + 0.5))
+
+    gains = {w: gain(w) for w, n in in_pos.items() if n >= 2 and size(w) > 0}
+    chosen = sorted(gains, key=lambda w: (-gains[w], w))[:MOST_WORDS]
     at = {w: i for i, w in enumerate(chosen)}
+    sizes, decay = np.array([size(w) for w in chosen], float), penalty / p
 
     def held(docs: list[set[str]]) -> tuple[np.ndarray, np.ndarray]:
         """The chosen words that texts hold, as pairs of a text's number and a word's."""
-        pairs = [(i, at[w]) for i, d in enumerate(docs) for w in at.keys() & d]
-        return tuple(np.array(pairs, np.int64).reshape(-1, 2).T)
+        numbers = [np.fromiter((at[w] for w in at.keys() & d), np.int32) for d in docs]
+        return np.repeat(np.arange(len(docs), dtype=np.int32), [len(x) for x in numbers]), np.concatenate(numbers)
 
     def sums(x: tuple[np.ndarray, np.ndarray], n: int) -> np.ndarray:
-        return w[-1] + np.bincount(x[0], w[x[1]], n)
+        return w[-1] + np.bincount(x[0], (w[:-1] * sizes)[x[1]], n)
 
     def gradient(x: tuple[np.ndarray, np.ndarray], errors: np.ndarray) -> np.ndarray:
-        return np.append(np.bincount(x[1], errors[x[0]], len(at)), errors.sum()) / len(errors)
+        return np.append(np.bincount(x[1], errors[x[0]], len(at)) * sizes, errors.sum()) / len(errors)
 
     xp, xu = held(positive), held(unlabelled)
     w = np.zeros(len(at) + 1)
@@ -90,7 +96,7 @@ def fit(positive: list[set[str]], unlabelled: list[set[str]], prior: float, step
         g[:-1] += decay * w[:-1]
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         w -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    return Model(dict(zip(chosen, map(float, w[:-1]), strict=True)), float(w[-1]))
+    return Model(dict(zip(chosen, map(float, w[:-1] * sizes), strict=True)), float(w[-1]))
 
 
 def held_out(id_col: str = "doc_id"):
