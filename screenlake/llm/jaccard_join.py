@@ -5,16 +5,16 @@ fewer words has the one shingle of all of them; without words the set is empty a
 100 * intersection >= percent * union.
 
 1. Texts with equal sets form a class with one representative.
-2. A representative's prefix, its rarest n - ceil(percent/100 * n) + 1 shingles, shares a shingle with the prefix of everything it links
-   with. Any order of shingles that is the same for all texts is right; ours puts shingles that are frequent
-   anywhere in the corpus last, so the prefixes hardly meet on common passages. Linked sets differ in size by a factor of 100 / percent
-   at most, so sizes are cut into ranges of that width and a prefix shingle is keyed with its set's range and the next one: linked sets
-   share a key, while sets of quite different sizes don't meet.
-3. Representatives whose prefixes meet are put into groups of about GROUP_ROWS, each led by the smallest id among those that it met, so
-   that a group's members are alike. A group is a column of the token-group matrix: its token union, and who holds each token.
-4. A query is opened against a group only if the union holds percent of the query's own tokens. First each group is searched by its own
-   members and its leader; what has linked is one component. Then a query goes to other groups that share a prefix shingle
-   only where its component differs from theirs, as links inside a component change nothing.
+2. Linked sets differ in few shingles, d at most (`most_different`). A set's shingles are dealt by hash to more than d buckets, so linked sets have
+   buckets with just the same content. A set keeps d + 1 of its buckets, the fullest first, as keys: that order is the same for all sets,
+   so linked sets share a key (prefixes of sets of buckets). A key stands for several shingles at once, those of a common passage mixed with the
+   text's own, so texts that merely share passages don't meet. The number of buckets follows the size: sizes are cut into ranges, and
+   a set that may link with one of the next range has keys for that range as well.
+3. Representatives that share keys are put into groups of about GROUP_ROWS, each led by the smallest id among those that it met, so that a group's members
+   are alike. A group is a column of the token-group matrix: its token union, with the members that hold each token. It is built in one task,
+   which links the group's own members, and is stored.
+4. What has linked so far is one component. A query goes to other groups only where one of its keys meets a larger component than its own, as
+   links inside a component change nothing. A stored group is opened for a query only if its union holds percent of the query's tokens.
 
 Every link between different components is found, so components are exact (up to equal 64-bit hashes of different
 shingles). No step brings a group of unbounded size into one task, and nothing that grows with the corpus goes to the driver.
@@ -33,18 +33,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-GROUP_ROWS = 64
+GROUP_ROWS = 48
+GROUP_TOKENS = 1 << 20  # tokens of all members of a group, about
 QUERY_ROWS = 256
-FREQUENT_KEPT = 500_000  # frequent shingles that the order knows of; more of them make it no more right, only faster
-FREQUENT_HERE = 2  # rows of one batch that hold a shingle, for it to be counted
-FREQUENT_FROM = 2
-HOT_ROWS = 5000  # rows from which on a shingle's rows are dealt to SALTS tasks
-SALTS = 16
+RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
+SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
+SLICE_TOKENS = 1 << 15
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,6 +60,12 @@ class _Hashes(dict):
         return h
 
 
+@functools.cache
+def _word_hashes() -> _Hashes:
+    """One for each Python worker."""
+    return _Hashes()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads 64-bit numbers."""
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
@@ -81,17 +86,9 @@ def shingles(text: str | None, n: int, known: dict) -> np.ndarray:
     return np.unique(out)
 
 
-def needed(n, percent: int):
-    """The least overlap that a set of n can link with: ceil(percent * n / 100)."""
-    return (percent * n + 99) // 100
-
-
-def size_range(n: int, percent: int) -> int:
-    """Number of the range of sizes that n >= 1 lies in; sizes that can link lie in the same range or in neighbouring ones."""
-    bounds = _range_starts(percent)
-    while bounds[-1] <= n:
-        bounds.append(100 * bounds[-1] // percent + 1)  # the least size that the range's first one can't link with
-    return bisect_right(bounds, n)
+def most_different(a: int, b: int, percent: int) -> int:
+    """The most shingles that one of two linked sets of these sizes has and the other hasn't."""
+    return (a + b) * (100 - percent) // (100 + percent)
 
 
 @functools.cache
@@ -99,80 +96,90 @@ def _range_starts(percent: int) -> list[int]:
     return [1]
 
 
-class Group:
-    """A column of the token-group matrix: the union of its members' tokens and the members that hold each."""
+def size_ranges(n: int, percent: int) -> list[tuple[int, int]]:
+    """Number and greatest size of the ranges that a set of n >= 1 has keys for: its own, and the next one if a set there can link with it."""
+    starts, largest = _range_starts(percent), 100 * n // percent
+    while starts[-1] <= largest:
+        starts.append(max(starts[-1] + 1, -(-starts[-1] * 100**RANGE_WIDTH // percent**RANGE_WIDTH)))
+    return [(k, starts[k] - 1) for k in range(bisect_right(starts, n), bisect_right(starts, largest) + 1)]
+
+
+def keys(s: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set (sorted or not, without repeats): linked sets that aren't equal share one."""
+    n = len(s)
+    different = most_different(n, 100 * n // percent, percent) if n else 0
+    if not different:
+        return np.zeros(0, np.int64)
+    out = []
+    for number, largest in size_ranges(n, percent):
+        buckets = int(SPARE_BUCKETS * (most_different(largest, largest, percent) + 1))
+        of = (s % np.uint64(buckets)).astype(np.int64)
+        load = np.bincount(of, minlength=buckets)
+        begin = np.cumsum(load) - load
+        sums = np.zeros(buckets, np.uint64)
+        filled = np.flatnonzero(load)
+        sums[filled] = np.add.reduceat(_mixed(s ^ _ODD)[np.argsort(of, kind="stable")], begin[filled])
+        names = _mixed(sums + _mixed(np.arange(buckets, dtype=np.uint64) * _ODD + np.uint64(number)))
+        # With too many empty buckets, equal ones may all be empty: then every bucket is a key.
+        chosen = np.lexsort((names, -load))[: different + 1] if len(filled) > different else slice(None)
+        out.append(names[chosen])
+    return np.concatenate(out).view(np.int64)
+
 
-    def __init__(self, sets: list[np.ndarray]):
-        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        tokens = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-        order = np.argsort(tokens, kind="stable")
-        self.tokens, self.owner = tokens[order], owner[order]
-        self.sizes = np.array([len(s) for s in sets])
+class Group:
+    """A column of the token-group matrix: the union of its members' tokens and, bit by bit, the members that hold each."""
+
+    def __init__(self, tokens: np.ndarray, bits: np.ndarray, sizes: np.ndarray):
+        self.tokens, self.bits, self.sizes = tokens, bits, sizes
+
+    @classmethod
+    def of(cls, sets: list[np.ndarray]) -> Group:
+        tokens = np.unique(np.concatenate(sets))
+        bits = np.zeros((len(tokens), -(-len(sets) // 8)), np.uint8)
+        for i, s in enumerate(sets):
+            bits[np.searchsorted(tokens, s), i // 8] |= np.uint8(1 << i % 8)
+        return cls(tokens, bits, np.array([len(s) for s in sets], np.int64))
+
+    def _both(self, rows: np.ndarray) -> np.ndarray:
+        return np.unpackbits(rows, axis=1, count=len(self.sizes), bitorder="little")
+
+    def links(self, percent: int) -> np.ndarray:
+        """Which members link with which."""
+        both = np.zeros((len(self.sizes), len(self.sizes)), np.int64)
+        for k in range(0, len(self.tokens), SLICE_TOKENS):
+            held = self._both(self.bits[k : k + SLICE_TOKENS]).astype(np.float32)
+            both += (held.T @ held).astype(np.int64)  # whole numbers below 2**24
+        return (100 * both >= percent * (self.sizes[:, None] + self.sizes - both)) & (both > 0)
 
     def linked(self, query: np.ndarray, percent: int) -> np.ndarray:
         """Members that link with the query. The members are opened only if the union holds enough of the query."""
-        low, high = np.searchsorted(self.tokens, query, "left"), np.searchsorted(self.tokens, query, "right")
-        held = high - low
-        if 100 * np.count_nonzero(held) < percent * len(query) or not len(query):
+        at = np.minimum(np.searchsorted(self.tokens, query), len(self.tokens) - 1)
+        at = at[self.tokens[at] == query]
+        if not len(at) or 100 * len(at) < percent * len(query):
             return np.zeros(0, np.int64)
-        at = np.repeat(low - np.concatenate(([0], np.cumsum(held)[:-1])), held) + np.arange(held.sum())
-        both = np.bincount(self.owner[at], minlength=len(self.sizes))
-        return np.flatnonzero((100 * both >= percent * (len(query) + self.sizes - both)) & (self.sizes > 0))
-
-
-def _frequent(docs: DataFrame, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, sorted, and how many rows hold each, as far as counts within batches tell."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
-        for batch in batches:
-            for k in range(0, len(batch), 2500):
-                sets = [shingles(t, n, known) for t in batch.column(1).slice(k, 2500).to_pylist()]
-                token, rows = np.unique(np.concatenate(sets), return_counts=True)
-                some = rows >= FREQUENT_HERE
-                yield pa.RecordBatch.from_arrays([pa.array(token[some].view(np.int64)), pa.array(rows[some].astype(np.int64))], ["token", "rows"])
-
-    got = (
-        docs.mapInArrow(count, "token long, rows long")
-        .groupBy("token")
-        .agg(F.sum("rows").alias("rows"))
-        .filter(F.col("rows") >= FREQUENT_FROM)
-        .orderBy(F.desc("rows"), "token")
-        .limit(FREQUENT_KEPT)
-        .toArrow()
-    )
-    token = got["token"].to_numpy().view(np.uint64)
-    order = np.argsort(token)
-    return token[order], got["rows"].to_numpy()[order]
+        both = self._both(self.bits[at]).sum(0, dtype=np.int64)
+        return np.flatnonzero((100 * both >= percent * (len(query) + self.sizes - both)) & (both > 0))
 
 
 def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """For each row: doc_id, size of its set, two hashes of the whole set, its prefix, how many at the end of that are hot, and its range of sizes."""
-    frequent, rows = _frequent(docs, n)
+    """For each row: doc_id, size of its set, two hashes of the whole set, its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+        known = _word_hashes()
         for batch in batches:
-            size, one, two, prefix, hot, ranges = [], [], [], [], [], []
+            size, one, two, held = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingles(text, n, known)
                 size.append(len(s))
                 one.append(int(np.add.reduce(_mixed(s)).astype(np.uint64).view(np.int64)) if len(s) else 0)
                 two.append(int(np.bitwise_xor.reduce(_mixed(s ^ _ODD)).astype(np.uint64).view(np.int64)) if len(s) else 0)
-                held = np.zeros(len(s), np.int64)
-                if len(frequent) and len(s):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    held = np.where(frequent[at] == s, rows[at], 0)
-                order = np.argsort(held, kind="stable")[: len(s) - needed(len(s), percent) + 1]
-                prefix.append(s[order].view(np.int64))
-                hot.append(int((held[order] >= HOT_ROWS).sum()))
-                ranges.append(size_range(len(s), percent) if len(s) else 0)
+                held.append(keys(s, percent))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(hot, pa.int64()), pa.array(ranges, pa.int32())],
-                ["doc_id", "n_shingles", "one", "two", "prefix", "hot", "range"],
+                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "one", "two", "keys"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long, prefix array<long>, hot long, range int")
+    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long, keys array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -198,34 +205,42 @@ def components(links: DataFrame) -> DataFrame:
     return root.select(F.col("u").alias("node"), "component").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _search(rows: DataFrame, keys: list[str], n: int, percent: int) -> DataFrame:
-    """Links (u, v) of queries with members of the same key; a forest of them, for the members that aren't tied yet.
-
-    rows: keys, member and query booleans, doc_id, text. A key has few members and queries. Texts travel, as they pack better than their sets.
-    """
+def _built(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """The matrix: for each leader and part, the group's column, its members, and a forest of the links among them. rows: leader, part, doc_id, text."""
 
-    def run(_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        known = _Hashes()
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("doc_id", kind="stable")
-        group["tokens"] = [shingles(t, n, known) for t in group.pop("text")]
-        members, queries = group[group["member"]], group[group["query"]]
-        column = Group(list(members["tokens"]))
-        ids, up, out = members["doc_id"].to_numpy(), {}, []
-
-        def top(x: int) -> int:
-            while up.get(x, x) != x:
-                x = up[x]
-            return x
-
-        for doc_id, tokens in zip(queries["doc_id"], queries["tokens"], strict=True):
-            for other in ids[column.linked(tokens, percent)]:
-                a, b = top(int(doc_id)), top(int(other))
-                if a != b:
-                    up[max(a, b)] = min(a, b)
-                    out.append((int(doc_id), int(other)))
+        known = _word_hashes()
+        sets = [shingles(t, n, known) for t in group["text"]]
+        column, ids = Group.of(sets), group["doc_id"].to_numpy()
+        links = column.links(percent)
+        top = np.arange(len(ids))
+        while True:  # the smallest member that links lead to
+            low = np.where(links, top, len(ids)).min(1)
+            if (low >= top).all():
+                break
+            top = np.minimum(top, low)
+        tied = np.flatnonzero(top < np.arange(len(ids)))
+        return pd.DataFrame([(*key, column.tokens.tobytes(), column.bits.tobytes(), column.sizes, ids, ids[tied], ids[top[tied]])], columns=["leader", "part", "tokens", "bits", "sizes", "ids", "u", "v"])
+
+    return rows.groupBy("leader", "part").applyInPandas(run, "leader long, part long, tokens binary, bits binary, sizes array<long>, ids array<long>, u array<long>, v array<long>")
+
+
+def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent: int) -> DataFrame:
+    """Links (u, v) of queries (doc_id, text) with members of the stored groups that they are sent to."""
+
+    def run(asking: pd.DataFrame, column: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        known = _word_hashes()
+        for c in column.itertuples():
+            sizes, tokens = np.asarray(c.sizes, np.int64), np.frombuffer(c.tokens, np.uint64)
+            group = Group(tokens, np.frombuffer(c.bits, np.uint8).reshape(len(tokens), -1), sizes)
+            ids = np.asarray(c.ids, np.int64)
+            for doc_id, text in zip(asking["doc_id"], asking["text"], strict=True):
+                out += [(int(doc_id), int(i)) for i in ids[group.linked(shingles(text, n, known), percent)]]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return rows.select(*keys, "member", "query", "doc_id", "text").groupBy(*keys).applyInPandas(run, "u long, v long")
+    return queries.groupBy(*by).cogroup(matrix.groupBy(*by)).applyInPandas(run, "u long, v long")
 
 
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,69 +249,59 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     known = written(features(docs, n, percent), "features")
     some = known.filter("doc_id is not null and n_shingles > 0")
     kinds = ["n_shingles", "one", "two"]
-    classes = some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"), F.first("hot").alias("hot"), F.first("range").alias("range"))
-
-    # Prefix shingles that several representatives have. A frequent one is dealt to SALTS tasks: its rows are few enough there.
-    postings = classes.select("rep", "n_shingles", F.size("prefix").alias("size"), "hot", "range", F.posexplode("prefix").alias("at", "token"))
-    salt = F.when(F.col("at") >= F.col("size") - F.col("hot"), F.pmod(F.xxhash64("rep"), F.lit(SALTS))).otherwise(F.lit(-1))
-    postings = postings.select("rep", "n_shingles", "token", salt.alias("salt"), F.explode(F.array("range", F.col("range") + 1)).alias("range"))
-    postings = postings.select("rep", "n_shingles", F.xxhash64("token", "range").alias("token"), "salt")
-    by_token = Window.partitionBy("token", "salt")
-    shared = written(
-        postings.select("token", "salt", "rep", "n_shingles", F.min("rep").over(by_token).alias("low"), F.max("rep").over(by_token).alias("high"))
-        .filter("low < high or salt >= 0")
-        .select("token", "salt", "rep", "n_shingles", "low"),
-        "shared",
-    )
-    lows = shared.filter("salt >= 0").groupBy("token").agg(F.min("low").alias("low_of_all"))
-    met = shared.join(lows, "token", "left").select("rep", "n_shingles", F.coalesce("low_of_all", "low").alias("low"))
+    # Both sides of the joins below are tables or plain scans, so a hot class or key is split by Spark's skew handling.
+    copies = written(some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows"), "copies")
+    leads = some.join(copies, kinds, "left").filter("rep is null or rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("keys").alias("key"))
+
+    # Keys that several representatives have, with the smallest of these.
+    common = leads.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("key", "low")
+    shared = written(leads.join(written(common, "keys"), "key"), "shared")
 
     # Groups: each representative goes to the smallest one that it met; large groups are split, and each part gets the leader.
-    lead = met.groupBy("rep").agg(F.min("low").alias("leader"), F.max("n_shingles").alias("n_shingles"))
-    counts = lead.groupBy("leader").agg(F.count(F.lit(1)).alias("rows"))
-    parts = F.ceil(F.col("rows") / GROUP_ROWS)
-    nodes = written(lead.join(counts, "leader").select("rep", "n_shingles", "leader", F.pmod(F.xxhash64("rep"), parts).alias("part"), parts.alias("parts")), "nodes")
-    texts = written(docs.join(nodes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "texts")
-    member = F.lit(True)
+    lead = written(shared.groupBy("rep").agg(F.min("low").alias("leader"), F.max("n_shingles").alias("n_shingles")), "lead")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("n_shingles") / GROUP_TOKENS))
+    counts = written(lead.groupBy("leader").agg(parts.alias("parts")), "parts")
+    nodes = written(lead.join(counts, "leader").select("rep", "n_shingles", "leader", F.pmod(F.xxhash64("rep"), "parts").alias("part"), "parts"), "nodes")
+    texts = written(docs.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "texts")
     own = nodes.select("leader", "part", F.col("rep").alias("doc_id"))
     leaders = nodes.filter("rep = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("rep").alias("doc_id"))
-    rows = own.unionByName(leaders).distinct().join(texts, "doc_id").withColumn("member", member).withColumn("query", member)
-    first = written(_search(rows, ["leader", "part"], n, percent), "links")
-    tied = written(components(first), "components")
+    matrix = written(_built(own.unionByName(leaders).distinct().join(texts, "doc_id"), n, percent), "matrix")
+    first = matrix.select(F.explode(F.arrays_zip("u", "v")).alias("x")).select("x.u", "x.v")
+    tied = components(first)
 
-    # Other groups: a query goes where a prefix shingle of its own meets a smaller component, with sizes that can link.
+    # Other groups: a query goes where one of its keys meets a larger component (of equal ones: that of the smaller id), with sizes that can link.
     placed = nodes.join(tied, nodes["rep"] == tied["node"], "left").select("rep", "n_shingles", "leader", "part", F.coalesce("component", "rep").alias("component"))
-    at = shared.select("token", "rep").join(placed, "rep")
-    mixed = at.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a < b").select("token")
-    at = at.join(mixed, "token")
-    targets = at.groupBy("token", "leader", "part").agg(F.min("component").alias("least"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"))
+    weight = written(placed.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "weights")
+    placed = written(placed.join(weight, "component").select("rep", "n_shingles", "leader", "part", F.struct("members", (-F.col("component")).alias("first")).alias("size")), "placed")
+    tops = shared.select("key", "rep").join(placed, "rep")
+    mixed = written(tops.groupBy("key").agg(F.min("size").alias("least"), F.max("size").alias("most")).filter("least < most").select("key", "most"), "mixed")
+    at = written(tops.join(mixed, "key"), "at")
+    targets = at.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"))
     asked = (
-        at.select("token", F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "component", F.struct("leader", "part").alias("home"))
-        .join(targets, "token")
-        .filter((F.col("least") < F.col("component")) & (F.col("home") != F.struct("leader", "part")))
+        at.filter("size < most")
+        .select("key", F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "size", F.struct("leader", "part").alias("home"))
+        .join(written(targets, "targets"), "key")
+        .filter((F.col("greatest") > F.col("size")) & (F.col("home") != F.struct("leader", "part")))
         .filter((100 * F.col("large") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("small")))
         .select("leader", "part", "doc_id")
         .distinct()
     )
     asked = written(asked, "asked")
-    pages = asked.groupBy("leader", "part").agg(F.count(F.lit(1)).alias("queries")).withColumn("pages", F.ceil(F.col("queries") / QUERY_ROWS))
-    queries = asked.join(pages, ["leader", "part"]).withColumn("page", F.pmod(F.xxhash64("doc_id"), "pages")).select("leader", "part", "page", "doc_id")
-    opened = own.join(pages, ["leader", "part"]).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1))).select("leader", "part", "page", "doc_id")
-    rows = (
-        queries.withColumn("member", F.lit(False))
-        .withColumn("query", F.lit(True))
-        .unionByName(opened.withColumn("member", F.lit(True)).withColumn("query", F.lit(False)))
-        .join(texts, "doc_id")
-    )
-    more = _search(rows, ["leader", "part", "page"], n, percent)
-    final = components(first.unionByName(more))
-
-    copies = some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    by = ["leader", "part"]
+    pages = written(asked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("pages")), "pages")
+    queries = asked.join(pages, by).select(*by, F.pmod(F.xxhash64("doc_id"), "pages").alias("page"), "doc_id").join(texts, "doc_id")
+    opened = matrix.join(pages, by).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
+    more = _asked(queries, opened.select(*by, "page", "tokens", "bits", "sizes", "ids"), [*by, "page"], n, percent)
+
+    # Ids of rows with different sets tie these rows' classes.
+    kin = some.join(copies, kinds, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
+    repeated = written(some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id"), "repeated")
+    final = components(first.unionByName(more).unionByName(kin.join(repeated, "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))))
+    final = written(final, "components")
     return (
-        known.drop("prefix", "hot", "range")
+        known.drop("keys")
         .join(copies, kinds, "left")
         .withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
         .join(final, F.col("rep") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
     )
-

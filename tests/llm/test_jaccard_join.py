@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,7 +58,6 @@ def corpus(seed, n):
 def test_components_equal_brute_force(spark, monkeypatch, n, percent, seed):
     monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 4)
     monkeypatch.setattr(jaccard_join, "QUERY_ROWS", 3)
-    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 12)
     rows = corpus(seed, 400)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, n, percent).collect()}
@@ -72,3 +72,30 @@ def test_odd_rows(spark):
     assert got[0] == (0, 1, None)
     assert [g for g in got if g[0]] == [(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (5, 1, 4), (6, 1, 6), (8, 7, 8), (8, 7, 8), (9, 7, 8)]
     assert jaccard_join.linked_components(docs.filter(F.lit(False)), 3, 90).collect() == []
+
+
+def test_rows_of_one_id_share_their_links(spark):
+    a, b = "one two three four five", "six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (8, "")], "doc_id long, text string")
+    got = sorted((r.doc_id, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())
+    assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (8, 8)]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 99])
+def test_linked_sets_share_a_key(percent):
+    """Every size and every way to differ up to the most that a link allows."""
+    rng = np.random.default_rng(percent)
+    pool = rng.integers(1, 2**63, 4000).astype(np.uint64)
+    for size in [*range(1, 60), 100, 333, 1500]:
+        for _ in range(6):
+            a = pool[rng.permutation(len(pool))[:size]]
+            gone = rng.integers(0, size)
+            rest = np.setdiff1d(pool, a)
+            while gone and 100 * (size - gone) < percent * size:
+                gone //= 2
+            new = 0
+            while 100 * (size - gone) >= percent * (size + new + 1) and rng.random() < 0.9:
+                new += 1
+            b = np.concatenate([a[gone:], rest[rng.permutation(len(rest))[:new]]])
+            if set(a) != set(b):
+                assert set(jaccard_join.keys(np.sort(a), percent)) & set(jaccard_join.keys(np.sort(b), percent)), (size, gone, new)
