@@ -3,18 +3,22 @@
 A BPE encoding is settled by its neighbours: a sequence of pieces is the encoding of its text exactly when
 each adjacent pair is the encoding of the pair's own text. So the last piece of every prefix is the one piece
 that ends there and agrees with the last piece of the prefix before it, and one pass over the pieces that
-occur in a text finds the encoding of all its prefixes. A text splits where a space follows another
+occur in a text finds the encoding of all its prefixes (`Pieces.settle`, for many texts side by side). A text splits where a space follows another
 character, as no piece of such a model has a space after anything but a space; the splits (chunks) repeat a
-lot and are cached.
+lot and are cached, one cache for each Python worker.
 """
 
 from __future__ import annotations
 
 import functools
 import re
+from dataclasses import dataclass
+
+import numpy as np
 
 SPACE = "▁"  # the model's mark for a space
-PAIR_LIMIT = 30_000  # left pieces with known neighbours
+PAIR_LIMIT = 400_000  # pairs of pieces that are known to agree or not
+SLICE_CHARS = 400_000  # new text that is settled at once
 CACHE_LIMIT = 250_000  # entries of one generation of a cache
 
 
@@ -36,6 +40,18 @@ class Cache(dict):
         return value
 
 
+@dataclass(frozen=True)
+class Settled:
+    """Parts laid end to end with one place between them: where each starts, its size, and for the prefix that ends at a place its last piece's number, where that
+    begins, and the prefix's token count."""
+
+    start: np.ndarray
+    size: np.ndarray
+    last: np.ndarray
+    back: np.ndarray
+    count: np.ndarray
+
+
 class Pieces:
     """The vocabulary of one model file and cached merges."""
 
@@ -57,8 +73,16 @@ class Pieces:
             raise ValueError("pieces with an inner space need another way to split texts")
         self.longest = max(map(len, self.id))
         self.beside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
-        self.begun = {p[:i] for p in self.id for i in range(2, len(p) + 1)}  # what some piece begins with
-        self._pairs: dict[str, dict[str, bool]] = {}
+        self.names = sorted(self.id)  # a piece's place here is its number; an unknown character's is its code point after these
+        self.number = {p: i for i, p in enumerate(self.names)}
+        self.ids_of = np.array([self.id[p] for p in self.names], "<u4")
+        self.long = np.array([i for i, p in enumerate(self.names) if len(p) > 1])
+        self.lengths = np.array([len(self.names[i]) for i in self.long])
+        self.wide = np.array([self.names[i] for i in self.long], dtype=f"U{self.longest}")
+        self.after = np.array([p[:-1] + chr(ord(p[-1]) + 1) for p in self.wide.tolist()], dtype=f"U{self.longest}")
+        self.single = np.array(sorted(ord(p) for p in self.id if len(p) == 1))
+        self.single_number = np.array([self.number[chr(c)] for c in self.single])
+        self._pairs: dict[int, bool] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merges from characters, the best pair first, the leftmost of equals."""
@@ -78,11 +102,6 @@ class Pieces:
         """Whether the two pieces stay as they are when their texts meet; an empty left stands for the start."""
         return self.merged(left + right) == ([left, right] if left else [right])
 
-    def ids(self, piece: str) -> list[int]:
-        """The piece's id, or its bytes' ids if the model doesn't know the character."""
-        known = self.id.get(piece)
-        return [known] if known is not None else [self.byte[b] for b in piece.encode("utf-8")]
-
     def apart(self, chunk: str) -> list[str]:
         """The chunk's parts between neighbouring characters that no piece has side by side."""
         pairs, cuts = self.beside, [0]
@@ -91,38 +110,93 @@ class Pieces:
                 cuts.append(i)
         return [chunk[a:b] for a, b in zip(cuts, [*cuts[1:], len(chunk)], strict=True)]
 
-    def relax(self, part: str, ends: list[list[int]]) -> tuple[list[int], list[int]]:
-        """Settles every prefix of part. ends[b]: where pieces of two characters or more that begin at b end.
+    def text(self, number: int) -> str:
+        return self.names[number] if number < len(self.names) else chr(number - len(self.names))
 
-        Returns the token count of each prefix and where its last piece begins.
+    def occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Begins, ends and numbers of all occurrences of all pieces of two characters or more in text.
+
+        The text's suffixes are sorted on as many characters as the longest piece has; each piece's occurrences are a range of them.
         """
-        n = len(part)
-        count, back, last = [0] * (n + 1), [-1] * (n + 1), [""] * (n + 1)
-        for b in range(n):
-            if b and back[b] < 0:  # no pair agreed: settle this prefix by merging it
-                last[b] = self.merged(part[:b])[-1]
-                back[b] = b - len(last[b])
-                count[b] = count[back[b]] + self.cost(last[b])
-            left = last[b]
-            known = self._pairs.get(left)
-            if known is None:
-                if len(self._pairs) >= PAIR_LIMIT:
-                    self._pairs.clear()
-                known = self._pairs[left] = {}
-            for e in (b + 1, *ends[b]):
-                if back[e] < 0:
-                    piece = part[b:e]
-                    fits = known.get(piece)
-                    if fits is None:
-                        fits = known[piece] = self.agree(left, piece)
-                    if fits:
-                        last[e], back[e] = piece, b
-                        count[e] = count[b] + (1 if e > b + 1 or piece in self.id else self.cost(piece))
-        if n and back[n] < 0:
-            last[n] = self.merged(part)[-1]
-            back[n] = n - len(last[n])
-            count[n] = count[back[n]] + self.cost(last[n])
-        return count, back
+        codes = np.frombuffer((text + "\0" * self.longest).encode("utf-32-le"), dtype=np.uint32)
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, self.longest)[: len(text)])
+        suffixes = windows.view(f"<U{self.longest}").ravel()
+        order = np.argsort(suffixes, kind="stable")
+        ordered = suffixes[order]
+        low, high = np.searchsorted(ordered, self.wide), np.searchsorted(ordered, self.after)
+        counts = high - low
+        begin = order[np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
+        return begin, begin + np.repeat(self.lengths, counts), np.repeat(self.long, counts)
+
+    def settle(self, parts: list[str]) -> Settled:
+        """The last piece of every prefix of every part (none is empty), by relaxing edges from left to right, those of all parts side by side."""
+        text, known = "\0".join(parts), len(self.names)
+        size = np.array([len(p) for p in parts])
+        start = np.cumsum(size + 1) - size - 1
+        of = np.repeat(np.arange(len(parts)), size + 1)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        place = np.minimum(np.searchsorted(self.single, codes), len(self.single) - 1)
+        alone = np.where(self.single[place] == codes, self.single_number[place], known + codes)
+        inside = np.ones(len(text), bool)
+        inside[start[1:] - 1] = False
+        here = np.flatnonzero(inside)
+        begin, end, number = (np.concatenate(x) for x in zip(self.occurrences(text), (here, here + 1, alone[here]), strict=True))
+        step = begin - start[of[begin]]
+        order = np.argsort(step, kind="stable")
+        begin, end, number = begin[order], end[order], number[order]
+        bounds = np.searchsorted(step[order], np.arange(size.max() + 1))
+        cost = np.where(number < known, 1, 1 + (number >= known + 0x80) + (number >= known + 0x800) + (number >= known + 0x10000))
+        last, back, count = np.full(len(text) + 1, -1), np.full(len(text) + 1, -1), np.zeros(len(text) + 1, np.int64)
+        last[start] = -2
+
+        def merge(at: np.ndarray) -> None:
+            """Settles prefixes where no pair agreed by merging their text."""
+            for e in at.tolist():
+                i = of[e - 1]
+                piece = self.merged(parts[i][: e - start[i]])[-1]
+                last[e], back[e] = self.number.get(piece, known + ord(piece[0])), e - len(piece)
+                count[e] = count[back[e]] + self.cost(piece)
+
+        for k in range(size.max()):
+            s = slice(bounds[k], bounds[k + 1])
+            b, e, piece, price = begin[s], end[s], number[s], cost[s]
+            merge(np.unique(b[last[b] == -1]))
+            open_ = last[e] == -1
+            b, e, piece, price = b[open_], e[open_], piece[open_], price[open_]
+            pairs, which = np.unique((last[b] + 2) * (1 << 21) + piece, return_inverse=True)
+            fits = np.array([self._fits(p) for p in pairs.tolist()], bool)[which]
+            b, e = b[fits], e[fits]
+            last[e], back[e], count[e] = piece[fits], b, count[b] + price[fits]
+        merge((start + size)[last[start + size] == -1])
+        return Settled(start, size, last, back, count)
+
+    def _fits(self, pair: int) -> bool:
+        known = self._pairs.get(pair)
+        if known is None:
+            if len(self._pairs) >= PAIR_LIMIT:
+                self._pairs.clear()
+            left = (pair >> 21) - 2
+            known = self._pairs[pair] = self.agree(self.text(left) if left >= 0 else "", self.text(pair & ((1 << 21) - 1)))
+        return known
+
+    def id_bytes(self, settled: Settled) -> list[bytes]:
+        """Each part's ids, as little-endian unsigned 32-bit numbers."""
+        at, ends = settled.start + settled.size, []
+        alive = at > settled.start
+        while alive.any():
+            ends.append(at[alive])
+            at[alive] = settled.back[at[alive]]
+            alive = at > settled.start
+        end = np.sort(np.concatenate(ends))
+        numbers = settled.last[end]
+        price = settled.count[end] - settled.count[settled.back[end]]
+        known = numbers < len(self.names)
+        ids = np.repeat(self.ids_of[np.where(known, numbers, 0)], price)
+        first = np.cumsum(price) - price
+        for i in np.flatnonzero(~known).tolist():
+            ids[first[i] : first[i] + price[i]] = [self.byte[b] for b in self.text(int(numbers[i])).encode("utf-8")]
+        blob, stop = ids.astype("<u4").tobytes(), (4 * np.cumsum(settled.count[settled.start + settled.size])).tolist()
+        return [blob[a:b] for a, b in zip([0, *stop], stop)]
 
     def cost(self, piece: str) -> int:
         return 1 if piece in self.id else len(piece.encode("utf-8"))
@@ -134,6 +208,18 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+def slices(parts: list[str]) -> list[list[str]]:
+    """The parts in order, in lists of about SLICE_CHARS characters."""
+    out, size = [], SLICE_CHARS
+    for p in parts:
+        if size >= SLICE_CHARS:
+            out.append([])
+            size = 0
+        out[-1].append(p)
+        size += len(p) + 1
+    return out
+
+
 _RUNS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about BATCH_BYTES (a longer row is a slice of its own), so that a worker's memory doesn't follow Spark's batches."""
+    for batch in batches:
+        rows = max(1, int(len(batch) * BATCH_BYTES / max(1, batch.nbytes)))
+        for k in range(0, len(batch), rows):
+            yield batch.slice(k, rows)

@@ -1,6 +1,6 @@
 """Packing of tokenised documents into sequences of fixed length (operator 8).
 
-Documents are dealt by a hash of their id into groups of about GROUP_DOCS, so a group is a random part of the
+Documents are dealt by a hash of their id and tokens into groups of about GROUP_DOCS, so a group is a random part of the
 corpus and its size doesn't follow any source. Within a group, whole sequences are cut off long documents,
 and what is left of each is placed by first-fit decreasing: the longest first, each into the first sequence
 that still has room, found by a tournament tree over the sequences' free places. Then sequences that are
@@ -14,16 +14,19 @@ Columns other than those named are ignored. Texts of any length are packed whole
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Cache
+from .common import small_batches
 
 GROUP_DOCS = 1024
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -117,27 +120,71 @@ def packed(lengths: list[int], capacity: int) -> list[list[tuple[int, int, int]]
     return full
 
 
+_STOP = r"([A-Za-z])([,.])( |$)"  # a comma or full stop after a letter and before a blank is a part of its own
+
+
 class Tokens:
-    """Ids of whole texts. A text's ids are those of its parts between blanks, as the tokenizer drops white space."""
+    """Ids of whole texts. A text's ids are those of its parts between blanks, as the tokenizer lowers case and drops white space; the parts' ids are cached."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known = Cache()
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """Ids of parts. Words of letters are encoded many at once, as each of them ends with an id that ends a word and has no other one."""
+        letters = [w for w in new if w.isalpha()]
+        rest = [w for w in new if not w.isalpha()]
+        out: dict[str, bytes] = {}
+        for k in range(0, len(letters), 4096):
+            runs = [letters[i : i + 128] for i in range(k, min(k + 4096, len(letters)), 128)]
+            for words, found in zip(runs, self._encoded([" ".join(r) for r in runs]), strict=True):
+                ids = np.array(found, "<u4")
+                stop = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+                if len(stop) != len(words):
+                    rest += words
+                    continue
+                blob = ids.tobytes()
+                out |= zip(words, [blob[a:b] for a, b in zip([0, *stop], stop)], strict=True)
+        for k in range(0, len(rest), 4096):
+            some = rest[k : k + 4096]
+            out |= {w: np.array(ids, "<u4").tobytes() for w, ids in zip(some, self._encoded(some), strict=True)}
+        return out
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        found = {w: self.known[w] for parts in split for w in parts}
-        new = [w for w, ids in found.items() if ids is None]
-        for k in range(0, len(new), 4096):
-            some = new[k : k + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                found[w] = np.array(e.ids, "<u4").tobytes()
-        for w in new:
-            self.known.put(w, found[w])
-        return [b"".join([found[w] for w in parts]) for parts in split]
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, end to end, and where each text's begin, with the end of the last one."""
+        plain = pc.ascii_lower(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "))
+        split = pc.split_pattern(pc.replace_substring_regex(plain, _STOP, r"\1 \2\3"), " ")
+        words = split.flatten().dictionary_encode()
+        parts = words.dictionary.to_pylist()
+        found = [self.known[w] for w in parts]
+        new = self._learn([w for w, ids in zip(parts, found, strict=True) if ids is None])
+        if new:
+            found = [new[w] if ids is None else ids for w, ids in zip(parts, found, strict=True)]
+        for w, ids in zip(parts, found, strict=True):
+            self.known.put(w, ids)
+        size = np.array(list(map(len, found)), np.int64) // 4
+        first = np.cumsum(size) - size
+        every = np.frombuffer(b"".join(found), "<u4")
+        word = words.indices.to_numpy()
+        n = size[word]
+        stop = np.concatenate(([0], np.cumsum(n)))
+        ids = every[np.repeat(first[word] - stop[:-1], n) + np.arange(stop[-1])]
+        begin = split.offsets.to_numpy()
+        return ids, stop[begin - begin[0]]
+
+
+@functools.lru_cache(maxsize=2)
+def tokens_of(path: str) -> Tokens:
+    """One for each tokenizer and Python worker."""
+    return Tokens(path)
 
 
 def sequences(
@@ -156,21 +203,22 @@ def sequences(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     groups = max(1, -(-rows.count() // group_docs))
-    end = np.array([end_id], "<u4").tobytes()
-    small = np.dtype("<u2")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks side by side already
-        known = Tokens(tokenizer)
-        for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
-                ids = [i + end for i in known.ids([t or "" for t in part.column(1).to_pylist()])]
-                wide = [np.frombuffer(i, "<u4") for i in ids]
-                ids = [w.astype(small).tobytes() if w.max() < 65536 else b"\0" + w.tobytes() for w in wide]  # an odd size marks 32-bit ids
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        known = tokens_of(tokenizer)
+        for part in small_batches(batches):
+            ids, begin = known.ids(part.column(1))
+            ids = np.insert(ids, begin[1:], end_id)
+            begin = begin + np.arange(len(begin))
+            if ids.max(initial=0) < 65536:
+                buffers = [None, pa.py_buffer((2 * begin).astype(np.int32)), pa.py_buffer(ids.astype("<u2"))]
+                packed_ids = pa.Array.from_buffers(pa.binary(), len(part), buffers)
+            else:  # an odd size marks 32-bit ids
+                packed_ids = pa.array([b"\0" + ids[a:b].tobytes() for a, b in zip(begin, begin[1:])], pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), packed_ids], ["doc_id", "ids"])
 
     def pack(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["doc_id", "ids"], ignore_index=True)
@@ -186,6 +234,6 @@ def sequences(
 
     return (
         rows.mapInArrow(tokens, "doc_id long, ids binary")
-        .groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(groups)).alias("part"))
+        .groupBy(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(groups)).alias("part"))
         .applyInPandas(pack, SCHEMA)
     )

@@ -1,6 +1,6 @@
 """SentencePiece encoding and decoding by suffix-array matching (operator 10).
 
-The distinct chunks of a batch of texts are laid end to end. Their suffixes are sorted once, on as many
+The distinct chunks of a batch of texts that aren't known yet are laid end to end. Their suffixes are sorted once, on as many
 characters as the longest piece has; a binary search of every piece then gives the range of suffixes that
 begin with it, which are all its occurrences in the batch. The occurrences are edges of a graph over
 positions; sorted by where they begin, they are relaxed from left to right. The file at hand is a BPE model,
@@ -13,8 +13,10 @@ and ids give a row each. An empty table gives an empty result. Columns other tha
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
-
-SLICE_CHARS = 400_000  # distinct text that is sorted at once
+from .common import small_batches
 
 
 class Encoder:
@@ -33,94 +34,53 @@ class Encoder:
         self.pieces = bpe.pieces(path)
         self.known = bpe.Cache()
         self.parts = bpe.Cache()
-        names = sorted(p for p in self.pieces.id if len(p) > 1)
-        self.lengths = np.array([len(p) for p in names])
-        self.names = np.array(names, dtype=f"U{self.pieces.longest}")
-        self.after = np.array([p[:-1] + chr(ord(p[-1]) + 1) for p in names], dtype=f"U{self.pieces.longest}")
-        self.text_of = {i: p for p, i in self.pieces.id.items()}
-        self.byte_of = {i: b for b, i in self.pieces.byte.items()}
-
-    def _occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Begins and ends of all occurrences of all pieces in text, by begin."""
-        wide = self.pieces.longest
-        codes = np.frombuffer((text + "\0" * wide).encode("utf-32-le"), dtype=np.uint32)
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, wide)[: len(text)])
-        suffixes = windows.view(f"<U{wide}").ravel()
-        order = np.argsort(suffixes, kind="stable")
-        ordered = suffixes[order]
-        low, high = np.searchsorted(ordered, self.names), np.searchsorted(ordered, self.after)
-        counts = high - low
-        runs = np.repeat(low - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-        begin = order[runs]
-        end = begin + np.repeat(self.lengths, counts)
-        by_begin = np.lexsort((end, begin))
-        return begin[by_begin], end[by_begin]
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of parts of chunks that aren't known yet."""
-        out: dict[str, bytes] = {}
-        text = "\0".join(new)
-        begin, end = self._occurrences(text)
-        first = np.searchsorted(begin, np.arange(len(text) + 1)).tolist()
-        end = end.tolist()
-        at = 0
-        for chunk in new:
-            edges = [[e - at for e in end[first[at + b] : first[at + b + 1]]] for b in range(len(chunk))]
-            _, back = self.pieces.relax(chunk, edges)
-            path, e = [], len(chunk)
-            while e:
-                path.append(chunk[back[e] : e])
-                e = back[e]
-            ids = [i for piece in reversed(path) for i in self.pieces.ids(piece)]
-            out[chunk] = np.array(ids, "<u4").tobytes()
-            at += len(chunk) + 1
-        return out
+        spelled = {i: p.replace(bpe.SPACE, " ").encode("utf-8") for p, i in self.pieces.id.items()} | {i: bytes([b]) for b, i in self.pieces.byte.items()}
+        top = max(spelled) + 1
+        self.is_byte = np.isin(np.arange(top), list(self.pieces.byte.values()))
+        self.length = np.array([len(spelled.get(i, b"")) for i in range(top)])
+        self.first = np.cumsum(self.length) - self.length
+        self.letters = np.frombuffer(b"".join([spelled.get(i, b"") for i in range(top)]), np.uint8)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         split = [bpe.chunks(t) for t in texts]
-        found = {c: self.known.get(c) or self.known[c] for parts in split for c in parts}
-        unknown = {c: self.pieces.apart(c) for c, ids in found.items() if ids is None}
-        ids_of = {p: self.parts.get(p) or self.parts[p] for parts in unknown.values() for p in parts}
-        new: list[str] = []
-        size = 0
-        for part in [p for p, ids in ids_of.items() if ids is None]:
-            new.append(part)
-            size += len(part) + 1
-            if size > SLICE_CHARS:
-                ids_of |= self._learn(new)
-                new, size = [], 0
-        if new:
-            ids_of |= self._learn(new)
-        for part, ids in ids_of.items():
-            self.parts.put(part, ids)
-        for chunk, parts in unknown.items():
-            found[chunk] = b"".join([ids_of[p] for p in parts])
-        for chunk, ids in found.items():
-            self.known.put(chunk, ids)
-        return [b"".join([found[c] for c in parts]) for parts in split]
+        found = {c: self.known.get(c) or self.known[c] for c in dict.fromkeys(chain.from_iterable(split))}
+        apart = {c: self.pieces.apart(c) for c, ids in found.items() if ids is None}
+        parts = {p: self.parts.get(p) or self.parts[p] for some in apart.values() for p in some}
+        for new in bpe.slices([p for p, ids in parts.items() if ids is None]):
+            parts |= zip(new, self.pieces.id_bytes(self.pieces.settle(new)), strict=True)
+        for p, ids in parts.items():
+            self.parts.put(p, ids)
+        for c, some in apart.items():
+            found[c] = b"".join([parts[p] for p in some])
+        for c, ids in found.items():
+            self.known.put(c, ids)
+        return [b"".join(map(found.__getitem__, some)) for some in split]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids: pieces joined, bytes put together, marks turned into spaces and the first one dropped."""
-        out: list[bytes] = []
-        for i in np.frombuffer(ids, "<u4").tolist():
-            b = self.byte_of.get(i)
-            out.append(bytes([b]) if b is not None else self.text_of[i].encode("utf-8"))
-        text = b"".join(out).decode("utf-8", "replace").replace(bpe.SPACE, " ")
+        numbers = np.frombuffer(ids, "<u4").astype(np.int64)
+        n = self.length[numbers]
+        letters = self.letters[np.repeat(self.first[numbers] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        text = letters.tobytes().decode("utf-8", "replace").replace(bpe.SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
+@functools.lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One for each model and Python worker."""
+    return Encoder(path)
+
+
 def encoded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: id and ids, the whole text's piece ids. A map over partitions, without a shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
-        for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
-                ids = encoder.encode([t or "" for t in part.column(1).to_pylist()])
-                lists = [np.frombuffer(i, "<u4").astype(np.int32) for i in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        own = encoder(model)
+        for part in small_batches(batches):
+            ids = own.encode([t or "" for t in part.column(1).to_pylist()])
+            lists = [np.frombuffer(i, "<u4").astype(np.int32) for i in ids]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lists, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, ids array<int>"
@@ -131,9 +91,9 @@ def decoded(rows: DataFrame, model: str, id_col: str = "doc_id", ids_col: str =
     """For each row: id and text, from its piece ids (null: empty)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
+        own = encoder(model)
         for batch in batches:
-            texts = [encoder.decode(np.array(i or [], "<u4").tobytes()) for i in batch.column(1).to_pylist()]
+            texts = [own.decode(np.array(i or [], "<u4").tobytes()) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return rows.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids")).mapInArrow(
@@ -148,24 +108,21 @@ def round_trip(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(model)
-        in_bytes = np.array(sorted(encoder.byte_of), "<u4")
-        for batch in batches:
-            for k in range(0, len(batch), 500):
-                part = batch.slice(k, 500)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                ids = encoder.encode(texts)
-                rows = [np.frombuffer(i, "<u4") for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array([len(r) for r in rows], pa.int64()),
-                        pa.array([int(np.isin(r, in_bytes).sum()) for r in rows], pa.int64()),
-                        pa.array([zlib.crc32(i) for i in ids], pa.int64()),
-                        pa.array([encoder.decode(i) == t.replace(bpe.SPACE, " ") for i, t in zip(ids, texts, strict=True)], pa.bool_()),
-                    ],
-                    ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "same_text"],
-                )
+        own = encoder(model)
+        for part in small_batches(batches):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            ids = own.encode(texts)
+            rows = [np.frombuffer(i, "<u4") for i in ids]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array([len(r) for r in rows], pa.int64()),
+                    pa.array([int(own.is_byte[r].sum()) for r in rows], pa.int64()),
+                    pa.array([zlib.crc32(i) for i in ids], pa.int64()),
+                    pa.array([own.decode(i) == t.replace(bpe.SPACE, " ") for i, t in zip(ids, texts, strict=True)], pa.bool_()),
+                ],
+                ["doc_id", "n_pieces", "n_byte_pieces", "ids_crc32", "same_text"],
+            )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, same_text boolean"

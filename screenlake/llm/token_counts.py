@@ -12,14 +12,17 @@ two that are named are ignored, whatever their names.
 
 from __future__ import annotations
 
+import functools
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bpe
+from .common import small_batches
 
 
 class PrefixCounts:
@@ -29,47 +32,44 @@ class PrefixCounts:
         self.pieces = bpe.pieces(path)
         self.known = bpe.Cache()
         self.parts = bpe.Cache()
+        self.now: dict[str, tuple[int, ...]] = {}  # chunks of the texts at hand
+
+    def learn(self, chunks: list[str]) -> None:
+        """Token counts of the prefixes of chunks, the empty one included; those that are new are settled together."""
+        found = {c: self.known.get(c) or self.known[c] for c in dict.fromkeys(chunks)}
+        apart = {c: self.pieces.apart(c) for c, counts in found.items() if counts is None}
+        parts = {p: self.parts.get(p) or self.parts[p] for some in apart.values() for p in some}
+        for new in bpe.slices([p for p, counts in parts.items() if counts is None]):
+            settled = self.pieces.settle(new)
+            count = settled.count.tolist()
+            parts |= {p: tuple(count[a : a + n + 1]) for p, a, n in zip(new, settled.start.tolist(), settled.size.tolist(), strict=True)}
+        for p, counts in parts.items():
+            self.parts.put(p, counts)
+        for c, some in apart.items():
+            whole = parts[some[0]]
+            for p in some[1:]:
+                so_far = whole[-1]
+                whole += tuple([so_far + n for n in parts[p][1:]])
+            found[c] = whole
+        self.now = found
+        for c, counts in found.items():
+            self.known.put(c, counts)
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
-        """Token counts of the chunk's prefixes, the empty one included."""
-        found = self.known[chunk]
-        if found is None:
-            parts = self.pieces.apart(chunk)
-            found = self._part(parts[0])
-            for part in parts[1:]:
-                so_far = found[-1]
-                found += tuple([so_far + c for c in self._part(part)[1:]])
-        return self.known.put(chunk, found)
-
-    def _part(self, part: str) -> tuple[int, ...]:
-        found = self.parts[part]
-        if found is None:
-            found = tuple(self.pieces.relax(part, self._ends(part))[0])
-        return self.parts.put(part, found)
-
-    def _ends(self, part: str) -> list[list[int]]:
-        """Where the pieces that begin at each position end, found by growing a text while some piece begins with it."""
-        known, begun, n = self.pieces.id, self.pieces.begun, len(part)
-        out: list[list[int]] = []
-        for b in range(n):
-            ends = []
-            e = b + 2
-            while e <= n and (grown := part[b:e]) in begun:
-                if grown in known:
-                    ends.append(e)
-                e += 1
-            out.append(ends)
-        return out
+        """Token counts of the chunk's prefixes."""
+        counts = self.now.get(chunk)
+        if counts is None:
+            self.learn([chunk])
+            counts = self.now[chunk]
+        return counts
 
     def totals(self, text: str) -> tuple[list[str], list[int]]:
         """The text's chunks and the token count before each one, with the whole text's count at the end."""
-        parts, before = bpe.chunks(text), [0]
-        total, known = 0, self.known
-        for part in parts:
-            counts = known.get(part)
-            total += (counts if counts is not None else self.chunk(part))[-1]
-            before.append(total)
-        return parts, before
+        parts = bpe.chunks(text)
+        if any(p not in self.now for p in parts):
+            self.learn(parts)
+        now = self.now
+        return parts, [0, *accumulate([now[p][-1] for p in parts])]
 
     def all_prefixes(self, text: str) -> list[int]:
         """count[i] for i from 0 to the text's length; the mark before the text costs nothing until it begins."""
@@ -100,6 +100,12 @@ class PrefixCounts:
         return before[-1], self._within(parts, before, budget)
 
 
+@functools.lru_cache(maxsize=2)
+def prefix_counts(path: str) -> PrefixCounts:
+    """One for each model and Python worker."""
+    return PrefixCounts(path)
+
+
 def with_counts(docs: DataFrame, model: str, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: id, n_bytes, n_tokens, over_limit (n_tokens > budget), fit_chars (longest prefix within budget).
 
@@ -107,9 +113,10 @@ def with_counts(docs: DataFrame, model: str, budget: int, id_col: str = "doc_id"
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefix = PrefixCounts(model)
-        for batch in batches:
+        prefix = prefix_counts(model)
+        for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
+            prefix.learn([c for t in texts for c in bpe.chunks(t)])
             found = [prefix.measure(t, budget) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -131,7 +138,7 @@ def prefix_table(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """For each row: id and prefix_counts, the token counts of text[:0], text[:1], ... up to the whole text."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prefix = PrefixCounts(model)
+        prefix = prefix_counts(model)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield pa.RecordBatch.from_arrays(
