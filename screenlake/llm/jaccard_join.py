@@ -4,17 +4,19 @@ A text's words are lower-cased (A-Z) runs without blanks; its set holds its dist
 fewer words has the one shingle of all of them; without words the set is empty and linked with nothing). Two texts link when
 100 * intersection >= percent * union.
 
-1. Texts with equal sets form a class with one representative.
+1. Texts with equal sets form a class, named by a hash of the set, with one representative text.
 2. Linked sets differ in few shingles, d at most (`most_different`). A set's shingles are dealt by hash to more than d buckets, so linked sets have
    buckets with just the same content. A set keeps d + 1 of its buckets, the fullest first, as keys: that order is the same for all sets,
    so linked sets share a key (prefixes of sets of buckets). A key stands for several shingles at once, those of a common passage mixed with the
    text's own, so texts that merely share passages don't meet. The number of buckets follows the size: sizes are cut into ranges, and
    a set that may link with one of the next range has keys for that range as well.
-3. Representatives that share keys are put into groups of about GROUP_ROWS, each led by the smallest id among those that it met, so that a group's members
+3. Classes that share keys are put into groups of about GROUP_ROWS, each led by the smallest name among those that it met, so that a group's members
    are alike. A group is a column of the token-group matrix: its token union, with the members that hold each token. It is built in one task,
    which links the group's own members, and is stored.
 4. What has linked so far is one component. A query goes to other groups only where one of its keys meets a larger component than its own, as
-   links inside a component change nothing. A stored group is opened for a query only if its union holds percent of the query's tokens.
+   links inside a component change nothing, and only where the tokens' counts over the stored unions allow a link: with a share r of a set's tokens
+   held by any other set, two sets are alike by 1 / (1/r + 1/r' - 1) at most. So many near copies of one text that don't link, as each has tokens of
+   its own, don't ask one another. A stored group is opened for a query only if its union holds percent of the query's tokens.
 
 Every link between different components is found, so components are exact (up to equal 64-bit hashes of different
 shingles). No step brings a group of unbounded size into one task, and nothing that grows with the corpus goes to the driver.
@@ -44,6 +46,8 @@ QUERY_ROWS = 256
 RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
 SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
 SLICE_TOKENS = 1 << 15
+SEEN_CLASSES = 1_000_000  # a task's memory of classes whose keys it has given; beyond it some are given again
+FILTER_PARTS = 512  # parts of 32,768 bits of the filter of ids, 2 MB in all
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -161,25 +165,35 @@ class Group:
         return np.flatnonzero((100 * both >= percent * (len(query) + self.sizes - both)) & (both > 0))
 
 
+def class_name(s: np.ndarray) -> int:
+    """A hash of a whole set."""
+    x = np.array([np.add.reduce(_mixed(s)), np.bitwise_xor.reduce(_mixed(s ^ _ODD)), len(s)], np.uint64)
+    return int(_mixed(_mixed(_mixed(x[:1]) + x[1:2]) + x[2:])[0].view(np.int64))
+
+
 def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """For each row: doc_id, size of its set, two hashes of the whole set, its keys."""
+    """For each row: doc_id, text_hash, size of its set, its class (null without words), and the set's keys, if no earlier row of the task has that class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_hashes()
+        seen: set[int] = set()
         for batch in batches:
-            size, one, two, held = [], [], [], []
-            for text in batch.column(1).to_pylist():
+            size, node, held = [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 s = shingles(text, n, known)
                 size.append(len(s))
-                one.append(int(np.add.reduce(_mixed(s)).astype(np.uint64).view(np.int64)) if len(s) else 0)
-                two.append(int(np.bitwise_xor.reduce(_mixed(s ^ _ODD)).astype(np.uint64).view(np.int64)) if len(s) else 0)
-                held.append(keys(s, percent))
+                node.append(class_name(s) if len(s) else None)
+                new = doc_id is not None and len(s) and node[-1] not in seen
+                if new:
+                    if len(seen) >= SEEN_CLASSES:
+                        seen.clear()
+                    seen.add(node[-1])
+                held.append(keys(s, percent) if new else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(held, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "one", "two", "keys"],
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(node, pa.int64()), pa.array(held, pa.list_(pa.int64()))], ["doc_id", "text_hash", "n_shingles", "node", "keys"]
             )
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, one long, two long, keys array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, keys array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -205,29 +219,62 @@ def components(links: DataFrame) -> DataFrame:
     return root.select(F.col("u").alias("node"), "component").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _with_texts(names: DataFrame, docs: DataFrame) -> DataFrame:
+    """node and text of classes with a representative (node, rep: a struct of doc_id and text_hash).
+
+    Few documents are wanted, so a filter of the wanted ids, of a fixed size, goes to all tasks first: only what passes is shuffled and joined exactly.
+    """
+    at = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_PARTS << 15))
+    wanted = written(names.select("node", "rep.doc_id", "rep.text_hash", at(F.col("rep.doc_id")).alias("at")), "wanted")
+    bits = wanted.groupBy((F.col("at") / (1 << 15)).cast("int").alias("filter_part")).agg(F.expr("bitmap_construct_agg(at % 32768)").alias("bits"))
+    rows = docs.withColumn("at", at(F.col("doc_id"))).withColumn("filter_part", (F.col("at") / (1 << 15)).cast("int"))
+    place = (F.col("at") % (1 << 15)).cast("int")
+    octet = F.conv(F.hex(F.substring("bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    rows = rows.join(F.broadcast(bits), "filter_part").withColumn("octet", octet).withColumn("bit", place % 8).filter("shiftright(octet, bit) % 2 = 1")  # FILTER_PARTS rows
+    return rows.select("doc_id", "text_hash", "text").join(wanted.drop("at"), ["doc_id", "text_hash"]).select("node", "text")
+
+
 def _built(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """The matrix: for each leader and part, the group's column, its members, and a forest of the links among them. rows: leader, part, doc_id, text."""
+    """The matrix: for each leader and part, the group's column, its members, and a forest of the links among them. rows: leader, part, node, text."""
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("doc_id", kind="stable")
+        group = group.drop_duplicates("node").sort_values("node", kind="stable")
         known = _word_hashes()
         sets = [shingles(t, n, known) for t in group["text"]]
-        column, ids = Group.of(sets), group["doc_id"].to_numpy()
+        column, nodes = Group.of(sets), group["node"].to_numpy()
         links = column.links(percent)
-        top = np.arange(len(ids))
+        top = np.arange(len(nodes))
         while True:  # the smallest member that links lead to
-            low = np.where(links, top, len(ids)).min(1)
+            low = np.where(links, top, len(nodes)).min(1)
             if (low >= top).all():
                 break
             top = np.minimum(top, low)
-        tied = np.flatnonzero(top < np.arange(len(ids)))
-        return pd.DataFrame([(*key, column.tokens.tobytes(), column.bits.tobytes(), column.sizes, ids, ids[tied], ids[top[tied]])], columns=["leader", "part", "tokens", "bits", "sizes", "ids", "u", "v"])
+        tied = np.flatnonzero(top < np.arange(len(nodes)))
+        return pd.DataFrame([(*key, column.tokens.tobytes(), column.bits.tobytes(), column.sizes, nodes, nodes[tied], nodes[top[tied]])], columns=["leader", "part", "tokens", "bits", "sizes", "nodes", "u", "v"])
+
+    return rows.groupBy("leader", "part").applyInPandas(run, "leader long, part long, tokens binary, bits binary, sizes array<long>, nodes array<long>, u array<long>, v array<long>")
+
+
+def _own_tokens(matrix: DataFrame) -> DataFrame:
+    """node and own: how many tokens of a class no other class of the matrix holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                tokens = np.frombuffer(row["tokens"], np.int64)
+                bits = np.frombuffer(row["bits"], np.uint8).reshape(len(tokens), -1)
+                for k in range(0, len(tokens), SLICE_TOKENS):
+                    held = np.unpackbits(bits[k : k + SLICE_TOKENS], axis=1, count=len(row["nodes"]), bitorder="little")
+                    holder = np.array(row["nodes"], np.int64)[held.argmax(1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(tokens[k : k + SLICE_TOKENS]), pa.array(holder, mask=held.sum(1) > 1)], ["token", "node"])
 
-    return rows.groupBy("leader", "part").applyInPandas(run, "leader long, part long, tokens binary, bits binary, sizes array<long>, ids array<long>, u array<long>, v array<long>")
+    rows = matrix.select("tokens", "bits", "nodes").mapInArrow(run, "token long, node long")
+    alone = rows.groupBy("token").agg(F.count(F.lit(1)).alias("groups"), F.max("node").alias("node")).filter("groups = 1 and node is not null")
+    return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
 def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent: int) -> DataFrame:
-    """Links (u, v) of queries (doc_id, text) with members of the stored groups that they are sent to."""
+    """Links (u, v) of queries (node, text) with members of the stored groups that they are sent to."""
 
     def run(asking: pd.DataFrame, column: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
@@ -235,9 +282,9 @@ def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent
         for c in column.itertuples():
             sizes, tokens = np.asarray(c.sizes, np.int64), np.frombuffer(c.tokens, np.uint64)
             group = Group(tokens, np.frombuffer(c.bits, np.uint8).reshape(len(tokens), -1), sizes)
-            ids = np.asarray(c.ids, np.int64)
-            for doc_id, text in zip(asking["doc_id"], asking["text"], strict=True):
-                out += [(int(doc_id), int(i)) for i in ids[group.linked(shingles(text, n, known), percent)]]
+            nodes = np.asarray(c.nodes, np.int64)
+            for node, text in zip(asking["node"], asking["text"], strict=True):
+                out += [(int(node), int(i)) for i in nodes[group.linked(shingles(text, n, known), percent)]]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
     return queries.groupBy(*by).cogroup(matrix.groupBy(*by)).applyInPandas(run, "u long, v long")
@@ -245,63 +292,71 @@ def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent
 
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For each row: doc_id, n_shingles (size of its set), component_id (the smallest id that links lead to, itself included)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
     known = written(features(docs, n, percent), "features")
     some = known.filter("doc_id is not null and n_shingles > 0")
-    kinds = ["n_shingles", "one", "two"]
     # Both sides of the joins below are tables or plain scans, so a hot class or key is split by Spark's skew handling.
-    copies = written(some.groupBy(*kinds).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows"), "copies")
-    leads = some.join(copies, kinds, "left").filter("rep is null or rep = doc_id").select(F.col("doc_id").alias("rep"), "n_shingles", F.explode("keys").alias("key"))
+    classes = written(some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
+    leads = some.filter("keys is not null").select("node", "n_shingles", F.explode("keys").alias("key"))
 
-    # Keys that several representatives have, with the smallest of these.
-    common = leads.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high").select("key", "low")
+    # Keys that several classes have, with the smallest of these.
+    common = leads.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low")
     shared = written(leads.join(written(common, "keys"), "key"), "shared")
 
-    # Groups: each representative goes to the smallest one that it met; large groups are split, and each part gets the leader.
-    lead = written(shared.groupBy("rep").agg(F.min("low").alias("leader"), F.max("n_shingles").alias("n_shingles")), "lead")
+    # Groups: each class goes to the smallest one that it met; large groups are split, and each part gets the leader.
+    lead = written(shared.groupBy("node").agg(F.min("low").alias("leader"), F.max("n_shingles").alias("n_shingles")), "lead")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("n_shingles") / GROUP_TOKENS))
     counts = written(lead.groupBy("leader").agg(parts.alias("parts")), "parts")
-    nodes = written(lead.join(counts, "leader").select("rep", "n_shingles", "leader", F.pmod(F.xxhash64("rep"), "parts").alias("part"), "parts"), "nodes")
-    texts = written(docs.join(nodes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), "texts")
-    own = nodes.select("leader", "part", F.col("rep").alias("doc_id"))
-    leaders = nodes.filter("rep = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("rep").alias("doc_id"))
-    matrix = written(_built(own.unionByName(leaders).distinct().join(texts, "doc_id"), n, percent), "matrix")
+    nodes = written(lead.join(counts, "leader").select("node", "n_shingles", "leader", F.pmod(F.xxhash64("node"), "parts").alias("part"), "parts"), "nodes")
+    texts = written(_with_texts(nodes.join(classes, "node").select("node", "rep"), docs), "texts")
+    own = nodes.select("leader", "part", "node")
+    leaders = nodes.filter("node = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node")
+    matrix = written(_built(own.unionByName(leaders).distinct().join(texts, "node"), n, percent), "matrix")
     first = matrix.select(F.explode(F.arrays_zip("u", "v")).alias("x")).select("x.u", "x.v")
-    tied = components(first)
+    tied = written(components(first).select("node", "component"), "components")
 
-    # Other groups: a query goes where one of its keys meets a larger component (of equal ones: that of the smaller id), with sizes that can link.
-    placed = nodes.join(tied, nodes["rep"] == tied["node"], "left").select("rep", "n_shingles", "leader", "part", F.coalesce("component", "rep").alias("component"))
+    # Other groups: a query goes where one of its keys meets a larger component (of equal ones: that of the smaller name), with sizes and shares that can link.
+    placed = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
     weight = written(placed.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "weights")
-    placed = written(placed.join(weight, "component").select("rep", "n_shingles", "leader", "part", F.struct("members", (-F.col("component")).alias("first")).alias("size")), "placed")
-    tops = shared.select("key", "rep").join(placed, "rep")
-    mixed = written(tops.groupBy("key").agg(F.min("size").alias("least"), F.max("size").alias("most")).filter("least < most").select("key", "most"), "mixed")
-    at = written(tops.join(mixed, "key"), "at")
-    targets = at.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"))
+    part_of_own = F.when(F.col("n_shingles") > F.col("own"), F.col("n_shingles") / (F.col("n_shingles") - F.col("own")))  # 1/r; null if no other set holds any token
+    placed = placed.join(weight, "component").join(written(_own_tokens(matrix), "own"), "node", "left").na.fill(0, ["own"])
+    placed = written(placed.select("node", "n_shingles", "leader", "part", F.struct("members", "component").alias("size"), part_of_own.alias("inverse")).filter("inverse is not null"), "placed")
+    tops = shared.select("key", "node").join(placed, "node")
+    most_inverse = F.lit(1 + 100 / percent + 1e-9)
+    mixed = tops.groupBy("key").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.min("inverse").alias("best"), F.max("inverse").alias("worst"))
+    mixed = written(mixed.filter("least < most").filter(2 * F.col("best") <= most_inverse).select("key", "most", "best"), "mixed")
+    at = written(tops.join(mixed, "key").filter(F.col("inverse") + F.col("best") <= most_inverse), "at")
+    targets = at.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.min("inverse").alias("nearest"))
     asked = (
         at.filter("size < most")
-        .select("key", F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), "size", F.struct("leader", "part").alias("home"))
+        .select("key", "node", F.col("n_shingles").alias("n"), "size", "inverse", F.struct("leader", "part").alias("home"))
         .join(written(targets, "targets"), "key")
-        .filter((F.col("greatest") > F.col("size")) & (F.col("home") != F.struct("leader", "part")))
+        .filter((F.col("greatest") > F.col("size")) & (F.col("home") != F.struct("leader", "part")) & (F.col("inverse") + F.col("nearest") <= most_inverse))
         .filter((100 * F.col("large") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("small")))
-        .select("leader", "part", "doc_id")
+        .select("leader", "part", "node")
         .distinct()
     )
     asked = written(asked, "asked")
     by = ["leader", "part"]
     pages = written(asked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("pages")), "pages")
-    queries = asked.join(pages, by).select(*by, F.pmod(F.xxhash64("doc_id"), "pages").alias("page"), "doc_id").join(texts, "doc_id")
+    queries = asked.join(pages, by).select(*by, F.pmod(F.xxhash64("node"), "pages").alias("page"), "node").join(texts, "node")
     opened = matrix.join(pages, by).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    more = _asked(queries, opened.select(*by, "page", "tokens", "bits", "sizes", "ids"), [*by, "page"], n, percent)
+    more = _asked(queries, opened.select(*by, "page", "tokens", "bits", "sizes", "nodes"), [*by, "page"], n, percent)
 
     # Ids of rows with different sets tie these rows' classes.
-    kin = some.join(copies, kinds, "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"))
-    repeated = written(some.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id"), "repeated")
-    final = components(first.unionByName(more).unionByName(kin.join(repeated, "doc_id").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))))
-    final = written(final, "components")
+    by_id = known.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("v"))
+    repeated = written(by_id.filter("rows > 1 and v is not null").select("doc_id", "v"), "repeated")
+    kin = some.select("doc_id", F.col("node").alias("u")).join(repeated, "doc_id").select("u", "v")
+    final = written(components(first.unionByName(more).unionByName(kin)).select("node", "component"), "components")
+    named = classes.select("node", F.col("rep.doc_id").alias("rep"), "rows").join(final, "node", "left")
+    least = named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
+    named = named.filter("rows > 1 or component is not null").join(written(least, "least"), "component", "left").select("node", F.coalesce("component_id", "rep").alias("found"))
+    named = written(named, "named")
+    # A row without words has the component of the other rows of its id.
+    empty = written(repeated.join(named.select(F.col("node").alias("v"), "found"), "v").select("doc_id", F.col("found").alias("elsewhere")), "elsewhere")
     return (
-        known.drop("keys")
-        .join(copies, kinds, "left")
-        .withColumn("rep", F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")))
-        .join(final, F.col("rep") == F.col("node"), "left")
-        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep")).alias("component_id"))
+        known.select("doc_id", "n_shingles", "node")
+        .join(named, "node", "left")
+        .join(empty, "doc_id", "left")
+        .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "elsewhere", "doc_id")).alias("component_id"))
     )

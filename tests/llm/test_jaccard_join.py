@@ -58,6 +58,7 @@ def corpus(seed, n):
 def test_components_equal_brute_force(spark, monkeypatch, n, percent, seed):
     monkeypatch.setattr(jaccard_join, "GROUP_ROWS", 4)
     monkeypatch.setattr(jaccard_join, "QUERY_ROWS", 3)
+    monkeypatch.setattr(jaccard_join, "SLICE_TOKENS", 50)
     rows = corpus(seed, 400)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, n, percent).collect()}
@@ -76,9 +77,9 @@ def test_odd_rows(spark):
 
 def test_rows_of_one_id_share_their_links(spark):
     a, b = "one two three four five", "six seven eight nine ten eleven"
-    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (8, "")], "doc_id long, text string")
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (7, b), (8, ""), (7, None), (9, "x y z"), (9, "")], "doc_id long, text string")
     got = sorted((r.doc_id, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())
-    assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (8, 8)]
+    assert got == [(3, 3), (5, 3), (5, 3), (7, 3), (7, 3), (8, 8), (9, 9), (9, 9)]
 
 
 @pytest.mark.parametrize("percent", [50, 80, 90, 99])
