@@ -17,9 +17,9 @@ from dataclasses import dataclass
 import numpy as np
 
 SPACE = "▁"  # the model's mark for a space
-PAIR_LIMIT = 400_000  # pairs of pieces that are known to agree or not
-SLICE_CHARS = 400_000  # new text that is settled at once
-CACHE_LIMIT = 250_000  # entries of one generation of a cache
+PAIR_LIMIT = 200_000  # pairs of pieces that are known to agree or not
+SLICE_CHARS = 200_000  # new text that is settled at once
+CACHE_LIMIT = 100_000  # entries of one generation of a cache
 
 
 class Cache(dict):

@@ -48,7 +48,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

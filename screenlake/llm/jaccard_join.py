@@ -35,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -58,7 +58,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 500_000:
+        if len(self) >= 200_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -273,8 +273,42 @@ def _own_tokens(matrix: DataFrame) -> DataFrame:
     return alone.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent: int) -> DataFrame:
-    """Links (u, v) of queries (node, text) with members of the stored groups that they are sent to."""
+def _shares(nodes: DataFrame, matrix: DataFrame) -> DataFrame:
+    """node and inverse: a class's tokens over those that other classes hold too; classes without such tokens are left out."""
+    held = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    return written(nodes.join(_own_tokens(matrix), "node", "left").filter(held > 0).select("node", (F.col("n_shingles") / held).alias("inverse")), "shares")
+
+
+def _most_inverse(percent: int) -> Column:
+    """Two sets can link only if their inverse shares add up to no more than this."""
+    return F.lit(1 + 100 / percent + 1e-9)
+
+
+def _apart(nodes: DataFrame, shares: DataFrame, shared: DataFrame, links: DataFrame, percent: int, targets: bool = False) -> DataFrame:
+    """Keys of classes that meet a larger component there (of equal ones: that of the greater name), given the links so far.
+
+    node, n_shingles, home (its group), size (its component's), inverse, and top, the key's nearest group of the largest component; or with targets, a row for
+    each group that has the key, with bounds of what its members there are like.
+    """
+    tied = components(links).select("node", "component")
+    placed = written(nodes.join(shares, "node").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    weight = placed.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    placed = placed.join(weight, "component").select("node", "n_shingles", "leader", "part", F.struct("members", "component").alias("size"), "inverse")
+    held = shared.select("key", "node").join(written(placed, "sized"), "node")
+    keyed = held.groupBy("key").agg(
+        F.min("size").alias("least"), F.max(F.struct("size", (-F.col("inverse")).alias("nearness"), "leader", "part")).alias("top"), F.min("inverse").alias("best")
+    )
+    mixed = written(keyed.filter("least < top.size").filter(2 * F.col("best") <= _most_inverse(percent)).select("key", "top", "best"), "mixed")
+    held = written(held.join(mixed, "key").filter(F.col("inverse") + F.col("best") <= _most_inverse(percent)), "held")
+    asking = held.filter("size < top.size").select("key", "node", "n_shingles", F.struct("leader", "part").alias("home"), "size", "inverse", "top")
+    if not targets:
+        return asking
+    groups = held.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.min("inverse").alias("nearest"))
+    return asking.join(written(groups, "targets"), "key")
+
+
+def _asked(asked: DataFrame, matrix: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links (u, v) of classes with members of the stored groups that they ask. asked: leader, part, node."""
 
     def run(asking: pd.DataFrame, column: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
@@ -287,7 +321,11 @@ def _asked(queries: DataFrame, matrix: DataFrame, by: list[str], n: int, percent
                 out += [(int(node), int(i)) for i in nodes[group.linked(shingles(text, n, known), percent)]]
         return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    return queries.groupBy(*by).cogroup(matrix.groupBy(*by)).applyInPandas(run, "u long, v long")
+    by = ["leader", "part"]
+    pages = written(asked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("pages")), "pages")
+    queries = asked.join(pages, by).select(*by, F.pmod(F.xxhash64("node"), "pages").alias("page"), "node").join(texts, "node")
+    opened = matrix.join(pages, by).select(*by, F.explode(F.sequence(F.lit(0), F.col("pages") - 1)).alias("page"), "tokens", "bits", "sizes", "nodes")
+    return queries.groupBy(*by, "page").cogroup(opened.groupBy(*by, "page")).applyInPandas(run, "u long, v long")
 
 
 def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -313,41 +351,27 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     leaders = nodes.filter("node = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node")
     matrix = written(_built(own.unionByName(leaders).distinct().join(texts, "node"), n, percent), "matrix")
     first = matrix.select(F.explode(F.arrays_zip("u", "v")).alias("x")).select("x.u", "x.v")
-    tied = written(components(first).select("node", "component"), "components")
-
-    # Other groups: a query goes where one of its keys meets a larger component (of equal ones: that of the smaller name), with sizes and shares that can link.
-    placed = nodes.join(tied, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    weight = written(placed.groupBy("component").agg(F.count(F.lit(1)).alias("members")), "weights")
-    part_of_own = F.when(F.col("n_shingles") > F.col("own"), F.col("n_shingles") / (F.col("n_shingles") - F.col("own")))  # 1/r; null if no other set holds any token
-    placed = placed.join(weight, "component").join(written(_own_tokens(matrix), "own"), "node", "left").na.fill(0, ["own"])
-    placed = written(placed.select("node", "n_shingles", "leader", "part", F.struct("members", "component").alias("size"), part_of_own.alias("inverse")).filter("inverse is not null"), "placed")
-    tops = shared.select("key", "node").join(placed, "node")
-    most_inverse = F.lit(1 + 100 / percent + 1e-9)
-    mixed = tops.groupBy("key").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.min("inverse").alias("best"), F.max("inverse").alias("worst"))
-    mixed = written(mixed.filter("least < most").filter(2 * F.col("best") <= most_inverse).select("key", "most", "best"), "mixed")
-    at = written(tops.join(mixed, "key").filter(F.col("inverse") + F.col("best") <= most_inverse), "at")
-    targets = at.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.min("inverse").alias("nearest"))
-    asked = (
-        at.filter("size < most")
-        .select("key", "node", F.col("n_shingles").alias("n"), "size", "inverse", F.struct("leader", "part").alias("home"))
-        .join(written(targets, "targets"), "key")
-        .filter((F.col("greatest") > F.col("size")) & (F.col("home") != F.struct("leader", "part")) & (F.col("inverse") + F.col("nearest") <= most_inverse))
-        .filter((100 * F.col("large") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("small")))
-        .select("leader", "part", "node")
-        .distinct()
-    )
-    asked = written(asked, "asked")
+    shares = _shares(nodes, matrix)
+
+    # Other groups. Near copies of one text often link with that text and not with one another: so each query first asks the group where each of its keys
+    # meets the largest component, and only what is apart after that asks all others.
     by = ["leader", "part"]
-    pages = written(asked.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("pages")), "pages")
-    queries = asked.join(pages, by).select(*by, F.pmod(F.xxhash64("node"), "pages").alias("page"), "node").join(texts, "node")
-    opened = matrix.join(pages, by).withColumn("page", F.explode(F.sequence(F.lit(0), F.col("pages") - 1)))
-    more = _asked(queries, opened.select(*by, "page", "tokens", "bits", "sizes", "nodes"), [*by, "page"], n, percent)
+    at = _apart(nodes, shares, shared, first, percent)
+    asked = at.select("node", "home", "inverse", "top.leader", "top.part", (-F.col("top.nearness")).alias("nearest"))
+    asked = asked.filter((F.col("home") != F.struct(*by)) & (F.col("inverse") + F.col("nearest") <= _most_inverse(percent))).select(*by, "node").distinct()
+    asked = written(asked, "asked")
+    hubs = written(_asked(asked, matrix, texts, n, percent), "links")
+    at = _apart(nodes, shares, shared, first.unionByName(hubs), percent, targets=True)
+    fits = (F.col("greatest") > F.col("size")) & (F.col("home") != F.struct(*by)) & (F.col("inverse") + F.col("nearest") <= _most_inverse(percent))
+    fits = fits & (100 * F.col("large") >= percent * F.col("n_shingles")) & (100 * F.col("n_shingles") >= percent * F.col("small"))
+    rest = written(at.filter(fits).select(*by, "node").distinct().join(asked, [*by, "node"], "left_anti"), "asked")
+    links = first.unionByName(hubs).unionByName(written(_asked(rest, matrix, texts, n, percent), "links"))
 
     # Ids of rows with different sets tie these rows' classes.
     by_id = known.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("v"))
     repeated = written(by_id.filter("rows > 1 and v is not null").select("doc_id", "v"), "repeated")
     kin = some.select("doc_id", F.col("node").alias("u")).join(repeated, "doc_id").select("u", "v")
-    final = written(components(first.unionByName(more).unionByName(kin)).select("node", "component"), "components")
+    final = written(components(links.unionByName(kin)).select("node", "component"), "components")
     named = classes.select("node", F.col("rep.doc_id").alias("rep"), "rows").join(final, "node", "left")
     least = named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.filter("rows > 1 or component is not null").join(written(least, "least"), "component", "left").select("node", F.coalesce("component_id", "rep").alias("found"))
