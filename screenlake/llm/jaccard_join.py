@@ -14,9 +14,9 @@ fewer words has the one shingle of all of them; without words the set is empty a
    are alike. A group is a column of the token-group matrix: its token union, with the members that hold each token. It is built in one task,
    which links the group's own members, and is stored.
 4. What has linked so far is one component. A query goes to other groups only where one of its keys meets a larger component than its own, as
-   links inside a component change nothing, and only where the tokens' counts over the stored unions allow a link: with a share r of a set's tokens
-   held by any other set, two sets are alike by 1 / (1/r + 1/r' - 1) at most. So many near copies of one text that don't link, as each has tokens of
-   its own, don't ask one another. A stored group is opened for a query only if its union holds percent of the query's tokens.
+   links inside a component change nothing, and only where the tokens' counts over the stored unions allow a link: tokens that no other class holds
+   can't be in an intersection. So many near copies of one text that don't link, as each has tokens of its own, don't ask one another. A stored
+   group is opened for a query only if its union holds percent of the query's tokens.
 
 Every link between different components is found, so components are exact (up to equal 64-bit hashes of different
 shingles). No step brings a group of unbounded size into one task, and nothing that grows with the corpus goes to the driver.
@@ -274,36 +274,39 @@ def _own_tokens(matrix: DataFrame) -> DataFrame:
 
 
 def _shares(nodes: DataFrame, matrix: DataFrame) -> DataFrame:
-    """node and inverse: a class's tokens over those that other classes hold too; classes without such tokens are left out."""
-    held = F.col("n_shingles") - F.coalesce("own", F.lit(0))
-    return written(nodes.join(_own_tokens(matrix), "node", "left").filter(held > 0).select("node", (F.col("n_shingles") / held).alias("inverse")), "shares")
+    """node and common: how many of a class's tokens other classes hold too; classes without such tokens are left out."""
+    common = F.col("n_shingles") - F.coalesce("own", F.lit(0))
+    return written(nodes.join(_own_tokens(matrix), "node", "left").filter(common > 0).select("node", common.alias("common")), "shares")
 
 
-def _most_inverse(percent: int) -> Column:
-    """Two sets can link only if their inverse shares add up to no more than this."""
-    return F.lit(1 + 100 / percent + 1e-9)
+def _can_link(least_size: Column, most_common: Column, percent: int) -> Column:
+    """Whether a class (n_shingles, common) can link with one of at least this size that has at most so many tokens in common with others.
+
+    The intersection is no larger than either number of common tokens, and the other set has at least its size and the intersection.
+    """
+    both = F.least(F.col("common"), most_common)
+    return 100 * both >= percent * (F.col("n_shingles") + F.greatest(least_size, both) - both)
 
 
 def _apart(nodes: DataFrame, shares: DataFrame, shared: DataFrame, links: DataFrame, percent: int, targets: bool = False) -> DataFrame:
     """Keys of classes that meet a larger component there (of equal ones: that of the greater name), given the links so far.
 
-    node, n_shingles, home (its group), size (its component's), inverse, and top, the key's nearest group of the largest component; or with targets, a row for
-    each group that has the key, with bounds of what its members there are like.
+    node, n_shingles, common, home (its group), size (its component's), and top, the key's group of the largest component where most tokens are common; or with
+    targets, a row for each group that has the key, with bounds of what its members there are like.
     """
     tied = components(links).select("node", "component")
     placed = written(nodes.join(shares, "node").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
     weight = placed.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    placed = placed.join(weight, "component").select("node", "n_shingles", "leader", "part", F.struct("members", "component").alias("size"), "inverse")
+    placed = placed.join(weight, "component").select("node", "n_shingles", "leader", "part", F.struct("members", "component").alias("size"), "common")
     held = shared.select("key", "node").join(written(placed, "sized"), "node")
-    keyed = held.groupBy("key").agg(
-        F.min("size").alias("least"), F.max(F.struct("size", (-F.col("inverse")).alias("nearness"), "leader", "part")).alias("top"), F.min("inverse").alias("best")
-    )
-    mixed = written(keyed.filter("least < top.size").filter(2 * F.col("best") <= _most_inverse(percent)).select("key", "top", "best"), "mixed")
-    held = written(held.join(mixed, "key").filter(F.col("inverse") + F.col("best") <= _most_inverse(percent)), "held")
-    asking = held.filter("size < top.size").select("key", "node", "n_shingles", F.struct("leader", "part").alias("home"), "size", "inverse", "top")
+    top = F.max(F.struct("size", (F.col("common") / F.col("n_shingles")).alias("share"), "leader", "part", "n_shingles", "common")).alias("top")
+    bounds = [F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.max("common").alias("most_common")]
+    mixed = written(held.groupBy("key").agg(F.min("size").alias("least"), top, *bounds).filter("least < top.size").drop("least"), "mixed")
+    held = written(held.join(mixed, "key").filter(_can_link(F.col("small"), F.col("most_common"), percent)).drop("small", "large", "most_common"), "held")
+    asking = held.filter("size < top.size").select("key", "node", "n_shingles", F.struct("leader", "part").alias("home"), "size", "common", "top")
     if not targets:
         return asking
-    groups = held.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), F.min("n_shingles").alias("small"), F.max("n_shingles").alias("large"), F.min("inverse").alias("nearest"))
+    groups = held.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), *bounds)
     return asking.join(written(groups, "targets"), "key")
 
 
@@ -357,12 +360,12 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     # meets the largest component, and only what is apart after that asks all others.
     by = ["leader", "part"]
     at = _apart(nodes, shares, shared, first, percent)
-    asked = at.select("node", "home", "inverse", "top.leader", "top.part", (-F.col("top.nearness")).alias("nearest"))
-    asked = asked.filter((F.col("home") != F.struct(*by)) & (F.col("inverse") + F.col("nearest") <= _most_inverse(percent))).select(*by, "node").distinct()
+    asked = at.filter((F.col("home") != F.struct("top.leader", "top.part")) & _can_link(F.col("top.n_shingles"), F.col("top.common"), percent))
+    asked = asked.select("top.leader", "top.part", "node").distinct()
     asked = written(asked, "asked")
     hubs = written(_asked(asked, matrix, texts, n, percent), "links")
     at = _apart(nodes, shares, shared, first.unionByName(hubs), percent, targets=True)
-    fits = (F.col("greatest") > F.col("size")) & (F.col("home") != F.struct(*by)) & (F.col("inverse") + F.col("nearest") <= _most_inverse(percent))
+    fits = (F.col("greatest") > F.col("size")) & (F.col("home") != F.struct(*by)) & _can_link(F.col("small"), F.col("most_common"), percent)
     fits = fits & (100 * F.col("large") >= percent * F.col("n_shingles")) & (100 * F.col("n_shingles") >= percent * F.col("small"))
     rest = written(at.filter(fits).select(*by, "node").distinct().join(asked, [*by, "node"], "left_anti"), "asked")
     links = first.unionByName(hubs).unionByName(written(_asked(rest, matrix, texts, n, percent), "links"))
