@@ -68,10 +68,19 @@ def peaks(histogram: DataFrame, most: int = 5, apart: int = 2, share: float = 0.
     return rows.select("sample", chosen.alias("centers"))
 
 
-def length_class(length: Column, three: int, four: int, tolerance: int, centers: Column | None = None) -> Column:
-    """within_multi if centers are given and one is near, else within_3, within_4 or within_both; outside otherwise."""
-    a, b = F.abs(length - three) <= tolerance, F.abs(length - four) <= tolerance
-    plain = F.when(a & b, "within_both").when(a, "within_3").when(b, "within_4").otherwise("outside")
+def length_class(length: Column, three: int, four: int, tolerance: int, centers: Column | None = None, mode: str = "both") -> Column:
+    """within_3, within_4 or within_both, else outside; modes 3 and 4 look at one of the two only.
+
+    With centers (the longest peaks of a sample) a length that is near none of them is outside, and one that is near a center only is within_multi.
+    """
+    a = F.abs(length - three) <= tolerance if mode != "4" else F.lit(False)
+    b = F.abs(length - four) <= tolerance if mode != "3" else F.lit(False)
+    inside = F.when(a & b, "within_both").when(a, "within_3").when(b, "within_4")
     if centers is None:
-        return plain
-    return F.when(F.exists(centers, lambda c: F.abs(length - c) <= tolerance), "within_multi").otherwise("outside")
+        return F.coalesce(inside, F.lit("outside"))
+    return F.when(F.exists(centers, lambda c: F.abs(length - c) <= tolerance), F.coalesce(inside, F.lit("within_multi"))).otherwise("outside")
+
+
+def length_passes(kind: Column, policy: str = "reject_outside") -> Column:
+    """Whether the length filter lets a read of this class through; unknown policies count as reject_outside."""
+    return kind == "outside" if policy == "reject_inside" else kind != "outside"

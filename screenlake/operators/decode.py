@@ -1,16 +1,19 @@
 """Decoding of reads: HP - OP - codons - CP, forward or reverse complement.
 
-Patterns are a screen's tags and their one-base variants: a table of a size fixed by the library design. They are matched by an equi-join of a
-read's windows with the pattern table; only reads whose closing primer is found go on to the other tags of that library. Per read, the best candidate in a total order
-is kept by one window over the read.
+Patterns are a screen's tags and their one-base variants: a table of a size fixed by the library design. A read's positions are joined with it by the
+first bases that all patterns have, which the planner does by broadcast where the table's size allows. What matches is few: it is collected by read in
+one shuffle, and the best candidate in a total order is chosen with array functions in that row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dna
+from ..plans.staging import staged
 
 TOLERANCE = 3
 
@@ -31,56 +34,128 @@ def directed(reads: DataFrame) -> DataFrame:
 
 
 def hits(oriented: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame:
-    """read_id, dir, pos and the matched pattern, for all windows of the given lengths. The pattern table is joined as the planner sees fit: it is small by design."""
-    windows = F.flatten(F.array(*[F.coalesce(dna.kmers(F.col("seq"), k), F.array().cast("array<struct<pos:int,kmer:string>>")) for k in lengths]))
-    return oriented.select("read_id", "dir", F.explode(windows).alias("w")).select("read_id", "dir", "w.pos", "w.kmer").join(table, "kmer")
+    """read_id, dir, pos (from 0) and the matched pattern, for all places of all patterns; lengths are the patterns' lengths."""
+    k = min(lengths)
+    seeded = table.withColumn("seed", F.substring("kmer", 1, k))
+    places = oriented.filter(F.length("seq") >= k).select("read_id", "dir", "seq", F.explode(F.sequence(F.lit(0), F.length("seq") - k)).alias("pos"))
+    met = places.withColumn("seed", F.substring("seq", F.col("pos") + 1, F.lit(k))).join(seeded, "seed")
+    return met.filter(F.substring("seq", F.col("pos") + 1, F.col("len")) == F.col("kmer")).drop("seq", "seed")
+
+
+def collected(reads: DataFrame, table: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
+    """read_id and four arrays of what matches the read in either direction: cp, op, hp and codon."""
+    one = F.struct("dir", "lib_id", "cycle", "pos", "len", "miss", "bb_id")
+    lists = [F.collect_list(F.when(F.col("type") == kind, one)).alias(kind.lower()) for kind in ("CP", "OP", "HP", "CODON")]
+    return hits(directed(reads), table, sorted({n for v in sizes.values() for n in v})).groupBy("read_id").agg(*lists)
+
+
+def _chain(at: Column, cycles: int, tolerance: int) -> Column:
+    """The best chain of codons between an opening and a closing primer: penalty and path, or null."""
+    cp, op = at["cp"], at["op"]
+    own = F.filter("codon", lambda c: (c["dir"] == cp["dir"]) & (c["lib_id"] == cp["lib_id"]))
+    nothing = F.array().cast("array<struct<pos:int,len:int,bb_id:string>>")
+    state = F.array(F.struct((op["pos"] + op["len"]).alias("end"), F.lit(0).alias("penalty"), nothing.alias("path")))
+
+    def longer(s: Column, c: Column) -> Column:
+        path = F.concat(s["path"], F.array(F.struct(c["pos"].alias("pos"), c["len"].alias("len"), c["bb_id"].alias("bb_id"))))
+        return F.struct((c["pos"] + c["len"]).alias("end"), (s["penalty"] + F.abs(c["pos"] - s["end"])).alias("penalty"), path.alias("path"))
+
+    def extended(state: Column, k: int) -> Column:
+        after = lambda s: F.filter(own, lambda c: (c["cycle"] == k) & (F.abs(c["pos"] - s["end"]) <= tolerance))
+        return F.flatten(F.transform(state, lambda s: F.transform(after(s), lambda c: longer(s, c))))
+
+    for k in range(1, cycles + 1):
+        state = extended(state, k)
+    ended = F.filter(state, lambda s: F.abs(cp["pos"] - s["end"]) <= tolerance)
+    return F.array_min(F.transform(ended, lambda s: F.struct((s["penalty"] + F.abs(cp["pos"] - s["end"])).alias("penalty"), s["path"].alias("path"))))
 
 
 def decoded(reads: DataFrame, table: DataFrame, cycles: int, sizes: dict[str, list[int]], tolerance: int = TOLERANCE) -> DataFrame:
     """read_id, dir, lib_id, cp_pos, op_pos, hp_pos, penalty and bb1.. of each read's first success.
 
-    Order: forward first; closing primer without a miss, then rightmost, then shorter; opening primer likewise and of the library before a global one; head likewise;
-    then the chain of codons with the least sum of gaps, then the leftmost.
+    Order: forward first; closing primer without a miss, then rightmost, then by library, then shorter; opening primer likewise and of the library before a global
+    one; head likewise; then the chain of codons with the least sum of gaps, then the leftmost.
     """
-    both = directed(reads)
-    of = lambda kind: table.filter(F.col("type") == kind).drop("type")
-    cp = hits(both, of("CP"), sizes["CP"]).select("read_id", "dir", "lib_id", F.col("pos").alias("cp_pos"), F.col("len").alias("cp_len"), F.col("miss").alias("cp_miss"))
-    rest = both.join(cp.select("read_id", "dir").distinct(), ["read_id", "dir"], "left_semi")
-
-    def anchor(kind: str, name: str) -> DataFrame:
-        found = hits(rest, of(kind), sizes[kind])
-        return found.select("read_id", "dir", F.col("lib_id").alias(f"{name}_lib"), F.col("pos").alias(f"{name}_pos"), F.col("len").alias(f"{name}_len"), F.col("miss").alias(f"{name}_miss"))
-
-    own = lambda name: (F.col(f"{name}_lib") == F.col("lib_id")) | (F.col(f"{name}_lib") == "")
-    x = cp.join(anchor("OP", "op"), ["read_id", "dir"]).filter(own("op") & (F.col("op_pos") < F.col("cp_pos")))
-    x = x.join(anchor("HP", "hp"), ["read_id", "dir"]).filter(own("hp") & (F.col("hp_pos") < F.col("op_pos")) & (F.abs(F.col("op_pos") - F.col("hp_pos") - F.col("hp_len")) <= tolerance))
-    codons = hits(rest, of("CODON"), sizes["CODON"]).select("read_id", "dir", "lib_id", "cycle", "pos", F.col("len").alias("n"), "bb_id")
-    end: Column = F.col("op_pos") + F.col("op_len")
-    penalty: Column = F.lit(0)
-    for k in range(1, cycles + 1):
-        c = codons.filter(F.col("cycle") == k).select("read_id", "dir", "lib_id", F.col("pos").alias(f"c{k}_pos"), F.col("n").alias(f"c{k}_len"), F.col("bb_id").alias(f"bb{k}"))
-        x = x.join(c, ["read_id", "dir", "lib_id"]).filter(F.abs(F.col(f"c{k}_pos") - end) <= tolerance)
-        penalty = penalty + F.abs(F.col(f"c{k}_pos") - end)
-        end = F.col(f"c{k}_pos") + F.col(f"c{k}_len")
-    x = x.filter(F.abs(F.col("cp_pos") - end) <= tolerance).withColumn("penalty", penalty + F.abs(F.col("cp_pos") - end))
-    order = ["dir"]
-    for a in ("cp", "op", "hp"):
-        order += [F.col(f"{a}_miss"), F.desc(f"{a}_pos"), *([F.when(F.col(f"{a}_lib") == F.col("lib_id"), 0).otherwise(1)] if a != "cp" else [F.col("lib_id")]), F.col(f"{a}_len")]
-    order += ["penalty", *[c for k in range(1, cycles + 1) for c in (f"c{k}_pos", f"c{k}_len", f"bb{k}")]]
-    first = x.withColumn("_r", F.row_number().over(Window.partitionBy("read_id").orderBy(*order))).filter("_r = 1")
-    return first.select("read_id", "dir", "lib_id", "cp_pos", "cp_len", "cp_miss", "op_pos", "op_len", "op_miss", "hp_pos", "hp_len", "hp_miss", "penalty", *[f"c{k}_pos" for k in range(1, cycles + 1)], *[f"bb{k}" for k in range(1, cycles + 1)])
+    found = collected(reads, table, sizes).filter("size(cp) > 0 and size(op) > 0 and size(hp) > 0 and size(codon) > 0")
+    before = lambda x, cp, limit: (x["dir"] == cp["dir"]) & ((x["lib_id"] == cp["lib_id"]) | (x["lib_id"] == "")) & (x["pos"] < limit)
+    pairs = F.flatten(F.transform("cp", lambda cp: F.transform(F.filter("op", lambda op: before(op, cp, cp["pos"])), lambda op: F.struct(cp.alias("cp"), op.alias("op")))))
+    found = found.withColumn("pairs", pairs).filter("size(pairs) > 0")
+    near = lambda p: F.filter("hp", lambda hp: before(hp, p["cp"], p["op"]["pos"]) & (F.abs(p["op"]["pos"] - hp["pos"] - hp["len"]) <= tolerance))
+    found = found.withColumn("triples", F.flatten(F.transform("pairs", lambda p: F.transform(near(p), lambda hp: F.struct(p["cp"].alias("cp"), p["op"].alias("op"), hp.alias("hp"))))))
+
+    def order(t: Column) -> Column:
+        rank = lambda x: [x["miss"], -x["pos"], F.when(x["lib_id"] == t["cp"]["lib_id"], 0).otherwise(1), x["len"]]
+        return F.struct(t["cp"]["dir"], t["cp"]["miss"], -t["cp"]["pos"], t["cp"]["lib_id"], t["cp"]["len"], *rank(t["op"]), *rank(t["hp"]))
+
+    whole = F.transform("triples", lambda t: F.struct(order(t).alias("order"), _chain(t, cycles, tolerance).alias("chain"), t.alias("at")))
+    best = found.withColumn("best", F.array_min(F.filter(whole, lambda x: x["chain"].isNotNull()))).filter("best is not null")
+    anchor = [F.col(f"best.at.{a}.{c}").alias(f"{a}_{c}") for a in ("cp", "op", "hp") for c in ("pos", "len", "miss")]
+    path = F.col("best.chain.path")
+    codons = [F.get(path, F.lit(k))["pos"].alias(f"c{k + 1}_pos") for k in range(cycles)] + [F.get(path, F.lit(k))["bb_id"].alias(f"bb{k + 1}") for k in range(cycles)]
+    return best.select("read_id", F.col("best.at.cp.dir").alias("dir"), F.col("best.at.cp.lib_id").alias("lib_id"), *anchor, F.col("best.chain.penalty").alias("penalty"), *codons)
+
+
+def ordered(done: DataFrame, cycles: int) -> Column:
+    """Whether head, opening primer, codons and closing primer start in this order."""
+    starts = ["hp_pos", "op_pos", *[f"c{k}_pos" for k in range(1, cycles + 1)], "cp_pos"]
+    return reduce(lambda a, b: a & b, [done[x] <= done[y] for x, y in zip(starts, starts[1:], strict=False)])
 
 
 def undecoded_reasons(reads: DataFrame, done: DataFrame, table: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
     """read_id and reason of reads that aren't decoded: the first kind of anchor that the forward strand lacks in any library, else codon_fail."""
     left = reads.join(done.select("read_id"), "read_id", "left_anti")
     forward = left.select("read_id", F.lit(0).alias("dir"), "seq")
-    out = left.select("read_id")
-    for kind in ("CP", "OP", "HP"):
-        found = hits(forward, table.filter(F.col("type") == kind).drop("type"), sizes[kind]).select("read_id").distinct().withColumn(f"_{kind}", F.lit(True))
-        out = out.join(found, "read_id", "left")
-    reason = F.when(F.col("_CP").isNull(), "no_cp").when(F.col("_OP").isNull(), "no_op").when(F.col("_HP").isNull(), "no_hp").otherwise("codon_fail")
-    return out.select("read_id", reason.alias("reason"))
+    anchors = table.filter("type != 'CODON'")
+    there = [F.max(F.col("type") == kind).alias(f"_{kind}") for kind in ("CP", "OP", "HP")]
+    found = hits(forward, anchors, sorted({n for k, v in sizes.items() if k != "CODON" for n in v})).groupBy("read_id").agg(*there)
+    lacks = lambda kind: ~F.coalesce(f"_{kind}", F.lit(False))
+    reason = F.when(lacks("CP"), "no_cp").when(lacks("OP"), "no_op").when(lacks("HP"), "no_hp").otherwise("codon_fail")
+    return left.select("read_id").join(found, "read_id", "left").select("read_id", reason.alias("reason"))
+
+
+def outcomes(reads: DataFrame, table: DataFrame, cycles: int, sizes: dict[str, list[int]], passes: Column, tolerance: int = TOLERANCE) -> tuple[DataFrame, DataFrame]:
+    """Decoded reads, and sample, read_id and outcome of every read: len_out_of_range, decoded, order_violation or why it isn't decoded.
+
+    reads: sample, read_id, seq; passes says which reads the length filter lets through.
+    """
+    marked = reads.withColumn("_passes", F.coalesce(passes, F.lit(False)))
+    tried = marked.filter("_passes").select("read_id", "seq")
+    done = staged(decoded(tried, table, cycles, sizes, tolerance))
+    failed = undecoded_reasons(tried, done, table, sizes)
+    known = done.select("read_id", F.when(ordered(done, cycles), "decoded").otherwise("order_violation").alias("_why")).unionByName(failed.select("read_id", F.col("reason").alias("_why")))
+    every = marked.select("sample", "read_id").join(known, "read_id", "left").select("sample", "read_id", F.coalesce("_why", F.lit("len_out_of_range")).alias("outcome"))
+    return done.filter(ordered(done, cycles)), every
+
+
+def decoding_summary(every: DataFrame) -> DataFrame:
+    """By sample: reads in all, decoded, and not decoded by reason."""
+    kinds = {"decoded_reads": "decoded", **{k: k for k in ("no_cp", "no_op", "no_hp", "codon_fail", "len_out_of_range", "order_violation")}}
+    return every.groupBy("sample").agg(F.count(F.lit(1)).alias("total_reads"), *[F.count_if(F.col("outcome") == v).alias(k) for k, v in kinds.items()])
+
+
+def sample_stats(every: DataFrame) -> DataFrame:
+    """By sample: reads, reads that passed the length filter, decoded reads, and their percentage to three places."""
+    passed, found = F.count_if(F.col("outcome") != "len_out_of_range"), F.count_if(F.col("outcome") == "decoded")
+    rows = every.groupBy("sample").agg(F.count(F.lit(1)).alias("total_reads"), passed.alias("length_passed_reads"), found.alias("decoded_reads"))
+    return rows.withColumn("decode_rate_pct", F.round(100.0 * F.col("decoded_reads") / F.col("total_reads"), 3))
+
+
+def cycle_distribution(done: DataFrame, cycles: int) -> DataFrame:
+    """Decoded reads by sample, library and number of cycles. done: sample, lib_id."""
+    return done.groupBy("sample", "lib_id").agg(F.count(F.lit(1)).alias("n")).select("sample", "lib_id", F.lit(cycles).alias("cycles"), "n")
+
+
+def quality_checks(done: DataFrame, every: DataFrame, codon: int = 9, cp_least: int = 27, cp_most: int = 29) -> DataFrame:
+    """By sample: reads in the wrong order, and decoded ones whose closing primer has an odd length."""
+    odd = done.groupBy("sample").agg(F.count_if(~F.col("cp_len").between(cp_least, cp_most)).alias("cp_len_odd"))
+    rows = every.groupBy("sample").agg(F.count_if(F.col("outcome") == "order_violation").alias("order_violation"))
+    return rows.join(odd, "sample", "left").na.fill(0, ["cp_len_odd"])
+
+
+def variant_collisions(table: DataFrame) -> DataFrame:
+    """Closing-primer texts, variants included, that several libraries claim: reads with them could belong to either."""
+    claims = table.filter("type = 'CP'").groupBy("kmer").agg(F.countDistinct("lib_id").alias("libs"), F.concat_ws(",", F.sort_array(F.collect_set("lib_id"))).alias("claimed_by"))
+    return claims.filter("libs > 1")
 
 
 def gap_stats(done: DataFrame, cycles: int, codon: int) -> DataFrame:

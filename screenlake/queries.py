@@ -405,7 +405,7 @@ def kmer_scan(spark, sf_dir):
 CYCLES, SIZES = 3, {"HP": [7, 8, 9], "OP": [11, 12, 13], "CP": [15, 16, 17], "CODON": [9]}
 
 
-def tags(spark: SparkSession) -> DataFrame:
+def _design() -> list[tuple[str, str, int, str, str]]:
     """A library design of two libraries with six codons a cycle, made from hashes."""
     import hashlib
 
@@ -414,13 +414,17 @@ def tags(spark: SparkSession) -> DataFrame:
     for lib in ("L1", "L2"):
         rows.append(("CP", lib, 0, f"C{lib}", seq(f"cp{lib}", 16)))
         rows += [("CODON", lib, c, f"{lib}B{c}{k}", seq(f"{lib}{c}{k}", 9)) for c in (1, 2, 3) for k in range(6)]
-    return spark.createDataFrame(rows, "type string, lib_id string, cycle int, bb_id string, seq string")
+    return rows
+
+
+def tags(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(_design(), "type string, lib_id string, cycle int, bb_id string, seq string")
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A read for each event: a molecule of the design, changed by the class event_id % 8."""
+    """A read for each event: a molecule of the design, changed by the class event_id % 8; in one of four samples."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    t = {(r.type, r.lib_id, r.cycle, r.bb_id): r.seq for r in tags(spark).collect()}  # the design is a constant of 40 rows
+    t = {r[:4]: r[4] for r in _design()}
     pick = lambda lib, c: F.element_at(F.array(*[F.lit(t["CODON", lib, c, f"{lib}B{c}{k}"]) for k in range(6)]), (F.col("event_id") % (5 + c - 1) % 6 + 1).cast("int"))
     body = lambda lib: F.concat(F.lit(t["HP", "", 0, "H1"] + t["OP", "", 0, "O1"]), pick(lib, 1), pick(lib, 2), pick(lib, 3), F.lit(t["CP", lib, 0, f"C{lib}"]))
     whole = F.when(F.col("event_id") % 3 == 0, body("L2")).otherwise(body("L1"))
@@ -429,41 +433,132 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(c == 1, dna.reverse_complement(whole)).when(c == 2, F.concat(F.substring(whole, 1, 3), F.substring(whole, 5, 200))).when(c == 3, F.substring(whole, 9, 200))
         .when(c == 4, F.substring(whole, 1, 47)).when(c == 5, F.concat(F.lit("GATTACA"), whole)).when(c == 6, F.concat(F.substring(whole, 1, 20), F.lit("TTTTTTTT"), F.substring(whole, 21, 200))).otherwise(whole)
     )
-    return e.select(F.col("event_id").alias("read_id"), read.alias("seq"))
+    return e.select(F.concat(F.lit("S"), (F.floor(F.col("event_id") / 8) % 4).cast("string")).alias("sample"), F.col("event_id").alias("read_id"), read.alias("seq"))
+
+
+def _decode_sql() -> str:
+    """The reads, the patterns with their variants, all hits and the best candidate of each read, as table expressions."""
+
+    def variants(s: str) -> set[str]:
+        n = len(s)
+        out = {s[:i] + b + s[i + 1 :] for i in range(n) for b in "ACGT"} | {s[:i] + s[i + 1 :] for i in range(n)}
+        return (out | {s[:i] + b + s[i:] for i in range(1, n) for b in "ACGT" if not (i == 1 and b == s[0]) and not (i == n - 1 and b == s[-1])}) - {s}
+
+    t, rows = {r[:4]: r[4] for r in _design()}, []
+    for kind, lib, cycle, bb, seq in _design():
+        rows += [(kind, lib, cycle, bb, k, m) for k, m in [(seq, 0), *[(v, 1) for v in sorted(variants(seq)) if kind != "CODON"]]]
+    values = ", ".join(f"('{a}', '{b}', {c}, '{d}', '{e}', {f})" for a, b, c, d, e, f in rows)
+    pick = lambda lib, c: "[" + ", ".join(f"'{t['CODON', lib, c, f'{lib}B{c}{k}']}'" for k in range(6)) + f"][(event_id % {5 + c - 1} % 6 + 1)::INT]"
+    body = lambda lib: f"'{t['HP', '', 0, 'H1'] + t['OP', '', 0, 'O1']}' || {pick(lib, 1)} || {pick(lib, 2)} || {pick(lib, 3)} || '{t['CP', lib, 0, f'C{lib}']}'"
+    best = "dir, cp_miss, cp_pos DESC, lib_id, cp_len, op_miss, op_pos DESC, CASE WHEN op_lib = lib_id THEN 0 ELSE 1 END, op_len, hp_miss, hp_pos DESC, CASE WHEN hp_lib = lib_id THEN 0 ELSE 1 END, hp_len, penalty, c1_pos, bb1, c2_pos, bb2, c3_pos, bb3"
+    codon = lambda k, end: f"JOIN h c{k} ON c{k}.read_id = cp.read_id AND c{k}.dir = cp.dir AND c{k}.lib_id = cp.lib_id AND c{k}.type = 'CODON' AND c{k}.cycle = {k} AND abs(c{k}.pos - {end}) <= 3"
+    return f"""ev AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN {body("L2")} ELSE {body("L1")} END AS whole FROM events),
+    rd AS (SELECT 'S' || (event_id // 8 % 4) AS sample, event_id AS read_id, CASE event_id % 8 WHEN 1 THEN reverse(translate(whole, 'ACGT', 'TGCA')) WHEN 2 THEN substr(whole, 1, 3) || substr(whole, 5) WHEN 3 THEN substr(whole, 9)
+      WHEN 4 THEN substr(whole, 1, 47) WHEN 5 THEN 'GATTACA' || whole WHEN 6 THEN substr(whole, 1, 20) || 'TTTTTTTT' || substr(whole, 21) ELSE whole END AS seq FROM ev),
+    pat AS (SELECT * FROM (VALUES {values}) v(type, lib_id, cycle, bb_id, kmer, miss)),
+    tried AS (SELECT * FROM rd WHERE true),
+    di AS (SELECT read_id, 0 AS dir, seq FROM tried UNION ALL SELECT read_id, 1, reverse(translate(seq, 'ACGT', 'TGCA')) FROM tried),
+    wi AS (SELECT read_id, dir, i - 1 AS pos, substr(seq, i, k) AS kmer FROM di, generate_series(1, 80) g(i), (VALUES (7), (8), (9), (11), (12), (13), (15), (16), (17)) l(k) WHERE i + k - 1 <= length(seq)),
+    h AS (SELECT read_id, dir, pos::INTEGER AS pos, pat.*, length(kmer)::INTEGER AS len FROM wi JOIN pat USING (kmer)),
+    ca AS (SELECT cp.read_id, cp.dir, cp.lib_id, cp.pos AS cp_pos, cp.len AS cp_len, cp.miss AS cp_miss, op.pos AS op_pos, op.len AS op_len, op.miss AS op_miss, op.lib_id AS op_lib, hp.pos AS hp_pos, hp.len AS hp_len, hp.miss AS hp_miss, hp.lib_id AS hp_lib,
+      abs(c1.pos - (op.pos + op.len)) + abs(c2.pos - (c1.pos + c1.len)) + abs(c3.pos - (c2.pos + c2.len)) + abs(cp.pos - (c3.pos + c3.len)) AS penalty,
+      c1.pos AS c1_pos, c2.pos AS c2_pos, c3.pos AS c3_pos, c1.bb_id AS bb1, c2.bb_id AS bb2, c3.bb_id AS bb3
+      FROM h cp JOIN h op ON op.read_id = cp.read_id AND op.dir = cp.dir AND op.type = 'OP' AND op.lib_id IN ('', cp.lib_id) AND op.pos < cp.pos
+      JOIN h hp ON hp.read_id = cp.read_id AND hp.dir = cp.dir AND hp.type = 'HP' AND hp.lib_id IN ('', cp.lib_id) AND hp.pos < op.pos AND abs(op.pos - hp.pos - hp.len) <= 3
+      {codon(1, "(op.pos + op.len)")} {codon(2, "(c1.pos + c1.len)")} {codon(3, "(c2.pos + c2.len)")} WHERE cp.type = 'CP' AND abs(cp.pos - (c3.pos + c3.len)) <= 3),
+    done AS (SELECT * EXCLUDE (r, op_lib, hp_lib) FROM (SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY {best}) AS r FROM ca) WHERE r = 1),
+    an AS (SELECT read_id, max(CASE type WHEN 'CP' THEN 1 ELSE 0 END) AS cp, max(CASE type WHEN 'OP' THEN 1 ELSE 0 END) AS op, max(CASE type WHEN 'HP' THEN 1 ELSE 0 END) AS hp FROM h WHERE dir = 0 GROUP BY 1),
+    und AS (SELECT t.read_id, CASE WHEN coalesce(cp, 0) = 0 THEN 'no_cp' WHEN coalesce(op, 0) = 0 THEN 'no_op' WHEN coalesce(hp, 0) = 0 THEN 'no_hp' ELSE 'codon_fail' END AS reason
+      FROM tried t LEFT JOIN an USING (read_id) WHERE t.read_id NOT IN (SELECT read_id FROM done))"""
+
+
+_DECODE = "WITH " + _decode_sql()
+_LIMITED = _DECODE.replace("WHERE true", "WHERE abs(length(seq) - 63) <= 7")
+_OUTCOME = _LIMITED + ", oc AS (SELECT rd.sample, rd.read_id, CASE WHEN d.read_id IS NOT NULL THEN CASE WHEN hp_pos <= op_pos AND op_pos <= c1_pos AND c1_pos <= c2_pos AND c2_pos <= c3_pos AND c3_pos <= cp_pos THEN 'decoded' ELSE 'order_violation' END WHEN u.read_id IS NOT NULL THEN reason ELSE 'len_out_of_range' END AS outcome FROM rd LEFT JOIN done d ON d.read_id = rd.read_id LEFT JOIN und u ON u.read_id = rd.read_id)"
 
 
 def _done(spark, sf_dir):
-    table = decode.patterns(tags(spark))
-    r = reads(spark, sf_dir)
+    table = staged(decode.patterns(tags(spark)))
+    r = reads(spark, sf_dir).select("read_id", "seq")
     return r, table, decode.decoded(r, table, CYCLES, SIZES)
 
 
-@_query()
+def _outcomes(spark, sf_dir):
+    """Decoded reads with their sample, and every read's outcome, behind a filter on lengths."""
+    r = reads(spark, sf_dir)
+    kind = counts.length_class(F.length("seq"), 63, 63, 7, mode="3")
+    done, every = decode.outcomes(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES, counts.length_passes(kind))
+    return done.join(r.select("sample", "read_id"), "read_id"), every
+
+
+@_query(f"{_DECODE} SELECT * FROM done")
 def decode_reads(spark, sf_dir):
     return _done(spark, sf_dir)[2]
 
 
-@_query()
+@_query(f"{_DECODE} SELECT * FROM und")
 def undecoded_reasons(spark, sf_dir):
     r, table, done = _done(spark, sf_dir)
-    return decode.undecoded_reasons(r, done, table, SIZES)
+    return decode.undecoded_reasons(r, staged(done), table, SIZES)
 
 
-@_query()
+_GAPS = ", gaps AS (SELECT lib_id, 'hp_op' AS metric, op_pos - hp_pos - hp_len AS gap FROM done UNION ALL SELECT lib_id, 'op_c1', c1_pos - op_pos - op_len FROM done UNION ALL SELECT lib_id, 'c1_c2', c2_pos - c1_pos - 9 FROM done UNION ALL SELECT lib_id, 'c2_c3', c3_pos - c2_pos - 9 FROM done UNION ALL SELECT lib_id, 'c3_cp', cp_pos - c3_pos - 9 FROM done)"
+
+
+@_query(f"{_DECODE}{_GAPS} SELECT lib_id, metric, count(*) AS n, round(avg(gap), 6) AS mean, round(stddev_pop(gap), 6) AS sd, min(gap)::DOUBLE AS least, max(gap)::DOUBLE AS greatest FROM gaps GROUP BY ALL")
 def gap_stats(spark, sf_dir):
-    return decode.gap_stats(_done(spark, sf_dir)[2], CYCLES, 9)
+    return rounded(decode.gap_stats(_done(spark, sf_dir)[2], CYCLES, 9), "mean", "sd")
 
 
-@_query()
+@_query(f"{_DECODE} SELECT lib_id, dir, count(*) AS n, " + ", ".join(f"count(*) FILTER ({a}_miss = {m}) AS {a}_{w}" for a in ("hp", "op", "cp") for m, w in ((0, "perf"), (1, "miss"))) + " FROM done GROUP BY ALL")
 def anchor_quality(spark, sf_dir):
     return decode.anchor_quality(_done(spark, sf_dir)[2])
 
 
-@_query()
+@_query(f"{_DECODE} SELECT lib_id, cycle, bb_id, count(*) AS n FROM (SELECT lib_id, 1 AS cycle, bb1 AS bb_id FROM done UNION ALL SELECT lib_id, 2, bb2 FROM done UNION ALL SELECT lib_id, 3, bb3 FROM done) GROUP BY ALL")
 def bb_frequency_by_cycle(spark, sf_dir):
     return decode.block_counts(_done(spark, sf_dir)[2], CYCLES)
 
 
+@_query(f"{_OUTCOME} SELECT sample, count(*) AS total_reads, count(*) FILTER (outcome = 'decoded') AS decoded_reads, " + ", ".join(f"count(*) FILTER (outcome = '{k}') AS {k}" for k in ("no_cp", "no_op", "no_hp", "codon_fail", "len_out_of_range", "order_violation")) + " FROM oc GROUP BY sample")
+def decoding_summary(spark, sf_dir):
+    return decode.decoding_summary(_outcomes(spark, sf_dir)[1])
+
+
+@_query(f"{_OUTCOME} SELECT sample, count(*) AS total_reads, count(*) FILTER (outcome <> 'len_out_of_range') AS length_passed_reads, count(*) FILTER (outcome = 'decoded') AS decoded_reads, round(100.0 * count(*) FILTER (outcome = 'decoded') / count(*), 3) AS decode_rate_pct FROM oc GROUP BY sample")
+def sample_stats(spark, sf_dir):
+    return decode.sample_stats(_outcomes(spark, sf_dir)[1])
+
+
+@_query(f"{_OUTCOME} SELECT sample, lib_id, 3 AS cycles, count(*) AS n FROM oc JOIN done USING (read_id) WHERE outcome = 'decoded' GROUP BY ALL")
+def cycle_distribution(spark, sf_dir):
+    return decode.cycle_distribution(_outcomes(spark, sf_dir)[0], CYCLES)
+
+
+@_query(f"{_OUTCOME} SELECT sample, count(*) FILTER (outcome = 'order_violation') AS order_violation, count(*) FILTER (outcome = 'decoded' AND NOT cp_len BETWEEN 16 AND 17) AS cp_len_odd FROM oc LEFT JOIN done USING (read_id) GROUP BY sample")
+def qc_checks(spark, sf_dir):
+    done, every = _outcomes(spark, sf_dir)
+    return decode.quality_checks(done, every, 9, 16, 17)
+
+
+@_query(f"{_OUTCOME}, c AS (SELECT lib_id, '3_' || bb1 || '_' || bb2 || '_' || bb3 || '_NA' AS id, sample, count(*) AS n FROM oc JOIN done USING (read_id) WHERE outcome = 'decoded' GROUP BY ALL), d AS (SELECT sample, count(*) AS denominator FROM oc WHERE outcome <> 'len_out_of_range' GROUP BY 1) SELECT lib_id, id, c.sample, n, round(n * 1e6 / denominator, 6) AS cpm FROM c JOIN d USING (sample)")
+def cpm_sample_length_passed(spark, sf_dir):
+    done, every = _outcomes(spark, sf_dir)
+    found = counts.cells(done.withColumn("id", ids.chain_id(F.lit(CYCLES), *[F.col(f"bb{k}") for k in (1, 2, 3)], F.lit("NA"))))
+    return counts.cpm(found, every.filter("outcome != 'len_out_of_range'").groupBy("sample").agg(F.count(F.lit(1)).alias("denominator")), ["sample"])
+
+
+_CLAIMS = "tg AS (SELECT p_partkey, 'L' || (p_partkey % 40) AS lib_id, translate(substr(md5((p_partkey % 60)::VARCHAR), 1, 10), '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq FROM part), va AS (SELECT lib_id, seq AS kmer FROM tg UNION SELECT lib_id, substr(seq, 1, i - 1) || b || substr(seq, i + 1) FROM tg, generate_series(1, 10) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) UNION SELECT lib_id, substr(seq, 1, i - 1) || substr(seq, i + 1) FROM tg, generate_series(1, 10) g(i) UNION SELECT lib_id, substr(seq, 1, i) || b || substr(seq, i + 1) FROM tg, generate_series(1, 9) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE NOT (i = 1 AND b = substr(seq, 1, 1)) AND NOT (i = 9 AND b = substr(seq, 10, 1)))"
+
+
+@_query(f"WITH {_CLAIMS} SELECT kmer, count(DISTINCT lib_id) AS libs, string_agg(DISTINCT lib_id, ',' ORDER BY lib_id) AS claimed_by FROM va GROUP BY kmer HAVING count(DISTINCT lib_id) > 1")
+def cp_variant_collisions(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
+    seq = F.translate(F.substring(F.md5((F.col("p_partkey") % 60).cast("string").cast("binary")), 1, 10), "0123456789abcdef", "ACGTACGTACGTACGT")
+    rows = p.select(F.lit("CP").alias("type"), F.concat(F.lit("L"), (F.col("p_partkey") % 40).cast("string")).alias("lib_id"), F.lit(0).alias("cycle"), F.col("p_name").alias("bb_id"), seq.alias("seq"))
+    return decode.variant_collisions(decode.patterns(rows))
+
+
 @_query("WITH l AS (SELECT source AS sample, length(text) AS n FROM documents) SELECT sample, count(*) FILTER (abs(n - 830) <= 500 AND NOT abs(n - 1500) <= 500) AS within_3, count(*) FILTER (abs(n - 1500) <= 500 AND NOT abs(n - 830) <= 500) AS within_4, count(*) FILTER (abs(n - 830) <= 500 AND abs(n - 1500) <= 500) AS within_both, count(*) FILTER (abs(n - 830) > 500 AND abs(n - 1500) > 500) AS outside FROM l GROUP BY 1")
 def length_windows(spark, sf_dir):
     d = spark.read.parquet(f"{sf_dir}/documents.parquet")
