@@ -19,21 +19,22 @@ import numpy as np
 SPACE = "▁"  # the model's mark for a space
 PAIR_LIMIT = 200_000  # pairs of pieces that are known to agree or not
 SLICE_CHARS = 200_000  # new text that is settled at once
-CACHE_LIMIT = 100_000  # entries of one generation of a cache
+CACHE_LIMIT = 250_000  # entries of one generation of a cache
 
 
 class Cache(dict):
     """A dict of bounded size: when it is full its entries become the old generation, from which those that are used again return."""
 
-    def __init__(self):
+    def __init__(self, limit: int = CACHE_LIMIT):
         super().__init__()
         self.old: dict = {}
+        self.limit = limit
 
     def __missing__(self, key):
         return self.old.get(key)
 
     def put(self, key, value):
-        if len(self) >= CACHE_LIMIT:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value

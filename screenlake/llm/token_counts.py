@@ -15,7 +15,7 @@ from __future__ import annotations
 import functools
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,10 +94,16 @@ class PrefixCounts:
         inner = [i for i, c in enumerate(self.chunk(parts[at])) if before[at] + c <= budget]
         return max(0, chars + inner[-1] - 1)
 
-    def measure(self, text: str, budget: int) -> tuple[int, int]:
-        """Tokens of the whole text, and characters of its longest prefix within budget."""
-        parts, before = self.totals(text)
-        return before[-1], self._within(parts, before, budget)
+    def measure(self, texts: list[str], budget: int) -> list[tuple[int, int]]:
+        """For each text its tokens, and characters of its longest prefix within budget."""
+        split = [bpe.chunks(t) for t in texts]
+        self.learn(list(chain.from_iterable(split)))
+        last = {c: counts[-1] for c, counts in self.now.items()}
+        out = []
+        for t, parts in zip(texts, split, strict=True):
+            total = sum(map(last.__getitem__, parts))
+            out.append((total, len(t) if total <= budget else self._within(parts, [0, *accumulate(map(last.__getitem__, parts))], budget)))
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -116,8 +122,7 @@ def with_counts(docs: DataFrame, model: str, budget: int, id_col: str = "doc_id"
         prefix = prefix_counts(model)
         for batch in small_batches(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            prefix.learn([c for t in texts for c in bpe.chunks(t)])
-            found = [prefix.measure(t, budget) for t in texts]
+            found = prefix.measure(texts, budget)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
