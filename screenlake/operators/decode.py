@@ -2,11 +2,12 @@
 
 Patterns are a screen's tags and their one-base variants: a table of a size fixed by the library design. A read's positions are joined with it by the
 first bases that all patterns have, which the planner does by broadcast where the table's size allows. What matches is few: it is collected by read in
-one shuffle, and the best candidate in a total order is chosen with array functions in that row.
+one shuffle, its chains are laid out as rows beside it, and the first one in a total order is kept.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,50 +50,43 @@ def collected(reads: DataFrame, table: DataFrame, sizes: dict[str, list[int]]) -
     return hits(directed(reads), table, sorted({n for v in sizes.values() for n in v})).groupBy("read_id").agg(*lists)
 
 
-def _chain(at: Column, cycles: int, tolerance: int) -> Column:
-    """The best chain of codons between an opening and a closing primer: penalty and path, or null."""
-    cp, op = at["cp"], at["op"]
-    own = F.filter("codon", lambda c: (c["dir"] == cp["dir"]) & (c["lib_id"] == cp["lib_id"]))
-    nothing = F.array().cast("array<struct<pos:int,len:int,bb_id:string>>")
-    state = F.array(F.struct((op["pos"] + op["len"]).alias("end"), F.lit(0).alias("penalty"), nothing.alias("path")))
-
-    def longer(s: Column, c: Column) -> Column:
-        path = F.concat(s["path"], F.array(F.struct(c["pos"].alias("pos"), c["len"].alias("len"), c["bb_id"].alias("bb_id"))))
-        return F.struct((c["pos"] + c["len"]).alias("end"), (s["penalty"] + F.abs(c["pos"] - s["end"])).alias("penalty"), path.alias("path"))
-
-    def extended(state: Column, k: int) -> Column:
-        after = lambda s: F.filter(own, lambda c: (c["cycle"] == k) & (F.abs(c["pos"] - s["end"]) <= tolerance))
-        return F.flatten(F.transform(state, lambda s: F.transform(after(s), lambda c: longer(s, c))))
-
-    for k in range(1, cycles + 1):
-        state = extended(state, k)
-    ended = F.filter(state, lambda s: F.abs(cp["pos"] - s["end"]) <= tolerance)
-    return F.array_min(F.transform(ended, lambda s: F.struct((s["penalty"] + F.abs(cp["pos"] - s["end"])).alias("penalty"), s["path"].alias("path"))))
-
-
 def decoded(reads: DataFrame, table: DataFrame, cycles: int, sizes: dict[str, list[int]], tolerance: int = TOLERANCE) -> DataFrame:
     """read_id, dir, lib_id, cp_pos, op_pos, hp_pos, penalty and bb1.. of each read's first success.
 
     Order: forward first; closing primer without a miss, then rightmost, then by library, then shorter; opening primer likewise and of the library before a global
     one; head likewise; then the chain of codons with the least sum of gaps, then the leftmost.
     """
-    found = collected(reads, table, sizes).filter("size(cp) > 0 and size(op) > 0 and size(hp) > 0 and size(codon) > 0")
-    before = lambda x, cp, limit: (x["dir"] == cp["dir"]) & ((x["lib_id"] == cp["lib_id"]) | (x["lib_id"] == "")) & (x["pos"] < limit)
-    pairs = F.flatten(F.transform("cp", lambda cp: F.transform(F.filter("op", lambda op: before(op, cp, cp["pos"])), lambda op: F.struct(cp.alias("cp"), op.alias("op")))))
-    found = found.withColumn("pairs", pairs).filter("size(pairs) > 0")
-    near = lambda p: F.filter("hp", lambda hp: before(hp, p["cp"], p["op"]["pos"]) & (F.abs(p["op"]["pos"] - hp["pos"] - hp["len"]) <= tolerance))
-    found = found.withColumn("triples", F.flatten(F.transform("pairs", lambda p: F.transform(near(p), lambda hp: F.struct(p["cp"].alias("cp"), p["op"].alias("op"), hp.alias("hp"))))))
-
-    def order(t: Column) -> Column:
-        rank = lambda x: [x["miss"], -x["pos"], F.when(x["lib_id"] == t["cp"]["lib_id"], 0).otherwise(1), x["len"]]
-        return F.struct(t["cp"]["dir"], t["cp"]["miss"], -t["cp"]["pos"], t["cp"]["lib_id"], t["cp"]["len"], *rank(t["op"]), *rank(t["hp"]))
-
-    whole = F.transform("triples", lambda t: F.struct(order(t).alias("order"), _chain(t, cycles, tolerance).alias("chain"), t.alias("at")))
-    best = found.withColumn("best", F.array_min(F.filter(whole, lambda x: x["chain"].isNotNull()))).filter("best is not null")
-    anchor = [F.col(f"best.at.{a}.{c}").alias(f"{a}_{c}") for a in ("cp", "op", "hp") for c in ("pos", "len", "miss")]
-    path = F.col("best.chain.path")
-    codons = [F.get(path, F.lit(k))["pos"].alias(f"c{k + 1}_pos") for k in range(cycles)] + [F.get(path, F.lit(k))["bb_id"].alias(f"bb{k + 1}") for k in range(cycles)]
-    return best.select("read_id", F.col("best.at.cp.dir").alias("dir"), F.col("best.at.cp.lib_id").alias("lib_id"), *anchor, F.col("best.chain.penalty").alias("penalty"), *codons)
+    x = collected(reads, table, sizes).filter("size(cp) > 0 and size(op) > 0 and size(hp) > 0 and size(codon) > 0")
+    own = lambda h: (h["dir"] == F.col("c.dir")) & ((h["lib_id"] == F.col("c.lib_id")) | (h["lib_id"] == ""))
+    near = lambda a, b: F.abs(a - b) <= tolerance
+
+    def each(x: DataFrame, array: str, name: str, fits: Callable[[Column], Column]) -> DataFrame:
+        """A row for each element that fits. The outer form has no filter inferred from it, which would compute the array once more."""
+        return x.select("*", F.explode_outer(F.filter(array, fits)).alias(name)).filter(F.col(name).isNotNull())
+
+    x = x.select("*", F.explode_outer("cp").alias("c"))
+    x = x.withColumn("codon", F.filter("codon", lambda h: (h["dir"] == F.col("c.dir")) & (h["lib_id"] == F.col("c.lib_id"))))
+    x = each(x, "op", "o", lambda h: own(h) & (h["pos"] < F.col("c.pos")))
+    end, penalty = F.col("o.pos") + F.col("o.len"), F.lit(0)
+    for k in range(1, cycles + 1):
+        x = each(x, "codon", f"k{k}", _at_cycle(k, end, tolerance))
+        penalty = penalty + F.abs(F.col(f"k{k}.pos") - end)
+        end = F.col(f"k{k}.pos") + F.col(f"k{k}.len")
+    x = x.filter(near(F.col("c.pos"), end)).withColumn("penalty", penalty + F.abs(F.col("c.pos") - end))
+    x = each(x, "hp", "h", lambda h: own(h) & (h["pos"] < F.col("o.pos")) & near(F.col("o.pos"), h["pos"] + h["len"]))
+    rank = lambda a: [F.col(f"{a}.miss"), -F.col(f"{a}.pos"), F.when(F.col(f"{a}.lib_id") == F.col("c.lib_id"), 0).otherwise(1), F.col(f"{a}.len")]
+    path = [F.col(f"k{k}.{f}") for k in range(1, cycles + 1) for f in ("pos", "len", "bb_id")]
+    first = [F.col("c.dir"), F.col("c.miss"), -F.col("c.pos"), F.col("c.lib_id"), F.col("c.len"), *rank("o"), *rank("h"), F.col("penalty"), *path]
+    order = F.struct(*[v.alias(f"_{i}") for i, v in enumerate(first)])
+    kept = F.struct("c", "o", "h", "penalty", *[f"k{k}" for k in range(1, cycles + 1)])
+    best = x.groupBy("read_id").agg(F.min_by(kept, order).alias("best"))
+    anchor = [F.col(f"best.{a[0]}.{f}").alias(f"{a}_{f}") for a in ("cp", "op", "hp") for f in ("pos", "len", "miss")]
+    codons = [F.col(f"best.k{k}.pos").alias(f"c{k}_pos") for k in range(1, cycles + 1)] + [F.col(f"best.k{k}.bb_id").alias(f"bb{k}") for k in range(1, cycles + 1)]
+    return best.select("read_id", F.col("best.c.dir").alias("dir"), F.col("best.c.lib_id").alias("lib_id"), *anchor, F.col("best.penalty").alias("penalty"), *codons)
+
+
+def _at_cycle(k: int, end: Column, tolerance: int) -> Callable[[Column], Column]:
+    return lambda h: (h["cycle"] == k) & (F.abs(h["pos"] - end) <= tolerance)
 
 
 def ordered(done: DataFrame, cycles: int) -> Column:

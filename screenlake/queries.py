@@ -424,6 +424,7 @@ def tags(spark: SparkSession) -> DataFrame:
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A read for each event: a molecule of the design, changed by the class event_id % 8; in one of four samples."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    e = e.repartition(spark.sparkContext.defaultParallelism, "event_id")  # one row group in one file would be one task
     t = {r[:4]: r[4] for r in _design()}
     pick = lambda lib, c: F.element_at(F.array(*[F.lit(t["CODON", lib, c, f"{lib}B{c}{k}"]) for k in range(6)]), (F.col("event_id") % (5 + c - 1) % 6 + 1).cast("int"))
     body = lambda lib: F.concat(F.lit(t["HP", "", 0, "H1"] + t["OP", "", 0, "O1"]), pick(lib, 1), pick(lib, 2), pick(lib, 3), F.lit(t["CP", lib, 0, f"C{lib}"]))
