@@ -204,6 +204,6 @@ def rows_to_fit(m: DataFrame, mode: str, percent: float, cap: int | None = None)
     if mode != "top":
         return m.withColumn("fit", F.lit(mode == "full"))
     score = (F.greatest("base_r1", F.lit(0.0)) * 0.5 + F.greatest("base_r2", F.lit(0.0))) * F.log10(F.col("mean_r1") + F.col("mean_r2") + 1)
-    m = stats.counted(m.withColumn("_base", score), "_base")
+    m = stats.counted(m.withColumn("_base", F.round(score, 9)), "_base")
     k = F.least(F.round(F.col("rows") * percent / 100.0), F.lit(cap if cap else 1 << 62))
     return m.withColumn("fit", F.col("rows") - F.col("below") - F.col("ties") < k).drop("_base", "below", "ties", "rows")

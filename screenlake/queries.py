@@ -44,6 +44,10 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
+def rounded9(df: DataFrame, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 9) for c in cols})
+
+
 def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.matrix(cube(spark, sf_dir), SAMPLES, keep=BBS)
 
@@ -275,15 +279,15 @@ def bh_qvalues(spark, sf_dir):
     return rounded(stats.false_discovery(r, "p", "q").select("lib_id", "id", "q"), "q")
 
 
-_RATIO3 = ", ".join(f"CASE WHEN mad_{k} > 0 AND sd_{k} > 0 THEN sd_{k} / mad_{k} END" for k in ("del2", "bead", "paired"))
+_RATIO3 = ", ".join(f"CASE WHEN round(mad_{k}, 9) > 0 AND round(sd_{k}, 9) > 0 THEN round(sd_{k}, 9) / round(mad_{k}, 9) END" for k in ("del2", "bead", "paired"))
 _RS1 = f"rv AS (SELECT *, 0.3 * coalesce(list_avg([{_RATIO3}]), 0.0) AS var_penalty FROM r)"
 
 
-@_query(f"WITH {MATRIX_SQL}, {_RS0}, {_RS1} SELECT lib_id, id, round(var_penalty, 4) AS var_penalty, round(0.5 * boost - var_penalty, 4) AS rs_score FROM rv WHERE (mad_del2 > 1e-9 OR mad_del2 = 0) AND (mad_bead > 1e-9 OR mad_bead = 0) AND (mad_paired > 1e-9 OR mad_paired = 0) AND (sd_del2 > 1e-9 OR sd_del2 = 0)")
+@_query(f"WITH {MATRIX_SQL}, {_RS0}, {_RS1} SELECT lib_id, id, round(var_penalty, 4) AS var_penalty, round(0.5 * boost - var_penalty, 4) AS rs_score FROM rv")
 def readscaler_score(spark, sf_dir):
-    r = hits.rs_score(_read_scaler(spark, sf_dir), CONFIG)
-    sound = " and ".join(f"({c} > 1e-9 or {c} = 0)" for c in ("mad_del2", "mad_bead", "mad_paired", "sd_del2"))  # no noise of the last bit in a divisor
-    return r.filter(sound).select("lib_id", "id", F.round("var_penalty", 4).alias("var_penalty"), F.round("rs_score", 4).alias("rs_score"))
+    spreads = [f"{a}_{k}" for a in ("sd", "mad") for k in ("del2", "bead", "paired")]
+    r = hits.rs_score(rounded9(_read_scaler(spark, sf_dir), *spreads), CONFIG)  # no noise of the last bit in a divisor
+    return r.select("lib_id", "id", F.round("var_penalty", 4).alias("var_penalty"), F.round("rs_score", 4).alias("rs_score"))
 
 
 _FAIL = "concat_ws(';', CASE WHEN avg_r1 < 1 THEN 'avg_R1' END, CASE WHEN avg_r2 < 1 THEN 'avg_R2' END, CASE WHEN round(mean_del2, 9) < 0 THEN 'log2FC_DEL2' END, CASE WHEN round(mean_bead, 9) < 0 THEN 'log2FC_BEAD' END, CASE WHEN round(boost, 9) < 0 THEN 'boost' END)"
@@ -323,17 +327,14 @@ def recommended_hits(spark, sf_dir):
 
 @_query(f"{_TO_GLM}, x AS (SELECT lib_id, id, round((greatest(base_r1, 0) * 0.5 + greatest(base_r2, 0)) * depth, 9) AS s FROM g), r AS (SELECT *, rank() OVER (ORDER BY s DESC) AS r, count(*) OVER () AS n FROM x) SELECT lib_id, id, r - 1 < round(n * 0.02) AS fit FROM r")
 def glm_top_select(spark, sf_dir):
-    b = _base_frame(spark, sf_dir)
-    score = F.round((F.greatest("base_r1", F.lit(0.0)) * 0.5 + F.greatest("base_r2", F.lit(0.0))) * F.log10(F.col("mean_r1") + F.col("mean_r2") + 1), 9)
-    x = stats.counted(b.select("lib_id", "id", score.alias("s")), "s")
-    return x.select("lib_id", "id", (F.col("rows") - F.col("below") - F.col("ties") < F.round(F.col("rows") * 0.02)).alias("fit"))
+    return hits.rows_to_fit(_base_frame(spark, sf_dir), "top", 2.0).select("lib_id", "id", "fit")
 
 
-_PARTS = "bbt AS (SELECT p_partkey AS line, CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS lib_id, 'B' || (p_partkey % 23) AS bb_id, 'C' || p_name AS smiles FROM part WHERE p_partkey % 7 <> 0)"
+_PARTS = "bbt AS (SELECT p_partkey AS line, CASE p_partkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'N' ELSE 'R' END AS lib_id, 'B' || (p_partkey % 23) AS bb_id, 'C' || p_name AS smiles FROM part)"
 
 
 def _bbs(spark, sf_dir):
-    p = spark.read.parquet(f"{sf_dir}/part.parquet").filter("p_partkey % 7 <> 0")
+    p = spark.read.parquet(f"{sf_dir}/part.parquet")
     lib = F.when(F.col("p_partkey") % 3 == 0, "A").when(F.col("p_partkey") % 3 == 1, "N").otherwise("R")
     return p.select(F.col("p_partkey").alias("line"), lib.alias("lib_id"), F.concat(F.lit("B"), (F.col("p_partkey") % 23).cast("string")).alias("bb_id"), F.concat(F.lit("C"), "p_name").alias("smiles"))
 
@@ -388,10 +389,19 @@ def revcomp(spark, sf_dir):
     return _sequences(spark, sf_dir).select("event_id", dna.reverse_complement(F.col("seq")).alias("rc"))
 
 
-@_query(f"WITH {_DNA}, t AS (SELECT event_id, substr(seq, 1, 8) AS q FROM s), d AS (SELECT event_id, count(DISTINCT substr(q, 1, i - 1) || substr(q, i + 1)) AS deletions FROM t, generate_series(1, 8) g(i) GROUP BY 1), n AS (SELECT event_id, count(DISTINCT substr(q, 1, i) || b || substr(q, i + 1)) AS insertions FROM t, generate_series(1, 7) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE NOT (i = 1 AND b = substr(q, 1, 1)) AND NOT (i = 7 AND b = substr(q, 8, 1)) GROUP BY 1) SELECT t.event_id, 24 AS substitutions, deletions::INTEGER AS deletions, insertions::INTEGER AS insertions FROM t JOIN d USING (event_id) JOIN n USING (event_id)")
+_VARIANTS = (
+    "v AS (SELECT event_id, 'substitution' AS kind, substr(seq, 1, i - 1) || b || substr(seq, i + 1) AS variant FROM s, generate_series(1, 32) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE b <> substr(seq, i, 1) "
+    "UNION SELECT event_id, 'deletion', substr(seq, 1, i - 1) || substr(seq, i + 1) FROM s, generate_series(1, 32) g(i) "
+    "UNION SELECT event_id, 'insertion', substr(seq, 1, i) || b || substr(seq, i + 1) FROM s, generate_series(1, 31) g(i), (VALUES ('A'), ('C'), ('G'), ('T')) v(b) WHERE NOT (i = 1 AND b = substr(seq, 1, 1)) AND NOT (i = 31 AND b = substr(seq, 32, 1)))"
+)
+
+
+@_query(f"WITH {_DNA}, {_VARIANTS} SELECT event_id, kind, count(*) AS n, md5(string_agg(variant, ',' ORDER BY variant)) AS digest FROM v GROUP BY ALL")
 def one_bp_variants(spark, sf_dir):
-    s = _sequences(spark, sf_dir).withColumn("q", F.substring("seq", 1, 8))
-    return s.select("event_id", F.size(dna.substitutions(F.col("q"))).alias("substitutions"), F.size(dna.deletions(F.col("q"))).alias("deletions"), F.size(dna.insertions(F.col("q"))).alias("insertions"))
+    kinds = {"substitution": dna.substitutions, "deletion": dna.deletions, "insertion": dna.insertions}
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.array_sort(F.array_distinct(f(F.col("seq")))).alias("list")) for k, f in kinds.items()])).alias("v")
+    rows = _sequences(spark, sf_dir).select("event_id", each)
+    return rows.select("event_id", "v.kind", F.size("v.list").cast("long").alias("n"), F.md5(F.concat_ws(",", "v.list").cast("binary")).alias("digest"))
 
 
 @_query(f"WITH {_DNA}, k AS (SELECT event_id, (i - 1)::INTEGER AS pos, substr(seq, i, 4) AS kmer FROM s, generate_series(1, 29) g(i)) SELECT event_id, pos FROM k WHERE kmer = 'ACGT'")
@@ -685,18 +695,27 @@ def _prints(spark, sf_dir):
 
 @_query("WITH s AS (SELECT p_partkey AS key, translate(substr(md5((p_partkey % 211)::VARCHAR), 1, 20), '0123456789abcdef', 'CCNOccn1(=)2SFPB') || ['', 'CO', 'N1', 'C=O'][(p_partkey % 4 + 1)::INT] AS t FROM part), f AS (SELECT key, list_distinct(list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) AS g FROM s), p AS (SELECT a.key AS i, b.key AS j, len(list_intersect(a.g, b.g))::DOUBLE AS n, len(a.g) + len(b.g) AS m FROM f a JOIN f b ON a.key < b.key) SELECT i, j, round(n / (m - n), 6) AS sim FROM p WHERE n / (m - n) >= 0.8")
 def tanimoto_pairs(spark, sf_dir):
-    return rounded(similarity.pairs(_prints(spark, sf_dir), "key", 0.8), "sim")
+    return rounded(similarity.pairs(_prints(spark, sf_dir), "key", 80), "sim")
+
+
+def _clustered(spark, sf_dir):
+    p = _prints(spark, sf_dir)
+    near = staged(similarity.pairs(p, "key", 80))
+    return near, similarity.butina(p.select("key"), "key", near)
 
 
 @_query()
 def butina_clusters(spark, sf_dir):
-    p = _prints(spark, sf_dir)
-    return similarity.butina(p.select("key"), "key", similarity.pairs(p, "key", 0.8))
+    return _clustered(spark, sf_dir)[1]
 
 
 @_query()
 def cluster_reps(spark, sf_dir):
-    p = _prints(spark, sf_dir)
-    clusters = similarity.butina(p.select("key"), "key", similarity.pairs(p, "key", 0.8))
     scores = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("score"))
-    return similarity.representatives(clusters, scores, "key", F.desc("score"), F.asc("key"))
+    return similarity.representatives(_clustered(spark, sf_dir)[1], scores, "key", F.desc("score"), F.asc("key"))
+
+
+@_query()
+def cluster_medoids(spark, sf_dir):
+    near, clusters = _clustered(spark, sf_dir)
+    return similarity.medoids(clusters, near, "key")
