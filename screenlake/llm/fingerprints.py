@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-SLOTS = 24
-BLOCK = 512  # ids of one block; ids are distinct, so it holds as many documents at most, repeated rows aside
+SLOTS = 48
+BLOCK = 512  # documents of one block, about: blocks are equal ranges of ids, wider where ids are sparse
 
 
 def gamma_quantile(u: float) -> float:
@@ -135,7 +135,9 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     block, so one shuffle of the texts serves the edit, the fingerprints and the comparison with the next document.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("block", F.floor(F.col("doc_id") / BLOCK))
+    ids = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n")).first()
+    width = max(BLOCK, BLOCK * (ids["high"] - ids["low"]) // ids["n"]) if ids["n"] else BLOCK
+    rows = rows.withColumn("block", F.floor(F.col("doc_id") / float(width)))  # never falls as ids grow
     after = written(_next_blocks(rows.select("doc_id", "block")), "blocks")
     follow = after.select(F.col("block").alias("for_block"), F.col("next_id"))
     heads = (

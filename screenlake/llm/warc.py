@@ -8,7 +8,8 @@ header carries the member's length (the sl field of the WARC format's annex on c
 Writing gives each record in its own member, in files of at most about FILE_BYTES. A task writes under names of its own attempt and
 the driver keeps only the files of attempts that were committed, so lost executors and repeated tasks leave no records behind.
 
-Null payloads count as empty. An empty table writes no files, and a folder without files reads as no rows. Columns other than the data
+Null payloads count as empty. Line breaks and other control characters in an address are percent-encoded, so that they can't end its header. Rows that repeat the
+smallest id of a payload are all responses, and so is a row without an id; both are kept. An empty table writes no files, and a folder without files reads as no rows. Columns other than the data
 source's own are ignored. Payloads of any length are kept whole.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -33,6 +35,7 @@ SCHEMA = "record_type string, record_id string, target_uri string, payload_diges
 HEADERS = {
     "record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "payload_digest": "WARC-Payload-Digest", "refers_to": "WARC-Refers-To",
 }
+_CONTROL = re.compile(r"[\x00-\x1f\x7f\x85\u2028\u2029]")
 DATE = "2024-01-01T00:00:00Z"  # crawled pages carry no time of their own here
 
 
@@ -60,6 +63,7 @@ def member(record: bytes) -> bytes:
 
 def record(page_id: int, uri: str, kind: str, payload: bytes, sha1: str, size: int, refers_to: int | None) -> bytes:
     """One WARC record. A revisit keeps the HTTP headers, and so the payload's length, but no payload."""
+    uri = _CONTROL.sub(lambda m: "".join(f"%{b:02X}" for b in m.group().encode("utf-8")), uri)
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + (payload if kind == "response" else b"")
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{sha1}"]

@@ -114,3 +114,49 @@ def test_top_k(spark):
     half, one = 512, 1024
     assert got == [(0, 1, 1, half * one), (0, 2, 2, half * one), (0, 3, 3, half * one), (100, 1, 3, 0), (100, 2, 0, -one * one), (100, 3, 1, -one * one)]
     assert topk.search(vectors.filter(F.lit(False)), vectors, k=3).collect() == []
+
+
+def test_archives_keep_odd_pages(spark, tmp_path):
+    """Addresses with line breaks, repeated ids and rows without an id all come back."""
+    rows = [(1, "http://a/\r\nWARC-Type: x\r\n\r\n", "one"), (2, "b\tc", "two"), (2, "b", "two"), (None, "n", "two"), (3, "u\u2028v", "two")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"] or 0, r["record_type"], r["refers_to"]) for r in warc.archived(pages, str(tmp_path / "odd")).collect())
+    assert got == [(0, "response", None), (1, "response", None), (2, "response", None), (2, "response", None), (3, "revisit", 2)]
+    uris = {r["page_id"]: r["target_uri"] for r in spark.read.format("warc").load(str(tmp_path / "odd")).collect()}
+    assert uris[1] == "http://a/%0D%0AWARC-Type: x%0D%0A%0D%0A" and uris[3] == "u%E2%80%A8v"
+
+
+def test_fingerprints_of_sparse_ids(spark):
+    """The next document over the whole range of 64 bits, and over a cluster with a far neighbour."""
+    for ids_ in ([-(1 << 63), -5, 0, 7, 1 << 40, (1 << 63) - 1], [*range(100, 160), 1 << 50]):
+        rows = [(i, f"text {i} " * 3) for i in ids_]
+        got = {r["doc_id"]: r["edited_sha256"] for r in fingerprints.edited_pairs(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+        down = sorted(rows, reverse=True)
+        for k, (i, t) in enumerate(down):
+            half = len(t) // 2
+            assert got[i] == hashlib.sha256((t[: len(t) - half] + down[(k + 1) % len(down)][1][:half]).encode()).hexdigest(), i
+
+
+STAGE_ROWS = [(1, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (None, "no id here"), (5, "alpha beta gamma delta " * 4000), (6, "token = abcdef123456"), (8, "one two three four five six")]
+
+
+@pytest.mark.parametrize("k, kept", [(0, None), (1, [-1, 1, 2, 3, 5, 6]), (2, [-1, 1, 2, 3, 3, 5, 6, 8]), (3, None)])
+def test_stages(spark, k, kept):
+    """Every stage of the pipeline on odd rows, with columns whose names operators use themselves, and on no rows."""
+    import corpus_pipeline
+
+    extra = "tox_score double, rep int, node long, keys string"
+    docs = spark.createDataFrame([(*r, "en", "s", 0, -1.0, 1, 2, "x") for r in STAGE_ROWS], f"doc_id long, text string, lang string, source string, n_chars long, {extra}").repartition(2)
+    stage = corpus_pipeline.STAGES[k][1]
+    got = stage(spark, docs, "/root/testdata/sf0.001")
+    if k < 3:
+        assert got.columns == docs.columns
+        rows = got.collect()
+        assert all(r["tox_score"] == -1.0 for r in rows)
+        assert ids(rows) == (kept or [-1, 1, 2, 3, 3, 5, 6, 8])
+    else:
+        sizes = {}
+        for r in got.collect():
+            sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["length"]
+        assert sizes[1] == sizes[2] == 1 and set(sizes) == {1, 2, 3, None, 5, 6, 8}
+    assert stage(spark, docs.filter(F.lit(False)), "/root/testdata/sf0.001").collect() == []
