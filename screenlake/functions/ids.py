@@ -35,25 +35,30 @@ def chain_id(cycles: Column, *blocks: Column) -> Column:
 def parsed(mol_id: Column) -> Column:
     """A struct of cycles, bb1 to bb4 and cp from an id.
 
-    Parts are separated by any of | _ , : ; / and blanks; a leading number gives the cycles; a part that begins with LIB belongs to the block before it;
-    what is left after four blocks is a closing primer if it looks like one. Without a number, cycles are 4 if there is a fourth block, else 3.
+    Parts are separated by any of | _ , : ; / and blanks; a leading number gives the cycles. A part that begins with LIB is glued to the one before it, if
+    that is a block of its own: not NA, not itself a LIB part and not glued already. Of what is left after four blocks, the last part is the closing primer if it
+    looks like one, in either case. Without a number, cycles are 4 if there is a fourth block, else 3.
     """
-    parts = F.filter(F.split(mol_id, r"[|_,:;/\s]+"), lambda p: p != "")
-    counted = F.get(parts, F.lit(0)).rlike("^[0-9]+$")
+    parts = F.filter(F.split(F.coalesce(mol_id, F.lit("")), r"[|_,:;/\s]+"), lambda p: p != "")
+    counted = F.coalesce(F.get(parts, F.lit(0)).rlike("^[0-9]+$"), F.lit(False))
     rest = F.when(counted, F.slice(parts, F.lit(2), F.size(parts))).otherwise(parts)
-    empty = F.array().cast("array<string>")
-    glued = F.aggregate(
-        rest,
-        empty,
-        lambda acc, p: F.when(
-            p.startswith("LIB") & (F.size(acc) > 0),
-            F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(F.concat_ws("_", F.element_at(acc, -1), p))),
-        ).otherwise(F.concat(acc, F.array(p))),
-    )
-    block = lambda i: or_na(F.coalesce(F.get(glued, F.lit(i)), F.lit("NA")))
-    after = F.get(glued, F.lit(4))
+    empty = F.array().cast("array<struct<text:string,open:boolean>>")
+
+    def add(acc: Column, p: Column) -> Column:
+        last = F.element_at(acc, -1)
+        plain = F.struct(p.alias("text"), ((p != "NA") & ~p.startswith("LIB")).alias("open"))
+        glued = F.struct(F.concat_ws("_", last["text"], p).alias("text"), F.lit(False).alias("open"))
+        fits = p.startswith("LIB") & (F.size(acc) > 0) & (F.size(acc) <= 4) & last["open"]
+        return F.when(fits, F.concat(F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))), F.array(glued))).otherwise(F.concat(acc, F.array(plain)))
+
+    # An empty array has no last element, so the first part is put in before the rest are folded.
+    head = F.transform(F.slice(rest, F.lit(1), F.lit(1)), lambda p: F.struct(p.alias("text"), ((p != "NA") & ~p.startswith("LIB")).alias("open")))
+    tail = F.slice(rest, F.lit(2), F.greatest(F.size(rest), F.lit(1)))
+    glued = F.when(F.size(rest) > 0, F.aggregate(tail, head, add)).otherwise(empty)
+    block = lambda i: F.coalesce(F.get(glued, F.lit(i))["text"], F.lit("NA"))
+    after = F.get(glued, F.size(glued) - 1)["text"]
     cycles = F.when(counted, F.get(parts, F.lit(0)).try_cast("int")).otherwise(F.when(block(3) != "NA", 4).otherwise(3))
-    cp = F.when(after.rlike("^(DEL|CP)[A-Za-z0-9]+$"), after).otherwise(F.lit("NA"))
+    cp = F.when((F.size(glued) > 4) & after.rlike("(?i)^(DEL|CP)[A-Za-z0-9]+$"), after).otherwise(F.lit("NA"))
     return F.struct(cycles.alias("cycles"), *[block(i).alias(f"bb{i + 1}") for i in range(4)], cp.alias("cp"))
 
 

@@ -144,3 +144,54 @@ def quality_flags(df: DataFrame, control: str, negatives: list[str], quantile: f
 def quality_tiers(df: DataFrame) -> DataFrame:
     """Adds tier: A for consensus without flags, B for any hit, else Other."""
     return df.withColumn("tier", F.when(F.col("consensus") & (F.col("flags") == "OK"), "A").when(F.col("glm_hit") | F.col("rs_pass"), "B").otherwise("Other"))
+
+
+def pooled(runs: dict[str, DataFrame], key: str, n: int, score: str) -> DataFrame:
+    """The best n rows of every run, one row for each key: that of the first run, in the order given, that has it. Adds run."""
+    tops = [top(df, n, score, key).withColumn("run", F.lit(label)).withColumn("_order", F.lit(i)) for i, (label, df) in enumerate(runs.items())]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tops)
+    return rows.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_order"))).filter("_r = 1").drop("_r", "_order")
+
+
+def with_sample_blocks(base: DataFrame, blocks: dict[str, DataFrame], key: str, samples: list[str]) -> DataFrame:
+    """Adds each run's samples as <prefix><sample>, and <sample> itself: the first value in the order of the runs. Blocks have one row for each key."""
+    for prefix, block in blocks.items():
+        base = base.join(block.select(key, *[F.col(s).alias(f"{prefix}{s}") for s in samples if s in block.columns]), key, "left")
+    there = lambda s: [F.col(f"{p}{s}") for p in blocks if f"{p}{s}" in base.columns]
+    return base.withColumns({s: F.coalesce(*([F.col(s)] if s in base.columns else []), *there(s)) for s in samples if there(s)})
+
+
+def same_columns(df: DataFrame, samples: list[str], prefixes: list[str]) -> list[str]:
+    """Prefixed sample columns whose values equal those of the first prefix everywhere: one pass over the table tells."""
+    pairs = {}
+    for s in samples:
+        there = [f"{p}{s}" for p in prefixes if f"{p}{s}" in df.columns]
+        pairs |= {other: there[0] for other in there[1:]}
+    if not pairs:
+        return []
+    found = df.agg(*[F.bool_and(F.col(a).eqNullSafe(F.col(b))).alias(a) for a, b in pairs.items()]).first()
+    return [a for a in pairs if found[a]]
+
+
+def filled(found: DataFrame, whole: dict[str, DataFrame], key: str) -> DataFrame:
+    """Adds filled_<label>: the score in the list of bests, else that in the whole run (key, score)."""
+    for label, df in whole.items():
+        found = found.join(df.select(key, F.col("score").alias("_all")), key, "left").withColumn(f"filled_{label}", F.coalesce(f"score_{label}", "_all")).drop("_all")
+    return found
+
+
+def diverse(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame:
+    """The n best rows in this order, no two of them with equal keys."""
+    first = df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_r = 1").drop("_r")
+    return first.orderBy(*order).limit(n)
+
+
+def flag_totals(df: DataFrame, flags: str = "flags") -> DataFrame:
+    """How many rows have each flag."""
+    return df.select(F.explode(F.split(flags, ";")).alias("flag")).groupBy("flag").agg(F.count(F.lit(1)).alias("n"))
+
+
+def natural_order(block: Column) -> list[Column]:
+    """Sort keys of building blocks: letters in front, the number after them, the rest; NA last."""
+    missing = F.coalesce(block, F.lit("NA")) == "NA"
+    return [F.when(missing, 1).otherwise(0), F.upper(F.regexp_extract(block, "^([A-Za-z]*)", 1)), F.regexp_extract(block, "^[A-Za-z]*([0-9]*)", 1).try_cast("long").asc_nulls_last(), F.asc(block)]

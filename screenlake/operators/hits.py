@@ -89,6 +89,16 @@ def tuned(m: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
     )
 
 
+def shrinkage(f: DataFrame, strict: bool = False) -> DataFrame:
+    """One row of dispersion weights from the medians of fano: w_r1, w_r2 and w_neg by linear interpolation, and whether controls count as Poisson."""
+    column = lambda name: F.col(name) if name in f.columns else F.lit(None).cast("double")
+    one, two, neg = F.coalesce(column("fano_r1"), F.lit(1.5)), F.coalesce(column("fano_r2"), F.lit(2.0)), F.greatest(column("fano_neg1"), column("fano_neg2"))
+    poisson = F.coalesce(neg <= 1.3, F.lit(True))
+    w_neg = F.when(poisson, 0.0).otherwise(clip(interpolate(neg, 1.3, 3.0, 0.2, 0.6), 0.0, 0.8))
+    rows = f.select(clip(interpolate(one, 1.0, 3.0, 0.1, 0.9), 0.0, 0.95).alias("w_r1"), clip(interpolate(two, 1.0, 3.0, 0.3, 0.95), 0.1, 0.98).alias("w_r2"), w_neg.alias("w_neg"), poisson.alias("fix_neg_poisson"))
+    return rows.withColumns({"w_neg": F.greatest("w_neg", F.lit(0.6)), "fix_neg_poisson": F.lit(False)}) if strict else rows
+
+
 def components(m: DataFrame, parameters: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
     """Adds w_count, e (for the score) and e_syn (for the blocks)."""
     one, two = arms
@@ -140,6 +150,12 @@ def read_scaler(m: DataFrame, r1: list[str], r2: list[str], control: str = "del2
     return m.select("*", *[stats.t_test(F.col(f"mean_{k}"), F.col(f"sd_{k}"), len(c)).alias(f"p_{k}") for k, c in sets.items() if k != "paired"])
 
 
+def standardised(m: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds name: the value's distance from the mean of all rows in population deviations; null if they don't vary."""
+    moments = m.agg(F.avg(value).alias("_mu"), F.stddev_pop(value).alias("_sd"))
+    return m.crossJoin(F.broadcast(moments)).withColumn(name, F.when(F.col("_sd") > 0, (F.col(value) - F.col("_mu")) / F.col("_sd"))).drop("_mu", "_sd")  # one row
+
+
 def rs_score(m: DataFrame, config: HitConfig) -> DataFrame:
     """Adds var_penalty and rs_score."""
     parts = F.filter(F.array(*[F.when((F.col(f"mad_{k}") > 0) & (F.col(f"sd_{k}") > 0), F.col(f"sd_{k}") / F.col(f"mad_{k}")) for k in ("del2", "bead", "paired")]), lambda x: x.isNotNull())

@@ -365,10 +365,30 @@ def duplicate_tags(spark, sf_dir):
     return blocks.duplicates(blocks.cleaned(rows))
 
 
-@_query(f"WITH {CUBE_SQL}, i AS (SELECT DISTINCT id FROM cube) SELECT id, 3 AS cycles, split_part(id, '_', 2) AS bb1, split_part(id, '_', 3) AS bb2, split_part(id, '_', 4) AS bb3, 'NA' AS bb4, split_part(id, '_', 2) || '|' || split_part(id, '_', 3) || '|' || split_part(id, '_', 4) || '|NA' AS compound_key FROM i")
+_HARD = {  # forms of an id, by number, with what they mean
+    0: ("concat_ws('_', '3', a, b, c)", "3", ("a", "b", "c", "'NA'"), "'NA'"), 1: ("concat_ws('|', a, b, c, d)", "4", ("a", "b", "c", "d"), "'NA'"),
+    2: ("concat_ws('_', '3', a, 'LIBx1', b, c, 'NA')", "3", ("a || '_LIBx1'", "b", "c", "'NA'"), "'NA'"), 3: ("concat_ws('_', a, b, 'LIBx1', 'LIBy2', c)", "4", ("a", "b || '_LIBx1'", "'LIBy2'", "c"), "'NA'"),
+    4: ("concat_ws('_', '4', a, 'NA', 'LIBz', c, d, 'zz', 'cpA7')", "4", ("a", "'NA'", "'LIBz'", "c"), "'cpA7'"), 5: ("concat_ws(';', a, b, c, 'NA', 'DEL12')", "3", ("a", "b", "c", "'NA'"), "'DEL12'"),
+    6: ("concat_ws(' ', '3', a, b, c, 'NA', 'DEL12', 'x')", "3", ("a", "b", "c", "'NA'"), "'NA'"), 7: ("''", "3", ("'NA'",) * 4, "'NA'"),
+}
+_HARD_OF = lambda part: "CASE k " + " ".join(f"WHEN {k} THEN {part(v)}" for k, v in _HARD.items()) + " END"
+_HARD_ROWS = "p_partkey % 8 AS k, 'B' || (p_partkey % 20) AS a, 'X' || (p_partkey % 7) AS b, 'B' || (p_partkey % 13) AS c, 'Q' || (p_partkey % 3) AS d"
+
+
+@_query(
+    f"WITH x AS (SELECT p_partkey, {_HARD_ROWS} FROM part) SELECT p_partkey, {_HARD_OF(lambda v: v[0])} AS id, {_HARD_OF(lambda v: v[1])} AS cycles, "
+    + ", ".join(f"{_HARD_OF(lambda v, i=i: v[2][i])} AS bb{i + 1}" for i in range(4)) + f", {_HARD_OF(lambda v: v[3])} AS cp FROM x"
+)
 def parse_ids(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr("p_partkey", *_HARD_ROWS.split(", "))
+    p = p.select("p_partkey", F.expr(_HARD_OF(lambda v: v[0])).alias("id")).withColumn("p", ids.parsed(F.col("id")))
+    return p.select("p_partkey", "id", "p.cycles", "p.bb1", "p.bb2", "p.bb3", "p.bb4", "p.cp")
+
+
+@_query(f"WITH {CUBE_SQL}, i AS (SELECT DISTINCT id FROM cube) SELECT id, split_part(id, '_', 2) || '|' || split_part(id, '_', 3) || '|' || split_part(id, '_', 4) || '|NA' AS compound_key FROM i")
+def compound_keys(spark, sf_dir):
     p = cube(spark, sf_dir).select("id").distinct().withColumn("p", ids.parsed(F.col("id")))
-    return p.select("id", "p.cycles", "p.bb1", "p.bb2", "p.bb3", "p.bb4", ids.compound_key(*[F.col(f"p.bb{i}") for i in range(1, 5)]).alias("compound_key"))
+    return p.select("id", ids.compound_key(*[F.col(f"p.bb{i}") for i in range(1, 5)]).alias("compound_key"))
 
 
 @_query(f"WITH {CUBE_SQL} SELECT DISTINCT lib_id, id, concat_ws('_', lib_id, bb1, bb2, bb3) AS display_id FROM cube")
@@ -719,3 +739,65 @@ def cluster_reps(spark, sf_dir):
 def cluster_medoids(spark, sf_dir):
     near, clusters = _clustered(spark, sf_dir)
     return similarity.medoids(clusters, near, "key")
+
+
+# More of hit calling and comparison ----------------------------------------------------------------------------------
+
+_FANO = ", ".join(f"median(CASE WHEN {{m{g}}} > 0 THEN {{v{g}}} / {{m{g}}} END) AS f{g}" for g in (1, 2)).format(m1=_m(R1, "n_"), v1=_v(["n_" + s for s in R1]), m2=_m(R2, "n_"), v2=_v(["n_" + s for s in R2]))
+
+
+@_query(f"{_TO_GLM}, f AS (SELECT {_FANO} FROM g) SELECT round(least(greatest(CASE WHEN f1 <= 1 THEN 0.1 WHEN f1 >= 3 THEN 0.9 ELSE 0.1 + (f1 - 1) * 0.4 END, 0.0), 0.95), 6) AS w_r1, round(least(greatest(CASE WHEN f2 <= 1 THEN 0.3 WHEN f2 >= 3 THEN 0.95 ELSE 0.3 + (f2 - 1) * 0.325 END, 0.1), 0.98), 6) AS w_r2, 0.0::DOUBLE AS w_neg, true AS fix_neg_poisson FROM f")
+def pre_tuned_weights(spark, sf_dir):
+    return rounded(hits.shrinkage(hits.fano(_base_frame(spark, sf_dir), GROUPS)), "w_r1", "w_r2")
+
+
+@_query(f"WITH {MATRIX_SQL}, a AS (SELECT lib_id, id, {_m(R1)} AS v FROM m) SELECT lib_id, id, round((v - avg(v) OVER ()) / nullif(stddev_pop(v) OVER (), 0), 6) AS z FROM a")
+def avg_r1_zscore(spark, sf_dir):
+    m = staged(matrix(spark, sf_dir).select("lib_id", "id", stats.mean([F.col(s) for s in R1]).alias("v")))
+    return rounded(hits.standardised(m, "v", "z"), "z").drop("v")
+
+
+@_query(f"WITH {MATRIX_SQL}, x AS (SELECT lib_id, id, bb1, bb2, {' + '.join(R2)} AS v FROM m), f AS (SELECT *, row_number() OVER (PARTITION BY bb1, bb2 ORDER BY v DESC, lib_id, id) AS r FROM x) SELECT lib_id, id, v FROM f WHERE r = 1 ORDER BY v DESC, lib_id, id LIMIT 50")
+def diversity_pick(spark, sf_dir):
+    m = matrix(spark, sf_dir).select("lib_id", "id", "bb1", "bb2", stats.total([F.col(s) for s in R2]).alias("v"))
+    return compare.diverse(m, ["bb1", "bb2"], 50, F.desc("v"), F.asc("lib_id"), F.asc("id")).select("lib_id", "id", "v")
+
+
+@_query(f"{_PATTERN}, ba AS (SELECT key, score, 'A' AS run, row_number() OVER (ORDER BY score DESC, key) AS r FROM rp WHERE run = 'A'), bi AS (SELECT key, score, 'I' AS run, row_number() OVER (ORDER BY score DESC, key) AS r FROM rp WHERE run = 'I') SELECT key, score, run FROM ba WHERE r <= 200 UNION ALL SELECT key, score, run FROM bi WHERE r <= 200 AND key NOT IN (SELECT key FROM ba WHERE r <= 200)")
+def candidate_pool(spark, sf_dir):
+    runs = {r: compare.best_per_key(_runs(spark, sf_dir).filter(F.col("run") == r), "key", "score", "lib_id").select("key", "score") for r in ("A", "I")}
+    return compare.pooled(runs, "key", 200, "score")
+
+
+@_query(f"{_PATTERN} SELECT key, pattern, coalesce(ta.score, ra.score) AS filled_A, coalesce(ti.score, ri.score) AS filled_I FROM pt LEFT JOIN t ta ON ta.key = pt.key AND ta.run = 'A' LEFT JOIN t ti ON ti.key = pt.key AND ti.run = 'I' LEFT JOIN rp ra ON ra.key = pt.key AND ra.run = 'A' LEFT JOIN rp ri ON ri.key = pt.key AND ri.run = 'I'".replace("SELECT key, pattern", "SELECT pt.key, pattern"))
+def filled_scores(spark, sf_dir):
+    whole = {r: _run_map(spark, sf_dir, r) for r in ("A", "I")}
+    return compare.filled(_patterns(spark, sf_dir), whole, "key").select("key", "pattern", "filled_A", "filled_I")
+
+
+_BLOCKS = f"WITH {CUBE_SQL}, k AS (SELECT run, sample, bb1 || '|' || bb2 || '|' || bb3 || '|NA' AS key FROM cube), b AS (SELECT key, run, " + ", ".join(f"count(*) FILTER (sample = '{s}')::DOUBLE AS {s}" for s in SAMPLES) + " FROM k GROUP BY ALL)"
+
+
+def _blocks(spark, sf_dir):
+    c = cube(spark, sf_dir).withColumn("key", ids.compound_key(*map(F.col, BBS)))
+    one = lambda s: F.count(F.when(F.col("sample") == s, 1)).cast("double").alias(s)
+    return {f"{r.lower()}_": c.filter(F.col("run") == r).groupBy("key").agg(*map(one, SAMPLES)) for r in ("A", "I")}, c.select("key").distinct()
+
+
+@_query(f"{_BLOCKS} SELECT u.key, " + ", ".join(f"a.{s} AS a_{s}, i.{s} AS i_{s}, coalesce(a.{s}, i.{s}) AS {s}" for s in ("r1c1", "del2")) + " FROM (SELECT DISTINCT key FROM b) u LEFT JOIN (SELECT * FROM b WHERE run = 'A') a ON a.key = u.key LEFT JOIN (SELECT * FROM b WHERE run = 'I') i ON i.key = u.key")
+def sample_blocks(spark, sf_dir):
+    blocks_, keys = _blocks(spark, sf_dir)
+    return compare.with_sample_blocks(keys, blocks_, "key", ["r1c1", "del2"])
+
+
+@_query(f"{_TO_HIT}, {_RS0}, {_CALL}, qb AS (SELECT greatest(0, quantile_cont(neg_r1, 0.9)) AS b1, greatest(0, quantile_cont(neg_r2, 0.9)) AS b2 FROM m), f AS (SELECT unnest(string_split(CASE WHEN fl = '' THEN 'OK' ELSE fl END, ';')) AS flag FROM (SELECT concat_ws(';', CASE WHEN del2 < 10 THEN 'LOW_DEL2' END, CASE WHEN neg_r1 >= b1 AND b1 > 0 THEN 'NEG_R1_HIGH' END, CASE WHEN neg_r2 >= b2 AND b2 > 0 THEN 'NEG_R2_HIGH' END, CASE WHEN lfc_r2 < lfc_r1 - 1 THEN 'R2_DROP' END, CASE WHEN neg_hard_fail THEN 'NEG_HARD_FAIL' END) AS fl FROM hc, qb)) SELECT flag, count(*) AS n FROM f GROUP BY 1")
+def flag_totals(spark, sf_dir):
+    return compare.flag_totals(compare.quality_flags(_called(spark, sf_dir), "del2", ["neg_r1", "neg_r2"]))
+
+
+@_query(f"WITH {CUBE_SQL}, b AS (SELECT DISTINCT bb1 FROM cube UNION SELECT 'NA') SELECT bb1, row_number() OVER (ORDER BY CASE WHEN bb1 = 'NA' THEN 1 ELSE 0 END, upper(regexp_extract(bb1, '^([A-Za-z]*)', 1)), try_cast(regexp_extract(bb1, '^[A-Za-z]*([0-9]*)', 1) AS BIGINT) NULLS LAST, bb1) AS place FROM b")
+def natural_block_order(spark, sf_dir):
+    from pyspark.sql import Window
+
+    b = cube(spark, sf_dir).select("bb1").union(spark.createDataFrame([("NA",)], "bb1 string")).distinct()
+    return b.select("bb1", F.row_number().over(Window.orderBy(*compare.natural_order(F.col("bb1")))).cast("long").alias("place"))  # a design's blocks

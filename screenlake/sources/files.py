@@ -76,3 +76,14 @@ def subsample(reads: DataFrame, n: int, seed: int) -> DataFrame:
     """n reads of each sample by a seeded hash, in their own order."""
     w = Window.partitionBy("sample").orderBy(F.xxhash64(F.lit(seed), "sample", "read_no"), "read_no")
     return reads.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+
+
+def numeric_columns(df: DataFrame, columns: list[str], share: float = 0.9) -> list[str]:
+    """Text columns of which at least this share of the values that aren't missing parse as numbers, found in one pass."""
+    there = lambda c: ~F.coalesce(F.trim(F.col(c)), F.lit("")).isin("", "NA", "nan", "None")
+    rows = df.agg(*[(F.count_if(there(c) & F.col(c).try_cast("double").isNotNull()) / F.nullif(F.count_if(there(c)), F.lit(0))).alias(c) for c in columns]).first()
+    return [c for c in columns if rows[c] is not None and rows[c] >= share]
+
+
+def with_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.withColumns({c: F.col(c).try_cast("double") for c in columns})
