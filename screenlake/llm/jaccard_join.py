@@ -38,11 +38,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import small_batches, written
 
 GROUP_ROWS = 48
 GROUP_TOKENS = 1 << 20  # tokens of all members of a group, about
-QUERY_ROWS = 256
+QUERY_ROWS = 64
 RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
 SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
 SLICE_TOKENS = 1 << 15
@@ -58,7 +58,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -177,7 +177,7 @@ def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _word_hashes()
         seen: set[int] = set()
-        for batch in batches:
+        for batch in small_batches(batches):
             size, node, held = [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 s = shingles(text, n, known)
