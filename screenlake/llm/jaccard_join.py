@@ -46,6 +46,7 @@ QUERY_ROWS = 64
 RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
 SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
 SLICE_TOKENS = 1 << 15
+KEYS_TOGETHER = 1 << 20  # keys that a task brings together at a time, on either side of the shuffle
 SEEN_CLASSES = 1_000_000  # a task's memory of classes whose keys it has given; beyond it some are given again
 FILTER_PARTS = 512  # parts of 32,768 bits of the filter of ids, 2 MB in all
 
@@ -196,6 +197,63 @@ def features(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, node long, keys array<long>")
 
 
+def _in_order(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of key and node in order, without repeats; which of them have a key of several nodes, and which are the first of their key."""
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    first = np.append(True, key[1:] != key[:-1])[: len(key)]
+    new = first | np.append(True, node[1:] != node[:-1])[: len(key)]
+    key, node, first = key[new], node[new], first[new]
+    alone = first & np.append(first[1:], True)[: len(key)]
+    return key, node, ~alone, first
+
+
+def _shared(leads: DataFrame) -> DataFrame:
+    """key and node of the keys that several classes have; a pair may come twice. leads: node, keys.
+
+    Keys cross the network once, packed by part. A task compares its own pairs first, KEYS_TOGETHER at a time: of each key one node goes to the key's
+    part, and where a key has several nodes all of them go on as a part of their own. So a part has no more rows of a hot key than there are such lots.
+    """
+    total = leads.agg(F.sum(F.size("keys"))).first()[0] or 0
+    parts = max(1, -(-total // KEYS_TOGETHER))
+
+    def lots(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        key, node, n = [], [], 0
+        for batch in small_batches(batches):
+            lists = batch.column(1)
+            key.append(lists.flatten().to_numpy(zero_copy_only=False))
+            node.append(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)))
+            n += len(key[-1])
+            if n >= KEYS_TOGETHER:
+                yield np.concatenate(key), np.concatenate(node)
+                key, node, n = [], [], 0
+        if n:
+            yield np.concatenate(key), np.concatenate(node)
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(part: list[int], of: list[np.ndarray]) -> pa.RecordBatch:
+            columns = [pa.array(part, pa.int64()), *(pa.array([pairs[at].tobytes() for at in of], pa.binary()) for pairs in (key, node))]
+            return pa.RecordBatch.from_arrays(columns, ["part", "keys", "nodes"])
+
+        for key, node in lots(batches):
+            key, node, several, first = _in_order(key, node)
+            if several.any():
+                own = np.add.reduce(_mixed((key[several] ^ node[several]).view(np.uint64)))
+                yield rows([-1 - int(own >> np.uint64(1))], [several])
+            key, node = key[first], node[first]
+            part = (key.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            at, begin = np.unique(part[order], return_index=True)
+            yield rows(at.tolist(), np.split(order, begin[1:]))
+
+    def met(part: pa.Table) -> pa.Table:
+        key, node = (np.frombuffer(b"".join(part[c].to_pylist()), np.int64) for c in ("keys", "nodes"))
+        key, node, several, _ = _in_order(key, node)
+        return pa.table({"key": key[several], "node": node[several]})
+
+    return leads.mapInArrow(packed, "part long, keys binary, nodes binary").groupBy("part").applyInArrow(met, "key long, node long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """node and the smallest node that links lead to, for every node of links (u, v).
 
@@ -337,19 +395,18 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     known = written(features(docs, n, percent), "features")
     some = known.filter("doc_id is not null and n_shingles > 0")
     # Both sides of the joins below are tables or plain scans, so a hot class or key is split by Spark's skew handling.
-    classes = written(some.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"), F.count(F.lit(1)).alias("rows")), "classes")
-    leads = some.filter("keys is not null").select("node", "n_shingles", F.explode("keys").alias("key"))
-
-    # Keys that several classes have, with the smallest of these.
-    common = leads.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select("key", "low")
-    shared = written(leads.join(written(common, "keys"), "key"), "shared")
+    rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
+    classes = written(some.groupBy("node").agg(rep, F.max("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("rows")), "classes")
+    shared = written(_shared(some.filter("keys is not null").select("node", "keys")), "shared")
 
     # Groups: each class goes to the smallest one that it met; large groups are split, and each part gets the leader.
-    lead = written(shared.groupBy("node").agg(F.min("low").alias("leader"), F.max("n_shingles").alias("n_shingles")), "lead")
+    low = written(shared.groupBy("key").agg(F.min("node").alias("low")), "keys")
+    leader = written(shared.join(low, "key").groupBy("node").agg(F.min("low").alias("leader")), "leader")
+    lead = written(leader.join(classes.select("node", "n_shingles", "rep"), "node"), "lead")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS), F.ceil(F.sum("n_shingles") / GROUP_TOKENS))
     counts = written(lead.groupBy("leader").agg(parts.alias("parts")), "parts")
     nodes = written(lead.join(counts, "leader").select("node", "n_shingles", "leader", F.pmod(F.xxhash64("node"), "parts").alias("part"), "parts"), "nodes")
-    texts = written(_with_texts(nodes.join(classes, "node").select("node", "rep"), docs), "texts")
+    texts = written(_with_texts(lead.select("node", "rep"), docs), "texts")
     own = nodes.select("leader", "part", "node")
     leaders = nodes.filter("node = leader and parts > 1").select("leader", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "node")
     matrix = written(_built(own.unionByName(leaders).distinct().join(texts, "node"), n, percent), "matrix")

@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -100,3 +101,17 @@ def test_linked_sets_share_a_key(percent):
             b = np.concatenate([a[gone:], rest[rng.permutation(len(rest))[:new]]])
             if set(a) != set(b):
                 assert set(jaccard_join.keys(np.sort(a), percent)) & set(jaccard_join.keys(np.sort(b), percent)), (size, gone, new)
+
+
+def test_shared_keys_in_small_lots(spark, monkeypatch):
+    """Each pair of a key that several nodes have is found, across lots and tasks, and no other."""
+    monkeypatch.setattr(jaccard_join, "KEYS_TOGETHER", 50)
+    rng = np.random.default_rng(3)
+    held = [(node, sorted({int(k) for k in rng.integers(-300, 300, 12)} | ({7} if node % 3 else set()))) for node in range(200)] * 2
+    rng.shuffle(held)
+    leads = spark.createDataFrame(held, "node long, keys array<long>").repartition(5)
+    got = {tuple(r) for r in jaccard_join._shared(leads).collect()}
+    pairs = {(k, node) for node, ks in held for k in ks}
+    nodes_of = Counter(k for k, _ in pairs)
+    assert got == {(k, node) for k, node in pairs if nodes_of[k] > 1}
+    assert jaccard_join._shared(leads.limit(0)).count() == 0
