@@ -46,7 +46,7 @@ QUERY_ROWS = 64
 RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
 SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
 SLICE_TOKENS = 1 << 15
-KEYS_TOGETHER = 1 << 20  # keys that a task brings together at a time, on either side of the shuffle
+KEYS_TOGETHER = 1 << 18  # keys that a task brings together at a time, on either side of the shuffle
 SEEN_CLASSES = 1_000_000  # a task's memory of classes whose keys it has given; beyond it some are given again
 FILTER_PARTS = 512  # parts of 32,768 bits of the filter of ids, 2 MB in all
 
@@ -317,7 +317,7 @@ def _own_tokens(matrix: DataFrame) -> DataFrame:
     """node and own: how many tokens of a class no other class of the matrix holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for row in batch.to_pylist():
                 tokens = np.frombuffer(row["tokens"], np.int64)
                 bits = np.frombuffer(row["bits"], np.uint8).reshape(len(tokens), -1)

@@ -21,11 +21,12 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 KINDS = ("assign", "access", "hex", "random")
 SAMPLE_DOCS = 2000
 SHORTEST_RUN = 20  # characters of a run that the models judge; shorter are only pieces of such runs
@@ -229,8 +230,11 @@ def masked(text: str, ratio: Ratio, mark: str = "[SECRET]") -> str:
 
 def redacted(docs: DataFrame, ratio: Ratio, text_col: str = "text") -> DataFrame:
     """The same rows and columns with secrets masked in the text; a null stays null. A map without a shuffle."""
-    @F.pandas_udf("string")
-    def mask(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else masked(t, ratio))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            texts = [None if t is None else masked(t, ratio) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, text_col, pa.array(texts, batch.schema.field(at).type))
 
-    return docs.withColumn(text_col, mask(F.col(text_col)))
+    return docs.mapInArrow(run, docs.schema)
