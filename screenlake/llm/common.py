@@ -48,6 +48,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 BATCH_BYTES = 4 << 20
 
 
