@@ -108,3 +108,65 @@ def false_discovery(df: DataFrame, p: str, name: str) -> DataFrame:
     inside = Window.partitionBy("_bucket").orderBy(F.desc("_p"))
     q = placed.join(F.broadcast(above), "_bucket").select("_p", F.least(F.min("_raw").over(inside), F.col("_above"), F.lit(1.0)).alias(name))
     return filled.join(q, "_p").drop("_p")
+
+
+SKETCH = 10_000  # accuracy of the brackets that exact quantiles are looked for in
+
+
+def quantiles(df: DataFrame, wanted: dict[str, tuple[Column | str, float]], by: tuple[str, ...] = ()) -> DataFrame:
+    """Exact quantiles with linear interpolation: a row for each group, with a column for each name of wanted (a value and a share). Nulls and NaN don't count.
+
+    Two passes for all columns, shares and groups together. A sketch gives each wanted rank a bracket of values that holds about 1 / 1,000 of the rows; then values below the
+    bracket are only counted, and values in it are counted by value and ordered. So no task sees a column whole, and a common value is one row. df is read twice: stage it if it is costly.
+    Without groups there is always one row, of nulls where a column has no values; a group has a row if any of its values counts.
+    """
+    columns: dict[str, Column] = {}
+    names = []
+    for name, (value, share) in wanted.items():
+        value = F.col(value) if isinstance(value, str) else value
+        at = list(columns).index(str(value)) if str(value) in columns else len(columns)
+        columns[str(value)] = value
+        names.append((name, at, share))
+    key = F.struct(*by) if by else F.struct(F.lit(0).alias("_all"))
+    long = df.select(key.alias("_k"), F.posexplode(F.array(*[c.cast("double") for c in columns.values()])).alias("_c", "_v")).filter("_v is not null and not isnan(_v)")
+    near = 4.0 / SKETCH
+    edges = sorted({min(1.0, max(0.0, s + d)) for _, _, s in names for d in (-near, near)})
+    facts = long.groupBy("_k", "_c").agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", F.array(*map(F.lit, edges)), SKETCH).alias("_e"))
+    place = lambda s, d: F.get("_e", F.lit(edges.index(min(1.0, max(0.0, s + d)))))
+    asked = [F.struct(F.lit(k).alias("q"), F.lit(at).alias("c"), F.lit(s).alias("p"), place(s, -near).alias("low"), place(s, near).alias("high")) for k, (_, at, s) in enumerate(names)]
+    brackets = facts.select("_k", "_c", "_n", F.explode(F.filter(F.array(*asked), lambda x: x["c"] == F.col("_c"))).alias("_x"))
+    rank = (F.col("_n") - 1) * F.col("_x.p")
+    brackets = brackets.select("_k", "_c", F.col("_x.q").alias("_q"), F.col("_x.low").alias("_low"), F.col("_x.high").alias("_high"), F.floor(rank).alias("_r"), (rank - F.floor(rank)).alias("_f"))
+
+    def found(brackets: DataFrame) -> DataFrame:
+        """The values at ranks _r and _r + 1, null where the bracket doesn't hold them."""
+        inside = F.when((F.col("_v") >= F.col("_low")) & (F.col("_v") <= F.col("_high")), F.col("_v"))
+        met = long.join(brackets, ["_k", "_c"]).filter("_v <= _high").groupBy("_k", "_q", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_m"), F.first("_r").alias("_r"), F.first("_f").alias("_f"))
+        upto = F.sum("_m").over(Window.partitionBy("_k", "_q").orderBy(F.asc_nulls_first("_v")))
+        placed = met.withColumn("_to", upto).filter(F.col("_v").isNotNull())
+        at = lambda d: F.min(F.when((F.col("_to") - F.col("_m") <= F.col("_r") + d) & (F.col("_r") + d < F.col("_to")), F.col("_v")))
+        return placed.groupBy("_k", "_q").agg(at(0).alias("_a"), at(1).alias("_b"), F.first("_f").alias("_f"))
+
+    brackets = staged(brackets)  # a table of known size: small ones are broadcast by the planner
+    both = staged(found(brackets))
+    lost = F.col("_a").isNull() | (F.col("_f") > 0) & F.col("_b").isNull()
+    if not (missed := both.filter(lost)).isEmpty():  # the sketch promises brackets that hold; else all values of the column are ordered
+        wide = brackets.join(missed.select("_k", "_q"), ["_k", "_q"]).withColumns({"_low": F.lit(-math.inf), "_high": F.lit(math.inf)})
+        both = both.filter(~lost).unionByName(found(staged(wide)))
+    value = F.when(F.col("_f") > 0, F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")).otherwise(F.col("_a"))
+    one = lambda k, name: F.max(F.when(F.col("_q") == k, F.col("_x"))).alias(name)
+    rows = both.withColumn("_x", value)
+    results = [one(k, name) for k, (name, _, _) in enumerate(names)]
+    if not by:
+        return rows.agg(*results)
+    return rows.groupBy("_k").agg(*results).select(*[F.col(f"_k.{b}").alias(b) for b in by], *[n for n, _, _ in names])
+
+
+def absolute_deviation(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """A row for each group: mad_<column>, the median distance of a column's values from their median."""
+    middle = quantiles(df, {f"_m_{c}": (c, 0.5) for c in columns}, by)
+    if by:
+        away = df.join(staged(middle), list(by))
+    else:
+        away = df.crossJoin(F.broadcast(middle))  # one row
+    return quantiles(away, {f"mad_{c}": (F.abs(F.col(c) - F.col(f"_m_{c}")), 0.5) for c in columns}, by)

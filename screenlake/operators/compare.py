@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import stats
+from ..plans.staging import staged
 
 
 def ordered(score: str, *ties: str) -> list[Column]:
@@ -51,7 +52,8 @@ def pattern_counts(found: DataFrame) -> DataFrame:
 
 def below_controls(df: DataFrame, controls: list[str], percent: float) -> DataFrame:
     """Rows whose controls all lie strictly below the percentile of that control."""
-    bounds = df.agg(*[F.percentile(c, F.lit(percent / 100.0)).alias(f"_b_{c}") for c in controls])
+    df = staged(df)
+    bounds = stats.quantiles(df, {f"_b_{c}": (c, percent / 100.0) for c in controls})
     keep = reduce(lambda a, b: a & b, [F.coalesce(c, F.lit(0.0)) < F.col(f"_b_{c}") for c in controls])
     return df.crossJoin(F.broadcast(bounds)).filter(keep).drop(*[f"_b_{c}" for c in controls])  # one row
 
@@ -131,8 +133,9 @@ def merged_runs(a: DataFrame, b: DataFrame, key: str, shared: list[str], score:
 
 def quality_flags(df: DataFrame, control: str, negatives: list[str], quantile: float = 0.9, least: float = 10.0) -> DataFrame:
     """Adds flags: what is odd about a row, joined by semicolons, or OK."""
-    bounds = df.agg(*[F.greatest(F.lit(0.0), F.percentile(c, F.lit(quantile))).alias(f"_b_{c}") for c in negatives])
-    df = df.crossJoin(F.broadcast(bounds))  # one row
+    df = staged(df)
+    bounds = stats.quantiles(df, {f"_b_{c}": (c, quantile) for c in negatives})
+    df = df.crossJoin(F.broadcast(bounds)).withColumns({f"_b_{c}": F.greatest(F.lit(0.0), f"_b_{c}") for c in negatives})  # one row
     high = [F.when((F.col(c) >= F.col(f"_b_{c}")) & (F.col(f"_b_{c}") > 0), f"{c.upper()}_HIGH") for c in negatives]
     flags = F.concat_ws(
         ";", F.when(F.col(control) < least, "LOW_DEL2"), *high, F.when(F.col("lfc_r2") < F.col("lfc_r1") - 1, "R2_DROP"),

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import stats
+from ..plans.staging import staged
+
 DENOMINATORS = ("sample_decoded", "sample_length_passed", "sample_total_raw", "library_decoded")
 
 
@@ -20,6 +23,20 @@ def matrix(reads: DataFrame, samples: list[str], keep: tuple[str, ...] = ()) ->
     return rows.groupBy("lib_id", "id").agg(*[F.min(k).alias(k) for k in keep], *map(one, samples))
 
 
+def shares(reads: DataFrame, libraries: DataFrame, samples: DataFrame, raw: DataFrame | None = None) -> DataFrame:
+    """lib_id, sample, n, ratio (of the sample's decoded reads) and ratio_raw (of all its reads: raw has sample, total), zeros included; six places, 0 of nothing.
+
+    Both lists are a screen's own, a few rows each.
+    """
+    grid = library_totals(reads, libraries, samples)
+    whole = grid.groupBy("sample").agg(F.sum("n").alias("_all"))
+    part = lambda total: F.coalesce(F.round(F.col("n") / F.nullif(total, F.lit(0)), 6), F.lit(0.0))
+    out = grid.join(F.broadcast(whole), "sample").withColumn("ratio", part(F.col("_all"))).drop("_all")  # a row for each sample
+    if raw is not None:
+        out = out.join(F.broadcast(raw.select("sample", F.col("total").alias("_raw"))), "sample", "left").withColumn("ratio_raw", part(F.col("_raw"))).drop("_raw")  # a row for each sample
+    return out
+
+
 def summed(m: DataFrame, samples: list[str], key: tuple[str, ...] = ("lib_id", "id")) -> DataFrame:
     """Rows of equal keys added up; text that is no number counts as 0."""
     number = lambda s: F.coalesce(F.col(s).try_cast("double"), F.lit(0.0))
@@ -35,7 +52,7 @@ def library_totals(reads: DataFrame, libraries: DataFrame, samples: DataFrame) -
 
 def cpm(counts: DataFrame, denominators: DataFrame, keys: list[str]) -> DataFrame:
     """cpm: n per million of the denominator of the same keys, 0 where that is 0, to six places."""
-    joined = counts.join(F.broadcast(denominators), keys, "left")
+    joined = counts.join(denominators, keys, "left")
     value = F.when(F.coalesce("denominator", F.lit(0)) > 0, F.col("n") * 1e6 / F.col("denominator")).otherwise(F.lit(0.0))
     return joined.select(*counts.columns, F.round(value, 6).alias("cpm"))
 
@@ -52,7 +69,8 @@ def size_factors(m: DataFrame, samples: list[str]) -> DataFrame:
 def prefiltered(m: DataFrame, samples: list[str], control: str = "del2", quantile: float = 0.5, least: float = 0.0, least_total: float = 0.0) -> DataFrame:
     """Rows whose control reaches the quantile of all rows and least, and whose sum reaches least_total."""
     total: Column = sum((F.col(s) for s in samples), F.lit(0.0))
-    bound = m.agg(F.percentile(control, F.lit(quantile)).alias("_q")) if 0 < quantile < 1 else m.agg(F.lit(0.0).alias("_q"))
+    m = staged(m) if 0 < quantile < 1 else m
+    bound = stats.quantiles(m, {"_q": (control, quantile)}) if 0 < quantile < 1 else m.agg(F.lit(0.0).alias("_q"))
     return m.crossJoin(F.broadcast(bound)).filter((F.col(control) >= F.greatest("_q", F.lit(least))) & (total >= least_total)).drop("_q")  # one row
 
 

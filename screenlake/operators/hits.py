@@ -65,28 +65,29 @@ def glm(m: DataFrame, groups: dict[str, list[str]], control: str = "del2", fixed
 def fano(m: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     """One row: the median over rows of variance / mean of each group, for rows with a positive mean."""
     one = lambda cols: F.when(stats.mean(cols) > 0, stats.variance(cols) / stats.mean(cols))
-    return m.agg(*[F.median(one([F.col(f"n_{s}") for s in cols])).alias(f"fano_{g}") for g, cols in groups.items() if len(cols) > 1])
+    rows = staged(m.select(*[one([F.col(f"n_{s}") for s in cols]).alias(f"fano_{g}") for g, cols in groups.items() if len(cols) > 1]))
+    return stats.quantiles(rows, {c: (c, 0.5) for c in rows.columns})
 
 
 def tuned(m: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
     """One row of parameters from quantiles over all rows."""
     one, two = arms
     depth = F.log10(F.col(f"mean_{one}") + F.col(f"mean_{two}") + 1)
-    q = lambda c, p: F.percentile(c, F.lit(p))
-    both = F.explode(F.array(f"cv_{one}", f"cv_{two}")).alias("cv")
-    spread = m.select(both).agg(q("cv", 0.75).alias("cv75"), q("cv", 0.9).alias("cv90"))
-    rows = m.agg(
-        q(depth, 0.6).alias("t0"),
-        clip((q(depth, 0.75) - q(depth, 0.25)) / 2.772, 0.2, 1.0).alias("slope"),
-        clip(q(f"lfc_{one}", 0.9), 2.0, 5.0).alias("c1"),
-        clip(q(f"lfc_{two}", 0.9), 2.0, 5.0).alias("c2"),
-        clip(interpolate(F.avg(F.when(F.col(f"lfc_{two}") > 0, 1.0).otherwise(0.0)), 0.3, 0.9, 0.3, 0.9), 0.3, 0.9).alias("w2"),
-        clip(0.3 + 0.6 * F.least(q("alpha", 0.75), F.lit(1.0)), 0.3, 1.0).alias("l_alpha"),
+    rows = m.select(depth.alias("depth"), F.col(f"lfc_{one}").alias("lfc1"), F.col(f"lfc_{two}").alias("lfc2"), "alpha", F.col(f"cv_{one}").alias("cv"))
+    rows = rows.unionByName(m.select(F.col(f"cv_{two}").alias("cv")), allowMissingColumns=True)
+    shares = {"d60": ("depth", 0.6), "d75": ("depth", 0.75), "d25": ("depth", 0.25), "l1": ("lfc1", 0.9), "l2": ("lfc2", 0.9), "a75": ("alpha", 0.75), "cv75": ("cv", 0.75), "cv90": ("cv", 0.9)}
+    up = m.agg(F.avg(F.when(F.col(f"lfc_{two}") > 0, 1.0).otherwise(0.0)).alias("up"))
+    return stats.quantiles(rows, shares).crossJoin(up).select(  # one row each
+        F.col("d60").alias("t0"),
+        clip((F.col("d75") - F.col("d25")) / 2.772, 0.2, 1.0).alias("slope"),
+        clip(F.col("l1"), 2.0, 5.0).alias("c1"),
+        clip(F.col("l2"), 2.0, 5.0).alias("c2"),
+        F.lit(0.5).alias("w1"),
+        clip(interpolate(F.col("up"), 0.3, 0.9, 0.3, 0.9), 0.3, 0.9).alias("w2"),
+        clip(0.3 + 0.6 * F.least(F.col("a75"), F.lit(1.0)), 0.3, 1.0).alias("l_alpha"),
+        clip(0.3 + 0.7 * F.col("cv75"), 0.3, 1.0).alias("l_cv"),
+        clip(F.col("cv90"), 0.6, 1.2).alias("cap"),
     )
-    return rows.crossJoin(spread).select(  # one row each
-        "t0", "slope", "c1", "c2", F.lit(0.5).alias("w1"), "w2", "l_alpha",
-        clip(0.3 + 0.7 * F.col("cv75"), 0.3, 1.0).alias("l_cv"), clip(F.col("cv90"), 0.6, 1.2).alias("cap"),
-    )
 
 
 def shrinkage(f: DataFrame, strict: bool = False) -> DataFrame:
@@ -111,10 +112,11 @@ def components(m: DataFrame, parameters: DataFrame, arms: tuple[str, str] = ("r1
 def synthons(m: DataFrame, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
     """Adds syn: over positions, the robust z of the block's median of e_syn, clipped at 3. All positions are counted in one pass."""
     each = F.explode(F.array(*[F.struct(F.lit(b).alias("_at"), F.col(b).alias("_block")) for b in blocks])).alias("_x")
-    by = staged(m.select("e_syn", each).groupBy("_x._at", "_x._block").agg(F.median("e_syn").alias("_v")))
-    middle = by.groupBy("_at").agg(F.median("_v").alias("_m"), F.avg("_v").alias("_a"), F.stddev_pop("_v").alias("_s"))
+    long = staged(m.select("e_syn", each).select("e_syn", "_x._at", "_x._block"))
+    by = staged(stats.quantiles(long, {"_v": ("e_syn", 0.5)}, ("_at", "_block")))
+    middle = stats.quantiles(by, {"_m": ("_v", 0.5)}, ("_at",)).join(by.groupBy("_at").agg(F.avg("_v").alias("_a"), F.stddev_pop("_v").alias("_s")), "_at")
     by = by.join(F.broadcast(middle), "_at")  # a row for each position
-    spread = by.groupBy("_at").agg(F.median(F.abs(F.col("_v") - F.col("_m"))).alias("_d"))
+    spread = stats.quantiles(by.select("_at", F.abs(F.col("_v") - F.col("_m")).alias("_away")), {"_d": ("_away", 0.5)}, ("_at",))
     by = by.join(F.broadcast(spread), "_at")  # a row for each position
     z = F.when(F.col("_d") > 1e-12, 0.6745 * (F.col("_v") - F.col("_m")) / F.col("_d")).otherwise((F.col("_v") - F.col("_a")) / (F.col("_s") + 1e-12))
     scores = staged(by.select("_at", "_block", clip(z, -3.0, 3.0).alias("_z")))
@@ -127,7 +129,7 @@ def synthons(m: DataFrame, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
 def hit_score(m: DataFrame, config: HitConfig, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
     """Adds rho, penalty, hit_score and hit_pct."""
     m = staged(m)
-    ends = m.agg(F.percentile("syn", F.lit(0.95)).alias("_hi"), F.percentile("syn", F.lit(0.05)).alias("_lo"))
+    ends = stats.quantiles(m, {"_hi": ("syn", 0.95), "_lo": ("syn", 0.05)})
     m = m.crossJoin(F.broadcast(ends))  # one row
     m = m.withColumn("rho", clip(0.2 / F.greatest(F.abs("_hi"), F.abs("_lo"), F.lit(1e-6)), 0.05, 0.35)).drop("_hi", "_lo")
     cv = stats.mean([F.least(F.coalesce(f"cv_{g}", "cap"), F.col("cap")) / F.col("cap") for g in arms])
@@ -187,11 +189,11 @@ def neg_hard_fail(config: HitConfig) -> Column:
 
 def centered(m: DataFrame, lfc: str, quantile: float, r2_most: float, most: float | None) -> DataFrame:
     """Adds <lfc>_centered: less its median over rows that look like nothing (low e, low second-round ratio), and <lfc>_fail."""
-    q = min(0.95, max(0.05, quantile))
-    bound = m.agg(F.percentile("e", F.lit(q)).alias("_q"))
+    m = staged(m)
+    bound = stats.quantiles(m, {"_q": ("e", min(0.95, max(0.05, quantile)))})
     m = m.crossJoin(F.broadcast(bound))  # one row
-    shift = m.filter((F.col("e") <= F.col("_q")) & (F.col("lfc_r2") <= r2_most)).agg(F.coalesce(F.median(lfc), F.lit(0.0)).alias("_s"))
-    m = m.crossJoin(F.broadcast(shift)).withColumn(f"{lfc}_centered", F.col(lfc) - F.col("_s")).drop("_q", "_s")
+    shift = stats.quantiles(m.filter((F.col("e") <= F.col("_q")) & (F.col("lfc_r2") <= r2_most)), {"_s": (lfc, 0.5)})
+    m = m.crossJoin(F.broadcast(shift)).withColumn(f"{lfc}_centered", F.col(lfc) - F.coalesce("_s", F.lit(0.0))).drop("_q", "_s")  # one row
     return m.withColumn(f"{lfc}_fail", F.coalesce(F.col(f"{lfc}_centered") > most, F.lit(False)) if most is not None else F.lit(False))
 
 

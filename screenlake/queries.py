@@ -801,3 +801,6 @@ def natural_block_order(spark, sf_dir):
 
     b = cube(spark, sf_dir).select("bb1").union(spark.createDataFrame([("NA",)], "bb1 string")).distinct()
     return b.select("bb1", F.row_number().over(Window.orderBy(*compare.natural_order(F.col("bb1")))).cast("long").alias("place"))  # a design's blocks
+
+
+from . import queries_hits  # noqa: E402,F401  registers its queries
