@@ -2,12 +2,11 @@
 
 Patterns are a screen's tags and their one-base variants: a table of a size fixed by the library design. A read's positions are joined with it by the
 first bases that all patterns have, which the planner does by broadcast where the table's size allows. What matches is few: it is collected by read in
-one shuffle, its chains are laid out as rows beside it, and the first one in a total order is kept.
+one shuffle, the best chain of codons between two anchors is found beside it inside one expression, and the first decoding in a total order is kept.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,13 +19,17 @@ TOLERANCE = 3
 
 
 def patterns(tags: DataFrame) -> DataFrame:
-    """type, lib_id, cycle, bb_id, kmer, len, miss: anchors with their one-base variants, codons as they are. tags: type, lib_id, cycle, bb_id, seq."""
+    """type, lib_id, cycle, bb_id, kmer, len, miss, cycles: anchors with their one-base variants, codons as they are. tags: type, lib_id, cycle, bb_id, seq.
+
+    cycles is the last cycle that the library has codons for, null for anchors of all libraries.
+    """
     anchors = tags.filter("type != 'CODON'")
     near = F.array_distinct(F.concat(dna.substitutions(F.col("seq")), dna.deletions(F.col("seq")), dna.insertions(F.col("seq"))))
     variants = anchors.select("type", "lib_id", "cycle", "bb_id", F.explode(F.array_except(near, F.array("seq"))).alias("kmer"), F.lit(1).alias("miss"))
     plain = tags.select("type", "lib_id", "cycle", "bb_id", F.col("seq").alias("kmer"), F.lit(0).alias("miss"))
     rows = plain.unionByName(variants).groupBy("type", "lib_id", "cycle", "kmer").agg(F.min("miss").alias("miss"), F.min_by("bb_id", F.struct("miss", "bb_id")).alias("bb_id"))
-    return rows.select("type", "lib_id", "cycle", "bb_id", "kmer", F.length("kmer").alias("len"), "miss")
+    last = tags.filter("type = 'CODON'").groupBy("lib_id").agg(F.max("cycle").alias("cycles"))
+    return rows.join(last, "lib_id", "left").select("type", "lib_id", "cycle", "bb_id", "kmer", F.length("kmer").alias("len"), "miss", "cycles")
 
 
 def directed(reads: DataFrame) -> DataFrame:
@@ -45,58 +48,72 @@ def hits(oriented: DataFrame, table: DataFrame, lengths: list[int]) -> DataFrame
 
 def collected(reads: DataFrame, table: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
     """read_id and four arrays of what matches the read in either direction: cp, op, hp and codon."""
-    one = F.struct("dir", "lib_id", "cycle", "pos", "len", "miss", "bb_id")
+    one = F.struct("dir", "lib_id", "cycle", "pos", "len", "miss", "bb_id", "cycles")
     lists = [F.collect_list(F.when(F.col("type") == kind, one)).alias(kind.lower()) for kind in ("CP", "OP", "HP", "CODON")]
     return hits(directed(reads), table, sorted({n for v in sizes.values() for n in v})).groupBy("read_id").agg(*lists)
 
 
+def chain(codons: Column, cycles: Column, start: Column, goal: Column, tolerance: int) -> Column:
+    """A struct of penalty and path (pos, len, bb_id of each cycle): the codons from start to goal with the least sum of gaps, then the leftmost; null without one.
+
+    codons: what matches in one direction and library. Cycles are walked in turn: of the chains that end in the same codon only the best one is kept, as what follows
+    depends on nothing else. So the work is the product of the codons of neighbouring cycles, and a library's own number of cycles sets the length.
+    """
+    none = F.array().cast("array<struct<pos:int,len:int,bb_id:string>>")
+    begin = F.array(F.struct(F.lit(0).alias("penalty"), start.cast("int").alias("end"), none.alias("path")))
+
+    def onward(chains: Column, h: Column) -> Column:
+        near = F.filter(chains, lambda s: F.abs(h["pos"] - s["end"]) <= tolerance)
+        step = F.struct(h["pos"].cast("int").alias("pos"), h["len"].cast("int").alias("len"), h["bb_id"].alias("bb_id"))
+        more = lambda s: F.struct((s["penalty"] + F.abs(h["pos"] - s["end"])).cast("int").alias("penalty"), (h["pos"] + h["len"]).cast("int").alias("end"), F.concat(s["path"], F.array(step)).alias("path"))
+        return F.array_min(F.transform(near, more))
+
+    cycle = lambda chains, k: F.filter(F.transform(F.filter(codons, lambda h: h["cycle"] == k), lambda h: onward(chains, h)), lambda s: s.isNotNull())
+    ends = F.aggregate(F.sequence(F.lit(1), F.greatest(cycles, F.lit(1))), begin, cycle)
+    close = F.filter(ends, lambda s: F.abs(goal - s["end"]) <= tolerance)
+    return F.when(cycles > 0, F.array_min(F.transform(close, lambda s: F.struct((s["penalty"] + F.abs(goal - s["end"])).alias("penalty"), s["path"].alias("path")))))
+
+
 def decoded(reads: DataFrame, table: DataFrame, cycles: int, sizes: dict[str, list[int]], tolerance: int = TOLERANCE) -> DataFrame:
-    """read_id, dir, lib_id, cp_pos, op_pos, hp_pos, penalty and bb1.. of each read's first success.
+    """read_id, dir, lib_id, cp_pos, op_pos, hp_pos, penalty, c1_pos.., bb1.. and cycles of each read's first success.
 
+    Libraries may have different numbers of cycles, up to cycles; columns beyond a library's own are null.
     Order: forward first; closing primer without a miss, then rightmost, then by library, then shorter; opening primer likewise and of the library before a global
     one; head likewise; then the chain of codons with the least sum of gaps, then the leftmost.
     """
     x = collected(reads, table, sizes).filter("size(cp) > 0 and size(op) > 0 and size(hp) > 0 and size(codon) > 0")
     own = lambda h: (h["dir"] == F.col("c.dir")) & ((h["lib_id"] == F.col("c.lib_id")) | (h["lib_id"] == ""))
-    near = lambda a, b: F.abs(a - b) <= tolerance
-
-    def each(x: DataFrame, array: str, name: str, fits: Callable[[Column], Column]) -> DataFrame:
-        """A row for each element that fits. The outer form has no filter inferred from it, which would compute the array once more."""
-        return x.select("*", F.explode_outer(F.filter(array, fits)).alias(name)).filter(F.col(name).isNotNull())
 
+    # The outer forms have no filter inferred from them, which would compute the arrays once more.
     x = x.select("*", F.explode_outer("cp").alias("c"))
     x = x.withColumn("codon", F.filter("codon", lambda h: (h["dir"] == F.col("c.dir")) & (h["lib_id"] == F.col("c.lib_id"))))
-    x = each(x, "op", "o", lambda h: own(h) & (h["pos"] < F.col("c.pos")))
-    end, penalty = F.col("o.pos") + F.col("o.len"), F.lit(0)
-    for k in range(1, cycles + 1):
-        x = each(x, "codon", f"k{k}", _at_cycle(k, end, tolerance))
-        penalty = penalty + F.abs(F.col(f"k{k}.pos") - end)
-        end = F.col(f"k{k}.pos") + F.col(f"k{k}.len")
-    x = x.filter(near(F.col("c.pos"), end)).withColumn("penalty", penalty + F.abs(F.col("c.pos") - end))
-    x = each(x, "hp", "h", lambda h: own(h) & (h["pos"] < F.col("o.pos")) & near(F.col("o.pos"), h["pos"] + h["len"]))
-    rank = lambda a: [F.col(f"{a}.miss"), -F.col(f"{a}.pos"), F.when(F.col(f"{a}.lib_id") == F.col("c.lib_id"), 0).otherwise(1), F.col(f"{a}.len")]
-    path = [F.col(f"k{k}.{f}") for k in range(1, cycles + 1) for f in ("pos", "len", "bb_id")]
-    first = [F.col("c.dir"), F.col("c.miss"), -F.col("c.pos"), F.col("c.lib_id"), F.col("c.len"), *rank("o"), *rank("h"), F.col("penalty"), *path]
+    x = x.select("*", F.explode_outer(F.filter("op", lambda h: own(h) & (h["pos"] < F.col("c.pos")))).alias("o")).filter(F.col("o").isNotNull())
+    fits = lambda h: own(h) & (h["pos"] < F.col("o.pos")) & (F.abs(F.col("o.pos") - h["pos"] - h["len"]) <= tolerance)
+    rank = lambda a: F.struct(a["miss"].alias("miss"), (-a["pos"]).alias("right"), F.when(a["lib_id"] == F.col("c.lib_id"), 0).otherwise(1).alias("own"), a["len"].alias("len"), a["pos"].alias("pos"))
+    x = x.withColumn("h", F.array_min(F.transform(F.filter("hp", fits), rank))).filter(F.col("h").isNotNull())
+    x = x.withColumn("k", chain(F.col("codon"), F.col("c.cycles"), F.col("o.pos") + F.col("o.len"), F.col("c.pos"), tolerance)).filter(F.col("k").isNotNull())
+    first = [F.col("c.dir"), F.col("c.miss"), -F.col("c.pos"), F.col("c.lib_id"), F.col("c.len"), rank(F.col("o")), F.col("h"), F.col("k")]
     order = F.struct(*[v.alias(f"_{i}") for i, v in enumerate(first)])
-    kept = F.struct("c", "o", "h", "penalty", *[f"k{k}" for k in range(1, cycles + 1)])
-    best = x.groupBy("read_id").agg(F.min_by(kept, order).alias("best"))
+    best = x.groupBy("read_id").agg(F.min_by(F.struct("c", "o", "h", "k"), order).alias("best"))
     anchor = [F.col(f"best.{a[0]}.{f}").alias(f"{a}_{f}") for a in ("cp", "op", "hp") for f in ("pos", "len", "miss")]
-    codons = [F.col(f"best.k{k}.pos").alias(f"c{k}_pos") for k in range(1, cycles + 1)] + [F.col(f"best.k{k}.bb_id").alias(f"bb{k}") for k in range(1, cycles + 1)]
-    return best.select("read_id", F.col("best.c.dir").alias("dir"), F.col("best.c.lib_id").alias("lib_id"), *anchor, F.col("best.penalty").alias("penalty"), *codons)
-
-
-def _at_cycle(k: int, end: Column, tolerance: int) -> Callable[[Column], Column]:
-    return lambda h: (h["cycle"] == k) & (F.abs(h["pos"] - end) <= tolerance)
+    step = lambda k, f: F.get("best.k.path", F.lit(k - 1))[f]
+    codons = [step(k, "pos").alias(f"c{k}_pos") for k in range(1, cycles + 1)] + [step(k, "bb_id").alias(f"bb{k}") for k in range(1, cycles + 1)]
+    lengths = [step(k, "len").alias(f"c{k}_len") for k in range(1, cycles + 1)]
+    return best.select("read_id", F.col("best.c.dir").alias("dir"), F.col("best.c.lib_id").alias("lib_id"), *anchor, F.col("best.k.penalty").alias("penalty"), *codons, F.col("best.c.cycles").alias("cycles"), *lengths)
 
 
 def ordered(done: DataFrame, cycles: int) -> Column:
     """Whether head, opening primer, codons and closing primer start in this order."""
-    starts = ["hp_pos", "op_pos", *[f"c{k}_pos" for k in range(1, cycles + 1)], "cp_pos"]
-    return reduce(lambda a, b: a & b, [done[x] <= done[y] for x, y in zip(starts, starts[1:], strict=False)])
+    last, pairs = done["op_pos"], [done["hp_pos"] <= done["op_pos"]]
+    for k in range(1, cycles + 1):
+        here = done[f"c{k}_pos"]
+        pairs.append(F.coalesce(last <= here, F.lit(True)))  # a library may have fewer cycles
+        last = F.coalesce(here, last)
+    return reduce(lambda a, b: a & b, [*pairs, last <= done["cp_pos"]])
 
 
 def undecoded_reasons(reads: DataFrame, done: DataFrame, table: DataFrame, sizes: dict[str, list[int]]) -> DataFrame:
-    """read_id and reason of reads that aren't decoded: the first kind of anchor that the forward strand lacks in any library, else codon_fail."""
+    """read_id and reason of reads that aren't decoded: the first kind of anchor that the forward strand lacks in any library, else codon_fail; and cp_found, op_found, hp_found."""
     left = reads.join(done.select("read_id"), "read_id", "left_anti")
     forward = left.select("read_id", F.lit(0).alias("dir"), "seq")
     anchors = table.filter("type != 'CODON'")
@@ -104,20 +121,24 @@ def undecoded_reasons(reads: DataFrame, done: DataFrame, table: DataFrame, sizes
     found = hits(forward, anchors, sorted({n for k, v in sizes.items() if k != "CODON" for n in v})).groupBy("read_id").agg(*there)
     lacks = lambda kind: ~F.coalesce(f"_{kind}", F.lit(False))
     reason = F.when(lacks("CP"), "no_cp").when(lacks("OP"), "no_op").when(lacks("HP"), "no_hp").otherwise("codon_fail")
-    return left.select("read_id").join(found, "read_id", "left").select("read_id", reason.alias("reason"))
+    there = [F.coalesce(f"_{kind}", F.lit(False)).cast("int").alias(f"{kind.lower()}_found") for kind in ("CP", "OP", "HP")]
+    return left.select("read_id").join(found, "read_id", "left").select("read_id", reason.alias("reason"), *there)
 
 
 def outcomes(reads: DataFrame, table: DataFrame, cycles: int, sizes: dict[str, list[int]], passes: Column, tolerance: int = TOLERANCE) -> tuple[DataFrame, DataFrame]:
-    """Decoded reads, and sample, read_id and outcome of every read: len_out_of_range, decoded, order_violation or why it isn't decoded.
+    """Decoded reads, and sample, read_id, outcome, cp_found, op_found and hp_found of every read: len_out_of_range, decoded, order_violation or why it isn't decoded.
 
-    reads: sample, read_id, seq; passes says which reads the length filter lets through.
+    reads: sample, read_id, seq; passes says which reads the length filter lets through, whose anchors alone are looked for.
     """
     marked = reads.withColumn("_passes", F.coalesce(passes, F.lit(False)))
     tried = marked.filter("_passes").select("read_id", "seq")
     done = staged(decoded(tried, table, cycles, sizes, tolerance))
     failed = undecoded_reasons(tried, done, table, sizes)
-    known = done.select("read_id", F.when(ordered(done, cycles), "decoded").otherwise("order_violation").alias("_why")).unionByName(failed.select("read_id", F.col("reason").alias("_why")))
-    every = marked.select("sample", "read_id").join(known, "read_id", "left").select("sample", "read_id", F.coalesce("_why", F.lit("len_out_of_range")).alias("outcome"))
+    flags = ["cp_found", "op_found", "hp_found"]
+    known = done.select("read_id", F.when(ordered(done, cycles), "decoded").otherwise("order_violation").alias("_why"), *[F.lit(1).alias(f) for f in flags])
+    known = known.unionByName(failed.select("read_id", F.col("reason").alias("_why"), *flags))
+    every = marked.select("sample", "read_id").join(known, "read_id", "left")
+    every = every.select("sample", "read_id", F.coalesce("_why", F.lit("len_out_of_range")).alias("outcome"), *[F.coalesce(f, F.lit(0)).alias(f) for f in flags])
     return done.filter(ordered(done, cycles)), every
 
 
@@ -134,16 +155,19 @@ def sample_stats(every: DataFrame) -> DataFrame:
     return rows.withColumn("decode_rate_pct", F.round(100.0 * F.col("decoded_reads") / F.col("total_reads"), 3))
 
 
-def cycle_distribution(done: DataFrame, cycles: int) -> DataFrame:
-    """Decoded reads by sample, library and number of cycles. done: sample, lib_id."""
-    return done.groupBy("sample", "lib_id").agg(F.count(F.lit(1)).alias("n")).select("sample", "lib_id", F.lit(cycles).alias("cycles"), "n")
+def cycle_distribution(done: DataFrame, cycles: int | None = None) -> DataFrame:
+    """Decoded reads by sample, library and number of cycles: that of the reads, or the one given. done: sample, lib_id, cycles."""
+    count = F.col("cycles") if cycles is None else F.lit(cycles)
+    return done.groupBy("sample", "lib_id", count.alias("cycles")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quality_checks(done: DataFrame, every: DataFrame, codon: int = 9, cp_least: int = 27, cp_most: int = 29) -> DataFrame:
-    """By sample: reads in the wrong order, and decoded ones whose closing primer has an odd length."""
-    odd = done.groupBy("sample").agg(F.count_if(~F.col("cp_len").between(cp_least, cp_most)).alias("cp_len_odd"))
+def quality_checks(done: DataFrame, every: DataFrame, codon: int = 9, cp_least: int = 27, cp_most: int = 29, cycles: int = 0) -> DataFrame:
+    """By sample: reads in the wrong order, decoded ones whose closing primer has an odd length, and, with cycles, how many of their codons have another length than codon."""
+    odd = [F.count_if(~F.col("cp_len").between(cp_least, cp_most)).alias("cp_len_odd")]
+    if cycles:
+        odd.append(F.sum(sum((F.coalesce((F.col(f"c{k}_len") != codon).cast("long"), F.lit(0)) for k in range(1, cycles + 1)), F.lit(0))).alias("codon_len_odd"))
     rows = every.groupBy("sample").agg(F.count_if(F.col("outcome") == "order_violation").alias("order_violation"))
-    return rows.join(odd, "sample", "left").na.fill(0, ["cp_len_odd"])
+    return rows.join(done.groupBy("sample").agg(*odd), "sample", "left").na.fill(0, ["cp_len_odd", *["codon_len_odd"] * bool(cycles)])
 
 
 def variant_collisions(table: DataFrame) -> DataFrame:
@@ -152,23 +176,47 @@ def variant_collisions(table: DataFrame) -> DataFrame:
     return claims.filter("libs > 1")
 
 
-def gap_stats(done: DataFrame, cycles: int, codon: int) -> DataFrame:
-    """Count, mean, population deviation, least and greatest of each gap, by library."""
-    names = ["hp_op", "op_c1", *[f"c{k}_c{k + 1}" for k in range(1, cycles)], f"c{cycles}_cp"]
-    ends = [F.col("hp_pos") + F.col("hp_len"), F.col("op_pos") + F.col("op_len"), *[F.col(f"c{k}_pos") + codon for k in range(1, cycles + 1)]]
-    starts = [F.col("op_pos"), *[F.col(f"c{k}_pos") for k in range(1, cycles + 1)], F.col("cp_pos")]
-    values = F.array(*[F.struct(F.lit(n).alias("metric"), (s - e).cast("double").alias("gap")) for n, s, e in zip(names, starts, ends, strict=True)])
-    long = done.select("lib_id", F.explode(values).alias("g")).select("lib_id", "g.metric", "g.gap")
-    return long.groupBy("lib_id", "metric").agg(F.count(F.lit(1)).alias("n"), F.avg("gap").alias("mean"), F.stddev_pop("gap").alias("sd"), F.min("gap").alias("least"), F.max("gap").alias("greatest"))
+def gap_stats(done: DataFrame, cycles: int, codon: int | None = None, by: tuple[str, ...] = ("lib_id",)) -> DataFrame:
+    """Count, mean, population deviation, least and greatest of each gap, by library or by other columns. codon: the codons' length, where it isn't in c1_len.."""
+    size = lambda k: F.lit(codon) if codon else F.col(f"c{k}_len")
+    gaps = [("hp_op", F.col("op_pos") - F.col("hp_pos") - F.col("hp_len")), ("op_c1", F.col("c1_pos") - F.col("op_pos") - F.col("op_len"))]
+    gaps += [(f"c{k}_c{k + 1}", F.col(f"c{k + 1}_pos") - F.col(f"c{k}_pos") - size(k)) for k in range(1, cycles)]
+    whole = [F.when(F.col("cycles") == k, F.col("cp_pos") - F.col(f"c{k}_pos") - size(k)) for k in range(1, cycles + 1)]
+    last = F.when(F.col("cycles") == cycles, f"c{cycles}_cp").otherwise("c_last_cp")
+    values = F.array(*[F.struct(F.lit(n).alias("metric"), g.cast("double").alias("gap")) for n, g in gaps], F.struct(last.alias("metric"), F.coalesce(*whole).cast("double").alias("gap")))
+    long = done.select(*by, F.explode(values).alias("g")).select(*by, "g.metric", "g.gap").filter("gap is not null")
+    return long.groupBy(*by, "metric").agg(F.count(F.lit(1)).alias("n"), F.avg("gap").alias("mean"), F.stddev_pop("gap").alias("sd"), F.min("gap").alias("least"), F.max("gap").alias("greatest"))
 
 
-def anchor_quality(done: DataFrame) -> DataFrame:
-    """By library and direction: reads whose anchors match exactly or with a miss."""
+def anchor_quality(done: DataFrame, by: tuple[str, ...] = ("lib_id", "dir")) -> DataFrame:
+    """By library and direction, or by other columns: reads whose anchors match exactly or with a miss, and reads of either direction where that isn't a column."""
     counts = [F.count(F.when(F.col(f"{a}_miss") == m, 1)).alias(f"{a}_{w}") for a in ("hp", "op", "cp") for m, w in ((0, "perf"), (1, "miss"))]
-    return done.groupBy("lib_id", "dir").agg(F.count(F.lit(1)).alias("n"), *counts)
-
-
-def block_counts(done: DataFrame, cycles: int) -> DataFrame:
-    """Reads of each block by library and cycle."""
-    long = done.select("lib_id", F.posexplode(F.array(*[f"bb{k}" for k in range(1, cycles + 1)])).alias("at", "bb_id"))
-    return long.groupBy("lib_id", (F.col("at") + 1).alias("cycle"), "bb_id").agg(F.count(F.lit(1)).alias("n"))
+    if "dir" not in by:
+        counts += [F.count_if(F.col("dir") == d).alias(name) for d, name in ((0, "forward_reads"), (1, "revcomp_reads"))]
+    return done.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *counts)
+
+
+def block_counts(done: DataFrame, cycles: int, by: tuple[str, ...] = ("lib_id",)) -> DataFrame:
+    """Reads of each block by library and cycle, or by other columns beside the cycle."""
+    long = done.select(*by, F.posexplode(F.array(*[f"bb{k}" for k in range(1, cycles + 1)])).alias("at", "bb_id")).filter("bb_id is not null")
+    return long.groupBy(*by, (F.col("at") + 1).alias("cycle"), "bb_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+def records(done: DataFrame, reads: DataFrame, cycles: int = 4) -> DataFrame:
+    """Decoded reads as they are kept: sample, read_id, read_len, read_seq, direction, lib_id, cycles, id, and of each anchor and codon where it lies, how long it is, what it reads, and whether it matches (PERF or
+    MISS) or which block it is. Positions count along the decoded direction, from 0. Codons beyond a library's cycles are null. reads: sample, read_id, seq."""
+    r = reads.select("sample", "read_id", "seq")
+    x = done.join(r, "read_id").withColumn("_o", F.when(F.col("dir") == 1, dna.reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
+    piece = lambda a: F.substring("_o", F.col(f"{a}_pos") + 1, F.col(f"{a}_len"))
+    anchors = [c for a in ("hp", "op", "cp") for c in (f"{a}_pos", f"{a}_len", F.when(F.col(f"{a}_miss") == 0, "PERF").otherwise("MISS").alias(f"{a}_qual"), piece(a).alias(f"{a}_seq"))]
+    codons = [c for k in range(1, cycles + 1) for c in (f"c{k}_pos", f"c{k}_len", piece(f"c{k}").alias(f"c{k}_seq"), F.col(f"bb{k}").alias(f"c{k}_bb_id"))]
+    chain_id = F.concat_ws("_", F.col("cycles").cast("string"), *[F.coalesce(f"bb{k}", F.lit("NA")) for k in range(1, cycles + 1)])
+    return x.select(
+        "sample", "read_id", F.length("seq").alias("read_len"), F.col("seq").alias("read_seq"), F.when(F.col("dir") == 1, "revcomp").otherwise("forward").alias("direction"), "lib_id", "cycles", chain_id.alias("id"), *anchors, *codons
+    )
+
+
+def failures(every: DataFrame, reads: DataFrame) -> DataFrame:
+    """Reads that aren't decoded as they are kept: sample, read_id, read_len, read_seq, reason, cp_found, op_found, hp_found."""
+    r = reads.select("read_id", F.length("seq").alias("read_len"), F.col("seq").alias("read_seq"))
+    return every.filter("outcome != 'decoded'").join(r, "read_id").select("sample", "read_id", "read_len", "read_seq", F.col("outcome").alias("reason"), "cp_found", "op_found", "hp_found")
