@@ -803,4 +803,4 @@ def natural_block_order(spark, sf_dir):
     return b.select("bb1", F.row_number().over(Window.orderBy(*compare.natural_order(F.col("bb1")))).cast("long").alias("place"))  # a design's blocks
 
 
-from . import queries_hits  # noqa: E402,F401  registers its queries
+from . import queries_decode, queries_hits  # noqa: E402,F401  they register their queries

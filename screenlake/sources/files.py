@@ -6,6 +6,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..operators import samples
 
 READ_NAME = r"(?:\.fpmerged\.fq|_merged\.(?:fq|fastq))(?:\.gz)?$"
 
@@ -44,7 +47,7 @@ def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     first = lines.groupBy("file", "part", "block").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("k0"))
     offset = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     first = first.withColumn("offset", F.coalesce(offset, F.lit(0))).drop("n")
-    numbered = lines.join(F.broadcast(first), ["file", "part", "block"]).withColumn("line", F.col("offset") + F.col("k") - F.col("k0"))  # a row for each file block
+    numbered = lines.join(first, ["file", "part", "block"]).withColumn("line", F.col("offset") + F.col("k") - F.col("k0"))
     records = numbered.groupBy("file", F.floor(F.col("line") / 4).alias("read_no")).agg(*[F.max(F.when(F.col("line") % 4 == i, F.col("value"))).alias(f"l{i}") for i in range(4)])
     name = F.regexp_replace(F.regexp_extract("file", r"([^/]+)$", 1), READ_NAME, "")
     return records.filter("l0 is not null and l1 is not null and l2 is not null and l3 is not null").select(
@@ -72,10 +75,27 @@ def insert_histogram(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(sample.alias("sample"), F.posexplode("insert_size.histogram").alias("length", "n")).filter("n > 0")
 
 
-def subsample(reads: DataFrame, n: int, seed: int) -> DataFrame:
-    """n reads of each sample by a seeded hash, in their own order."""
-    w = Window.partitionBy("sample").orderBy(F.xxhash64(F.lit(seed), "sample", "read_no"), "read_no")
-    return reads.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n).drop("_r")
+def subsample(reads: DataFrame, n: int, seed: int, mode: str = "random") -> DataFrame:
+    """n reads of each sample, by a seeded hash or, in the mode head, the first ones. reads: sample, read_no."""
+    if mode == "head":
+        return samples.head(reads, ("sample",), n, F.col("read_no"))
+    return samples.bottom_k(reads, ("sample",), n, seed, "sample", "read_no")
+
+
+DECODED, UNDECODED = "decoded", "undecoded"
+
+
+def write_reads(decoded: DataFrame, undecoded: DataFrame, path: str, most_undecoded: int | None = None) -> None:
+    """Decoded and undecoded reads below path, a folder for each kind and sample. most_undecoded: keep the first ones of each sample only, by read_id; all by default."""
+    decoded.write.partitionBy("sample").mode("overwrite").parquet(f"{path}/{DECODED}")
+    if most_undecoded is not None:
+        undecoded = samples.head(undecoded, ("sample",), most_undecoded, F.col("read_id"))
+    undecoded.write.partitionBy("sample").mode("overwrite").parquet(f"{path}/{UNDECODED}")
+
+
+def read_reads(spark: SparkSession, path: str, kind: str, columns: StructType) -> DataFrame:
+    """What write_reads() has written; a filter on sample reads that sample's folder only."""
+    return spark.read.schema(columns).parquet(f"{path}/{kind}").select(*columns.names)
 
 
 def numeric_columns(df: DataFrame, columns: list[str], share: float = 0.9) -> list[str]:
