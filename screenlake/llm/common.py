@@ -57,9 +57,9 @@ def dropped(spark: SparkSession, path: str) -> None:
 BATCH_BYTES = 4 << 20
 
 
-def small_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about BATCH_BYTES (a longer row is a slice of its own), so that a worker's memory doesn't follow Spark's batches."""
+def small_batches(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into slices of about that many bytes (a longer row is a slice of its own), so that a worker's memory doesn't follow Spark's batches."""
     for batch in batches:
-        rows = max(1, int(len(batch) * BATCH_BYTES / max(1, batch.nbytes)))
+        rows = max(1, int(len(batch) * most / max(1, batch.nbytes)))
         for k in range(0, len(batch), rows):
             yield batch.slice(k, rows)

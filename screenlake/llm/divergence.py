@@ -1,6 +1,6 @@
 """How far sources of a language differ in their words (operator 12), by sorted streams.
 
-Tasks count the words of their documents and combine what they have (COMBINED entries at most) before the shuffle. Rows are dealt by (lang, term, source) and sorted by (lang, term,
+Tasks sort the words of a slice of their documents (SLICE_BYTES) by document and by group, and send runs of equal (lang, term, source) with their numbers. Rows are dealt by (lang, term, source) and sorted by (lang, term,
 source, document); a scan of runs of equal keys adds up documents and occurrences. One row for each of these keys is left, so no task gets a common word's rows whole: dealt by
 (lang, term) and sorted by source they make one run for each term, as long as its language has sources, which the second scan writes as one row of a table, if enough documents have it.
 
@@ -14,8 +14,6 @@ are lowered. A language without kept terms has pairs of value 0 and no terms. Eq
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,54 +24,38 @@ from pyspark.sql import functions as F
 
 from .common import small_batches, written
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-COMBINED = 400_000
+# Bytes of UTF-8: those of characters beyond ASCII and lower letters stay, A to Z are lowered, all others part terms.
+TERM_BYTES = bytes(c if c >= 0x80 or 0x61 <= c <= 0x7A else c + 32 if 0x41 <= c <= 0x5A else 0x20 for c in range(256))
+SLICE_BYTES = 24 << 20  # of texts whose words a task sorts and adds up together
 TOGETHER = 1 << 21  # pairs of a term's source and another source at a time, and of sums that a task holds
 SHARE = 1_000_000_000
 
 
-class Combiner:
-    """Counts of words by language and source, until they are given out as rows."""
-
-    def __init__(self):
-        self.groups: dict[tuple[str, str], tuple[Counter, Counter, list]] = defaultdict(lambda: (Counter(), Counter(), []))
-        self.entries = 0
-
-    def add(self, lang: str, source: str, document: int | None, text: str) -> None:
-        found = Counter(TERM.findall(text))
-        words: Counter = Counter()
-        for w, n in found.items():
-            words[w.lower() if w.isascii() else w.translate(LOWER)] += n
-        counts, documents, first = self.groups[lang, source]
-        before = len(counts)
-        counts.update(words)
-        documents.update(words.keys())
-        self.entries += len(counts) - before
-        if not first:
-            first.append(document)
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (counts, documents, first) in self.groups.items():
-            terms = list(counts)
-            same = lambda v, kind: pa.array([v] * len(terms), kind)
-            yield pa.RecordBatch.from_arrays(
-                [same(lang, pa.string()), pa.array(terms, pa.string()), same(source, pa.string()), same(first[0], pa.int64()), pa.array([documents[t] for t in terms], pa.int64()), pa.array(list(counts.values()), pa.int64())],
-                ["lang", "term", "source", "document", "docs", "n"],
-            )
-        self.groups.clear()
-        self.entries = 0
-
-
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """lang, term, source, document (the first of those combined), docs, n."""
-    combiner = Combiner()
-    for batch in small_batches(batches):
-        for lang, source, document, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            combiner.add(lang, source, document, text)
-            if combiner.entries > COMBINED:
-                yield from combiner.rows()
-    yield from combiner.rows()
+def counted(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """lang, term, source, document (the first of the slice's in that group), docs, n."""
+    for batch in small_batches(batches, most):
+        words = pa.array([t.translate(TERM_BYTES) for t in batch.column("text").cast(pa.binary()).to_pylist()], pa.binary()).cast(pa.string())
+        words = pc.ascii_split_whitespace(words)
+        of = np.repeat(np.arange(len(batch)), pc.list_value_length(words).to_numpy())
+        words = words.flatten().dictionary_encode()
+        terms, word = words.dictionary, words.indices.to_numpy().astype(np.int64)
+        filled = np.append(pc.binary_length(terms).to_numpy(), 0)[word] > 0
+        # Runs of (document, term), then of (group, term); a group is a lang and a source.
+        size = max(1, len(terms))
+        one, n = np.unique(of[filled] * size + word[filled], return_counts=True)
+        document, term = one // size, one % size
+        pair = pa.StructArray.from_arrays([batch.column("lang"), batch.column("source")], ["lang", "source"]).to_pylist()
+        numbers = {g: k for k, g in enumerate(dict.fromkeys((p["lang"], p["source"]) for p in pair))}
+        group = np.array([numbers[p["lang"], p["source"]] for p in pair], np.int64)
+        key = group[document] * size + term
+        order = np.argsort(key, kind="stable")
+        at = np.flatnonzero(np.r_[True, np.diff(key[order]) != 0]) if len(key) else np.array([], np.int64)
+        first = pa.array(document[order][at])
+        docs, total = np.diff(np.r_[at, len(key)]), np.add.reduceat(n[order], at) if len(at) else n
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("lang").take(first), terms.take(pa.array(term[order][at])), batch.column("source").take(first), batch.column("document").take(first), pa.array(docs, pa.int64()), pa.array(total, pa.int64())],
+            ["lang", "term", "source", "document", "docs", "n"],
+        )
 
 
 def _starts(batch: pa.RecordBatch, by: tuple[str, ...]) -> np.ndarray:
@@ -194,7 +176,8 @@ def audit(docs: DataFrame, least_docs: int = 10, top: int = 10, id_col: str = "d
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(blank(lang_col).alias("lang"), blank(source_col).alias("source"), F.col(id_col).cast("long").alias("document"), blank(text_col).alias("text"))
     key = ["lang", "term", "source"]
-    parts = rows.mapInArrow(counted, "lang string, term string, source string, document long, docs long, n long")
+    most = SLICE_BYTES
+    parts = rows.mapInArrow(lambda batches: counted(batches, most), "lang string, term string, source string, document long, docs long, n long")
     sums = parts.repartition(*key).sortWithinPartitions(*key, "document").mapInArrow(summed, "lang string, term string, source string, docs long, n long")
     terms = sums.repartition("lang", "term").sortWithinPartitions(*key).mapInArrow(gathered(least_docs), "lang string, term string, n long, sources array<string>, counts array<long>")
     terms = written(terms, "terms")

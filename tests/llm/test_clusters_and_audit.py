@@ -144,11 +144,11 @@ def audit(rows, least):
     return sorted(out)
 
 
-@pytest.mark.parametrize("together, combined", [(1 << 21, 400_000), (4, 3)])
-def test_divergence(spark, monkeypatch, together, combined):
+@pytest.mark.parametrize("together, most", [(1 << 21, 24 << 20), (4, 300)])
+def test_divergence(spark, monkeypatch, together, most):
     """Nulls, empty texts, a source without terms, a language without kept ones, a hot source, characters beyond ASCII; the same with slices of a few entries."""
     monkeypatch.setattr(divergence, "TOGETHER", together)
-    monkeypatch.setattr(divergence, "COMBINED", combined)
+    monkeypatch.setattr(divergence, "SLICE_BYTES", most)
     rng = np.random.default_rng(8)
     words = ["Alpha", "beta", "ÄPFEL", "äpfel", "x1y2", "naïve", "日本", "o'clock", "gamma_delta", *[f"w{chr(97 + k)}" for k in range(20)]]
     rows = [(None, None, None, None), (1, "", "en", "none"), (2, "only here", "de", "s"), (3, "Alpha " * 3000, "en", "b")]
