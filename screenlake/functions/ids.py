@@ -28,6 +28,11 @@ def library_of(c: Column) -> Column:
     return present(F.regexp_extract(c, r"_LIB([\w.-]+)$", 1))
 
 
+def has_library(c: Column) -> Column:
+    """Whether an id or a block names a library by a suffix; nothing names none."""
+    return F.coalesce(c.rlike(r"(?i)_LIB[\w.-]"), F.lit(False))
+
+
 def chain_id(cycles: Column, *blocks: Column) -> Column:
     return F.concat_ws("_", cycles.cast("string"), *[or_na(b) for b in blocks])
 

@@ -85,6 +85,22 @@ def picks(df: DataFrame, group: str, n: int, first: Column, *order: Column) -> D
     return df.withColumn("pick", F.row_number().over(w)).filter(F.col("pick") <= n)
 
 
+def picks_filled(rows: DataFrame, preferred: DataFrame, key: str, group: str, n: int | dict[str, int], *order: Column) -> DataFrame:
+    """n rows of each group, or as many as n says for it: of the preferred ones first, then of the others, each in order. Adds pick, from 1, and stage (1: preferred, 2: filled).
+
+    preferred: the keys of, say, cluster representatives. The second stage takes what is left of a group's number among rows that weren't taken; every task keeps its own best before rows are
+    shuffled, so a large group isn't ordered whole.
+    """
+    most = F.lit(n) if isinstance(n, int) else F.coalesce(F.create_map(*[F.lit(v) for kv in n.items() for v in kv])[F.col(group)], F.lit(0))
+    limit = n if isinstance(n, int) else max(n.values(), default=0)
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order))
+    best = lambda df: df.withColumn("pick", place).filter(F.col("pick") <= limit).filter(F.col("pick") <= most)
+    one = staged(best(rows.join(preferred.select(key).distinct(), key, "left_semi")).withColumn("stage", F.lit(1)))
+    taken = one.groupBy(group).agg(F.max("pick").alias("_taken"))
+    two = best(rows.join(one.select(key), key, "left_anti")).join(taken, group, "left").withColumn("pick", F.col("pick") + F.coalesce("_taken", F.lit(0)))
+    return one.unionByName(two.filter(F.col("pick") <= most).drop("_taken").withColumn("stage", F.lit(2)))
+
+
 def recommended(df: DataFrame) -> DataFrame:
     """Rows that pass every filter whose column exists."""
     for c, want in (("consensus", True), ("glm_hit", True), ("rs_pass", True), ("neg_hard_fail", False)):
@@ -94,9 +110,12 @@ def recommended(df: DataFrame) -> DataFrame:
 
 
 def block_frequency(df: DataFrame, blocks: list[str], most: int) -> DataFrame:
-    """The most frequent blocks of each position, with the libraries they come from."""
+    """The most frequent blocks of each position, with their share of the position's blocks, the libraries they come from, and each library's count."""
     long = df.select("lib_id", F.explode(F.array(*[F.struct(F.lit(b).alias("position"), F.col(b).alias("block")) for b in blocks])).alias("x")).select("lib_id", "x.position", "x.block")
-    rows = long.filter("block != 'NA'").groupBy("position", "block").agg(F.count(F.lit(1)).alias("n"), F.concat_ws(",", F.sort_array(F.collect_set("lib_id"))).alias("libs"))
+    by_lib = long.filter("block != 'NA'").groupBy("position", "block", "lib_id").agg(F.count(F.lit(1)).alias("n"))
+    each = F.sort_array(F.collect_list(F.concat_ws(":", "lib_id", F.col("n").cast("string"))))
+    rows = by_lib.groupBy("position", "block").agg(F.sum("n").alias("n"), F.concat_ws(",", F.sort_array(F.collect_set("lib_id"))).alias("libs"), F.concat_ws(",", each).alias("lib_counts"))
+    rows = rows.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(Window.partitionBy("position")))  # a row for each block of a design
     w = Window.partitionBy("position").orderBy(F.desc("n"), "block")
     return rows.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= most)
 

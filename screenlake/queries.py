@@ -688,7 +688,7 @@ def full_run_outer_merge(spark, sf_dir):
 @_query(f"WITH {MATRIX_SQL}, t AS (SELECT * FROM m ORDER BY r2c1 + r2c2 DESC, lib_id, id LIMIT 500), l AS (SELECT lib_id, unnest([{{'p': 'bb1', 'b': bb1}}, {{'p': 'bb2', 'b': bb2}}, {{'p': 'bb3', 'b': bb3}}]) AS x FROM t), c AS (SELECT x.p AS position, x.b AS block, count(*) AS n, string_agg(DISTINCT lib_id, ',' ORDER BY lib_id) AS libs FROM l GROUP BY ALL) SELECT position, block, n, libs FROM (SELECT *, row_number() OVER (PARTITION BY position ORDER BY n DESC, block) AS r FROM c) WHERE r <= 5")
 def bb_frequency_top(spark, sf_dir):
     t = compare.top(matrix(spark, sf_dir).withColumn("s", F.col("r2c1") + F.col("r2c2")), 500, "s", "lib_id", "id")
-    return compare.block_frequency(t, ["bb1", "bb2", "bb3"], 5).drop("place")
+    return compare.block_frequency(t, ["bb1", "bb2", "bb3"], 5).select("position", "block", "n", "libs")
 
 
 @_query(f"{_TO_HIT}, {_RS0}, {_CALL}, qb AS (SELECT greatest(0, quantile_cont(neg_r1, 0.9)) AS b1, greatest(0, quantile_cont(neg_r2, 0.9)) AS b2 FROM m), f AS (SELECT hc.*, concat_ws(';', CASE WHEN del2 < 10 THEN 'LOW_DEL2' END, CASE WHEN neg_r1 >= b1 AND b1 > 0 THEN 'NEG_R1_HIGH' END, CASE WHEN neg_r2 >= b2 AND b2 > 0 THEN 'NEG_R2_HIGH' END, CASE WHEN lfc_r2 < lfc_r1 - 1 THEN 'R2_DROP' END, CASE WHEN neg_hard_fail THEN 'NEG_HARD_FAIL' END) AS fl FROM hc, qb) SELECT lib_id, id, CASE WHEN fl = '' THEN 'OK' ELSE fl END AS flags, CASE WHEN glm_hit AND rs_fail = '' AND fl = '' THEN 'A' WHEN glm_hit OR rs_fail = '' THEN 'B' ELSE 'Other' END AS tier FROM f")
@@ -803,4 +803,4 @@ def natural_block_order(spark, sf_dir):
     return b.select("bb1", F.row_number().over(Window.orderBy(*compare.natural_order(F.col("bb1")))).cast("long").alias("place"))  # a design's blocks
 
 
-from . import queries_decode, queries_hits  # noqa: E402,F401  they register their queries
+from . import queries_compare, queries_decode, queries_hits  # noqa: E402,F401  they register their queries

@@ -68,11 +68,45 @@ def pair_files(names: list[str]) -> tuple[list[tuple[str, str, str]], list[str]]
     return [(s, x["1"], x["2"]) for s, x in sides.items() if len(x) == 2], [s for s, x in sides.items() if len(x) == 1]
 
 
-def insert_histogram(spark: SparkSession, path: str) -> DataFrame:
-    """sample, length, n from the trimming tool's JSON reports, whose histogram is a list indexed by length."""
-    rows = spark.read.option("multiLine", True).schema("insert_size struct<histogram: array<long>>").json(path)
+INSERT_KEYS = ("insert_size", "insertSize", "insert-size")
+PEAK_KEYS, HISTOGRAM_KEYS = ("peak", "mode", "peak_insert_size"), ("histogram", "hist", "distribution")
+
+
+def insert_reports(spark: SparkSession, path: str) -> DataFrame:
+    """sample, peak, width and histogram (lengths and numbers, by length) of the trimming tool's JSON reports.
+
+    The histogram may be a list by length, a list of pairs, an object by length, or an object with lists x and y, under any of the names above; what isn't a number is left out, and numbers of one
+    length add up. Without a peak the fullest length stands for it, the shortest of equal ones. A report without any of it, or that isn't JSON, has nulls and an empty histogram.
+    """
+    rows = spark.read.text(path, wholetext=True)
     sample = F.regexp_replace(F.regexp_extract(F.input_file_name(), r"([^/]+)$", 1), r"\.json$", "")
-    return rows.select(sample.alias("sample"), F.posexplode("insert_size.histogram").alias("length", "n")).filter("n > 0")
+    rows = rows.select(sample.alias("sample"), F.try_parse_json("value").alias("v"))
+    at = lambda names, kind: F.coalesce(*[F.try_variant_get("v", f"$['{k}']['{n}']", kind) for k in INSERT_KEYS for n in names])
+    rows = rows.select("sample", at(PEAK_KEYS, "double").alias("peak"), at(("width",), "double").alias("width"), at(HISTOGRAM_KEYS, "variant").alias("h"))
+    number = lambda x: F.try_variant_get(x, "$", "double")
+    of = lambda path, kind: F.try_variant_get("h", path, kind)
+    pair = lambda x, n: F.struct(x.cast("long").alias("length"), n.alias("n"))
+    items, x, y = of("$", "array<variant>"), of("$.x", "array<variant>"), of("$.y", "array<variant>")
+    as_pairs = F.transform(items, lambda e: pair(F.try_variant_get(e, "$[0]", "double"), F.try_variant_get(e, "$[1]", "double")))
+    as_list = F.transform(items, lambda e, i: pair(i, number(e)))
+    by_length = F.transform(F.map_entries(of("$", "map<string,variant>")), lambda e: pair(e["key"].try_cast("double"), number(e["value"])))
+    of_lists = F.transform(F.arrays_zip(x.alias("x"), y.alias("y")), lambda e: pair(number(e["x"]), number(e["y"])))
+    sound = lambda a: F.filter(a, lambda e: e["length"].isNotNull() & e["n"].isNotNull())
+    nested = F.try_variant_get(F.get(items, F.lit(0)), "$", "array<variant>").isNotNull()
+    shape = F.when(items.isNotNull(), F.when(nested, sound(as_pairs)).otherwise(sound(as_list))).otherwise(F.when(F.size(sound(by_length)) > 0, sound(by_length)).otherwise(sound(of_lists)))
+    rows = rows.select("sample", "peak", "width", F.coalesce(shape, F.array().cast("array<struct<length:bigint,n:double>>")).alias("e"))
+    bins = rows.select("sample", F.explode("e").alias("e")).groupBy("sample", "e.length").agg(F.sum("e.n").alias("n"))
+    bins = bins.groupBy("sample").agg(F.sort_array(F.collect_list(F.struct("length", "n"))).alias("histogram"))
+    fullest = F.array_max(F.transform("histogram", lambda e: F.struct(e["n"].alias("n"), (-e["length"]).alias("m"))))
+    out = rows.select("sample", "peak", "width").join(bins, "sample", "left")
+    none = F.array().cast("array<struct<length:bigint,n:double>>")
+    return out.select("sample", F.coalesce("peak", (-fullest["m"]).cast("double")).alias("peak"), "width", F.coalesce("histogram", none).alias("histogram"))
+
+
+def insert_histogram(spark: SparkSession, path: str) -> DataFrame:
+    """sample, length, n of the trimming tool's JSON reports, where n is above 0."""
+    rows = insert_reports(spark, path).select("sample", F.explode("histogram").alias("e"))
+    return rows.select("sample", F.col("e.length").alias("length"), F.col("e.n").cast("long").alias("n")).filter("n > 0")
 
 
 def subsample(reads: DataFrame, n: int, seed: int, mode: str = "random") -> DataFrame:
