@@ -12,31 +12,40 @@ from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 
 SPACE = "▁"  # the model's mark for a space
 PAIR_LIMIT = 200_000  # pairs of pieces that are known to agree or not
-SLICE_CHARS = 200_000  # new text that is settled at once
-CACHE_LIMIT = 250_000  # entries of one generation of a cache
+SLICE_CHARS = 200_000  # new text that is settled at once, and whose suffixes are sorted at once
+CACHE_CHARS = 4_000_000  # characters of the keys of one generation of a cache, with KEY_CHARS more for each
+KEY_CHARS = 10
+LONGEST_KEPT = 1_000  # characters of a key; longer ones hardly ever come again
+FEW = 6  # parts that are relaxed one by one
 
 
 class Cache(dict):
-    """A dict of bounded size: when it is full its entries become the old generation, from which those that are used again return."""
+    """A dict of bounded size: when it is full its entries become the old generation, from which those that are used again return. Values are about as long as their keys."""
 
-    def __init__(self, limit: int = CACHE_LIMIT):
+    def __init__(self, limit: int = CACHE_CHARS):
         super().__init__()
         self.old: dict = {}
         self.limit = limit
+        self.chars = 0
 
     def __missing__(self, key):
         return self.old.get(key)
 
     def put(self, key, value):
-        if len(self) >= self.limit:
+        if len(key) > LONGEST_KEPT or key in self:
+            return value
+        if self.chars >= self.limit:
             self.old = dict(self)
             self.clear()
+            self.chars = 0
+        self.chars += len(key) + KEY_CHARS
         self[key] = value
         return value
 
@@ -78,7 +87,7 @@ class Pieces:
         self.number = {p: i for i, p in enumerate(self.names)}
         self.ids_of = np.array([self.id[p] for p in self.names], "<u4")
         self.long = np.array([i for i, p in enumerate(self.names) if len(p) > 1])
-        self.lengths = np.array([len(self.names[i]) for i in self.long])
+        self.length_of = np.array([len(p) for p in self.names])
         self.wide = np.array([self.names[i] for i in self.long], dtype=f"U{self.longest}")
         self.after = np.array([p[:-1] + chr(ord(p[-1]) + 1) for p in self.wide.tolist()], dtype=f"U{self.longest}")
         self.single = np.array(sorted(ord(p) for p in self.id if len(p) == 1))
@@ -117,17 +126,26 @@ class Pieces:
     def occurrences(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Begins, ends and numbers of all occurrences of all pieces of two characters or more in text.
 
-        The text's suffixes are sorted on as many characters as the longest piece has; each piece's occurrences are a range of them.
+        The text's suffixes are sorted on as many characters as the longest piece has, SLICE_CHARS of them at a time; each piece's occurrences are a range of them.
         """
+        found = []
+        for at in range(0, len(text), SLICE_CHARS):
+            begin, number = self._ranges(text[at : at + SLICE_CHARS + self.longest - 1], min(SLICE_CHARS, len(text) - at))
+            found.append((begin + at, number))
+        begin, number = (np.concatenate(x) for x in zip(*found, strict=True))
+        return begin, begin + self.length_of[number], number
+
+    def _ranges(self, text: str, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """Begins, below most, and numbers of all occurrences of pieces of two characters or more in text."""
         codes = np.frombuffer((text + "\0" * self.longest).encode("utf-32-le"), dtype=np.uint32)
-        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, self.longest)[: len(text)])
+        windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(codes, self.longest)[:most])
         suffixes = windows.view(f"<U{self.longest}").ravel()
         order = np.argsort(suffixes, kind="stable")
         ordered = suffixes[order]
         low, high = np.searchsorted(ordered, self.wide), np.searchsorted(ordered, self.after)
         counts = high - low
         begin = order[np.repeat(low - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())]
-        return begin, begin + np.repeat(self.lengths, counts), np.repeat(self.long, counts)
+        return begin, np.repeat(self.long, counts)
 
     def settle(self, parts: list[str]) -> Settled:
         """The last piece of every prefix of every part (none is empty), by relaxing edges from left to right, those of all parts side by side."""
@@ -158,7 +176,9 @@ class Pieces:
                 last[e], back[e] = self.number.get(piece, known + ord(piece[0])), e - len(piece)
                 count[e] = count[back[e]] + self.cost(piece)
 
-        for k in range(size.max()):
+        alive = len(parts) - np.searchsorted(np.sort(size), np.arange(size.max()), "right")  # parts that are longer
+        side_by_side = int((alive > FEW).sum())
+        for k in range(side_by_side):
             s = slice(bounds[k], bounds[k + 1])
             b, e, piece, price = begin[s], end[s], number[s], cost[s]
             merge(np.unique(b[last[b] == -1]))
@@ -168,9 +188,28 @@ class Pieces:
             fits = np.array([self._fits(p) for p in pairs.tolist()], bool)[which]
             b, e = b[fits], e[fits]
             last[e], back[e], count[e] = piece[fits], b, count[b] + price[fits]
+        if side_by_side < size.max():
+            self._relax_one_by_one(slice(bounds[side_by_side], None), begin, end, number, cost, last, back, count, merge)
         merge((start + size)[last[start + size] == -1])
         return Settled(start, size, last, back, count)
 
+    def _relax_one_by_one(self, rest: slice, begin: np.ndarray, end: np.ndarray, number: np.ndarray, cost: np.ndarray, last: np.ndarray, back: np.ndarray, count: np.ndarray, merge: Callable) -> None:
+        """The edges of the few parts that go on, in order: array operations for one part's next place would cost more than the edge itself."""
+        seen, pairs = {}, self._pairs
+        for b, e, piece, price in zip(begin[rest].tolist(), end[rest].tolist(), number[rest].tolist(), cost[rest].tolist(), strict=True):
+            left = seen.get(b)
+            if left is None:
+                if last[b] == -1:
+                    merge(np.array([b]))
+                left = seen[b] = (int(last[b]), int(count[b]))
+            if e in seen or last[e] != -1:
+                continue
+            pair = (left[0] + 2) * (1 << 21) + piece
+            fits = pairs.get(pair)
+            if self._fits(pair) if fits is None else fits:
+                last[e], back[e], count[e] = piece, b, left[1] + price
+                seen[e] = (piece, left[1] + price)
+
     def _fits(self, pair: int) -> bool:
         known = self._pairs.get(pair)
         if known is None:

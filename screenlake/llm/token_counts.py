@@ -46,11 +46,14 @@ class PrefixCounts:
         for p, counts in parts.items():
             self.parts.put(p, counts)
         for c, some in apart.items():
-            whole = parts[some[0]]
-            for p in some[1:]:
+            if len(some) == 1:
+                found[c] = parts[c]
+                continue
+            whole = [0]
+            for p in some:
                 so_far = whole[-1]
-                whole += tuple([so_far + n for n in parts[p][1:]])
-            found[c] = whole
+                whole += [so_far + n for n in parts[p][1:]]
+            found[c] = tuple(whole)
         self.now = found
         for c, counts in found.items():
             self.known.put(c, counts)

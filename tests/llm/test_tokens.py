@@ -36,6 +36,36 @@ def test_every_prefix(spark, library):
         assert fit[i] == max(k for k, n in enumerate(want) if n <= 7), t
 
 
+@pytest.mark.parametrize("unit", ["rare", "letters", "a", "internationalization", "digits"])
+def test_long_text_without_blanks(library, unit):
+    """200,000 characters in one run: exact, and in time linear in their number."""
+    import time
+
+    r = random.Random(5)
+    text = {"rare": "".join(chr(r.randrange(0x4E00, 0x9FFF)) for _ in range(200_000)), "letters": "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000)), "digits": "".join(r.choice("0123456789") for _ in range(200_000))}
+    text = text.get(unit) or (unit * 200_000)[:200_000]
+    counts, encoder = token_counts.PrefixCounts(MODEL), piece_matching.Encoder(MODEL)
+    counts.measure(["warm up"], 10)
+    began = time.process_time()
+    found = counts.measure([text], 4096)
+    took = time.process_time() - began
+    want = library.encode(text)
+    assert found[0][0] == len(want) and np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == want
+    print(unit, took)
+    assert took < 6
+
+
+def test_caches_are_bounded():
+    from screenlake.llm import bpe
+
+    cache = bpe.Cache(1000)
+    for k in range(500):
+        cache.put(f"key {k}", k)
+    cache.put("x" * (bpe.LONGEST_KEPT + 1), 0)
+    assert len(cache) + len(cache.old) <= 2 * (1000 // bpe.KEY_CHARS) and max(map(len, cache)) < 10
+    assert cache["key 499"] == 499 and cache.get("key 0") is None
+
+
 def test_longest_within():
     own = token_counts.PrefixCounts(MODEL)
     for t in odd_texts(40):
