@@ -10,7 +10,7 @@ a hash and a few products for a term and slot and no logarithm. Below the table
 identity travel as one long, so that the least of them is a plain minimum.
 
 Nulls and empty texts count as the one empty term: their fingerprints are equal to one another's and unlike any other. Texts of any length
-are read whole. Rows that repeat an id are documents of their own, in order of their text; null ids come last. An empty table gives
+are read whole. Rows that repeat an id are documents of their own, in order of their text; null ids come last, in an order of hashes of their texts. An empty table gives
 an empty result. Columns other than those named are ignored.
 """
 
@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import written
 
 SLOTS = 48
-BLOCK = 512  # documents of one block, about: blocks are equal ranges of ids, wider where ids are sparse
+BLOCK = 512  # documents of one block, about
+RANGES = 64  # quantiles of all ids, and of the ids between two of them; ids are cut there first, and evenly in between
 
 
 def gamma_quantile(u: float) -> float:
@@ -110,15 +111,43 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return sampled(rows, ["doc_id", "row"], "text", slots).select("doc_id", as_text(F.col("slots")).alias("fingerprint"))
 
 
+def _with_blocks(rows: DataFrame) -> DataFrame:
+    """rows with block, a number that never falls as ids grow, of about BLOCK documents each wherever the ids lie.
+
+    Ids are cut at RANGES * RANGES quantiles of a sketch and evenly between two of these, so a few outlying ids leave the others' blocks as they are. Documents without an id are dealt to as many blocks
+    as they need by a hash of their text; these are below all others.
+    """
+    n = rows.agg(F.count("doc_id").alias("with_id"), F.count(F.lit(1)).alias("all")).first()
+    steps = max(2, min(RANGES * RANGES, -(-n["with_id"] // BLOCK)))
+    shares = F.expr("cast(split('" + ",".join(str(k / steps) for k in range(1, steps)) + "', ',') as array<double>)")
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 10 * steps)).alias("cuts")).first()["cuts"]
+    block = F.lit(0).cast("long")
+    if cuts:
+        flat = F.expr("cast(split('" + ",".join(map(str, cuts)) + "', ',') as array<bigint>)")
+        tops = F.expr("cast(split('" + ",".join(map(str, cuts[RANGES - 1 :: RANGES])) + "', ',') as array<bigint>)") if len(cuts) >= RANGES else F.array().cast("array<bigint>")
+        below = lambda a: F.size(F.filter(a, lambda c: c < F.col("doc_id")))
+        rows = rows.withColumn("_top", below(tops)).withColumn("_range", F.when(F.col("doc_id").isNotNull(), F.col("_top") * RANGES + below(F.slice(flat, F.col("_top") * RANGES + 1, F.lit(RANGES - 1))))).drop("_top")
+        wide = F.max("doc_id").cast("double") - F.min("doc_id").cast("double")
+        sizes = rows.groupBy("_range").agg(F.min("doc_id").cast("double").alias("_low"), (wide / F.ceil(F.count(F.lit(1)) / BLOCK) + 1.0).alias("_width"))
+        sizes = sizes.filter("_range is not null")
+        rows = rows.join(F.broadcast(sizes), "_range", "left")  # RANGES * RANGES rows at most
+        block = F.col("_range").cast("long") * (1 << 24) + F.floor((F.col("doc_id").cast("double") - F.col("_low")) / F.col("_width"))
+    if n["all"] > n["with_id"]:
+        k = F.pmod(F.xxhash64("text"), F.lit(-(-(n["all"] - n["with_id"]) // BLOCK)))
+        block = F.when(F.col("doc_id").isNull(), -(1 + F.pmod(k, F.lit(4096)) * (1 << 24) + F.floor(k / 4096))).otherwise(block)
+    return rows.withColumn("block", block.cast("long")).select("doc_id", "text", "block")
+
+
 def _next_blocks(ids: DataFrame) -> DataFrame:
-    """block and the greatest id of the next lower block that has one; the lowest block is followed by the greatest id of all.
+    """block, the next lower block, and the greatest id there; the lowest block is followed by the greatest one.
 
-    A block's neighbour is looked up among blocks of the same thousand, then among thousands, so no task orders all blocks.
+    A block's neighbour is looked up among blocks between two quantiles, then among these, so no task orders all blocks.
     """
-    heads = ids.groupBy("block").agg(F.max("doc_id").alias("head")).withColumn("upper", F.floor(F.coalesce(F.col("block"), F.lit(-(1 << 62))) / 4096))
-    inside = Window.partitionBy("upper").orderBy(F.col("block").desc_nulls_last())
-    tops = heads.groupBy("upper").agg(F.max(F.struct(F.col("block").isNotNull().alias("real"), "block", "head")).alias("top"))
-    follow = tops.select("upper", F.lead(F.struct("top.block", "top.head")).over(Window.orderBy(F.desc("upper"))).alias("after"), F.first(F.struct("top.block", "top.head")).over(Window.orderBy(F.desc("upper"))).alias("first"))
+    heads = ids.groupBy("block").agg(F.max("doc_id").alias("head")).withColumn("upper", F.floor(F.col("block") / (1 << 24)))
+    inside = Window.partitionBy("upper").orderBy(F.col("block").desc())
+    tops = heads.groupBy("upper").agg(F.max(F.struct("block", "head")).alias("top"))
+    every = Window.orderBy(F.desc("upper"))  # RANGES * RANGES rows, and as many for documents without an id
+    follow = tops.select("upper", F.lead("top").over(every).alias("after"), F.first("top").over(every).alias("first"))
     return (
         heads.withColumn("next", F.lead(F.struct("block", "head")).over(inside))
         .join(follow, "upper")
@@ -135,13 +164,11 @@ def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     block, so one shuffle of the texts serves the edit, the fingerprints and the comparison with the next document.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = rows.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("doc_id").alias("n")).first()
-    width = max(BLOCK, BLOCK * (ids["high"] - ids["low"]) // ids["n"]) if ids["n"] else BLOCK
-    rows = rows.withColumn("block", F.floor(F.col("doc_id") / float(width)))  # never falls as ids grow
+    rows = _with_blocks(rows)
     after = written(_next_blocks(rows.select("doc_id", "block")), "blocks")
-    follow = after.select(F.col("block").alias("for_block"), F.col("next_id"))
+    follow = after.select(F.col("block").alias("for_block"), "next_block", "next_id")
     heads = (
-        rows.join(follow, rows["doc_id"].eqNullSafe(follow["next_id"]))
+        rows.join(follow, (rows["block"] == follow["next_block"]) & rows["doc_id"].eqNullSafe(follow["next_id"]))
         .groupBy("for_block", "doc_id")
         .agg(F.min("text").alias("text"))
         .select("doc_id", "text", F.col("for_block").alias("block"), F.lit(1).alias("copy"))

@@ -137,6 +137,34 @@ def test_fingerprints_of_sparse_ids(spark):
             assert got[i] == hashlib.sha256((t[: len(t) - half] + down[(k + 1) % len(down)][1][:half]).encode()).hexdigest(), i
 
 
+def test_blocks_of_documents(spark):
+    """One outlying id, and half the ids missing, leave blocks of even sizes, in order of the ids."""
+    for without in (0, 20_000):
+        rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text")).union(spark.createDataFrame([(1 << 50, "far")], "doc_id long, text string"))
+        rows = rows.union(spark.range(without).select(F.lit(None).cast("long"), F.concat(F.lit("t"), F.col("id").cast("string"))))
+        blocks = fingerprints._with_blocks(rows)
+        sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
+        assert max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2] and max(sizes) < 2 * fingerprints.BLOCK
+        got = blocks.filter("doc_id is not null").orderBy("doc_id").collect()
+        assert all(a["block"] <= b["block"] for a, b in zip(got, got[1:]))
+
+
+def test_fingerprints_without_ids(spark):
+    """Every document without an id has one of them, or at the end the first, as its next."""
+    rows = [(None, f"text {k} " * 5) for k in range(1500)] + [(7, "the only one with an id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.edited_pairs(df).collect()
+    assert len(got) == len(rows) and all(0 <= r["near_next"] <= 1 for r in got)
+    def edit(t, following):
+        half = len(t) // 2
+        return hashlib.sha256((t[: len(t) - half] + following[:half]).encode()).hexdigest()
+
+    texts = [t for _, t in rows]
+    made = {edit(t, o): (t, o) for t in texts for o in texts[:3] + texts[-1:]}
+    firsts = [made[r["edited_sha256"]] for r in got if r["edited_sha256"] in made]
+    assert any(o == rows[-1][1] for _, o in firsts)  # the last of them is followed by the first document of all
+
+
 STAGE_ROWS = [(1, None), (2, ""), (3, "one two three four five six"), (3, "one two three four five six"), (None, "no id here"), (5, "alpha beta gamma delta " * 4000), (6, "token = abcdef123456"), (8, "one two three four five six")]
 
 
