@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, Filter, In, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from .common import written
+
 FILE_BYTES = 64 << 20
 TASK_BYTES = 32 << 20
 SCHEMA = "record_type string, record_id string, target_uri string, payload_digest string, refers_to string, page_id long, payload_bytes long, payload binary"
@@ -39,8 +41,14 @@ _CONTROL = re.compile(r"[\x00-\x1f\x7f\x85\u2028\u2029]")
 DATE = "2024-01-01T00:00:00Z"  # crawled pages carry no time of their own here
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark gives it: a path without one lies in Spark's default file system, which needn't be the machine's own."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def _files(path: str):
-    """The file system of a path and the path in it."""
+    """The file system of a path and the path in it. Python workers don't know Spark's default file system, so a path without a scheme is the machine's own: qualified() resolves it as Spark does."""
     from pyarrow import fs
 
     if "://" not in path and path.startswith("file:"):
@@ -273,14 +281,16 @@ def register(spark: SparkSession) -> None:
 def with_revisits(pages: DataFrame, least_bytes: int = 0, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, payload, record_type, refers_to: of equal payloads of at least least_bytes, the smallest page_id is the response.
 
-    Equality is that of length and SHA-256. Only payloads that occur more than once are joined back, by a key whose hot values Spark may split.
+    Equality is that of length and SHA-256. Digests alone are compared, so no payload travels by a key that many rows share; what revisits another is joined back by its page_id and digest.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8").alias("payload"))
     rows = rows.withColumn("size", F.octet_length("payload")).withColumn("hash", F.sha2("payload", 256))
-    firsts = rows.filter(F.col("size") >= least_bytes).groupBy("hash", "size").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
-    again = F.col("first").isNotNull() & (F.col("first") < F.col("page_id"))
-    return rows.join(firsts, ["hash", "size"], "left").select(
-        "page_id", "url", "payload", F.when(again, "revisit").otherwise("response").alias("record_type"), F.when(again, F.col("first")).alias("refers_to")
+    digests = written(rows.select("page_id", "hash", "size").filter(F.col("size") >= least_bytes), "digests")
+    firsts = digests.groupBy("hash", "size").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("rows")).filter("rows > 1").drop("rows")
+    again = digests.join(firsts, ["hash", "size"]).filter("first < page_id").select("page_id", "hash", "first").distinct()
+    again = written(again, "revisits")
+    return rows.join(again, ["page_id", "hash"], "left").select(
+        "page_id", "url", "payload", F.when(F.col("first").isNotNull(), "revisit").otherwise("response").alias("record_type"), F.col("first").alias("refers_to")
     )
 
 
@@ -288,6 +298,7 @@ def archived(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:
     """Writes pages to archives in path and reads their records back, without payloads."""
     spark = pages.sparkSession
     register(spark)
+    path = qualified(spark, path)
     with_revisits(pages, least_bytes).write.format("warc").mode("append").save(path)
     found = spark.read.format("warc").schema(SCHEMA.removesuffix(", payload binary")).load(path)
     return found.filter(F.col("record_type").isin("response", "revisit")).select(
