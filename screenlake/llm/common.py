@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,12 +41,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/screenlake/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+_SCOPES: list[dict[str, DataFrame]] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """df as a Parquet table in the shared folder: the lineage ends there and its size is known to the planner."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if _SCOPES:
+        _SCOPES[-1][path] = table
+    return table
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Tables that are written inside are deleted at the end, but for those given to keep(), which go to the scope around it. What is kept must not read any other of them: it is a written table itself."""
+    own: dict[str, DataFrame] = {}
+    kept: list[DataFrame] = []
+    _SCOPES.append(own)
+    try:
+        yield lambda *tables: kept.extend(tables)
+    finally:
+        _SCOPES.pop()
+        for path, table in own.items():
+            if not any(table is k for k in kept):
+                dropped(spark, path)
+            elif _SCOPES:
+                _SCOPES[-1][path] = table
 
 
 def dropped(spark: SparkSession, path: str) -> None:

@@ -38,11 +38,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import small_batches, temporary, written
 
 GROUP_ROWS = 48
 GROUP_TOKENS = 1 << 20  # tokens of all members of a group, about
 QUERY_ROWS = 64
+PARTS_TOGETHER = 128
 RANGE_WIDTH = 3  # a range of sizes spans this many steps of 100 / percent
 SPARE_BUCKETS = 1.4  # buckets for each shingle that linked sets of a range may differ in
 SLICE_TOKENS = 1 << 15
@@ -350,7 +351,7 @@ def _apart(nodes: DataFrame, shares: DataFrame, shared: DataFrame, links: DataFr
     """Keys of classes that meet a larger component there (of equal ones: that of the greater name), given the links so far.
 
     node, n_shingles, common, home (its group), size (its component's), and top, the key's group of the largest component where most tokens are common; or with
-    targets, a row for each group that has the key, with bounds of what its members there are like.
+    targets, a row for each leader that has the key in PARTS_TOGETHER parts of its group, with bounds of what their members are like.
     """
     tied = components(links).select("node", "component")
     placed = written(nodes.join(shares, "node").join(tied, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
@@ -365,7 +366,10 @@ def _apart(nodes: DataFrame, shares: DataFrame, shared: DataFrame, links: DataFr
     if not targets:
         return asking
     groups = held.groupBy("key", "leader", "part").agg(F.max("size").alias("greatest"), *bounds)
-    return asking.join(written(groups, "targets"), "key")
+    # Parts of a large group travel together: a class that meets many of them by many keys is one row for each key, and each of the two once after that.
+    together = F.collect_list(F.struct("part", "greatest", "small", "large", "most_common")).alias("parts")
+    packs = groups.groupBy("key", "leader", F.floor(F.col("part") / PARTS_TOGETHER).alias("pack")).agg(together)
+    return asking.join(written(packs, "targets"), "key")
 
 
 def _asked(asked: DataFrame, matrix: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -389,15 +393,18 @@ def _asked(asked: DataFrame, matrix: DataFrame, texts: DataFrame, n: int, percen
     return queries.groupBy(*by, "page").cogroup(opened.groupBy(*by, "page")).applyInPandas(run, "u long, v long")
 
 
-def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each row: doc_id, n_shingles (size of its set), component_id (the smallest id that links lead to, itself included)."""
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
-    known = written(features(docs, n, percent), "features")
+def _components_of(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables: doc_id, n_shingles and class of each row; what classes with links or several rows are found in; what rows without words are found in by their id."""
+    spark = docs.sparkSession
+    with temporary(spark) as keep:  # keys are as large as the rest of the features and only lead to those that are shared
+        featured = written(features(docs, n, percent), "features")
+        shared = written(_shared(featured.filter("doc_id is not null and n_shingles > 0 and keys is not null").select("node", "keys")), "shared")
+        known = written(featured.drop("keys"), "known")
+        keep(shared, known)
     some = known.filter("doc_id is not null and n_shingles > 0")
     # Both sides of the joins below are tables or plain scans, so a hot class or key is split by Spark's skew handling.
     rep = F.min(F.struct("doc_id", "text_hash")).alias("rep")
     classes = written(some.groupBy("node").agg(rep, F.max("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("rows")), "classes")
-    shared = written(_shared(some.filter("keys is not null").select("node", "keys")), "shared")
 
     # Groups: each class goes to the smallest one that it met; large groups are split, and each part gets the leader.
     low = written(shared.groupBy("key").agg(F.min("node").alias("low")), "keys")
@@ -416,16 +423,28 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     # Other groups. Near copies of one text often link with that text and not with one another: so each query first asks the group where each of its keys
     # meets the largest component, and only what is apart after that asks all others.
     by = ["leader", "part"]
-    at = _apart(nodes, shares, shared, first, percent)
-    asked = at.filter((F.col("home") != F.struct("top.leader", "top.part")) & _can_link(F.col("top.n_shingles"), F.col("top.common"), percent))
-    asked = asked.select("top.leader", "top.part", "node").distinct()
-    asked = written(asked, "asked")
-    hubs = written(_asked(asked, matrix, texts, n, percent), "links")
-    at = _apart(nodes, shares, shared, first.unionByName(hubs), percent, targets=True)
-    fits = (F.col("greatest") > F.col("size")) & (F.col("home") != F.struct(*by)) & _can_link(F.col("small"), F.col("most_common"), percent)
-    fits = fits & (100 * F.col("large") >= percent * F.col("n_shingles")) & (100 * F.col("n_shingles") >= percent * F.col("small"))
-    rest = written(at.filter(fits).select(*by, "node").distinct().join(asked, [*by, "node"], "left_anti"), "asked")
-    links = first.unionByName(hubs).unionByName(written(_asked(rest, matrix, texts, n, percent), "links"))
+    with temporary(spark) as keep:
+        at = _apart(nodes, shares, shared, first, percent)
+        asked = at.filter((F.col("home") != F.struct("top.leader", "top.part")) & _can_link(F.col("top.n_shingles"), F.col("top.common"), percent))
+        asked = asked.select("top.leader", "top.part", "node").distinct()
+        asked = written(asked, "asked")
+        hubs = written(_asked(asked, matrix, texts, n, percent), "links")
+        keep(asked, hubs)
+    with temporary(spark) as keep:
+        at = _apart(nodes, shares, shared, first.unionByName(hubs), percent, targets=True)
+
+        def fits(g: Column) -> Column:
+            """Whether the class may link with members of the part that its component lacks."""
+            other = (g["greatest"] > F.col("size")) & (F.col("home") != F.struct(F.col("leader"), g["part"].alias("part")))
+            return other & _can_link(g["small"], g["most_common"], percent) & (100 * g["large"] >= percent * F.col("n_shingles")) & (100 * F.col("n_shingles") >= percent * g["small"])
+
+        at = at.select("leader", "pack", "node", F.transform(F.filter("parts", fits), lambda g: g["part"]).alias("parts")).filter("size(parts) > 0")
+        at = at.groupBy("leader", "pack", "node").agg(F.array_distinct(F.flatten(F.collect_list("parts"))).alias("parts"))
+        at = at.select("leader", F.explode("parts").alias("part"), "node")
+        rest = written(at.join(asked, [*by, "node"], "left_anti"), "asked")
+        more = written(_asked(rest, matrix, texts, n, percent), "links")
+        keep(more)
+    links = first.unionByName(hubs).unionByName(more)
 
     # Ids of rows with different sets tie these rows' classes.
     by_id = known.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("v"))
@@ -438,6 +457,15 @@ def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: st
     named = written(named, "named")
     # A row without words has the component of the other rows of its id.
     empty = written(repeated.join(named.select(F.col("node").alias("v"), "found"), "v").select("doc_id", F.col("found").alias("elsewhere")), "elsewhere")
+    return known, named, empty
+
+
+def linked_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For each row: doc_id, n_shingles (size of its set), component_id (the smallest id that links lead to, itself included)."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("text_hash"), F.col(text_col).alias("text"))
+    with temporary(docs.sparkSession) as keep:
+        known, named, empty = _components_of(docs, n, percent)
+        keep(known, named, empty)
     return (
         known.select("doc_id", "n_shingles", "node")
         .join(named, "node", "left")
