@@ -69,21 +69,27 @@ def fano(m: DataFrame, groups: dict[str, list[str]]) -> DataFrame:
     return stats.quantiles(rows, {c: (c, 0.5) for c in rows.columns})
 
 
-def tuned(m: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
-    """One row of parameters from quantiles over all rows."""
-    one, two = arms
-    depth = F.log10(F.col(f"mean_{one}") + F.col(f"mean_{two}") + 1)
-    rows = m.select(depth.alias("depth"), F.col(f"lfc_{one}").alias("lfc1"), F.col(f"lfc_{two}").alias("lfc2"), "alpha", F.col(f"cv_{one}").alias("cv"))
-    rows = rows.unionByName(m.select(F.col(f"cv_{two}").alias("cv")), allowMissingColumns=True)
-    shares = {"d60": ("depth", 0.6), "d75": ("depth", 0.75), "d25": ("depth", 0.25), "l1": ("lfc1", 0.9), "l2": ("lfc2", 0.9), "a75": ("alpha", 0.75), "cv75": ("cv", 0.75), "cv90": ("cv", 0.9)}
-    up = m.agg(F.avg(F.when(F.col(f"lfc_{two}") > 0, 1.0).otherwise(0.0)).alias("up"))
+SHARES = (0.5, None, 0.4)  # weights of the rounds; the second follows the data
+BLOCK_SHARES = (0.5, 1.0, 0.25)
+
+
+def _depth(arms: tuple[str, ...]) -> Column:
+    return F.log10(stats.total([F.coalesce(f"mean_{g}", F.lit(0.0)) for g in arms]) + 1)
+
+
+def tuned(m: DataFrame, arms: tuple[str, ...] = ("r1", "r2")) -> DataFrame:
+    """One row of parameters from quantiles over all rows, for two or three rounds: t0, slope, a cap c<k> and a weight w<k> for each round, l_alpha, l_cv, cap."""
+    rows = m.select(_depth(arms).alias("depth"), *[F.col(f"lfc_{g}").alias(f"lfc{k}") for k, g in enumerate(arms, 1)], "alpha", F.col(f"cv_{arms[0]}").alias("cv"))
+    for g in arms[1:]:
+        rows = rows.unionByName(m.select(F.col(f"cv_{g}").alias("cv")), allowMissingColumns=True)
+    shares = {"d60": ("depth", 0.6), "d75": ("depth", 0.75), "d25": ("depth", 0.25), "a75": ("alpha", 0.75), "cv75": ("cv", 0.75), "cv90": ("cv", 0.9)} | {f"l{k}": (f"lfc{k}", 0.9) for k in range(1, len(arms) + 1)}
+    up = m.agg(F.avg(F.when(F.col(f"lfc_{arms[1]}") > 0, 1.0).otherwise(0.0)).alias("up"))
+    weights = [F.lit(w).alias(f"w{k}") if w else clip(interpolate(F.col("up"), 0.3, 0.9, 0.3, 0.9), 0.3, 0.9).alias(f"w{k}") for k, w in enumerate(SHARES[: len(arms)], 1)]
     return stats.quantiles(rows, shares).crossJoin(up).select(  # one row each
         F.col("d60").alias("t0"),
         clip((F.col("d75") - F.col("d25")) / 2.772, 0.2, 1.0).alias("slope"),
-        clip(F.col("l1"), 2.0, 5.0).alias("c1"),
-        clip(F.col("l2"), 2.0, 5.0).alias("c2"),
-        F.lit(0.5).alias("w1"),
-        clip(interpolate(F.col("up"), 0.3, 0.9, 0.3, 0.9), 0.3, 0.9).alias("w2"),
+        *[clip(F.col(f"l{k}"), 2.0, 5.0).alias(f"c{k}") for k in range(1, len(arms) + 1)],
+        *weights,
         clip(0.3 + 0.6 * F.least(F.col("a75"), F.lit(1.0)), 0.3, 1.0).alias("l_alpha"),
         clip(0.3 + 0.7 * F.col("cv75"), 0.3, 1.0).alias("l_cv"),
         clip(F.col("cv90"), 0.6, 1.2).alias("cap"),
@@ -91,22 +97,33 @@ def tuned(m: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
 
 
 def shrinkage(f: DataFrame, strict: bool = False) -> DataFrame:
-    """One row of dispersion weights from the medians of fano: w_r1, w_r2 and w_neg by linear interpolation, and whether controls count as Poisson."""
+    """One row of dispersion weights from the medians of fano: w_r1, w_r2, w_neg and, with a third round, w_r3 by linear interpolation, and whether controls count as Poisson.
+
+    Controls have a median only with replicates, each group its own; the greatest counts.
+    """
     column = lambda name: F.col(name) if name in f.columns else F.lit(None).cast("double")
     one, two, neg = F.coalesce(column("fano_r1"), F.lit(1.5)), F.coalesce(column("fano_r2"), F.lit(2.0)), F.greatest(column("fano_neg1"), column("fano_neg2"))
     poisson = F.coalesce(neg <= 1.3, F.lit(True))
     w_neg = F.when(poisson, 0.0).otherwise(clip(interpolate(neg, 1.3, 3.0, 0.2, 0.6), 0.0, 0.8))
-    rows = f.select(clip(interpolate(one, 1.0, 3.0, 0.1, 0.9), 0.0, 0.95).alias("w_r1"), clip(interpolate(two, 1.0, 3.0, 0.3, 0.95), 0.1, 0.98).alias("w_r2"), w_neg.alias("w_neg"), poisson.alias("fix_neg_poisson"))
+    later = lambda c: clip(interpolate(c, 1.0, 3.0, 0.3, 0.95), 0.1, 0.98)
+    third = [F.coalesce(F.when(F.col("fano_r3").isNotNull(), later(F.col("fano_r3"))), later(two)).alias("w_r3")] if "fano_r3" in f.columns else []
+    rows = f.select(clip(interpolate(one, 1.0, 3.0, 0.1, 0.9), 0.0, 0.95).alias("w_r1"), later(two).alias("w_r2"), *third, w_neg.alias("w_neg"), poisson.alias("fix_neg_poisson"))
     return rows.withColumns({"w_neg": F.greatest("w_neg", F.lit(0.6)), "fix_neg_poisson": F.lit(False)}) if strict else rows
 
 
-def components(m: DataFrame, parameters: DataFrame, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
-    """Adds w_count, e (for the score) and e_syn (for the blocks)."""
-    one, two = arms
+def components(m: DataFrame, parameters: DataFrame, arms: tuple[str, ...] = ("r1", "r2")) -> DataFrame:
+    """Adds w_count, e (for the score) and e_syn (for the blocks), of two or three rounds."""
     m = m.crossJoin(F.broadcast(parameters))  # one row
-    e1, e2 = clip(F.col(f"lfc_{one}"), 0.0, F.col("c1")), clip(F.col(f"lfc_{two}"), 0.0, F.col("c2"))
-    depth = F.log10(F.col(f"mean_{one}") + F.col(f"mean_{two}") + 1)
-    return m.select("*", (1 / (1 + F.exp(-(depth - F.col("t0")) / F.col("slope")))).alias("w_count"), (F.col("w1") * e1 + F.col("w2") * e2).alias("e"), (0.5 * e1 + e2).alias("e_syn"))
+    each = [clip(F.col(f"lfc_{g}"), 0.0, F.col(f"c{k}")) for k, g in enumerate(arms, 1)]
+    w_count = 1 / (1 + F.exp(-(_depth(arms) - F.col("t0")) / F.col("slope")))
+    e, e_syn = stats.total([F.col(f"w{k}") * x for k, x in enumerate(each, 1)]), stats.total([w * x for w, x in zip(BLOCK_SHARES, each, strict=False)])
+    return m.select("*", w_count.alias("w_count"), e.alias("e"), e_syn.alias("e_syn"))
+
+
+def negative_controls(first: str | None, second: str | None) -> tuple[str | None, dict[str, float]]:
+    """Which control rows are centred on, the second round's before the first's, and the controls' weights in the penalty: halves, or all of the only one; none without controls."""
+    there = [c for c in (first, second) if c]
+    return second or first, {c: 1.0 / len(there) for c in there}
 
 
 def synthons(m: DataFrame, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
@@ -126,14 +143,15 @@ def synthons(m: DataFrame, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
     return m.withColumn("syn", total).drop(*[f"_z_{b}" for b in blocks])
 
 
-def hit_score(m: DataFrame, config: HitConfig, arms: tuple[str, str] = ("r1", "r2")) -> DataFrame:
-    """Adds rho, penalty, hit_score and hit_pct."""
+def hit_score(m: DataFrame, config: HitConfig, arms: tuple[str, ...] = ("r1", "r2"), controls: dict[str, float] | None = None) -> DataFrame:
+    """Adds rho, penalty, hit_score and hit_pct. controls: the controls' groups and weights, halves of neg1 and neg2 by default."""
     m = staged(m)
     ends = stats.quantiles(m, {"_hi": ("syn", 0.95), "_lo": ("syn", 0.05)})
     m = m.crossJoin(F.broadcast(ends))  # one row
     m = m.withColumn("rho", clip(0.2 / F.greatest(F.abs("_hi"), F.abs("_lo"), F.lit(1e-6)), 0.05, 0.35)).drop("_hi", "_lo")
     cv = stats.mean([F.least(F.coalesce(f"cv_{g}", "cap"), F.col("cap")) / F.col("cap") for g in arms])
-    neg = stats.mean([F.greatest(F.lit(0.0), F.col(f"lfc_{g}") - config.tau_neg) for g in ("neg1", "neg2")])
+    controls = negative_controls("neg1", "neg2")[1] if controls is None else controls
+    neg = stats.total([w * F.greatest(F.lit(0.0), F.coalesce(f"lfc_{g}", F.lit(0.0)) - config.tau_neg) for g, w in controls.items()] or [F.lit(0.0)])
     m = m.withColumn("penalty", F.col("l_alpha") * F.least("alpha", F.lit(1.0)) + F.col("l_cv") * cv + config.lambda_neg * neg)
     m = m.withColumn("hit_score", F.col("e") * F.col("w_count") * (1 + F.col("rho") * F.col("syn")) - F.col("penalty"))
     return stats.percent_of_rank(m, "hit_score", "hit_pct")
@@ -149,7 +167,7 @@ def read_scaler(m: DataFrame, r1: list[str], r2: list[str], control: str = "del2
     averages = [stats.mean([F.col(s) for s in cols]).alias(f"avg_{g}") for g, cols in (("r1", r1), ("r2", r2))]
     m = m.select("*", *averages, *[stats.mean(c).alias(f"mean_{k}") for k, c in sets.items()], *[stats.deviation(c).alias(f"sd_{k}") for k, c in sets.items()], *[stats.mad(c).alias(f"mad_{k}") for k, c in sets.items()])
     m = m.withColumn("boost", F.log2((F.col("avg_r2") + eps) / (F.col("avg_r1") + eps)))
-    return m.select("*", *[stats.t_test(F.col(f"mean_{k}"), F.col(f"sd_{k}"), len(c)).alias(f"p_{k}") for k, c in sets.items() if k != "paired"])
+    return m.select("*", stats.deviation([F.col(s) for s in r1]).alias("sd_r1"), *[stats.t_test(F.col(f"mean_{k}"), F.col(f"sd_{k}"), len(c)).alias(f"p_{k}") for k, c in sets.items()])
 
 
 def standardised(m: DataFrame, value: str, name: str) -> DataFrame:
@@ -178,6 +196,21 @@ def fail_reasons(m: DataFrame, config: HitConfig, least_avg: float = 1.0) -> Col
     return F.concat_ws(";", *[c for c in checks if c is not None])
 
 
+def gates(config: HitConfig) -> Column:
+    """All gates that a row fails, in order, joined by semicolons. A bound of none isn't asked, a null or infinite value never fails.
+
+    Columns: those of read_scaler(), q_bead, q_bead_r2, q_paired and z_r1.
+    """
+    checks = [
+        ("avg_r1", "avg_R1", config.least_avg_r1, False), ("sd_r1", "sd_R1", config.most_sd_r1, True), ("mean_del2", "DEL2", config.least_del2, False), ("mean_bead", "BEAD_R1", config.least_bead, False),
+        ("mean_bead_r2", "BEAD_R2", config.least_bead_r2, False), ("q_bead", "BEAD_R1_q", config.most_q_bead, True), ("q_bead_r2", "BEAD_R2_q", config.most_q_bead_r2, True), ("boost", "R2Boost_avg", config.least_boost, False),
+        ("mean_paired", "R2Boost_paired_mean", config.least_paired, False), ("q_paired", "R2Boost_paired_q", config.most_q_paired, True), ("z_r1", "zscore", config.least_z, False),
+    ]
+    finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    out = [F.when(finite(c) & (F.col(c) > bound if above else F.col(c) < bound), name) for c, name, bound, above in checks if bound is not None]
+    return F.concat_ws(";", *out)
+
+
 def neg_hard_fail(config: HitConfig) -> Column:
     """Whether a bead ratio is below its bound or a bead q above it; nulls pass."""
     out = F.lit(False)

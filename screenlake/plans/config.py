@@ -28,6 +28,12 @@ class HitConfig:
     center_quantile: float = 0.5
     center_r2_most: float = 0.5
     most_centered: float | None = None
+    least_avg_r1: float | None = 1.0
+    most_sd_r1: float | None = None
+    least_del2: float | None = 0.0
+    least_paired: float | None = None
+    most_q_paired: float | None = None
+    least_z: float | None = None
 
 
 # The presets' knobs.
