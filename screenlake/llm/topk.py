@@ -12,7 +12,7 @@ Pivots are fitted on a bounded sample (SAMPLE_ROWS); every vector is indexed. Qu
 
 Vectors that are null, hold a null or a non-finite component, or have a null id take no part. Shorter vectors count as filled up with zeros.
 Equal scores go to smaller ids; rows that repeat an id are candidates of their own, but never for a query of that id, and a repeated query is asked
-once (its least vector). Components and scores beyond 64 bits saturate. An empty table gives an empty result. Columns other than the two named are ignored.
+once (its least vector). Components and scores beyond 64 bits saturate; where they may, or where squares are too large for exact bounds, a query opens more annuli than it would need, up to all of them. An empty table gives an empty result. Columns other than the two named are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ ANNULI = 8
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
 LEAST = -(1 << 63)
+CUT = float(1 << 62)
+ROUNDING = 1e-12  # of sums of squares, relative to their terms
 
 
 def _pivots(sample: np.ndarray, count: int) -> np.ndarray:
@@ -124,8 +126,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
     )
     rings = (
         index.groupBy("annulus", "pivot")
-        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("block").alias("blocks"), F.max(F.struct("n", "block")).alias("seed"))
-        .select("annulus", "pivot", "low", "high", F.array_max("blocks").alias("last"), "seed.n", "seed.block")
+        .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("block").alias("last"), F.max(F.struct("n", "block")).alias("seed"))
+        .select("annulus", "pivot", "low", "high", "last", "seed.n", "seed.block")
         .toPandas()
         .sort_values("annulus")
     )
@@ -152,8 +154,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
                         had, reach = np.full(len(x), LEAST), np.full(len(x), np.inf)
                     else:
                         had = part.column(2).to_numpy()
-                        squared = top + (x.astype(float) ** 2).sum(1) - 2 * had.astype(float)
-                        reach = np.where(had > LEAST, np.sqrt(np.maximum(0, squared)) * (1 + 1e-7) + 1e-3, np.inf)
+                        own = (x.astype(float) ** 2).sum(1)
+                        squared = top + own - 2 * had.astype(float)
+                        # What rounding may do to the terms that cancel out; and scores that may be cut at 64 bits bound nothing.
+                        slack = ROUNDING * (top + own + 2 * np.abs(had.astype(float)))
+                        reach = np.where((had > LEAST) & (np.sqrt(top * own) < CUT), np.sqrt(np.maximum(0, squared) + slack) * (1 + 1e-7) + 1e-3 + np.sqrt(ROUNDING * top), np.inf)
                         need = gap <= reach[:, None]
                     for r, ring in enumerate(rings.itertuples()):
                         who = np.flatnonzero(need[:, r])
@@ -187,7 +192,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
                     s, names = scores[i, own], ids[begin:end][own]
                     good = np.flatnonzero((s >= had[i]) & (names != mine[i]))
                     if len(good) > k:
-                        good = good[np.lexsort((names[good], -s[good].astype(float) if np.abs(s[good]).max() < 2**53 else np.argsort(np.argsort(-s[good]))))[:k]]
+                        good = good[np.lexsort((names[good], -np.unique(s[good], return_inverse=True)[1]))[:k]]  # whole numbers, so equal ones are equal
                     out[0].extend([mine[i]] * len(good))
                     out[1].extend(names[good])
                     out[2].extend(s[good])

@@ -116,6 +116,24 @@ def test_top_k(spark):
     assert topk.search(vectors.filter(F.lit(False)), vectors, k=3).collect() == []
 
 
+@pytest.mark.parametrize("size", [1, 2**20, 2**26, 2**28, 2**34])
+def test_top_k_of_large_components(spark, size):
+    """Whole numbers are compared as such, also where floats can't tell them apart: ties go to smaller ids, and no better row is ruled out."""
+    import random
+
+    r = random.Random(size)
+    rows = [(k, [float(size * r.randrange(-8, 9) + r.randrange(0, 3)) for _ in range(3)]) for k in range(100, 160)]
+    rows += [(k, [float(size)] * 3) for k in range(300, 324)] + [(200, [float(size), 0.0, float(size)])]
+    r.shuffle(rows)
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {(x["query_id"], x["rank"]): (x["vec_id"], x["score"]) for x in topk.search(vectors, vectors.filter("vec_id in (100, 200, 300)"), k=10, scale=1).collect()}
+    by = dict(rows)
+    cut = lambda v: max(-(1 << 63), min((1 << 63) - 1, v))
+    for q in (100, 200, 300):
+        want = sorted((-cut(sum(int(a) * int(b) for a, b in zip(by[q], v))), k) for k, v in rows if k != q)[:10]
+        assert [got[q, n + 1] for n in range(10)] == [(k, -s) for s, k in want], (q, size)
+
+
 def test_archives_keep_odd_pages(spark, tmp_path):
     """Addresses with line breaks, repeated ids and rows without an id all come back."""
     rows = [(1, "http://a/\r\nWARC-Type: x\r\n\r\n", "one"), (2, "b\tc", "two"), (2, "b", "two"), (None, "n", "two"), (3, "u\u2028v", "two")]
