@@ -130,7 +130,7 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Cache(100_000)
+        self.known = Cache(1_600_000)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
