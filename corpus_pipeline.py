@@ -17,6 +17,12 @@ SHINGLE_WORDS = 5
 NEAR_PERCENT = 80
 END_ID = 1
 CAPACITY = 2048
+BATCH_BYTES = 8 << 20
+
+
+def bounded(spark: SparkSession) -> None:
+    """Lets Arrow batches follow their bytes, as texts may be long: ten thousand of them at a time fill an executor's memory twice, beside the heap and in the Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Nulls and empty texts have the model's score of nothing. Repeated rows all stay or go; other columns, whatever their names, pass through. Without labelled
     toxic documents all stay.
     """
+    bounded(spark)
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(docs, model, keep=True)
 
@@ -34,6 +41,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows that repeat an id are one document: one of them stays. Rows without an id stay, as do null texts and texts without words, which link with nothing.
     """
+    bounded(spark)
     found = jaccard_join.linked_components(docs, SHINGLE_WORDS, NEAR_PERCENT)
     by_id = found.filter("doc_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count(F.lit(1)).alias("rows"))
     moved = written(by_id.filter("component_id < doc_id or rows > 1"), "moved")
@@ -44,12 +52,14 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with the secrets in its text masked and n_chars brought up to date. Null texts stay null; repeated rows stay; other columns pass through."""
+    bounded(spark)
     masked = secrets.redacted(docs, secrets.train(docs))
     return masked.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else masked
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most CAPACITY. A null or empty text has the end id alone; repeated rows are packed once each."""
+    bounded(spark)
     return packing.sequences(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, CAPACITY)
 
 
