@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import delta_lloyd, divergence, fingerprints, jaccard_join, multi_index, packing, pii, piece_matching, secrets, token_counts, topk, toxicity, warc
 from .common import documents, scratch_path, table
