@@ -39,13 +39,17 @@ def validated(rows: DataFrame, table: DataFrame, cycles: int = 4, tolerance: int
     missing = lambda a: here(a, "pos").isNull() | here(a, "len").isNull() | here(a, "seq").isNull()
     outside = lambda a: (here(a, "pos") < 0) | (here(a, "pos") + here(a, "len") > F.length("_o"))
     differs = lambda a: F.substring("_o", here(a, "pos") + 1, here(a, "len")) != here(a, "seq")
-    place = lambda a, name, mark: F.when(missing(a), f"missing_{a}").when(outside(a), f"{name}_pos_oob").when(differs(a), f"{name}_seq_mismatch") if mark is None else F.when(mark & missing(a), f"missing_{a}").when(mark & outside(a), f"{name}_pos_oob").when(mark & differs(a), f"{name}_seq_mismatch")
+
+    def place(a: str, name: str, asked: Column) -> Column:
+        """What is wrong with where an anchor or codon lies, if it is asked for."""
+        return F.when(asked & missing(a), f"missing_{a}").when(asked & outside(a), f"{name}_pos_oob").when(asked & differs(a), f"{name}_seq_mismatch")
+
     count = F.coalesce("cycles", F.lit(0))
     errors = [F.when(F.col("read_len") != F.length("read_seq"), "read_len_mismatch"), F.when(F.col("cycles").isNull(), "cycles_parse")]
     errors += [F.when(count > 0, F.when(F.col("_expected").isNull(), "lib_unknown").when(count != F.col("_expected"), "cycles_mismatch"))]
     if rejected is not None:
         errors.append(F.when(rejected, "length_filter_reject"))
-    errors += [place(a, a.upper(), None) for a in ANCHORS] + [place(f"c{k}", f"c{k}", count >= k) for k in range(1, cycles + 1)]
+    errors += [place(a, a.upper(), F.lit(True)) for a in ANCHORS] + [place(f"c{k}", f"c{k}", count >= k) for k in range(1, cycles + 1)]
 
     # Codons that can be looked at, in turn.
     codons = [F.when((count >= k) & ~missing(f"c{k}") & ~outside(f"c{k}"), F.struct(*[here(f"c{k}", f).alias(f) for f in ("pos", "len")], allowed(f"c{k}_seq", False).alias("fits"))) for k in range(1, cycles + 1)]

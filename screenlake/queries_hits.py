@@ -81,7 +81,7 @@ def _three_sql() -> str:
 def hitscore_three_rounds(spark, sf_dir):
     """A screen of three rounds whose only control is the second round's, with the knobs of the medium preset."""
     g = staged(hits.glm(hits.baseline(matrix(spark, sf_dir), THREE), THREE, fixed=("neg2",)))
-    centre, weights = hits.negative_controls(None, "neg2")
+    _, weights = hits.negative_controls(None, "neg2")
     m = hits.synthons(hits.components(g, hits.tuned(g, ARMS), ARMS), BBS)
     out = hits.hit_score(m, preset("medium"), ARMS, weights)
     return out.select("lib_id", "id", *[F.round(c, 4).alias(c) for c in ("e", "w_count", "penalty", "hit_score")])

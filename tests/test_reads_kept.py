@@ -144,3 +144,31 @@ def test_fit_of_nothing(spark):
     from screenlake.functions import stats
 
     assert math.isclose(stats.absolute_deviation(spark.createDataFrame([(1.0,), (2.0,), (9.0,)], "v double"), ["v"]).first()[0], 1.0)
+
+
+def test_passing(spark):
+    """Gates that exist all hold, a null doesn't, and the score is a finite number."""
+    from screenlake.operators import lookup
+
+    rows = [(1, True, 1.0), (2, False, 1.0), (3, None, 1.0), (4, True, None), (5, True, float("nan")), (6, True, float("inf"))]
+    df = spark.createDataFrame(rows, "id int, glm_hit boolean, s double")
+    assert [r["id"] for r in lookup.passing(df, "s").collect()] == [1]
+    assert {r["id"] for r in lookup.passing(df.drop("glm_hit"), "s").collect()} == {1, 2, 3}
+
+
+def test_collisions_and_numbers(spark):
+    from screenlake.operators import blocks
+
+    df = spark.createDataFrame([("A", "1"), ("A", "1"), ("A", "2"), ("C", "3")], "seq string, lib_id string")
+    assert [tuple(r) for r in blocks.collisions(df).collect()] == [("A", 2)]
+    got = files.with_numbers(spark.createDataFrame([("1.5", "x"), ("NA", "2")], "a string, b string"), ["a", "b"]).collect()
+    assert [tuple(r) for r in got] == [(1.5, None), (None, 2.0)]
+
+
+def test_negative_controls():
+    from screenlake.operators import hits
+
+    assert hits.negative_controls("neg1", "neg2") == ("neg2", {"neg1": 0.5, "neg2": 0.5})
+    assert hits.negative_controls("neg1", None) == ("neg1", {"neg1": 1.0})
+    assert hits.negative_controls(None, "neg2") == ("neg2", {"neg2": 1.0})
+    assert hits.negative_controls(None, None) == (None, {})
