@@ -52,8 +52,10 @@ def final_picks_of_clusters(spark, sf_dir):
     """Twelve parts of each group: first those that represent a cluster of similar structures, then the dearest of the rest."""
     p = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_partkey").alias("key"), F.col("p_retailprice").alias("score"), (F.col("p_size") % 4).alias("group"))
     smiles = F.translate(F.substring(F.md5((F.col("key") % 29).cast("string").cast("binary")), 1, 24), "0123456789abcdef", "CCNOccn1(=)2SFPB")
-    prints = staged(p.select("key", similarity.fingerprint(F.concat(smiles, F.when(F.col("key") % 2 == 0, "CO").otherwise(""))).alias("bits")))
-    clusters = similarity.butina(prints.select("key"), "key", staged(similarity.pairs(prints, "key", 80)))
+    prints = p.select("key").repartition(spark.sparkContext.defaultParallelism, "key").select("key", similarity.fingerprint(F.concat(smiles, F.when(F.col("key") % 2 == 0, "CO").otherwise(""))).alias("bits"))
+    sets, members = similarity.classes(prints, "key")
+    clusters = similarity.butina(sets, "key", staged(similarity.class_pairs(sets, "key", 80)), "copies")
+    clusters = similarity.spread(clusters, members, "key").drop("class")
     reps = similarity.representatives(clusters, p, "key", F.desc("score"), F.asc("key")).filter("rep")
     return compare.picks_filled(p, reps, "key", "group", 12, F.desc("score"), F.asc("key"))
 

@@ -172,3 +172,26 @@ def test_negative_controls():
     assert hits.negative_controls("neg1", None) == ("neg1", {"neg1": 1.0})
     assert hits.negative_controls(None, "neg2") == ("neg2", {"neg2": 1.0})
     assert hits.negative_controls(None, None) == (None, {})
+
+
+def test_copies(spark):
+    """Equal structures are compared once, and clusters, medoids and pairs are those of all keys; more copies than a block, and texts without bits."""
+    texts = {k: ("CCOCNCC1", "CCOCNCC1C", "", "SNSNFBPB", None)[0 if k < 40 else k % 5] for k in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "key int, text string")
+    prints = df.select("key", similarity.fingerprint(F.col("text")).alias("bits"))
+    grams = {k: {t[i : i + 3] for i in range(len(t or "") - 2)} for k, t in texts.items()}
+    want = {(i, j): len(grams[i] & grams[j]) / len(grams[i] | grams[j]) for i in grams for j in grams if i < j and grams[i] and 100 * len(grams[i] & grams[j]) >= 80 * len(grams[i] | grams[j])}
+    for block in (1024, 7):
+        similarity.BLOCK, kept = block, similarity.BLOCK
+        got = [tuple(r) for r in similarity.pairs(prints, "key", 80).collect()]
+        similarity.BLOCK = kept
+        assert len(got) == len(want) and {(i, j): s for i, j, s in got} == want
+    sets, members = similarity.classes(prints, "key")
+    assert sets.count() == len({frozenset(g) for g in grams.values() if g}) + sum(not g for g in grams.values())
+    near = similarity.class_pairs(sets, "key", 80)
+    clusters = similarity.butina(sets, "key", near, "copies")
+    long = spark.createDataFrame([(i, j, s) for (i, j), s in want.items()], "i int, j int, sim double")
+    plain = similarity.butina(df.select("key"), "key", long)
+    assert sorted(map(tuple, similarity.spread(clusters, members, "key").drop("class").collect())) == sorted(map(tuple, plain.collect()))
+    best = {r["key"] for r in similarity.medoids(clusters, near, "key", copies=sets).filter("medoid").collect()}
+    assert best == {r["key"] for r in similarity.medoids(plain, long, "key").filter("medoid").collect()}
