@@ -518,8 +518,7 @@ def _outcomes(spark, sf_dir):
     """Decoded reads with their sample, and every read's outcome, behind a filter on lengths."""
     r = reads(spark, sf_dir)
     kind = counts.length_class(F.length("seq"), 63, 63, 7, mode="3")
-    done, every = decode.outcomes(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES, counts.length_passes(kind))
-    return done.join(r.select("sample", "read_id"), "read_id"), every
+    return decode.outcomes(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES, counts.length_passes(kind))
 
 
 @_query(f"{_DECODE} SELECT * FROM done")
@@ -530,7 +529,7 @@ def decode_reads(spark, sf_dir):
 @_query(f"{_DECODE} SELECT * FROM und")
 def undecoded_reasons(spark, sf_dir):
     r = reads(spark, sf_dir).select("read_id", "seq")
-    return decode.undecoded_reasons(r, staged(decode.attempts(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES))).select("read_id", "reason")
+    return decode.undecoded_reasons(r, decode.attempts(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES)).select("read_id", "reason")
 
 
 _GAPS = ", gaps AS (SELECT lib_id, 'hp_op' AS metric, op_pos - hp_pos - hp_len AS gap FROM done UNION ALL SELECT lib_id, 'op_c1', c1_pos - op_pos - op_len FROM done UNION ALL SELECT lib_id, 'c1_c2', c2_pos - c1_pos - 9 FROM done UNION ALL SELECT lib_id, 'c2_c3', c3_pos - c2_pos - 9 FROM done UNION ALL SELECT lib_id, 'c3_cp', cp_pos - c3_pos - 9 FROM done)"

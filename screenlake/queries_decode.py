@@ -141,24 +141,19 @@ def _outcomes(spark, sf_dir):
     return r, done, every
 
 
-def _with_sample(r, done):
-    return done.join(r.select("sample", "read_id"), "read_id")
-
-
 def _records(spark, sf_dir):
-    r, done, _ = _outcomes(spark, sf_dir)
-    return staged(decode.records(done, r, CYCLES))
+    return decode.records(_outcomes(spark, sf_dir)[1], CYCLES)
 
 
 @_query(f"{_DECODE} SELECT * FROM done")
 def decode_mixed_cycles(spark, sf_dir):
-    return _outcomes(spark, sf_dir)[1]
+    return _outcomes(spark, sf_dir)[1].drop("sample", "seq")
 
 
 @_query(f"{_DECODE} SELECT sample, lib_id, cycles, count(*) AS n FROM done JOIN rd USING (read_id) GROUP BY ALL")
 def mixed_cycle_distribution(spark, sf_dir):
     r, done, _ = _outcomes(spark, sf_dir)
-    return decode.cycle_distribution(_with_sample(r, done))
+    return decode.cycle_distribution(done)
 
 
 _GAPS = [("hp_op", "op_pos - hp_pos - hp_len"), ("op_c1", "c1_pos - op_pos - op_len"), *[(f"c{k}_c{k + 1}", f"c{k + 1}_pos - c{k}_pos - c{k}_len") for k in (1, 2, 3)], ("c4_cp", "CASE cycles WHEN 4 THEN cp_pos - c4_pos - c4_len END"), ("c_last_cp", "CASE cycles WHEN 3 THEN cp_pos - c3_pos - c3_len END")]
@@ -167,27 +162,27 @@ _GAPS = [("hp_op", "op_pos - hp_pos - hp_len"), ("op_c1", "c1_pos - op_pos - op_
 @_query(f"{_DECODE}, gp AS ({' UNION ALL '.join(f'SELECT sample, lib_id, {n!r} AS metric, {e} AS gap FROM done JOIN rd USING (read_id)' for n, e in _GAPS)}) SELECT sample, lib_id, metric, count(*) AS n, round(avg(gap), 6) AS mean, round(stddev_pop(gap), 6) AS sd, min(gap)::DOUBLE AS least, max(gap)::DOUBLE AS greatest FROM gp WHERE gap IS NOT NULL GROUP BY ALL")
 def gap_stats_by_sample(spark, sf_dir):
     r, done, _ = _outcomes(spark, sf_dir)
-    g = decode.gap_stats(_with_sample(r, done), CYCLES, by=("sample", "lib_id"))
+    g = decode.gap_stats(done, CYCLES, by=("sample", "lib_id"))
     return g.withColumns({c: F.round(c, 6) for c in ("mean", "sd")})
 
 
 @_query(f"{_DECODE} SELECT sample, lib_id, count(*) AS n, " + ", ".join(f"count(*) FILTER ({a}_miss = {m}) AS {a}_{w}" for a in ("hp", "op", "cp") for m, w in ((0, "perf"), (1, "miss"))) + ", count(*) FILTER (dir = 0) AS forward_reads, count(*) FILTER (dir = 1) AS revcomp_reads FROM done JOIN rd USING (read_id) GROUP BY ALL")
 def anchor_quality_by_sample(spark, sf_dir):
     r, done, _ = _outcomes(spark, sf_dir)
-    return decode.anchor_quality(_with_sample(r, done), ("sample", "lib_id"))
+    return decode.anchor_quality(done, ("sample", "lib_id"))
 
 
 @_query(f"{_DECODE} SELECT sample, lib_id, cycle, bb_id, count(*) AS n FROM ({' UNION ALL '.join(f'SELECT read_id, lib_id, {k} AS cycle, bb{k} AS bb_id FROM done' for k in range(1, 5))}) JOIN rd USING (read_id) WHERE bb_id IS NOT NULL GROUP BY ALL")
 def bb_frequency_by_sample(spark, sf_dir):
     r, done, _ = _outcomes(spark, sf_dir)
-    return decode.block_counts(_with_sample(r, done), CYCLES, ("sample", "lib_id"))
+    return decode.block_counts(done, CYCLES, ("sample", "lib_id"))
 
 
 @_query(f"{_DECODE} SELECT rd.sample, 0::BIGINT AS order_violation, count(*) FILTER (NOT cp_len BETWEEN 28 AND 29) AS cp_len_odd, coalesce(sum({' + '.join(f'coalesce((c{k}_len <> 9)::BIGINT, 0)' for k in range(1, 5))}), 0)::BIGINT AS codon_len_odd FROM rd LEFT JOIN done USING (read_id) GROUP BY ALL")
 def codon_length_checks(spark, sf_dir):
     """A primer that lost a base counts as odd here, and so do codons of ten bases."""
     r, done, every = _outcomes(spark, sf_dir)
-    return decode.quality_checks(_with_sample(r, done), every, 9, 28, 29, CYCLES)
+    return decode.quality_checks(done, every, 9, 28, 29, CYCLES)
 
 
 @_query(f"{_DECODE}, g AS (SELECT l.lib_id, s.sample FROM (SELECT unnest(['M3', 'M4', 'M5']) AS lib_id) l, (SELECT DISTINCT sample FROM rd) s), c AS (SELECT sample, lib_id, count(*) AS n FROM done JOIN rd USING (read_id) GROUP BY ALL), w AS (SELECT sample, count(*) AS total FROM rd GROUP BY 1) SELECT g.lib_id, g.sample, coalesce(n, 0) AS n, coalesce(round(coalesce(n, 0)::DOUBLE / nullif(sum(coalesce(n, 0)) OVER (PARTITION BY g.sample), 0), 6), 0) AS ratio, round(coalesce(n, 0)::DOUBLE / total, 6) AS ratio_raw FROM g LEFT JOIN c ON c.lib_id = g.lib_id AND c.sample = g.sample JOIN w ON w.sample = g.sample")
@@ -195,7 +190,7 @@ def lib_sample_shares(spark, sf_dir):
     """With a library that nothing was decoded to."""
     r, done, _ = _outcomes(spark, sf_dir)
     libs, names = spark.createDataFrame([("M3",), ("M4",), ("M5",)], "lib_id string"), spark.createDataFrame([(s,) for s in SAMPLES], "sample string")
-    return counts.shares(_with_sample(r, done), libs, names, r.groupBy("sample").agg(F.count(F.lit(1)).alias("total")))
+    return counts.shares(done, libs, names, r.groupBy("sample").agg(F.count(F.lit(1)).alias("total")))
 
 
 @_query(f"WITH rd AS ({READS_SQL}), l AS (SELECT sample, length(seq) AS n FROM rd) SELECT sample, count(*) FILTER (abs(n - 75) > 7 AND abs(n - 85) > 7) AS kept_outside, count(*) FILTER (abs(n - 75) <= 7 OR abs(n - 85) <= 7) AS kept_inside, count(*) FILTER (abs(n - 85) <= 7) AS kept_four FROM l GROUP BY 1")
@@ -211,7 +206,7 @@ def length_policies(spark, sf_dir):
 def decoded_sink(spark, sf_dir):
     """Decoded reads, written by sample and read again."""
     r, done, every = _outcomes(spark, sf_dir)
-    rows, failed, path = decode.records(done, r, CYCLES), decode.failures(every, r), scratch(spark, "reads")
+    rows, failed, path = decode.records(done, CYCLES), decode.failures(every), scratch(spark, "reads")
     files.write_reads(rows, failed, path)
     return files.read_reads(spark, path, files.DECODED, rows.schema)
 
@@ -219,7 +214,7 @@ def decoded_sink(spark, sf_dir):
 @_query(f"{_DECODE} SELECT sample, read_id, length(seq) AS read_len, seq AS read_seq, outcome AS reason, cp_found, op_found, hp_found FROM oc JOIN rd USING (sample, read_id) WHERE outcome <> 'decoded'")
 def undecoded_sink(spark, sf_dir):
     r, done, every = _outcomes(spark, sf_dir)
-    rows, failed, path = decode.records(done, r, CYCLES), decode.failures(every, r), scratch(spark, "reads")
+    rows, failed, path = decode.records(done, CYCLES), decode.failures(every), scratch(spark, "reads")
     files.write_reads(rows, failed, path)
     return files.read_reads(spark, path, files.UNDECODED, failed.schema)
 
@@ -250,7 +245,7 @@ _FAULTY = f"{_RECORDS}, bad AS ({_faulty(_COLUMNS, 'rec')}), ba AS (SELECT *, CA
 
 
 def _faulty_records(spark, sf_dir):
-    return staged(spark.sql(_faulty(_COLUMNS, "{rec}"), rec=_records(spark, sf_dir)))
+    return spark.sql(_faulty(_COLUMNS, "{rec}"), rec=_records(spark, sf_dir))
 
 
 def _rule_sql() -> str:
@@ -316,7 +311,7 @@ def validation_table(spark, sf_dir):
     every = staged(every)
     stats_ = decode.sample_stats(every).drop("decode_rate_pct").withColumn("total_reads", F.col("total_reads") - (F.col("sample") == "S1").cast("long"))
     summary = decode.decoding_summary(every).drop("order_violation").join(decode.sample_stats(every).select("sample", "length_passed_reads"), "sample")
-    rows = decode.records(done, r, CYCLES)
+    rows = decode.records(done, CYCLES)
     bad = spark.sql(_faulty(_COLUMNS, "{rec}"), rec=rows).filter("sample != 'S3'")
     checked = validate.validated(bad, staged(decode.patterns(tags(spark))), CYCLES)
     checks = checked.groupBy("sample").agg(F.count(F.lit(1)).alias("validated"), F.count_if(F.size("errors") == 0).alias("passed"))

@@ -209,3 +209,29 @@ def test_reads_are_dealt_by_their_number(spark, monkeypatch):
     places = {(r["read_id"], h["dir"], h["pos"], h["len"]) for r in got.collect() for h in r["found"]}
     assert places == {(k, d, p, n) for k in range(95) for d, s in ((0, "ACGTACGTAC"), (1, "GTACGTACGT")) for n in (5, 6) for p in range(11 - n) if s[p : p + n] == "ACGTAC"[:n]}
     assert got.rdd.getNumPartitions() == 10
+
+
+def test_equal_reads_are_decoded_once(spark, monkeypatch):
+    """Matching sees each text once, and every read has its own row: copies in several samples, one that the length filter keeps out, nulls, and reads that nothing matches."""
+    from screenlake import queries_decode
+    from screenlake.operators import decode
+    from screenlake.plans.staging import staged
+
+    seen, collected = [], decode.collected
+    monkeypatch.setattr(decode, "collected", lambda reads, *rest: seen.append(reads.count()) or collected(reads, *rest))
+    made = [r["seq"] for r in queries_decode.reads(spark, SF).filter("read_id in (0, 1, 2, 3, 4)").orderBy("read_id").collect()]
+    texts = [*made, "ACGT" * 20, None]
+    reads = spark.createDataFrame([(k, f"S{k % 2}", texts[k % 7]) for k in range(70)], "read_id long, sample string, seq string")
+    table = staged(decode.patterns(queries_decode.tags(spark)))
+    passes = (F.col("seq").isNull() | (F.length("seq") > 0)) & (F.col("read_id") != 7)
+    done, every = decode.outcomes(reads, table, queries_decode.CYCLES, queries_decode.SIZES, passes)
+    outcome = {r["read_id"]: (r["sample"], r["outcome"], r["cp_found"]) for r in every.collect()}
+    assert seen == [6] and len(outcome) == every.count() == 70
+    assert outcome[7] == ("S1", "len_out_of_range", 0) and {outcome[k][1] for k in range(5, 70, 7)} == {outcome[k][1] for k in range(6, 70, 7)} == {"no_cp"}
+    assert {outcome[k][1] for k in range(70) if k % 7 < 5 and k != 7} == {"decoded"}
+    rows = {r["read_id"]: r.asDict() for r in done.collect()}
+    assert sorted(rows) == [k for k in range(70) if k % 7 < 5 and k != 7]
+    for k, r in rows.items():
+        assert r["sample"] == f"S{k % 2}" and r | {"read_id": 0, "sample": ""} == rows[14 + k % 7] | {"read_id": 0, "sample": ""}
+    assert decode.attempts(reads, table, queries_decode.CYCLES, queries_decode.SIZES).filter("penalty is not null").count() == 50
+    assert seen == [6, 6]
