@@ -83,14 +83,18 @@ def read_back(rows: DataFrame, reads: DataFrame, cycles: int = 4) -> DataFrame:
     """rows with mismatches: what their own reads, found by id, and their ids don't bear out.
 
     Every anchor and codon has to stand at its place of the read in the decoded direction, and the id's parts have to be the row's cycles, blocks and library. A row without a read has read_missing.
-    reads: read_id, seq.
+    Each id is taken apart once, as the reads of a molecule share it. reads: read_id, seq. rows are read twice: stage them if they are costly.
     """
-    x = rows.join(reads.select("read_id", F.col("seq").alias("_seq")), "read_id", "left").withColumn("_o", _oriented("_seq")).withColumn("_p", ids.parsed(F.col("id")))
+    text = F.coalesce("id", F.lit(""))
+    named = rows.select(text.alias("_id")).distinct().withColumn("_p", ids.parsed(F.col("_id")))
+    libs = F.array_distinct(F.filter(F.array(*[ids.library_of(F.col(f"_p.bb{k}")) for k in range(1, cycles + 1)]), lambda v: v.isNotNull()))
+    x = rows.withColumn("_id", text).join(named.withColumn("_libs", libs), "_id", "left")
+    x = x.join(reads.select("read_id", F.col("seq").alias("_seq")), "read_id", "left").withColumn("_o", _oriented("_seq"))
     differs = lambda a: F.coalesce((F.col(f"{a}_pos") < 0) | (F.substring("_o", F.col(f"{a}_pos") + 1, F.col(f"{a}_len")) != F.col(f"{a}_seq")), F.lit(False))
     found = [F.when(F.col("_seq").isNull(), "read_missing"), *[F.when(differs(a), f"seq_mismatch_{a.upper()}") for a in (*ANCHORS, *[f"c{k}" for k in range(1, cycles + 1)])]]
     found.append(F.when((F.col("cycles") > 0) & (F.col("_p.cycles").cast("int") != F.col("cycles")), "cycles_mismatch"))
     same = reduce(lambda a, b: a & b, [F.coalesce(f"c{k}_bb_id", F.lit("NA")) == F.col(f"_p.bb{k}") for k in range(1, cycles + 1)])
-    libs = F.array_distinct(F.filter(F.array(*[ids.library_of(F.col(f"_p.bb{k}")) for k in range(1, cycles + 1)]), lambda v: v.isNotNull()))
+    libs = F.col("_libs")
     found.append(F.when(~same, "bb_id_mismatch"))
     found.append(F.when(F.size(libs) == 0, "lib_suffix_missing").when((F.size(libs) > 1) | ~F.array_contains(libs, F.col("lib_id")), "lib_id_mismatch"))
     return x.select(*rows.columns, F.filter(F.array(*found), lambda m: m.isNotNull()).alias("mismatches"))

@@ -235,3 +235,20 @@ def test_equal_reads_are_decoded_once(spark, monkeypatch):
         assert r["sample"] == f"S{k % 2}" and r | {"read_id": 0, "sample": ""} == rows[14 + k % 7] | {"read_id": 0, "sample": ""}
     assert decode.attempts(reads, table, queries_decode.CYCLES, queries_decode.SIZES).filter("penalty is not null").count() == 50
     assert seen == [6, 6]
+
+
+def test_ids_are_parsed_once(spark, monkeypatch):
+    """Read-back takes each id apart once, and rows of equal ids, of none, and without a read have their own mismatches."""
+    from screenlake.functions import ids
+
+    ask, parsed = F.udf(lambda i: counted.add(1) or i, "string"), ids.parsed
+    counted = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(ids, "parsed", lambda c: parsed(ask(c)))
+    places = {f"{a}_{f}": (0, 4, "ACGT")[n] for a in ("hp", "op", "cp", "c1") for n, f in enumerate(("pos", "len", "seq"))}
+    rows = [places | {"read_id": k, "lib_id": "X", "cycles": 1, "id": (None, "1_A_LIBX_NA_NA_NA", "1_B_LIBY_NA_NA_NA")[k % 3], "direction": "forward", "c1_bb_id": "A_LIBX"} for k in range(30)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if c.endswith(('_pos', '_len')) or c == 'cycles' else 'long' if c == 'read_id' else 'string'}" for c in rows[0]))
+    reads = spark.range(29).select(F.col("id").alias("read_id"), F.when(F.col("id") == 1, "ACCT").otherwise("ACGT").alias("seq"))
+    got = {r["read_id"]: r["mismatches"] for r in validate.read_back(df, reads, 1).select("read_id", "mismatches").collect()}
+    usual = (["cycles_mismatch", "bb_id_mismatch", "lib_suffix_missing"], [], ["bb_id_mismatch", "lib_id_mismatch"])
+    want = {k: usual[k % 3] for k in range(30)} | {1: [f"seq_mismatch_{a}" for a in ("HP", "OP", "CP", "C1")], 29: ["read_missing", *usual[2]]}
+    assert got == want and counted.value < len(rows)
