@@ -49,6 +49,10 @@ class Cache(dict):
         self[key] = value
         return value
 
+    def put_all(self, entries: dict) -> None:
+        for key in entries.keys() - self.keys():
+            self.put(key, entries[key])
+
 
 @dataclass(frozen=True)
 class Settled:
@@ -83,6 +87,7 @@ class Pieces:
             raise ValueError("pieces with an inner space need another way to split texts")
         self.longest = max(map(len, self.id))
         self.beside = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        self.beside_codes = np.array(sorted(ord(a) << 21 | ord(b) for a, b in self.beside))
         self.names = sorted(self.id)  # a piece's place here is its number; an unknown character's is its code point after these
         self.number = {p: i for i, p in enumerate(self.names)}
         self.ids_of = np.array([self.id[p] for p in self.names], "<u4")
@@ -120,6 +125,17 @@ class Pieces:
                 cuts.append(i)
         return [chunk[a:b] for a, b in zip(cuts, [*cuts[1:], len(chunk)], strict=True)]
 
+    def all_apart(self, chunks: list[str]) -> tuple[list[str], np.ndarray]:
+        """The parts of chunks, of which none is empty, end to end, and how many each chunk has."""
+        text = "".join(chunks)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        pairs = codes[:-1] << 21 | codes[1:]
+        cut = self.beside_codes[np.minimum(np.searchsorted(self.beside_codes, pairs), len(self.beside_codes) - 1)] != pairs
+        start = np.cumsum([0, *map(len, chunks)])
+        cut[start[1:-1] - 1] = True
+        at = np.concatenate(([0], np.flatnonzero(cut) + 1, [len(text)]))
+        return [text[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], np.diff(np.searchsorted(at, start))
+
     def text(self, number: int) -> str:
         return self.names[number] if number < len(self.names) else chr(number - len(self.names))
 

@@ -17,6 +17,7 @@ from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import accumulate, chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,41 +31,52 @@ class PrefixCounts:
 
     def __init__(self, path: str):
         self.pieces = bpe.pieces(path)
-        self.known = bpe.Cache()
-        self.parts = bpe.Cache()
-        self.now: dict[str, tuple[int, ...]] = {}  # chunks of the texts at hand
+        self.known = bpe.Cache()  # token counts of chunks
+        self.parts = bpe.Cache()  # and of the parts of those that fall into several
+        self.inner = bpe.Cache()  # token counts of the prefixes of chunks that were asked for
+        self.now: dict[str, int] = {}  # chunks of the texts at hand
 
     def learn(self, chunks: list[str]) -> None:
-        """Token counts of the prefixes of chunks, the empty one included; those that are new are settled together."""
-        found = {c: self.known.get(c) or self.known[c] for c in dict.fromkeys(chunks)}
-        apart = {c: self.pieces.apart(c) for c, counts in found.items() if counts is None}
-        parts = {p: self.parts.get(p) or self.parts[p] for some in apart.values() for p in some}
-        for new in bpe.slices([p for p, counts in parts.items() if counts is None]):
-            settled = self.pieces.settle(new)
-            count = settled.count.tolist()
-            parts |= {p: tuple(count[a : a + n + 1]) for p, a, n in zip(new, settled.start.tolist(), settled.size.tolist(), strict=True)}
-        for p, counts in parts.items():
-            self.parts.put(p, counts)
-        for c, some in apart.items():
-            if len(some) == 1:
-                found[c] = parts[c]
-                continue
-            whole = [0]
-            for p in some:
-                so_far = whole[-1]
-                whole += [so_far + n for n in parts[p][1:]]
-            found[c] = tuple(whole)
+        """Token counts of chunks; those that are new are settled together."""
+        known, old = self.known, self.known.old
+        found = {c: known.get(c) or old.get(c) for c in dict.fromkeys(chunks)}
+        for some in bpe.slices([c for c, n in found.items() if n is None]):
+            found.update(zip(some, self._counted(some), strict=True))
         self.now = found
-        for c, counts in found.items():
-            self.known.put(c, counts)
+        known.put_all(found)
+
+    def _counted(self, chunks: list[str]) -> list[int]:
+        """Token counts of chunks that aren't known: the sums of their parts'."""
+        parts, number = self.pieces.all_apart(chunks)
+        whole = np.repeat(number == 1, number)
+        counts = {p: None if alone else self.parts.get(p) or self.parts[p] for p, alone in zip(parts, whole.tolist(), strict=True)}
+        new = [p for p, n in counts.items() if n is None]
+        if new:
+            settled = self.pieces.settle(new)
+            counts.update(zip(new, settled.count[settled.start + settled.size].tolist(), strict=True))
+        self.parts.put_all({p: counts[p] for p, alone in zip(parts, whole.tolist(), strict=True) if not alone})
+        return np.add.reduceat(np.fromiter(map(counts.__getitem__, parts), np.int64, len(parts)), np.cumsum(number) - number).tolist()
+
+    def learn_inner(self, chunks: list[str]) -> dict[str, tuple[int, ...]]:
+        """Token counts of the prefixes of chunks, the empty one included; those that are new are settled together."""
+        found = {c: self.inner.get(c) or self.inner[c] for c in dict.fromkeys(chunks)}
+        for some in bpe.slices([c for c, counts in found.items() if counts is None]):
+            parts, number = self.pieces.all_apart(some)
+            settled = self.pieces.settle(parts)
+            count, at = settled.count.tolist(), 0
+            for c, n in zip(some, number.tolist(), strict=True):
+                whole = [0]
+                for a, size in zip(settled.start[at : at + n].tolist(), settled.size[at : at + n].tolist(), strict=True):
+                    so_far = whole[-1]
+                    whole += [so_far + x for x in count[a + 1 : a + size + 1]]
+                found[c] = tuple(whole)
+                at += n
+        self.inner.put_all(found)
+        return found
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """Token counts of the chunk's prefixes."""
-        counts = self.now.get(chunk)
-        if counts is None:
-            self.learn([chunk])
-            counts = self.now[chunk]
-        return counts
+        return self.inner.get(chunk) or self.inner[chunk] or self.learn_inner([chunk])[chunk]
 
     def totals(self, text: str) -> tuple[list[str], list[int]]:
         """The text's chunks and the token count before each one, with the whole text's count at the end."""
@@ -72,14 +84,15 @@ class PrefixCounts:
         if any(p not in self.now for p in parts):
             self.learn(parts)
         now = self.now
-        return parts, [0, *accumulate([now[p][-1] for p in parts])]
+        return parts, [0, *accumulate([now[p] for p in parts])]
 
     def all_prefixes(self, text: str) -> list[int]:
         """count[i] for i from 0 to the text's length; the mark before the text costs nothing until it begins."""
         parts, before = self.totals(text)
         out: list[int] = [0] if not parts else []
+        inner = self.learn_inner(parts)
         for k, part in enumerate(parts):
-            out += [before[k] + c for c in self.chunk(part)[1:]]
+            out += [before[k] + c for c in inner[part][1:]]
         if out and parts:
             out[0] = 0  # the space mark that the model puts before a text
         return out
@@ -87,26 +100,25 @@ class PrefixCounts:
     def longest_within(self, text: str, budget: int) -> int:
         """Characters of the longest prefix with at most budget tokens."""
         parts, before = self.totals(text)
-        return self._within(parts, before, budget)
+        return self._within(parts, before, budget, {})
 
-    def _within(self, parts: list[str], before: list[int], budget: int) -> int:
+    def _within(self, parts: list[str], before: list[int], budget: int, known: dict[str, tuple[int, ...]]) -> int:
         if before[-1] <= budget:
             return max(0, sum(map(len, parts)) - 1)
         at = bisect_right(before, budget) - 1  # chunk totals never fall, so the cut lies in this chunk or just after it
         chars = sum(map(len, parts[:at]))
-        inner = [i for i, c in enumerate(self.chunk(parts[at])) if before[at] + c <= budget]
+        inner = [i for i, c in enumerate(known.get(parts[at]) or self.chunk(parts[at])) if before[at] + c <= budget]
         return max(0, chars + inner[-1] - 1)
 
     def measure(self, texts: list[str], budget: int) -> list[tuple[int, int]]:
         """For each text its tokens, and characters of its longest prefix within budget."""
         split = [bpe.chunks(t) for t in texts]
         self.learn(list(chain.from_iterable(split)))
-        last = {c: counts[-1] for c, counts in self.now.items()}
-        out = []
-        for t, parts in zip(texts, split, strict=True):
-            total = sum(map(last.__getitem__, parts))
-            out.append((total, len(t) if total <= budget else self._within(parts, [0, *accumulate(map(last.__getitem__, parts))], budget)))
-        return out
+        count = self.now.__getitem__
+        totals = [sum(map(count, parts)) for parts in split]
+        before = {k: [0, *accumulate(map(count, split[k]))] for k, n in enumerate(totals) if n > budget}
+        inner = self.learn_inner([split[k][bisect_right(b, budget) - 1] for k, b in before.items()])
+        return [(n, self._within(split[k], before[k], budget, inner) if n > budget else len(t)) for k, (t, n) in enumerate(zip(texts, totals, strict=True))]
 
 
 @functools.lru_cache(maxsize=2)

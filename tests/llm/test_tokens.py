@@ -102,3 +102,16 @@ def test_wide_ids_survive(spark):
     import zlib
 
     assert got[2][1] == zlib.crc32(np.array([1 << 20], "<u4").tobytes())
+
+
+def test_counts_of_whole_texts_keep_no_prefixes(monkeypatch):
+    """Measuring asks for prefixes only of the chunks that a budget cuts, and says what the prefixes say."""
+    own, plain = token_counts.PrefixCounts(MODEL), token_counts.PrefixCounts(MODEL)
+    asked = []
+    monkeypatch.setattr(own, "learn_inner", lambda chunks, f=own.learn_inner: asked.extend(chunks) or f(chunks))
+    texts = ["", "one two three", "a\0b  c\n\nd ", "Ünïcödé 漢字かな🙂 x", "zq" * 700 + " end", "word " * 30, "x" * 1200 + "漢" * 20]
+    for budget in (0, 3, 10, 10**6):
+        asked.clear()
+        want = [plain.all_prefixes(t) for t in texts]
+        assert own.measure(texts, budget) == [(p[-1], max(i for i, n in enumerate(p) if n <= budget)) for p in want]
+        assert len(asked) == sum(p[-1] > budget for p in want)
