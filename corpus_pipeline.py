@@ -17,7 +17,7 @@ SHINGLE_WORDS = 5
 NEAR_PERCENT = 80
 END_ID = 1
 CAPACITY = 2048
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded(spark: SparkSession) -> None:

@@ -82,8 +82,9 @@ BATCH_BYTES = 4 << 20
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut into slices of about that many bytes (a longer row is a slice of its own), so that a worker's memory doesn't follow Spark's batches."""
+    """The batches cut into slices of about that many bytes (a longer row is a slice of its own), so that a worker's memory doesn't follow Spark's batches. What Arrow no longer uses goes back to the system at the end, as workers stay."""
     for batch in batches:
         rows = max(1, int(len(batch) * most / max(1, batch.nbytes)))
         for k in range(0, len(batch), rows):
             yield batch.slice(k, rows)
+    pa.default_memory_pool().release_unused()

@@ -115,3 +115,18 @@ def test_counts_of_whole_texts_keep_no_prefixes(monkeypatch):
         want = [plain.all_prefixes(t) for t in texts]
         assert own.measure(texts, budget) == [(p[-1], max(i for i, n in enumerate(p) if n <= budget)) for p in want]
         assert len(asked) == sum(p[-1] > budget for p in want)
+
+
+def test_arrow_memory_goes_back(monkeypatch):
+    """Cut batches keep all rows, and after the last one the pool is asked to return what is free."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from screenlake.llm import common
+
+    calls = []
+    batch = pa.record_batch({"text": ["x" * 100] * 50})
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: calls.append(1)))
+    cut = list(common.small_batches([batch, batch.slice(0, 0)], 1000))
+    assert sum(map(len, cut)) == 50 and max(map(len, cut)) <= 10 and calls == [1]
