@@ -95,6 +95,19 @@ def test_packed_ids_are_the_tokenizers():
             assert ids[begin[i] : begin[i + 1]].tolist() == own.tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_marks_are_parts_of_their_own(monkeypatch):
+    """A word isn't learned again with marks behind it, and ids stay the tokenizer's where marks must not be cut off: special tokens, letters that fall apart in lower case, marks that combine."""
+    own = packing.Tokens(public_tokenizers.path("word_bpe_49k.json"))
+    learned = []
+    monkeypatch.setattr(own, "_learn", lambda new, f=own._learn: learned.extend(new) or f(new))
+    own.ids(pa.array(["größe élan plain", "größe*** élan!!, plain%%% größe??"]))
+    assert sorted(learned) == sorted(["größe", "élan", "plain", "***", "!!,", "%%%", "??"])
+    odd = ["a<|endoftext|> b", "a|> b", "x\u0130, y", "e\u0301*** f", "a!\u0338 b", "it's' so", "x''s! y", "\u00d7!! \u00f7, z", "a!! b,b. c!", "n\u00a0! m", None, ""]
+    ids, begin = own.ids(pa.array(odd))
+    for i, t in enumerate(odd):
+        assert ids[begin[i] : begin[i + 1]].tolist() == own.tokenizer.encode(t or "", add_special_tokens=False).ids, t
+
+
 def test_wide_ids_survive(spark):
     docs = spark.createDataFrame([(1, "one two"), (2, "")], "doc_id long, text string")
     got = {r["doc_id"]: (r["doc_tokens"], r["ids_crc32"]) for r in packing.sequences(docs, public_tokenizers.path("word_bpe_49k.json"), 1 << 20).collect()}
