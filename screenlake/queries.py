@@ -432,6 +432,7 @@ def kmer_scan(spark, sf_dir):
 
 # Decoding -----------------------------------------------------------------------------------------------------------
 
+EVENTS_A_TASK = 1_000_000
 CYCLES, SIZES = 3, {"HP": [7, 8, 9], "OP": [11, 12, 13], "CP": [15, 16, 17], "CODON": [9]}
 
 
@@ -451,10 +452,15 @@ def tags(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(_design(), "type string, lib_id string, cycle int, bb_id string, seq string")
 
 
+def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in as many parts as their number asks for: a row group in one file would be one task, and parts that only follow the cores grow with the input."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
+    return e.repartition(max(spark.sparkContext.defaultParallelism, -(-e.count() // EVENTS_A_TASK)), "event_id")
+
+
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A read for each event: a molecule of the design, changed by the class event_id % 8; in one of four samples."""
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    e = e.repartition(spark.sparkContext.defaultParallelism, "event_id")  # one row group in one file would be one task
+    e = event_ids(spark, sf_dir)
     t = {r[:4]: r[4] for r in _design()}
     pick = lambda lib, c: F.element_at(F.array(*[F.lit(t["CODON", lib, c, f"{lib}B{c}{k}"]) for k in range(6)]), (F.col("event_id") % (5 + c - 1) % 6 + 1).cast("int"))
     body = lambda lib: F.concat(F.lit(t["HP", "", 0, "H1"] + t["OP", "", 0, "O1"]), pick(lib, 1), pick(lib, 2), pick(lib, 3), F.lit(t["CP", lib, 0, f"C{lib}"]))
@@ -510,13 +516,13 @@ _OUTCOME = _LIMITED + ", oc AS (SELECT rd.sample, rd.read_id, CASE WHEN d.read_i
 
 def _done(spark, sf_dir):
     table = staged(decode.patterns(tags(spark)))
-    r = reads(spark, sf_dir).select("read_id", "seq")
+    r = staged(reads(spark, sf_dir).select("read_id", "seq"))  # read twice: for the different texts, and joined with what they are decoded to
     return r, table, decode.decoded(r, table, CYCLES, SIZES)
 
 
 def _outcomes(spark, sf_dir):
     """Decoded reads with their sample, and every read's outcome, behind a filter on lengths."""
-    r = reads(spark, sf_dir)
+    r = staged(reads(spark, sf_dir))
     kind = counts.length_class(F.length("seq"), 63, 63, 7, mode="3")
     return decode.outcomes(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES, counts.length_passes(kind))
 
@@ -528,7 +534,7 @@ def decode_reads(spark, sf_dir):
 
 @_query(f"{_DECODE} SELECT * FROM und")
 def undecoded_reasons(spark, sf_dir):
-    r = reads(spark, sf_dir).select("read_id", "seq")
+    r = staged(reads(spark, sf_dir).select("read_id", "seq"))
     return decode.undecoded_reasons(r, decode.attempts(r, staged(decode.patterns(tags(spark))), CYCLES, SIZES)).select("read_id", "reason")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .operators import counts, decode, samples, validate
 from .plans.staging import scratch, staged
-from .queries import _query
+from .queries import _query, event_ids
 from .sources import files
 
 CYCLES, SAMPLES = 4, [f"S{k}" for k in range(4)]
@@ -84,9 +84,7 @@ def tags(spark: SparkSession) -> DataFrame:
 
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id")
-    e = e.repartition(spark.sparkContext.defaultParallelism, "event_id")  # one row group in one file would be one task
-    return spark.sql(READS_SQL.replace("FROM events", "FROM {events}"), events=e)
+    return spark.sql(READS_SQL.replace("FROM events", "FROM {events}"), events=event_ids(spark, sf_dir))
 
 
 def _variants(s: str) -> set[str]:

@@ -252,3 +252,25 @@ def test_ids_are_parsed_once(spark, monkeypatch):
     usual = (["cycles_mismatch", "bb_id_mismatch", "lib_suffix_missing"], [], ["bb_id_mismatch", "lib_id_mismatch"])
     want = {k: usual[k % 3] for k in range(30)} | {1: [f"seq_mismatch_{a}" for a in ("HP", "OP", "CP", "C1")], 29: ["read_missing", *usual[2]]}
     assert got == want and counted.value < len(rows)
+
+
+@pytest.mark.parametrize("name", ["gap_stats", "undecoded_reasons", "decoding_summary"])
+def test_reads_are_made_once(spark, monkeypatch, name):
+    """What is read several times, for the different texts and for the reads that have them, is written first."""
+    counted, made = spark.sparkContext.accumulator(0), screening.reads(spark, SF)
+    ask = F.udf(lambda s: counted.add(1) or s, "string")
+    monkeypatch.setattr(screening, "reads", lambda *_: made.withColumn("seq", ask("seq")))
+    assert screening.queries()[name](spark, SF).count() > 0 and counted.value == made.count()
+
+
+def test_events_are_dealt_by_their_number(spark, monkeypatch):
+    """Tasks that make reads follow the number of events, and no event is lost."""
+    from screenlake import queries_decode
+
+    n = spark.read.parquet(f"{SF}/events.parquet").count()
+    for module in (screening, queries_decode):
+        assert module.reads(spark, SF).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(screening, "EVENTS_A_TASK", 10, raising=False)
+    for module in (screening, queries_decode):
+        got = module.reads(spark, SF)
+        assert got.rdd.getNumPartitions() == -(-n // 10) and got.select("read_id").distinct().count() == n
