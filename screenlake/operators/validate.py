@@ -30,45 +30,45 @@ def validated(rows: DataFrame, table: DataFrame, cycles: int = 4, tolerance: int
     """
     sets = staged(table.groupBy("type", "kmer").agg(F.collect_set("lib_id").alias("libs")))
     known = table.filter("type = 'CODON'").groupBy("lib_id").agg(F.max("cycle").alias("_expected"))
-    x = rows.withColumn("_o", _oriented()).join(staged(known), "lib_id", "left")
-    for kind, column in [*((a.upper(), f"{a}_seq") for a in ANCHORS), *(("CODON", f"c{k}_seq") for k in range(1, cycles + 1))]:
-        own = sets.filter(F.col("type") == kind).select(F.col("kmer").alias(column), F.col("libs").alias(f"_libs_{column}"))
-        x = x.join(own, column, "left")
-    allowed = lambda c, shared: F.coalesce(F.array_contains(f"_libs_{c}", F.col("lib_id")) | (F.array_contains(f"_libs_{c}", "") if shared else F.lit(False)), F.lit(False))
     here = lambda a, f: F.col(f"{a}_{f}")
     missing = lambda a: here(a, "pos").isNull() | here(a, "len").isNull() | here(a, "seq").isNull()
     outside = lambda a: (here(a, "pos") < 0) | (here(a, "pos") + here(a, "len") > F.length("_o"))
     differs = lambda a: F.substring("_o", here(a, "pos") + 1, here(a, "len")) != here(a, "seq")
+    count, codons = F.coalesce("cycles", F.lit(0)), [f"c{k}" for k in range(1, cycles + 1)]
 
     def place(a: str, name: str, asked: Column) -> Column:
         """What is wrong with where an anchor or codon lies, if it is asked for."""
         return F.when(asked & missing(a), f"missing_{a}").when(asked & outside(a), f"{name}_pos_oob").when(asked & differs(a), f"{name}_seq_mismatch")
 
-    count = F.coalesce("cycles", F.lit(0))
+    # Rules are plain columns: what a lambda is given is interpreted, lambdas inside it included. The two steps have a small one each, which keeps them out of the joins' code: with it they
+    # would be one method, too large to be compiled.
+    x = rows.withColumn("_o", _oriented()).join(staged(known), "lib_id", "left")
+    for a in (*ANCHORS, *codons):
+        kind = a.upper() if a in ANCHORS else "CODON"
+        x = x.join(sets.filter(F.col("type") == kind).select(F.col("kmer").alias(f"{a}_seq"), F.col("libs").alias(f"_{a}_libs")), f"{a}_seq", "left")
+    fits = lambda a: F.coalesce(F.array_contains(f"_{a}_libs", F.col("lib_id")) | (F.array_contains(f"_{a}_libs", "") if a in ("hp", "op") else F.lit(False)), F.lit(False))
+    seen = {a: ~missing(a) for a in ANCHORS} | {c: (count >= k) & ~missing(c) & ~outside(c) for k, c in enumerate(codons, 1)}  # of codons only those that can be looked at
+    x = x.withColumns({f"_{a}_{f}": F.when(seen[a], here(a, f)) for a in seen for f in ("pos", "len")} | {"_strange": F.exists(F.array(*[seen[c] & ~fits(c) for c in codons]), lambda v: F.coalesce(v, F.lit(False)))})
+
+    pos, size = lambda a: F.col(f"_{a}_pos"), lambda a: F.col(f"_{a}_len")
+    some = lambda f, order: F.coalesce(*[F.col(f"_{c}_{f}") for c in order])
+    far = lambda a, n, b: F.abs(b - (a + n)) > tolerance
     errors = [F.when(F.col("read_len") != F.length("read_seq"), "read_len_mismatch"), F.when(F.col("cycles").isNull(), "cycles_parse")]
     errors += [F.when(count > 0, F.when(F.col("_expected").isNull(), "lib_unknown").when(count != F.col("_expected"), "cycles_mismatch"))]
     if rejected is not None:
         errors.append(F.when(rejected, "length_filter_reject"))
-    errors += [place(a, a.upper(), F.lit(True)) for a in ANCHORS] + [place(f"c{k}", f"c{k}", count >= k) for k in range(1, cycles + 1)]
-
-    # Codons that can be looked at, in turn.
-    codons = [F.when((count >= k) & ~missing(f"c{k}") & ~outside(f"c{k}"), F.struct(*[here(f"c{k}", f).alias(f) for f in ("pos", "len")], allowed(f"c{k}_seq", False).alias("fits"))) for k in range(1, cycles + 1)]
-    x = x.withColumn("_c", F.filter(F.array(*codons), lambda c: c.isNotNull()))
-    size = F.size("_c")
-    first, last = F.get("_c", F.lit(0)), F.get("_c", size - 1)
-    kept = lambda a, f: F.when(~missing(a), here(a, f))
-    pairs = F.when(size > 1, F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    at = lambda i: F.get("_c", i)
-    far = lambda a, n, b: F.abs(b - (a + n)) > tolerance
-    errors += [F.when(kept("hp", "pos") > kept("op", "pos"), "order_violation"), F.when(first["pos"] < kept("op", "pos"), "order_violation"), F.when(last["pos"] > kept("cp", "pos"), "order_violation")]
-    errors += [F.when(far(kept("hp", "pos"), kept("hp", "len"), kept("op", "pos")), "gap_HP_OP"), F.when(far(kept("op", "pos"), kept("op", "len"), first["pos"]), "gap_OP_C1"), F.when(far(last["pos"], last["len"], kept("cp", "pos")), "gap_C_last_CP")]
-    between = F.flatten(F.transform(pairs, lambda i: F.array(
-        F.when(at(i)["pos"] < at(i - 1)["pos"], "order_violation"), F.when(far(at(i - 1)["pos"], at(i - 1)["len"], at(i)["pos"]), F.concat(F.lit("gap_C"), i.cast("string"), F.lit("_C"), (i + 1).cast("string")))
-    )))
-    errors += [F.when(F.exists("_c", lambda c: c["len"] != codon), f"codon_len_not{codon}"), F.when(~kept("cp", "len").between(cp_least, cp_most), f"cp_len_out_of_{cp_least}_{cp_most}")]
-    errors += [F.when(~missing(a) & ~allowed(f"{a}_seq", a != "cp"), f"{a.upper()}_not_in_lib") for a in ANCHORS]
-    errors.append(F.when(F.col("_expected").isNotNull() & F.exists("_c", lambda c: ~c["fits"]), "codon_not_in_lib"))
-    found = F.filter(F.concat(F.array(*errors), between), lambda e: e.isNotNull())
+    errors += [place(a, a.upper(), F.lit(True)) for a in ANCHORS] + [place(c, c, count >= k) for k, c in enumerate(codons, 1)]
+    first, last, end = some("pos", codons), some("pos", codons[::-1]), some("len", codons[::-1])
+    errors += [F.when(pos("hp") > pos("op"), "order_violation"), F.when(first < pos("op"), "order_violation"), F.when(last > pos("cp"), "order_violation")]
+    errors += [F.when(far(pos("hp"), size("hp"), pos("op")), "gap_HP_OP"), F.when(far(pos("op"), size("op"), first), "gap_OP_C1"), F.when(far(last, end, pos("cp")), "gap_C_last_CP")]
+    errors += [F.when(F.exists(F.array(*map(size, codons)), lambda n: F.coalesce(n != codon, F.lit(False))), f"codon_len_not{codon}"), F.when(~F.coalesce(size("cp").between(cp_least, cp_most), F.lit(True)), f"cp_len_out_of_{cp_least}_{cp_most}")]
+    errors += [F.when(~missing(a) & ~fits(a), f"{a.upper()}_not_in_lib") for a in ANCHORS]
+    errors.append(F.when(F.col("_expected").isNotNull() & F.col("_strange"), "codon_not_in_lib"))
+    for k in range(1, cycles):  # each codon that can be looked at and the one before it, the i-th of them
+        before, here_, i = codons[k - 1 :: -1], codons[k], sum((pos(c).isNotNull().cast("int") for c in codons[:k]), F.lit(0))
+        name = F.concat(F.lit("gap_C"), i.cast("string"), F.lit("_C"), (i + 1).cast("string"))
+        errors += [F.when(pos(here_) < some("pos", before), "order_violation"), F.when(far(some("pos", before), some("len", before), pos(here_)), name)]
+    found = F.array_remove(F.split(F.concat_ws(",", *errors), ","), "")  # what is null is left out, and names hold no comma
     return x.select(*rows.columns, found.alias("errors"))
 
 

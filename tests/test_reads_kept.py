@@ -274,3 +274,27 @@ def test_events_are_dealt_by_their_number(spark, monkeypatch):
     for module in (screening, queries_decode):
         got = module.reads(spark, SF)
         assert got.rdd.getNumPartitions() == -(-n // 10) and got.select("read_id").distinct().count() == n
+
+
+def test_rules_are_evaluated_once_and_compiled(spark):
+    """Rules of one row as before, with codons passed over, and none of them below a lambda, where all would be interpreted, nor twice in the plan."""
+    from screenlake import queries_decode
+    from screenlake.operators import decode
+    from screenlake.plans.staging import staged
+
+    row = queries_decode._records(spark, SF).filter("lib_id = 'M4' and read_id % 23 = 0").orderBy("read_id").limit(1)
+    change = lambda name, **new: row.withColumns({k: F.expr(v) for k, v in new.items()}).withColumn("sample", F.lit(name))
+    rows = [
+        change("sound"), change("no c2", c2_pos="cast(null as int)"), change("no codons", **{f"c{k}_seq": "cast(null as string)" for k in range(1, 5)}), change("c1 out", c1_pos="-1"), change("turned", c3_pos="c2_pos", c2_pos="c3_pos"),
+        change("no cycles", cycles="cast(null as int)"), change("no cp", cp_len="cast(null as int)"), change("no read", read_seq="cast(null as string)"), change("long", c4_len="30"),
+    ]
+    bad = staged(rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3]).unionByName(rows[4]).unionByName(rows[5]).unionByName(rows[6]).unionByName(rows[7]).unionByName(rows[8]))
+    checked = validate.validated(bad, staged(decode.patterns(queries_decode.tags(spark))), 4)
+    got = {r["sample"]: r["errors"] for r in checked.collect()}
+    assert got["sound"] == [] and got["no read"] == []
+    assert got["no c2"] == ["missing_c2", "gap_C1_C2"] and got["c1 out"] == ["c1_pos_oob", "gap_OP_C1"]
+    assert got["no codons"] == [f"missing_c{k}" for k in range(1, 5)] and got["no cycles"] == ["cycles_parse"] and got["no cp"] == ["missing_cp"]
+    assert got["turned"] == ["c2_seq_mismatch", "c3_seq_mismatch", "gap_C1_C2", "order_violation", "gap_C2_C3", "gap_C3_C4"]
+    assert got["long"] == ["c4_seq_mismatch", "gap_C_last_CP", "codon_len_not9"]
+    plan = checked.select("errors")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("_seq_mismatch") == 7 and plan.count("transform(") == plan.count("filter(") == 0
