@@ -8,7 +8,8 @@ distance, and an annulus into blocks of about BLOCK_ROWS, each sorted by distanc
 one block of the annuli around it, nearest first, until it has k scores, which bound its k-th distance. Then it opens every annulus that
 the triangle inequality can't rule out, |d(q, p) - d(x, p)| <= bound, and within a block only the rows of that range of distances.
 
-Pivots are fitted on a bounded sample (SAMPLE_ROWS); every vector is indexed. Queries travel in packs, one to a block that they need.
+Pivots are fitted on a bounded sample (SAMPLE_ROWS); every vector is indexed. Queries travel in packs, one to a block that they need. Where
+nothing is ruled out, that is every pack to every block: packs and blocks are shuffled and merged, never broadcast, and integers travel in as few bytes as the greatest needs.
 
 Vectors that are null, hold a null or a non-finite component, or have a null id take no part. Shorter vectors count as filled up with zeros.
 Equal scores go to smaller ids; rows that repeat an id are candidates of their own, but never for a query of that id, and a repeated query is asked
@@ -32,6 +33,7 @@ PIVOTS = 16
 ANNULI = 8
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+MOST_QUERY_ROWS = 1280  # of a pack: several tasks deal them out in turn, so sizes differ a little
 LEAST = -(1 << 63)
 CUT = float(1 << 62)
 ROUNDING = 1e-12  # of sums of squares, relative to their terms
@@ -46,8 +48,8 @@ def _pivots(sample: np.ndarray, count: int) -> np.ndarray:
     return centres
 
 
-def _padded(lists: list, dim: int) -> np.ndarray:
-    out = np.zeros((len(lists), dim), np.int64)
+def _padded(lists: list, dim: int, kind: np.dtype | type = np.int64) -> np.ndarray:
+    out = np.zeros((len(lists), dim), kind)
     for i, v in enumerate(lists):
         out[i, : len(v)] = v
     return out
@@ -83,10 +85,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
 
     rows = whole(vectors)
     length = F.aggregate("q", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
-    facts = rows.agg(F.max(length).alias("m"), F.max(F.size("q")).alias("dim"), F.count(F.lit(1)).alias("n")).first()
+    widest = F.coalesce(F.max(F.aggregate("q", F.lit(0).cast("long"), lambda s, v: F.greatest(s, F.abs(v)))), F.lit(0)).alias("widest")
+    narrow = lambda r: np.min_scalar_type(-r["widest"] - 1)
+    facts = rows.agg(F.max(length).alias("m"), F.max(F.size("q")).alias("dim"), F.count(F.lit(1)).alias("n"), widest).first()
     if not facts["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    top, dim = float(facts["m"]), max(1, facts["dim"])
+    top, dim, kind = float(facts["m"]), max(1, facts["dim"]), narrow(facts)
     lifted = lambda x: np.sqrt(np.maximum(0.0, top - (x.astype(float) ** 2).sum(1)))
     sample = _padded([r.q for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS).collect()], dim)
     pivots = _pivots(np.column_stack([sample, lifted(sample)]).astype(float), PIVOTS)
@@ -113,7 +117,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
         rows = rows.sort_values(["distance", "vec_id"])
         d = rows["distance"].to_numpy()
         return pd.DataFrame(
-            [(name[0], name[1], rows["pivot"].iloc[0], len(rows), d[0], d[-1], rows["vec_id"].to_numpy().tobytes(), d.tobytes(), _padded(list(rows["q"]), dim).tobytes())],
+            [(name[0], name[1], rows["pivot"].iloc[0], len(rows), d[0], d[-1], rows["vec_id"].to_numpy().tobytes(), d.tobytes(), _padded(list(rows["q"]), dim, kind).tobytes())],
             columns=["annulus", "block", "pivot", "n", "low", "high", "ids", "distances", "vectors"],
         )
 
@@ -132,17 +136,18 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
         .sort_values("annulus")
     )
 
-    asked = whole(queries).groupBy("vec_id").agg(F.min("q").alias("q"))
-    packs = max(1, -(-asked.count() // QUERY_ROWS))
-    asked = written(asked.repartition(packs, "vec_id"), "queries")
+    asked = written(whole(queries).groupBy("vec_id").agg(F.min("q").alias("q")), "queries")
+    facts = asked.agg(F.count(F.lit(1)).alias("n"), widest).first()
+    packs, asked_kind = max(1, -(-facts["n"] // QUERY_ROWS)), narrow(facts)
 
     def requests(first: bool):
         """Packs of the queries that need a block, with the score that each has already."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start in range(0, len(batch), QUERY_ROWS):
-                    part = batch.slice(start, QUERY_ROWS)
+                step = max(1, -(-len(batch) // max(1, -(-len(batch) // MOST_QUERY_ROWS))))
+                for start in range(0, len(batch), step):
+                    part = batch.slice(start, step)
                     ids, x = part.column(0).to_numpy(), _padded(part.column(1).to_pylist(), dim)
                     d = _distances(x, np.zeros(len(x)), pivots)[:, rings["pivot"].to_numpy()]
                     gap = np.maximum(0.0, np.maximum(d - rings["high"].to_numpy(), rings["low"].to_numpy() - d))
@@ -167,7 +172,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
                         for block in [ring.block] if first else range(ring.last + 1):
                             yield pa.RecordBatch.from_pydict(
                                 {
-                                    "annulus": pa.array([ring.annulus], pa.int32()), "block": pa.array([block], pa.int32()), "ids_asked": [ids[who].tobytes()], "asked": [x[who].tobytes()],
+                                    "annulus": pa.array([ring.annulus], pa.int32()), "block": pa.array([block], pa.int32()), "ids_asked": [ids[who].tobytes()], "asked": [x[who].astype(asked_kind).tobytes()],
                                     "had": [had[who].astype(np.int64).tobytes()], "from_pivot": [d[who, r].tobytes()], "reach": [reach[who].tobytes()],
                                 }
                             )
@@ -176,10 +181,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for n in range(len(batch)):
+                row = batch.slice(n, 1).to_pylist()[0]
                 ids, d = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["distances"], float)
-                x = np.frombuffer(row["vectors"], np.int64).reshape(-1, dim)
-                mine, q = np.frombuffer(row["ids_asked"], np.int64), np.frombuffer(row["asked"], np.int64).reshape(-1, dim)
+                x = np.frombuffer(row["vectors"], kind).reshape(-1, dim).astype(np.int64)
+                mine, q = np.frombuffer(row["ids_asked"], np.int64), np.frombuffer(row["asked"], asked_kind).reshape(-1, dim).astype(np.int64)
                 had, from_pivot, reach = np.frombuffer(row["had"], np.int64), np.frombuffer(row["from_pivot"], float), np.frombuffer(row["reach"], float)
                 low, high = np.searchsorted(d, from_pivot - reach, "left"), np.searchsorted(d, from_pivot + reach, "right")
                 if not (high > low).any():
@@ -201,7 +207,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, scale: int = 102
     wanted = "annulus int, block int, ids_asked binary, asked binary, had binary, from_pivot binary, reach binary"
 
     def scores(from_: DataFrame, first: bool) -> DataFrame:
-        return from_.mapInArrow(requests(first), wanted).join(index, ["annulus", "block"]).mapInArrow(answer, "query_id long, vec_id long, score long")
+        # The planner knows nothing of how large a pack is and would send all of them through the driver.
+        sent = from_.repartition(packs).mapInArrow(requests(first), wanted)
+        return sent.hint("merge").join(index, ["annulus", "block"]).mapInArrow(answer, "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     seeds = scores(asked, True).withColumn("place", F.row_number().over(best)).filter(F.col("place") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("had"))

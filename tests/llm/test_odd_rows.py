@@ -134,6 +134,25 @@ def test_top_k_of_large_components(spark, size):
         assert [got[q, n + 1] for n in range(10)] == [(k, -s) for s, k in want], (q, size)
 
 
+@pytest.mark.parametrize("size, wider", [(1, 1), (16, 1), (17, 300), (4096, 1 << 22), (1 << 32, 1)])
+def test_top_k_sends_packs_from_task_to_task(spark, size, wider):
+    """Every pack of queries may need every block, so none of it goes through the driver, however few rows the planner sees; components of each width, of queries other than of rows, stay what they are."""
+    import random
+
+    r = random.Random(size)
+    component = lambda: float(r.choice([-8 * size, -8 * size + 1, 8 * size - 1, r.randrange(-8 * size, 8 * size)]))
+    rows = [(k, [component() for _ in range(3)]) for k in range(200)]
+    asked = [(k, [wider * x for x in rows[k][1]]) for k in range(0, 200, 40)]
+    vectors, queries = (spark.createDataFrame(x, "vec_id long, embedding array<double>").repartition(3) for x in (rows, asked))
+    found = topk.search(vectors, queries, k=4, scale=1)
+    got = {(x["query_id"], x["rank"]): (x["vec_id"], x["score"]) for x in found.collect()}
+    cut = lambda v: max(-(1 << 63), min((1 << 63) - 1, v))
+    for q, v in asked:
+        want = sorted((-cut(sum(int(a) * int(b) for a, b in zip(v, w))), k) for k, w in rows if k != q)[:4]
+        assert [got[q, n + 1] for n in range(4)] == [(k, -s) for s, k in want], (q, size)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_archives_keep_odd_pages(spark, tmp_path):
     """Addresses with line breaks, repeated ids and rows without an id all come back."""
     rows = [(1, "http://a/\r\nWARC-Type: x\r\n\r\n", "one"), (2, "b\tc", "two"), (2, "b", "two"), (None, "n", "two"), (3, "u\u2028v", "two")]
