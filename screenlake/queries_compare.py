@@ -32,7 +32,7 @@ def block_average_pairs(spark, sf_dir):
 def block_union_pairs(spark, sf_dir):
     c = _compounds(spark, sf_dir)
     prints = staged(c.select("key", similarity.union(*[similarity.fingerprint(F.col(f"s{k}")) for k in (1, 2, 3)]).alias("bits")))
-    return similarity.pairs(prints, "key", 90).withColumn("sim", F.round("sim", 6))
+    return similarity.pairs(prints, "key", 90, digits=6)
 
 
 _FIRST_BLOCK = "split_part(key, '|', 1)"

@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import re
 
 import pandas as pd
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from screenlake import queries as screening
 from screenlake.functions import ids
-from screenlake.operators import compare, counts, hits
+from screenlake.operators import compare, counts, hits, similarity
 from screenlake.plans import config
 from screenlake.sources import files
 
@@ -55,6 +56,21 @@ def test_butina(spark, near):
     assert medoids == {min(m, key=lambda k: (round(sum(1 - near.get(k, {}).get(o, 0) for o in m if o != k), 6), k)) for m in members.values()}
 
 
+def test_members_meet_as_blocks(spark):
+    """Pairs of copies are as many as asked for, but what is shuffled for them is a row for each block of a class: not one for each member, and no more rounding than there are pairs of classes."""
+    sets = {0: [1, 2, 3, 4, 5], 1: [1, 2, 3, 4, 5, 6], 2: [1, 2, 3, 4, 5, 6, 7], 3: [50, 51]}
+    rows = [(k, sets[k % 4]) for k in range(1200)] + [(5000, []), (5001, None)]
+    prints = spark.createDataFrame(rows, "key long, bits array<long>").repartition(3)
+    found = similarity.pairs(prints, "key", 80, digits=6)
+    got = {(r["i"], r["j"]): r["sim"] for r in found.collect()}
+    alike = {(a, b): round(len({*x} & {*y}) / len({*x} | {*y}), 6) for a, x in sets.items() for b, y in sets.items()}
+    want = {(i, j): alike[i % 4, j % 4] for i in range(1200) for j in range(i + 1, 1200) if alike[i % 4, j % 4] >= 0.8}
+    assert got == want and found.count() == len(want)
+    formatted = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    shuffled = [float(n) for n in re.findall(r"rowCount=([0-9.E+]+)", found._jdf.queryExecution().explainString(formatted))]
+    assert shuffled and max(shuffled) < 100
+
+
 def test_peaks(spark):
     got = {r["sample"]: r["centers"] for r in screening.queries()["top_k_peaks"](spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("source", F.char_length("text").alias("n")).toPandas().dropna()
